@@ -1 +1,234 @@
-"""Driver queries (csv)."""
+"""CSV-load driver queries: manifest validation, batch summary, round trip."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from runledger.operators import csv_batch as cb
+from runledger.operators import validate as va
+from runledger.plans.registry import register, table
+from runledger.session import new_run_dir
+from runledger.sources import csv_parquet as cp
+
+# Fixed derivation values: file suffix per language (others ".csv") and a
+# byte size per character so that long documents exceed the size limit.
+EXT_BY_LANG = {"fr": ".CSV", "de": ".json"}
+DEFAULT_EXT = ".csv"
+BYTES_PER_CHAR = 100_000
+BUCKET = "landing"
+URL_LANG = r"/(en|fr|de|es)/"
+
+
+def _ext(lang: Column) -> Column:
+    out = None
+    for k, v in EXT_BY_LANG.items():
+        out = F.when(lang == k, v) if out is None else out.when(lang == k, v)
+    return out.otherwise(DEFAULT_EXT)
+
+
+_EXT_SQL = ("CASE {c} WHEN 'fr' THEN '.CSV' WHEN 'de' THEN '.json' "
+            "ELSE '.csv' END")
+
+
+def _listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Inventory of landed files, one per document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang",
+                                                     "n_chars")
+    return docs.select(
+        F.lit(BUCKET).alias("bucket"),
+        F.concat(F.lit("incoming/doc_"), F.col("doc_id").cast("string"),
+                 _ext(F.col("lang"))).alias("key"),
+        (F.col("n_chars") * BYTES_PER_CHAR).cast("bigint").alias("file_size"),
+        F.lit(None).cast("timestamp").alias("last_modified"))
+
+
+def _manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Manifest entries, one per page, batched by the page's language."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    lang = F.regexp_extract("url", URL_LANG, 1)
+    return pages.select(
+        F.concat(F.lit("M_"), F.coalesce(F.nullif(lang, F.lit("")),
+                                         F.lit("other"))).alias("batch_id"),
+        F.col("page_id").alias("file_index"),
+        F.lit(BUCKET).alias("bucket"),
+        F.concat(F.lit("incoming/doc_"), F.col("page_id").cast("string"),
+                 _ext(lang)).alias("key"))
+
+
+_CHECKED_SQL = f"""
+WITH lst AS (SELECT 'landing' AS bucket,
+                    'incoming/doc_' || CAST(doc_id AS VARCHAR)
+                        || {_EXT_SQL.format(c='lang')} AS key,
+                    CAST(n_chars * 100000 AS BIGINT) AS fs FROM documents),
+m AS (SELECT 'M_' || coalesce(nullif(regexp_extract(url, '{URL_LANG}', 1), ''),
+                              'other') AS batch_id,
+             page_id AS file_index, 'landing' AS bucket,
+             'incoming/doc_' || CAST(page_id AS VARCHAR)
+                 || {_EXT_SQL.format(c=f"regexp_extract(url, '{URL_LANG}', 1)")}
+                 AS key
+      FROM pages),
+j AS (SELECT m.*, lst.fs, lst.key IS NOT NULL AS found
+      FROM m LEFT JOIN lst ON m.bucket = lst.bucket AND m.key = lst.key),
+r AS (SELECT batch_id, file_index, bucket, key,
+             's3://' || bucket || '/' || key AS uri, found,
+             CAST(coalesce(fs, 0) AS BIGINT) AS file_size,
+             CASE WHEN NOT found
+                      THEN 'Error accessing ' || key || ': object not found'
+                  WHEN fs > 1073741824
+                      THEN 'File too large: ' || key || ' ('
+                           || CAST(fs AS VARCHAR) || ' bytes)'
+                  WHEN NOT (lower(key) LIKE '%.csv')
+                      THEN 'Not a CSV file: ' || key END AS reason
+      FROM j)
+"""
+
+
+def _checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return va.validate_files(_manifest(spark, sf_dir), _listing(spark, sf_dir))
+
+
+@register("manifest_validation", "S9 J1 P2 F6", sql=_CHECKED_SQL + """
+SELECT *, reason IS NULL AS valid FROM r
+""")
+def manifest_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _checked(spark, sf_dir).drop("last_modified")
+
+
+@register("manifest_batch_totals", "A1", sql=_CHECKED_SQL + """
+SELECT batch_id, CAST(count(*) AS BIGINT) AS files_count,
+       CAST(sum(file_size) AS BIGINT) AS total_size_bytes,
+       CAST(count_if(reason IS NULL) AS BIGINT) AS validated_files,
+       CAST(count_if(reason IS NOT NULL) AS BIGINT) AS error_count,
+       count_if(reason IS NOT NULL) = 0 AND count_if(reason IS NULL) > 0
+           AS success
+FROM r GROUP BY batch_id
+""")
+def manifest_batch_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return va.validation_totals(_checked(spark, sf_dir))
+
+
+# ---------------------------------------------------------------------------
+PENDING_ERROR = "Glue job failed: order pending"
+NO_ROWS_ERROR = "no rows to load"
+
+
+def _file_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders are files (batched by priority); pending orders fail their
+    conversion; a converted order loads its line items, and an order
+    without items fails its load.  Load payloads alternate between a JSON
+    string and an object."""
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_orderstatus", "o_orderpriority")
+    counts = (table(spark, sf_dir, "lineitem").groupBy("l_orderkey")
+              .agg(F.count(F.lit(1)).alias("n")))
+    base = orders.join(counts, orders.o_orderkey == counts.l_orderkey,
+                       "left").select(
+        F.col("o_orderpriority").alias("batch_id"),
+        F.concat(F.lit("orders/"), F.col("o_orderkey").cast("string"),
+                 F.lit(".csv")).alias("key"),
+        "o_orderstatus", F.coalesce("n", F.lit(0)).alias("n"))
+    files = base.select("batch_id", "key")
+    pending = F.col("o_orderstatus") == "P"
+    conversions = base.select(
+        "key",
+        F.when(pending, "FAILED").otherwise(cb.SUCCEEDED_STATE)
+        .alias("job_state"),
+        F.when(pending, PENDING_ERROR).alias("error_message"),
+        F.col("n").alias("rows"))
+    payload = F.to_json(F.struct(
+        (F.col("n") > 0).alias("success"),
+        F.col("n").alias("inserted_rows"),
+        F.when(F.col("n") == 0, NO_ROWS_ERROR).alias("error")))
+    loads = base.where(~pending).select(
+        "key",
+        F.when(F.col("o_orderstatus") == "O",
+               F.to_json(F.struct(payload.alias("Payload"))))
+        .otherwise(F.concat(F.lit('{"Payload":'), payload, F.lit("}")))
+        .alias("load_result"))
+    return cb.file_results(files, conversions, loads)
+
+
+_FILES_SQL = """
+WITH n AS (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY l_orderkey),
+f AS (SELECT o.o_orderpriority AS batch_id,
+             'orders/' || CAST(o.o_orderkey AS VARCHAR) || '.csv' AS key,
+             o.o_orderstatus <> 'P' AS conv_ok,
+             CAST(coalesce(n.n, 0) AS BIGINT) AS n
+      FROM orders o LEFT JOIN n ON o.o_orderkey = n.l_orderkey)
+"""
+
+
+@register("csv_batch_summary", "A4 J3 P18 P19", sql=_FILES_SQL + """
+, s AS (SELECT batch_id, CAST(count(*) AS BIGINT) AS total_input_files,
+             CAST(count_if(conv_ok) AS BIGINT) AS successful_conversions,
+             CAST(count_if(conv_ok AND n > 0) AS BIGINT) AS successful_loads,
+             CAST(sum(CASE WHEN conv_ok THEN n ELSE 0 END) AS BIGINT)
+                 AS total_input_rows,
+             CAST(sum(CASE WHEN conv_ok THEN n ELSE 0 END) AS BIGINT)
+                 AS total_output_rows,
+             CAST(sum(CASE WHEN conv_ok AND n > 0 THEN n ELSE 0 END) AS BIGINT)
+                 AS total_loaded_rows,
+             CAST(count_if(NOT conv_ok) + count_if(conv_ok AND n = 0)
+                  AS BIGINT) AS failure_count
+      FROM f GROUP BY batch_id)
+SELECT *, CASE WHEN failure_count = 0
+                    AND successful_conversions = total_input_files
+                    AND successful_loads = total_input_files
+               THEN 'SUCCESS' ELSE 'PARTIAL_FAILURE' END AS status
+FROM s
+""")
+def csv_batch_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cb.batch_summary(_file_results(spark, sf_dir))
+
+
+@register("csv_batch_failures", "U1", sql=_FILES_SQL + f"""
+SELECT batch_id, 'glue_convert' AS step, key AS file,
+       '{PENDING_ERROR}' AS error FROM f WHERE NOT conv_ok
+UNION ALL
+SELECT batch_id, 'redshift_load', key, '{NO_ROWS_ERROR}'
+FROM f WHERE conv_ok AND n = 0
+""")
+def csv_batch_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cb.batch_failures(_file_results(spark, sf_dir))
+
+
+# ---------------------------------------------------------------------------
+@register("csv_roundtrip", "S1 S2 S3 S4 P1 A2 A3 S18", sql="""
+SELECT o_orderpriority, CAST(count(*) AS BIGINT) AS n_rows,
+       CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT)
+           AS total_cents,
+       min(o_orderdate) AS min_date, max(o_orderdate) AS max_date,
+       (SELECT CAST(count(*) AS BIGINT) FROM orders) AS input_rows,
+       (SELECT CAST(count(*) AS BIGINT) FROM orders) AS output_rows,
+       (SELECT CAST(count(*) AS BIGINT) FROM orders) AS inserted_rows,
+       (SELECT CAST(count(*) AS BIGINT) FROM orders) AS table_rows
+FROM orders GROUP BY o_orderpriority
+""")
+def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders landed as CSV, converted to Parquet (row counts observed),
+    appended to a warehouse table and read back."""
+    src = table(spark, sf_dir, "orders")
+    root = new_run_dir(spark, "csvload")
+    landing = f"{root}/landing/orders.csv"
+    src.write.option("header", "true").csv(landing)
+    dst = f"{root}/staging/parquet/orders/landing/orders.csv"
+    step = cp.convert_csv_to_parquet(spark, landing, dst, schema=src.schema)
+    if not step.ok:
+        raise RuntimeError(f"conversion failed: {step.error}")
+    name = "etl_orders_" + uuid.uuid4().hex[:12]
+    load = cp.append_load(spark, dst, name, f"{root}/warehouse/{name}")
+    loaded = spark.table(name)
+    return loaded.groupBy("o_orderpriority").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.sum(F.round(F.col("o_totalprice") * 100).cast("bigint"))
+        .cast("bigint").alias("total_cents"),
+        F.min("o_orderdate").alias("min_date"),
+        F.max("o_orderdate").alias("max_date")).select(
+        "*",
+        F.lit(step.input_rows).cast("bigint").alias("input_rows"),
+        F.lit(step.output_rows).cast("bigint").alias("output_rows"),
+        F.lit(load["inserted_rows"]).cast("bigint").alias("inserted_rows"),
+        F.lit(load["table_rows"]).cast("bigint").alias("table_rows"))
