@@ -1 +1,262 @@
-"""Driver queries (json)."""
+"""JSON-load driver queries: validation, enrichment, upsert, write results."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from runledger.operators import json_items as ji
+from runledger.operators import stages as st
+from runledger.operators.keyed import upsert
+from runledger.plans.registry import register, table
+from runledger.session import new_run_dir
+
+# Fixed clock for deterministic ids/timestamps (passed in, never "now").
+CLOCK = "2024-02-01 00:00:00"
+
+
+def _event_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as JSON items, one batch per user.  ``name`` is left out of
+    low-value views; ``category`` is present but null for small ``k``."""
+    ev = table(spark, sf_dir, "events").select(
+        "event_id", "user_id", "event_type", "value", "props")
+    k = F.get_json_object("props", "$.k")
+    drop_name = (F.col("event_type") == "view") & (F.col("value") < 0.5)
+    item = F.create_map(
+        F.lit("name"), F.col("event_type"),
+        F.lit("category"), F.when(k.try_cast("int") >= 10, k),
+        F.lit("description"), F.col("props"))
+    item = F.when(drop_name, F.map_filter(item, lambda key, _: key != "name")
+                  ).otherwise(item)
+    return ev.select(
+        F.concat(F.lit("U"), F.col("user_id").cast("string"))
+        .alias("batch_id"),
+        F.col("event_id").alias("item_index"), item.alias("item"),
+        (F.col("event_type") != "error").alias("write_ok"))
+
+
+_ITEMS_SQL = """
+WITH i AS (SELECT 'U' || CAST(user_id AS VARCHAR) AS batch_id,
+                  event_id AS item_index, event_type,
+                  (event_type = 'view' AND value < 0.5) AS miss_name,
+                  CASE WHEN TRY_CAST(json_extract_string(props, '$.k') AS INTEGER)
+                            >= 10 THEN json_extract_string(props, '$.k') END
+                      AS category,
+                  event_type <> 'error' AS write_ok
+           FROM events),
+v AS (SELECT batch_id, CAST(count(*) AS BIGINT) AS received_items,
+             CAST(count_if(miss_name) AS BIGINT) AS missing_name,
+             CAST(0 AS BIGINT) AS missing_category,
+             CAST(count_if(miss_name) AS BIGINT) AS violations,
+             CAST(coalesce(min(CASE WHEN miss_name THEN item_index END), -1)
+                  AS BIGINT) AS first_violation_index,
+             count_if(miss_name) = 0 AS valid
+      FROM i GROUP BY batch_id)
+"""
+
+
+@register("json_items_validate", "S5 P3 P4 P5", sql=_ITEMS_SQL + """
+SELECT * FROM v
+""")
+def json_items_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items written as JSON lines, read back with an explicit schema and
+    validated per batch (presence of the required fields)."""
+    path = new_run_dir(spark, "json_items")
+    (_event_items(spark, sf_dir).drop("write_ok")
+     .write.json(path))
+    items = ji.read_item_lines(spark, path)
+    return ji.batch_validation(items)
+
+
+@register("json_accepted_items", "J6 P5 P7", sql=_ITEMS_SQL + """
+SELECT i.batch_id, i.item_index, i.event_type AS name,
+       coalesce(i.category, '') AS category
+FROM i JOIN v ON i.batch_id = v.batch_id WHERE v.valid
+""")
+def json_accepted_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = _event_items(spark, sf_dir)
+    accepted = ji.accepted_items(items, ji.batch_validation(items))
+    return accepted.select(
+        "batch_id", "item_index",
+        F.coalesce(F.col("item")["name"], F.lit("")).alias("name"),
+        F.coalesce(F.col("item")["category"], F.lit("")).alias("category"))
+
+
+@register("json_items_enrich", "S5 P6 P7 F11 F12", sql=f"""
+WITH c AS (SELECT 'C' || CAST(conv_id AS VARCHAR) AS batch_id,
+                  turn AS item_index, role, 'turn_' || CAST(turn AS VARCHAR)
+                      AS category, text FROM conversations)
+SELECT sha256(batch_id || '|' || CAST(item_index AS VARCHAR)) AS id,
+       batch_id, item_index,
+       TIMESTAMP '{CLOCK}' AS timestamp, TIMESTAMP '{CLOCK}' AS processed_at,
+       coalesce(role, '') AS name, category,
+       CASE WHEN role = 'system' THEN '' ELSE coalesce(text, '') END
+           AS description,
+       CASE WHEN role = 'system'
+            THEN to_json(MAP(['name', 'category'], [role, category]))
+            ELSE to_json(MAP(['name', 'category', 'description'],
+                             [role, category, text])) END AS metadata,
+       CAST(epoch(TIMESTAMP '{CLOCK}') AS BIGINT) + 2592000 AS ttl
+FROM c
+""")
+def json_items_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversation turns as items (system turns carry no description),
+    through the whole preprocess path: JSON lines, validation, all-or-nothing
+    acceptance, then id/timestamps/flattening/TTL."""
+    conv = table(spark, sf_dir, "conversations")
+    item = F.create_map(
+        F.lit("name"), F.col("role"),
+        F.lit("category"), F.concat(F.lit("turn_"),
+                                    F.col("turn").cast("string")),
+        F.lit("description"), F.col("text"))
+    item = F.when(F.col("role") == "system",
+                  F.map_filter(item, lambda k, _: k != "description")
+                  ).otherwise(item)
+    path = new_run_dir(spark, "json_conv")
+    conv.select(F.concat(F.lit("C"), F.col("conv_id").cast("string"))
+                .alias("batch_id"), F.col("turn").alias("item_index"),
+                item.alias("item")).write.json(path)
+    items = ji.read_item_lines(spark, path)
+    accepted = ji.accepted_items(items, ji.batch_validation(items))
+    return ji.enrich_items(accepted, CLOCK)
+
+
+@register("keyed_upsert", "S6 W2", sql="""
+WITH u AS (SELECT o_custkey AS id, o_totalprice AS balance,
+                  o_orderkey AS last_order, o_orderdate AS updated_at,
+                  row_number() OVER (PARTITION BY o_custkey
+                                     ORDER BY o_orderdate DESC,
+                                              o_orderkey DESC,
+                                              o_totalprice DESC) AS rn
+           FROM orders)
+SELECT c_custkey AS id, c_acctbal AS balance, CAST(-1 AS BIGINT) AS last_order,
+       CAST(NULL AS TIMESTAMP) AS updated_at
+FROM customer WHERE c_custkey NOT IN (SELECT id FROM u)
+UNION ALL
+SELECT id, balance, last_order, updated_at FROM u WHERE rn = 1
+""")
+def keyed_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers are the stored items; every order is a put of its
+    customer's item (last write wins by order date, then order key).  The
+    base is a stored version; the upsert writes the next version."""
+    root = new_run_dir(spark, "keyed")
+    base = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("id"), F.col("c_acctbal").alias("balance"),
+        F.lit(-1).cast("bigint").alias("last_order"),
+        F.lit(None).cast("timestamp_ntz").alias("updated_at"))
+    base.write.parquet(f"{root}/v=1")
+    updates = table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("id"), F.col("o_totalprice").alias("balance"),
+        F.col("o_orderkey").alias("last_order"),
+        F.col("o_orderdate").alias("updated_at"))
+    current = spark.read.parquet(f"{root}/v=1")
+    upsert(current, updates, ["id"], ["updated_at", "last_order"]) \
+        .write.parquet(f"{root}/v=2")
+    return spark.read.parquet(f"{root}/v=2")
+
+
+_RESULTS_SQL = """
+WITH r AS (SELECT 'U' || CAST(user_id AS VARCHAR) AS batch_id,
+                  event_id AS item_index, event_type <> 'error' AS ok
+           FROM events)
+"""
+
+
+def _write_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _event_items(spark, sf_dir).select(
+        "batch_id", "item_index", F.col("write_ok").alias("ok"),
+        F.lit(None).cast("string").alias("error"))
+
+
+@register("write_outcome", "A5 F8", sql=_RESULTS_SQL + """
+SELECT batch_id, CAST(count(*) AS BIGINT) AS total_items,
+       CAST(count_if(ok) AS BIGINT) AS success_count,
+       CAST(count_if(NOT ok) AS BIGINT) AS failed_count,
+       CAST(count_if(ok) AS DOUBLE) / CAST(count(*) AS DOUBLE) AS success_rate,
+       CAST(count_if(ok) AS DOUBLE) / CAST(count(*) AS DOUBLE) >= 0.9
+           AS success,
+       CASE WHEN CAST(count_if(ok) AS DOUBLE) / CAST(count(*) AS DOUBLE)
+                 >= 0.9 THEN 'SUCCESS' ELSE 'PARTIAL_SUCCESS' END AS status
+FROM r GROUP BY batch_id
+""")
+def write_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event is a write; error events are the failed writes."""
+    return ji.write_outcome(_write_results(spark, sf_dir))
+
+
+@register("failed_items_topn", "W1", sql=_RESULTS_SQL + """
+SELECT batch_id, item_index, ok, CAST(NULL AS VARCHAR) AS error, rank
+FROM (SELECT *, row_number() OVER (PARTITION BY batch_id
+                                   ORDER BY item_index) AS rank
+      FROM r WHERE NOT ok)
+WHERE rank <= 5
+""")
+def failed_items_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ji.first_failures(_write_results(spark, sf_dir))
+
+
+def _json_stages(spark: SparkSession, sf_dir: str):
+    items = _event_items(spark, sf_dir)
+    validation = ji.batch_validation(items)
+    accepted = ji.accepted_items(items, validation)
+    results = accepted.select("batch_id", "item_index",
+                              F.col("write_ok").alias("ok"),
+                              F.lit(None).cast("string").alias("error"))
+    return validation, results
+
+
+@register("json_batch_stats", "A6 J4 P20", sql=_ITEMS_SQL + """
+, w AS (SELECT i.batch_id, count_if(i.write_ok) AS s,
+               count_if(NOT i.write_ok) AS f, count(*) AS n
+        FROM i JOIN v ON i.batch_id = v.batch_id WHERE v.valid
+        GROUP BY i.batch_id)
+SELECT v.batch_id,
+       CASE WHEN NOT v.valid THEN 'FAILED'
+            WHEN CAST(w.s AS DOUBLE) / CAST(w.n AS DOUBLE) >= 0.9
+                THEN 'SUCCESS'
+            ELSE 'PARTIAL_SUCCESS' END AS status,
+       v.received_items AS input_items,
+       CAST(CASE WHEN v.valid THEN v.received_items ELSE 0 END AS BIGINT)
+           AS preprocessed_items,
+       CAST(CASE WHEN v.valid THEN w.s ELSE 0 END AS BIGINT)
+           AS dynamodb_success,
+       CAST(CASE WHEN v.valid THEN w.f ELSE 0 END AS BIGINT)
+           AS dynamodb_failed,
+       CASE WHEN v.valid AND v.received_items > 0
+            THEN CAST(w.s AS DOUBLE) / CAST(v.received_items AS DOUBLE)
+            ELSE 0.0 END AS success_rate
+FROM v LEFT JOIN w ON v.batch_id = w.batch_id
+""")
+def json_batch_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Preprocess and write stages joined per batch; rejected batches never
+    reach the write stage (absent stage -> zeros)."""
+    validation, results = _json_stages(spark, sf_dir)
+    pre = validation.select(
+        "batch_id", F.col("received_items").alias("received"),
+        F.when(F.col("valid"), F.col("received_items")).otherwise(0)
+        .alias("processed"), F.col("valid").alias("ok"))
+    outcome = ji.write_outcome(results)
+    write = outcome.select("batch_id",
+                           F.col("success_count").alias("success"),
+                           F.col("failed_count").alias("failed"),
+                           F.col("success").alias("ok"))
+    joined = st.join_stages(validation.select("batch_id"),
+                            {"pre": pre, "write": write})
+    return st.json_batch_statistics(joined)
+
+
+@register("json_batch_failures", "U2 W1", sql=_ITEMS_SQL + """
+SELECT batch_id, 'json_preprocess' AS step, CAST(-1 AS BIGINT) AS item_index,
+       'JSON検証失敗' AS error FROM v WHERE NOT valid
+UNION ALL
+SELECT batch_id, 'dynamodb_write', item_index, 'Write failed'
+FROM (SELECT i.batch_id, i.item_index,
+             row_number() OVER (PARTITION BY i.batch_id
+                                ORDER BY i.item_index) AS rk
+      FROM i JOIN v ON i.batch_id = v.batch_id
+      WHERE v.valid AND NOT i.write_ok)
+WHERE rk <= 3
+""")
+def json_batch_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    validation, results = _json_stages(spark, sf_dir)
+    return ji.batch_failures(validation, results)
