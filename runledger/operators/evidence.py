@@ -43,19 +43,10 @@ def _is_object(text: Column) -> Column:
     return F.json_object_keys(text).isNotNull()
 
 
-def glue_evidence(message: Column) -> Column:
-    """``EVIDENCE {json}`` lines; the JSON may wrap the record in
-    ``{"evidence": ...}``.  The marker must be a prefix (Q21)."""
-    body = F.substring(message, len(EVIDENCE_PREFIX) + 1, 1 << 30)
-    parsed = F.from_json(body, schemas.EVIDENCE_WRAPPED)
-    record = F.coalesce(parsed["evidence"], _record(parsed))
-    return F.when(message.startswith(EVIDENCE_PREFIX) & _is_object(body),
-                  record)
-
-
-def state_log(message: Column) -> Column:
-    return F.when(_is_object(message),
-                  F.from_json(message, schemas.STATE_LOG))
+def glue_evidence(parsed: Column) -> Column:
+    """The record of a parsed ``EVIDENCE {json}`` body; the JSON may
+    wrap it in ``{"evidence": ...}``."""
+    return F.coalesce(parsed["evidence"], _record(parsed))
 
 
 def state_evidence(log: Column) -> Column:
@@ -73,22 +64,39 @@ def parse_log_events(events: DataFrame, flow_map: DataFrame | None,
     marker, marker not at the start, malformed JSON, state logs without
     evidence) are dropped.  ``ts`` keeps the event time (Q17); the arrival
     time is ``ingested_at``.
+
+    Each JSON text is parsed once, in its own projection: the parsed struct
+    is referenced by many field accesses, and Catalyst does not inline a
+    non-cheap expression that is used more than once.
     """
     msg = F.col("message")
-    is_states = F.col("log_group").contains(STATES_GROUP_MARK)
-    log = state_log(msg)
-    from_glue = F.when(msg.contains(EVIDENCE_PREFIX), glue_evidence(msg))
-    from_states = F.when(is_states, state_evidence(log))
-    ev = F.coalesce(from_glue, from_states)
-    terminal_event = is_states & log["type"].isin(*TERMINAL_TYPES)
-    staged = events.select(
-        "event_id", "log_group", ev.alias("ev"),
-        F.when(from_glue.isNotNull(), "glue").otherwise("states")
-        .alias("source"),
-        F.when(from_glue.isNull(), log["type"]).alias("event_type"),
-        F.when(from_glue.isNull(), log["executionArn"])
-        .alias("execution_arn"),
-        F.when(from_glue.isNull(), log["state"]).alias("state_name"),
+    texts = events.select(
+        "event_id", "log_group",
+        F.col("log_group").contains(STATES_GROUP_MARK).alias("_states"),
+        msg.contains(EVIDENCE_PREFIX).alias("_marker"),
+        F.when(msg.startswith(EVIDENCE_PREFIX),
+               F.substring(msg, len(EVIDENCE_PREFIX) + 1, 1 << 30))
+        .alias("_body"),
+        msg.alias("_msg"))
+    parsed = texts.select(
+        "event_id", "log_group", "_states", "_marker",
+        F.when(_is_object(F.col("_body")),
+               F.from_json("_body", schemas.EVIDENCE_WRAPPED)).alias("_glue"),
+        F.when(F.col("_states") & _is_object(F.col("_msg")),
+               F.from_json("_msg", schemas.STATE_LOG)).alias("_log"))
+    log = F.col("_log")
+    from_glue = F.when(F.col("_marker") & F.col("_glue").isNotNull(),
+                       glue_evidence(F.col("_glue")))
+    from_states = F.when(F.col("_states"), state_evidence(log))
+    terminal_event = F.col("_states") & log["type"].isin(*TERMINAL_TYPES)
+    states_src = from_glue.isNull()
+    staged = parsed.select(
+        "event_id", "log_group",
+        F.coalesce(from_glue, from_states).alias("ev"),
+        F.when(states_src, "states").otherwise("glue").alias("source"),
+        F.when(states_src, log["type"]).alias("event_type"),
+        F.when(states_src, log["executionArn"]).alias("execution_arn"),
+        F.when(states_src, log["state"]).alias("state_name"),
         F.coalesce(terminal_event, F.lit(False)).alias("_terminal_event"))
     staged = staged.where(F.col("ev").isNotNull())
     clock = F.lit(ingested_at).cast("timestamp_ntz")

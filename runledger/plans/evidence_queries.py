@@ -11,7 +11,8 @@ from runledger.functions import scalar as fx
 from runledger.operators import evidence as evo
 from runledger.operators.flows import classify_flow, read_flow_map
 from runledger.plans.registry import register, table
-from runledger.session import ensure_local_dir, local_path, new_run_dir
+from runledger.session import (
+    ensure_local_dir, ensure_parallelism, local_path, new_run_dir)
 from runledger.sources import evidence_store as store
 
 # The reference's flow map (pattern -> flow, in order).
@@ -51,9 +52,9 @@ def _lineitem_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders log from the state machine, with evidence under ``input``,
     ``output`` or the top level; a fourth line ends the execution.
     """
-    li = table(spark, sf_dir, "lineitem").select(
+    li = ensure_parallelism(table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
-        "l_returnflag", "l_linestatus", "l_shipdate")
+        "l_returnflag", "l_linestatus", "l_shipdate"))
     line = F.col("l_linenumber")
     step = F.element_at(F.array(*[F.lit(s) for s in STEP_BY_LINE]), line)
     # (order, line) repeats in the provided data; with part and supplier
@@ -85,35 +86,45 @@ def _lineitem_events(spark: SparkSession, sf_dir: str) -> DataFrame:
                F.struct(F.lit("public.etl_data").alias("table"),
                         rows_out.alias("inserted_rows"),
                         F.lit(0).alias("dropped_rows"))).alias("load"))
-    wrapped = F.to_json(F.struct(ev.alias("evidence")))
-    bare = F.to_json(ev)
-    glue_json = F.when(line % 2 == 1, wrapped).otherwise(bare)
-    glue_msg = (F.when(line == 6, F.concat(F.lit("INFO EVIDENCE "), glue_json))
-                .when((F.col("l_returnflag") == "N") & (line == 7),
-                      F.concat(F.lit("EVIDENCE "),
-                               F.substring(glue_json, 1, 20)))
-                .otherwise(F.concat(F.lit("EVIDENCE "), glue_json)))
+    from_states = F.col("l_linestatus") == "F"
     machine = F.element_at(F.array(*[F.lit(m) for m in STATE_MACHINES]),
                            F.pmod("l_suppkey", F.lit(4)).cast("int") + 1)
     etype = (F.when(line == 4, F.when(failure, "ExecutionFailed")
                     .otherwise("ExecutionSucceeded"))
              .otherwise("TaskStateExited"))
-    holder = F.struct(ev.alias("evidence"))
-    state_msg = F.to_json(F.struct(
-        etype.alias("type"),
-        F.concat(F.lit(ARN_PREFIX), machine, F.lit(":"),
-                 F.col("l_orderkey").cast("string")).alias("executionArn"),
-        step.alias("state"),
-        F.when(line.isin(1, 3), holder).alias("input"),
-        F.when(line.isin(2, 4, 6), holder).alias("output"),
-        F.when(line.isin(5, 7), ev).alias("evidence")))
-    from_states = F.col("l_linestatus") == "F"
-    events = li.select(
-        "l_orderkey", "l_shipdate",
+    # The record is serialised once; the three message shapes embed it.
+    staged = li.select(
+        "l_orderkey", "l_shipdate", "l_linenumber", "l_returnflag",
+        event_id.alias("event_id"), from_states.alias("from_states"),
+        F.to_json(ev).alias("bare"),
+        F.to_json(F.struct(
+            etype.alias("type"),
+            F.concat(F.lit(ARN_PREFIX), machine, F.lit(":"),
+                     F.col("l_orderkey").cast("string"))
+            .alias("executionArn"),
+            step.alias("state"))).alias("head"),
         F.when(from_states, F.concat(F.lit(STATES_GROUP), machine))
-        .otherwise(F.lit(GLUE_GROUP)).alias("log_group"),
-        event_id.alias("event_id"),
-        F.when(from_states, state_msg).otherwise(glue_msg).alias("message"),
+        .otherwise(F.lit(GLUE_GROUP)).alias("log_group"))
+    line = F.col("l_linenumber")
+    bare = F.col("bare")
+    wrapped = F.concat(F.lit('{"evidence":'), bare, F.lit("}"))
+    glue_json = F.when(line % 2 == 1, wrapped).otherwise(bare)
+    glue_msg = (F.when(line == 6, F.concat(F.lit("INFO EVIDENCE "), glue_json))
+                .when((F.col("l_returnflag") == "N") & (line == 7),
+                      F.concat(F.lit("EVIDENCE "),
+                               F.substring(glue_json, 1, 20)))
+                .otherwise(F.concat(F.lit("EVIDENCE "), glue_json)))
+    head = F.expr("substring(head, 1, length(head) - 1)")
+    state_msg = (F.when(line.isin(1, 3), F.concat(
+                     head, F.lit(',"input":{"evidence":'), bare, F.lit("}}")))
+                 .when(line.isin(2, 4, 6), F.concat(
+                     head, F.lit(',"output":{"evidence":'), bare, F.lit("}}")))
+                 .otherwise(F.concat(head, F.lit(',"evidence":'), bare,
+                                     F.lit("}"))))
+    events = staged.select(
+        "l_orderkey", "l_shipdate", "log_group", "event_id",
+        F.when(F.col("from_states"), state_msg).otherwise(glue_msg)
+        .alias("message"),
         F.explode(F.sequence(F.lit(1), F.when(line == 3, 2).otherwise(1)))
         .alias("copy"))
     return events

@@ -13,7 +13,7 @@ from runledger.operators import table_stats as ts
 from runledger.plans.derive import (
     EVENT_LINE_SQL, LEVEL_SQL, PROFILE_SQL, event_line)
 from runledger.plans.registry import register, table
-from runledger.session import new_run_dir
+from runledger.session import ensure_parallelism, new_run_dir
 from runledger.sources import catalog
 from runledger.sources.files import read_log_lines
 
@@ -95,7 +95,8 @@ SELECT doc_id, {PROFILE_SQL} FROM c GROUP BY doc_id
 """)
 def document_log_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document profiled as a log file, whole text, per row."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = ensure_parallelism(
+        table(spark, sf_dir, "documents").select("doc_id", "text"))
     return lp.profile_texts(docs, "text", keep=["doc_id"])
 
 

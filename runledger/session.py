@@ -26,6 +26,8 @@ DEFAULT_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
 }
+# Only applied when this process starts the JVM (local runs, tests, bench).
+LOCAL_CONF = {"spark.driver.memory": "16g", "spark.ui.enabled": "false"}
 
 
 def build_session(master: str | None = None, app_name: str = "runledger",
@@ -39,7 +41,8 @@ def build_session(master: str | None = None, app_name: str = "runledger",
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     if master and master.startswith("local"):
-        conf.setdefault("spark.ui.enabled", "false")
+        for key, value in LOCAL_CONF.items():
+            conf.setdefault(key, value)
     conf.update(extra or {})
     for key, value in conf.items():
         builder = builder.config(key, value)
@@ -116,3 +119,19 @@ def bounded_rows(df: DataFrame, max_rows: int) -> int | None:
     """
     n = df.limit(max_rows + 1).count()
     return n if n <= max_rows else None
+
+
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None
+                       ) -> DataFrame:
+    """Spread a scan that yields fewer splits than the cluster has cores.
+
+    A large input already has thousands of splits and is returned as is;
+    a small file with a single row group would otherwise put all per-row
+    work (JSON encode/decode, text splitting) on one core.  Only the
+    partition count of the plan is inspected, nothing is executed.
+    """
+    spark = df.sparkSession
+    target = min_partitions or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
