@@ -90,15 +90,21 @@ def parse_log_events(events: DataFrame, flow_map: DataFrame | None,
     from_states = F.when(F.col("_states"), state_evidence(log))
     terminal_event = F.col("_states") & log["type"].isin(*TERMINAL_TYPES)
     states_src = from_glue.isNull()
-    staged = parsed.select(
-        "event_id", "log_group",
+    # Events without evidence are dropped by exploding a 0/1-element array
+    # rather than by a filter: a filter here would be pushed below these
+    # projections with every JSON expression inlined into it, doing the
+    # parse twice.
+    kept = F.filter(F.array(F.struct(
         F.coalesce(from_glue, from_states).alias("ev"),
         F.when(states_src, "states").otherwise("glue").alias("source"),
         F.when(states_src, log["type"]).alias("event_type"),
         F.when(states_src, log["executionArn"]).alias("execution_arn"),
         F.when(states_src, log["state"]).alias("state_name"),
-        F.coalesce(terminal_event, F.lit(False)).alias("_terminal_event"))
-    staged = staged.where(F.col("ev").isNotNull())
+        F.coalesce(terminal_event, F.lit(False)).alias("_terminal_event"))),
+        lambda x: x["ev"].isNotNull())
+    staged = parsed.select("event_id", "log_group",
+                           F.explode(kept).alias("_k")).select(
+        "event_id", "log_group", "_k.*")
     clock = F.lit(ingested_at).cast("timestamp_ntz")
     e = F.col("ev")
     out = staged.select(
@@ -189,11 +195,17 @@ def _truthy(c: Column) -> Column:
     return F.coalesce(c != 0, F.lit(False))
 
 
-def rollup(evidence: DataFrame, mode: str = "by_step") -> DataFrame:
+def rollup(evidence: DataFrame, mode: str = "by_step",
+           terminal_only: bool = False) -> DataFrame:
     """A13 per batch.  ``all_steps`` sums every step's rows (the reference
     as is, Q16); ``by_step`` takes input/output rows from the conversion
     and loaded rows from the load step only.  Zero or missing rows add to
-    neither the sum nor the file count (Q15)."""
+    neither the sum nor the file count (Q15).
+
+    ``terminal_only`` keeps the batches that have a terminal event (ST3).
+    Being terminal is a property of the whole batch, so it is computed in
+    the same aggregation (``bool_or``) instead of a semi join of the
+    evidence with itself (J5), which would scan the evidence twice."""
     if mode not in ("by_step", "all_steps"):
         raise ValueError(f"unknown roll-up mode {mode}")
     step = F.col("step")
@@ -213,8 +225,11 @@ def rollup(evidence: DataFrame, mode: str = "by_step") -> DataFrame:
         .cast("bigint").alias("redshift_loaded"),
         F.count(F.lit(1)).alias("steps"),
         F.count_if(failed(F.col("ok"))).alias("failures"),
-        F.min("ts").alias("started"), F.max("ts").alias("ended"))
-    return out.withColumn(
+        F.min("ts").alias("started"), F.max("ts").alias("ended"),
+        F.bool_or("is_terminal").alias("_terminal"))
+    if terminal_only:
+        out = out.where(F.col("_terminal"))
+    return out.drop("_terminal").withColumn(
         "status", F.when(F.col("failures") > 0, STATUS_ERROR)
         .otherwise(STATUS_OK))
 

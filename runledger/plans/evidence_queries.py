@@ -239,8 +239,7 @@ ROLLUP_ALL_STEPS_SQL = _ROLLUP_SQL.format(conv="true", load="true")
 
 
 def _summaries(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
-    ev = _deduped(spark, sf_dir)
-    return evo.rollup(evo.restrict_to(ev, evo.terminal_batches(ev)), mode)
+    return evo.rollup(_deduped(spark, sf_dir), mode, terminal_only=True)
 
 
 @register("evidence_rollup", "A13 P17 J5 Q15 Q16",
@@ -351,10 +350,11 @@ def evidence_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     store.append_evidence(evo.parse_log_events(events, flow_map, CLOCK),
                           ev_store)
     seen = store.read_evidence(spark, ev_store)
-    terminal = evo.terminal_batches(seen)
-    store.write_summaries(evo.rollup(evo.restrict_to(seen, terminal)),
-                          summaries)
-    stored = store.read_evidence(spark, ev_store, batches=terminal)
+    store.write_summaries(evo.rollup(seen, terminal_only=True), summaries)
+    # J5 + S13: the stored evidence of the finalized batches, read through
+    # a semi join on the partition column (dynamic partition pruning).
+    finalized = store.read_summaries(spark, summaries).select("batch_id")
+    stored = store.read_evidence(spark, ev_store, batches=finalized)
     return stored.groupBy("batch_id", "step").agg(
         F.count(F.lit(1)).alias("events"),
         F.coalesce(F.sum("input_rows"), F.lit(0)).cast("bigint")
