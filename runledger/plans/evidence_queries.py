@@ -497,3 +497,32 @@ def scalar_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.when(F.col("event_type") == "error",
                    F.concat(F.lit("エラー: "), F.col("props"))))
         .alias("note"))
+
+
+# ---------------------------------------------------------------------------
+SUMMARY_COLUMNS = ("batch_id", "input_files", "input_rows", "output_files",
+                   "output_rows", "redshift_loaded", "steps", "failures",
+                   "started", "ended", "status")
+
+
+@register("stream_evidence", "ST1 ST2 ST3 ST4 S12 S13 S14",
+          sql=_EV_SQL + ROLLUP_BY_STEP_SQL)
+def stream_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Envelopes arrive in one folder per ship year; a file stream ingests
+    them in several micro-batches (late evidence re-finalizes terminated
+    batches).  After all input the summaries equal the batch roll-up."""
+    from runledger.streaming.evidence_stream import (
+        EvidenceStreamConfig, start_evidence_stream)
+    root = new_run_dir(spark, "stream")
+    write_envelopes(spark, sf_dir, f"{root}/landing", by_year=True)
+    cfg = EvidenceStreamConfig(
+        landing=f"{root}/landing/*", store=f"{root}/store",
+        summaries=f"{root}/summaries", checkpoint=f"{root}/checkpoint",
+        ingested_at=CLOCK, max_files_per_trigger=16)
+    flow_map = read_flow_map(spark, write_flow_map(
+        spark, REFERENCE_FLOW_PATTERNS))
+    query = start_evidence_stream(spark, cfg, flow_map)
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
+    return store.read_summaries(spark, cfg.summaries).select(*SUMMARY_COLUMNS)
