@@ -64,26 +64,27 @@ def recent_sources_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("log_files_profile", "S7 S8 P8 A7", sql=f"""
-WITH l AS (SELECT user_id, {EVENT_LINE_SQL} AS line FROM events
-           WHERE event_type <> 'purchase'),
-c AS (SELECT user_id, {LEVEL_SQL} AS level FROM l)
-SELECT user_id, {PROFILE_SQL} FROM c GROUP BY user_id
+WITH l AS (SELECT strftime(ts, '%Y-%m-%d') AS log_date,
+                  {EVENT_LINE_SQL} AS line
+           FROM events WHERE event_type <> 'purchase'),
+c AS (SELECT log_date, {LEVEL_SQL} AS level FROM l)
+SELECT log_date, {PROFILE_SQL} FROM c GROUP BY log_date
 """)
 def log_files_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Event lines written as log files (one folder per user), then listed,
-    read and profiled.  Purchase lines go to ``.csv`` files, which the log
-    collector's suffix rule ignores.
-    """
+    """Event lines written as daily log files (one folder per day), then
+    listed, read and profiled per day.  Purchase lines go to ``.csv``
+    files, which the log collector's suffix rule ignores."""
     root = new_run_dir(spark, "logfiles")
-    lines = _event_lines(spark, sf_dir)
-    (lines.where(F.col("event_type") != "purchase").select("user_id", "line")
-     .write.partitionBy("user_id").text(root))
-    (lines.where(F.col("event_type") == "purchase").select("user_id", "line")
-     .write.mode("append").partitionBy("user_id").csv(root))
+    lines = _event_lines(spark, sf_dir).withColumn(
+        "log_date", F.date_format("ts", "yyyy-MM-dd"))
+    (lines.where(F.col("event_type") != "purchase")
+     .select("log_date", "line").write.partitionBy("log_date").text(root))
+    (lines.where(F.col("event_type") == "purchase")
+     .select("log_date", "line").write.mode("append")
+     .partitionBy("log_date").csv(root))
     read = read_log_lines(spark, root).withColumn(
-        "user_id",
-        F.regexp_extract("file", r"user_id=(\d+)", 1).cast("bigint"))
-    return lp.profile_lines(read, ["user_id"])
+        "log_date", F.regexp_extract("file", r"log_date=([0-9-]+)/", 1))
+    return lp.profile_lines(read, ["log_date"])
 
 
 @register("document_log_profile", "S8 P9 P10 A7", sql=f"""
