@@ -78,13 +78,22 @@ def validate_files(entries: DataFrame, listing: DataFrame,
         reason.isNull().alias("valid"))
 
 
-def validation_totals(checked: DataFrame) -> DataFrame:
+def validation_totals(checked: DataFrame,
+                      batches: DataFrame | None = None) -> DataFrame:
     """A1 per batch.  Rejected files still add to ``total_size_bytes``;
-    success needs no errors and at least one valid file."""
+    success needs no errors and at least one valid file.  ``batches``
+    (e.g. the manifests) keeps batches whose file list is empty."""
     out = checked.groupBy("batch_id").agg(
         F.count(F.lit(1)).alias("files_count"),
         F.sum("file_size").cast("bigint").alias("total_size_bytes"),
         F.count_if("valid").alias("validated_files"),
         F.count_if(~F.col("valid")).alias("error_count"))
+    if batches is not None:
+        out = (batches.select("batch_id").distinct()
+               .join(out, "batch_id", "left")
+               .select("batch_id", *[F.coalesce(c, F.lit(0)).cast("bigint")
+                                     .alias(c) for c in (
+                                         "files_count", "total_size_bytes",
+                                         "validated_files", "error_count")]))
     return out.withColumn(
         "success", (F.col("error_count") == 0) & (F.col("validated_files") > 0))
