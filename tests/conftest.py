@@ -38,4 +38,5 @@ def tmp_dir(spark):
 def rows(df, *cols):
     """Sorted list of tuples of the given columns (all when none given)."""
     cols = cols or tuple(df.columns)
-    return sorted(tuple(r) for r in df.select(*cols).collect())
+    out = [tuple(r) for r in df.select(*cols).collect()]
+    return sorted(out, key=lambda t: tuple((x is None, str(x)) for x in t))
