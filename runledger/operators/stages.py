@@ -105,3 +105,27 @@ def failures_union(*parts: DataFrame) -> DataFrame:
     """Failure rows of every stage appended (union all)."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True),
                   parts)
+
+
+# Step names and default errors of the log pipeline.
+LOG_FAILURE_STEPS = (("collect", "log_collect", "Log collection failed"),
+                     ("register", "glue_crawler", "Glue crawler failed"),
+                     ("query", "athena_query", "Athena query failed"))
+
+
+def log_pipeline_failures(joined: DataFrame) -> DataFrame:
+    """One row per failed stage that ran.  A stage runs only when every
+    earlier one succeeded; an absent collect stage counts as failed."""
+    collect_ok = _ok("collect_ok")
+    register_ok = collect_ok & _ok("register_ok")
+    ran = {"collect": F.lit(True),
+           "register": collect_ok & F.col("register_ok").isNotNull(),
+           "query": register_ok & F.col("query_ok").isNotNull()}
+    parts = []
+    for stage, step, error in LOG_FAILURE_STEPS:
+        failed = ran[stage] & ~_ok(f"{stage}_ok")
+        err = (F.coalesce(F.col(f"{stage}_error"), F.lit(error))
+               if f"{stage}_error" in joined.columns else F.lit(error))
+        parts.append(joined.where(failed).select(
+            "batch_id", F.lit(step).alias("step"), err.alias("error")))
+    return failures_union(*parts)

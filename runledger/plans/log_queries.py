@@ -211,6 +211,38 @@ def table_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------------------
+def _log_stages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three stages per nation: customers are collected log files, their
+    orders the registered tables, their line items the analysed rows."""
+    cust = table(spark, sf_dir, "customer").select(
+        "c_custkey", "c_nationkey", "c_acctbal")
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+    items = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_returnflag")
+    collect = cust.groupBy(F.col("c_nationkey").alias("batch_id")).agg(
+        F.count(F.lit(1)).alias("files"), F.count(F.lit(1)).alias("lines"),
+        F.count_if(F.col("c_acctbal") < 0).alias("errors"),
+        (F.count(F.lit(1)) > 0).alias("ok"))
+    oc = orders.join(cust.select("c_custkey", "c_nationkey"),
+                     orders.o_custkey == cust.c_custkey)
+    reg = oc.groupBy(F.col("c_nationkey").alias("batch_id")).agg(
+        F.count_distinct("o_orderpriority").alias("tables"),
+        (F.count_if(F.col("o_orderstatus") == "P") * 3
+         < F.count(F.lit(1))).alias("ok"))
+    q = (items.join(oc.select("o_orderkey", "c_nationkey"),
+                    items.l_orderkey == oc.o_orderkey)
+         .groupBy(F.col("c_nationkey").alias("batch_id"))
+         .agg(F.count_distinct("l_returnflag").alias("queries"),
+              F.count(F.lit(1)).alias("rows"),
+              (F.count_if(F.col("l_returnflag") == "R") * 3
+               < F.count(F.lit(1))).alias("ok")))
+    batches = table(spark, sf_dir, "nation").select(
+        F.col("n_nationkey").alias("batch_id"))
+    return st.join_stages(batches, {"collect": collect, "register": reg,
+                                    "query": q})
+
+
 @register("stage_join_stats", "J4 A12 P20", sql="""
 WITH c AS (SELECT c_nationkey AS batch_id, CAST(count(*) AS BIGINT) AS files,
                   CAST(count(*) AS BIGINT) AS lines,
@@ -261,33 +293,50 @@ SELECT batch_id,
 FROM j
 """)
 def stage_join_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three stages per nation: customers are collected log files, their
-    orders the registered tables, their line items the analysed rows."""
-    cust = table(spark, sf_dir, "customer").select(
-        "c_custkey", "c_nationkey", "c_acctbal")
-    orders = table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
-    items = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_returnflag")
-    collect = cust.groupBy(F.col("c_nationkey").alias("batch_id")).agg(
-        F.count(F.lit(1)).alias("files"), F.count(F.lit(1)).alias("lines"),
-        F.count_if(F.col("c_acctbal") < 0).alias("errors"),
-        (F.count(F.lit(1)) > 0).alias("ok"))
-    oc = orders.join(cust.select("c_custkey", "c_nationkey"),
-                     orders.o_custkey == cust.c_custkey)
-    reg = oc.groupBy(F.col("c_nationkey").alias("batch_id")).agg(
-        F.count_distinct("o_orderpriority").alias("tables"),
-        (F.count_if(F.col("o_orderstatus") == "P") * 3
-         < F.count(F.lit(1))).alias("ok"))
-    q = (items.join(oc.select("o_orderkey", "c_nationkey"),
-                    items.l_orderkey == oc.o_orderkey)
-         .groupBy(F.col("c_nationkey").alias("batch_id"))
-         .agg(F.count_distinct("l_returnflag").alias("queries"),
-              F.count(F.lit(1)).alias("rows"),
-              (F.count_if(F.col("l_returnflag") == "R") * 3
-               < F.count(F.lit(1))).alias("ok")))
-    batches = table(spark, sf_dir, "nation").select(
-        F.col("n_nationkey").alias("batch_id"))
-    joined = st.join_stages(batches, {"collect": collect, "register": reg,
-                                      "query": q})
-    return st.log_pipeline_status(joined)
+    return st.log_pipeline_status(_log_stages(spark, sf_dir))
+
+
+_STAGES_SQL = """
+WITH c AS (SELECT c_nationkey AS batch_id, CAST(count(*) AS BIGINT) AS files,
+                  CAST(count(*) AS BIGINT) AS lines,
+                  CAST(count_if(c_acctbal < 0) AS BIGINT) AS errors,
+                  count(*) > 0 AS ok
+           FROM customer GROUP BY c_nationkey),
+oc AS (SELECT o.*, c.c_nationkey FROM orders o
+       JOIN customer c ON o.o_custkey = c.c_custkey),
+r AS (SELECT c_nationkey AS batch_id,
+             CAST(count(DISTINCT o_orderpriority) AS BIGINT) AS tables,
+             count_if(o_orderstatus = 'P') * 3 < count(*) AS ok
+      FROM oc GROUP BY c_nationkey),
+q AS (SELECT oc.c_nationkey AS batch_id,
+             CAST(count(DISTINCT l_returnflag) AS BIGINT) AS queries,
+             CAST(count(*) AS BIGINT) AS rows_,
+             count_if(l_returnflag = 'R') * 3 < count(*) AS ok
+      FROM lineitem l JOIN oc ON l.l_orderkey = oc.o_orderkey
+      GROUP BY oc.c_nationkey),
+b AS (SELECT n_nationkey AS batch_id FROM nation),
+j AS (SELECT b.batch_id, coalesce(c.ok, false) AS c_ok,
+             coalesce(c.ok, false) AND coalesce(r.ok, false) AS r_ok,
+             coalesce(c.ok, false) AND coalesce(r.ok, false)
+                 AND coalesce(q.ok, false) AS q_ok,
+             c.files, c.lines, c.errors, r.tables, q.queries, q.rows_,
+             r.ok IS NOT NULL AS r_present,
+             q.ok IS NOT NULL AS q_present
+      FROM b LEFT JOIN c ON b.batch_id = c.batch_id
+             LEFT JOIN r ON b.batch_id = r.batch_id
+             LEFT JOIN q ON b.batch_id = q.batch_id)
+"""
+
+
+@register("log_stage_failures", "U3", sql=_STAGES_SQL + """
+SELECT batch_id, 'log_collect' AS step, 'Log collection failed' AS error
+FROM j WHERE NOT c_ok
+UNION ALL
+SELECT batch_id, 'glue_crawler', 'Glue crawler failed'
+FROM j WHERE c_ok AND r_present AND NOT r_ok
+UNION ALL
+SELECT batch_id, 'athena_query', 'Athena query failed'
+FROM j WHERE r_ok AND q_present AND NOT q_ok
+""")
+def log_stage_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return st.log_pipeline_failures(_log_stages(spark, sf_dir))
