@@ -77,9 +77,10 @@ def parse_log_events(events: DataFrame, flow_map: DataFrame | None,
         F.when(msg.startswith(EVIDENCE_PREFIX),
                F.substring(msg, len(EVIDENCE_PREFIX) + 1, 1 << 30))
         .alias("_body"),
-        msg.alias("_msg"))
+        msg.alias("_msg"),
+        F.xxhash64("log_group", msg).alias("event_hash"))
     parsed = texts.select(
-        "event_id", "log_group", "_states", "_marker",
+        "event_id", "log_group", "_states", "_marker", "event_hash",
         F.when(_is_object(F.col("_body")),
                F.from_json("_body", schemas.EVIDENCE_WRAPPED)).alias("_glue"),
         F.when(F.col("_states") & _is_object(F.col("_msg")),
@@ -102,9 +103,9 @@ def parse_log_events(events: DataFrame, flow_map: DataFrame | None,
         F.when(states_src, log["state"]).alias("state_name"),
         F.coalesce(terminal_event, F.lit(False)).alias("_terminal_event"))),
         lambda x: x["ev"].isNotNull())
-    staged = parsed.select("event_id", "log_group",
+    staged = parsed.select("event_id", "log_group", "event_hash",
                            F.explode(kept).alias("_k")).select(
-        "event_id", "log_group", "_k.*")
+        "event_id", "log_group", "event_hash", "_k.*")
     clock = F.lit(ingested_at).cast("timestamp_ntz")
     e = F.col("ev")
     out = staged.select(
@@ -119,7 +120,7 @@ def parse_log_events(events: DataFrame, flow_map: DataFrame | None,
         e["test_id"].alias("test_id"), e["ok"].alias("ok"),
         e["error"].alias("error"), e["note"].alias("note"),
         e["ts"].try_cast("timestamp_ntz").alias("ts"),
-        clock.alias("ingested_at"),
+        clock.alias("ingested_at"), "event_hash",
         (F.col("_terminal_event") | F.coalesce(e["is_terminal"], F.lit(False)))
         .alias("is_terminal"),
         e["input"]["rows"].alias("input_rows"),
@@ -128,7 +129,7 @@ def parse_log_events(events: DataFrame, flow_map: DataFrame | None,
         e["input"]["s3"].alias("input_s3"),
         e["output"]["s3"].alias("output_s3"),
         e["load"]["table"].alias("load_table"),
-        F.to_json(e).alias("record"))
+        e.alias("evidence"))        # the whole record, kept nested
     # State-log evidence takes its flow from the execution ARN.
     if flow_map is not None:
         out = classify_flow(out, "execution_arn", flow_map, "_arn_flow")
@@ -156,14 +157,25 @@ def explode_envelopes(envelopes: DataFrame) -> DataFrame:
 EVENT_KEY = ["batch_id", "step", "event_id"]
 
 
-def dedup_events(evidence: DataFrame) -> DataFrame:
+ROLLUP_INPUT = ["batch_id", "step", "event_id", "ingested_at", "event_hash",
+                "ok", "error", "ts", "is_terminal", "input_rows",
+                "output_rows", "inserted_rows"]
+
+
+def dedup_events(evidence: DataFrame,
+                 columns: list[str] | None = None) -> DataFrame:
     """A redelivered event overwrites the same key: keep the latest arrival
-    per (batch, step, event id) (partial aggregation, skew-safe)."""
+    per (batch, step, event id); equal arrivals are ordered by the hash of
+    the delivered text, so the choice is deterministic.  A ``max_by``
+    aggregate, combined map-side (skew-safe).  ``columns`` limits what is
+    carried through the shuffle (e.g. ``ROLLUP_INPUT``)."""
     from runledger.operators.keyed import latest_per_key
-    keyed = evidence.withColumn("step", F.coalesce("step", F.lit("unknown"))) \
-        .withColumn("event_id", F.coalesce("event_id", F.lit("")))
-    return latest_per_key(keyed, EVENT_KEY, ["ingested_at", "record"]) \
-        .select(*evidence.columns)
+    cols = columns or evidence.columns
+    keyed = (evidence.select(*cols)
+             .withColumn("step", F.coalesce("step", F.lit("unknown")))
+             .withColumn("event_id", F.coalesce("event_id", F.lit(""))))
+    return latest_per_key(keyed, EVENT_KEY, ["ingested_at", "event_hash"]) \
+        .select(*cols)
 
 
 # P16 / A14 / J5 -------------------------------------------------------------

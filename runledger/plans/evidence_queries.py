@@ -210,7 +210,7 @@ def evidence_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _deduped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return evo.dedup_events(_parsed(spark, sf_dir))
+    return evo.dedup_events(_parsed(spark, sf_dir), evo.ROLLUP_INPUT)
 
 
 _ROLLUP_SQL = """
@@ -349,12 +349,13 @@ def evidence_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = evo.explode_envelopes(store.read_envelopes(spark, landing))
     store.append_evidence(evo.parse_log_events(events, flow_map, CLOCK),
                           ev_store)
-    seen = store.read_evidence(spark, ev_store)
+    seen = store.read_evidence(spark, ev_store, columns=evo.ROLLUP_INPUT)
     store.write_summaries(evo.rollup(seen, terminal_only=True), summaries)
     # J5 + S13: the stored evidence of the finalized batches, read through
     # a semi join on the partition column (dynamic partition pruning).
     finalized = store.read_summaries(spark, summaries).select("batch_id")
-    stored = store.read_evidence(spark, ev_store, batches=finalized)
+    stored = store.read_evidence(spark, ev_store, batches=finalized,
+                                 columns=evo.ROLLUP_INPUT)
     return stored.groupBy("batch_id", "step").agg(
         F.count(F.lit(1)).alias("events"),
         F.coalesce(F.sum("input_rows"), F.lit(0)).cast("bigint")
@@ -518,7 +519,7 @@ def stream_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     cfg = EvidenceStreamConfig(
         landing=f"{root}/landing/*", store=f"{root}/store",
         summaries=f"{root}/summaries", checkpoint=f"{root}/checkpoint",
-        ingested_at=CLOCK, max_files_per_trigger=16)
+        ingested_at=CLOCK, max_files_per_trigger=32)
     flow_map = read_flow_map(spark, write_flow_map(
         spark, REFERENCE_FLOW_PATTERNS))
     query = start_evidence_stream(spark, cfg, flow_map)

@@ -30,27 +30,35 @@ def archive_raw(spark: SparkSession, src: str, dst: str) -> None:
 
 
 def append_evidence(evidence: DataFrame, store: str) -> None:
-    """Append evidence rows, one partition folder per batch."""
-    (evidence.write.mode("append").partitionBy("batch_id")
-     .parquet(store))
+    """Append evidence rows, one partition folder per batch.
+
+    ``rebalance`` on the partition column lets AQE write few files per
+    batch folder while splitting a batch that holds a large share of the
+    rows over several tasks (and coalescing the small ones)."""
+    (evidence.hint("rebalance", "batch_id")
+     .write.mode("append").partitionBy("batch_id").parquet(store))
 
 
 def read_evidence(spark: SparkSession, store: str,
                   batches: DataFrame | None = None,
-                  dedup: bool = True) -> DataFrame:
+                  dedup: bool = True,
+                  columns: list[str] | None = None) -> DataFrame:
     """Stored evidence, optionally for some batches only (a semi join
     on the partition column, which dynamic partition pruning turns into a
-    partition filter), de-duplicated on the event key."""
+    partition filter), de-duplicated on the event key.  ``columns`` limits
+    the columns read (Parquet column pruning) and carried by the de-dup."""
     df = spark.read.parquet(store)
     if batches is not None:
         df = df.join(batches.select("batch_id").distinct(), "batch_id",
                      "left_semi")
+    if columns:
+        df = df.select(*columns)
     return dedup_events(df) if dedup else df
 
 
 def write_summaries(summaries: DataFrame, path: str) -> None:
     """One summary row per batch; replaces only the batches given."""
-    (summaries.write.mode("overwrite")
+    (summaries.hint("rebalance", "batch_id").write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy("batch_id").parquet(path))
 

@@ -89,7 +89,8 @@ def make_batch_writer(spark: SparkSession, cfg: EvidenceStreamConfig,
             if not cfg.refinalize_late:
                 touched = touched.where(F.col("terminal_now"))
             ids = touched.select("batch_id")
-            stored = store.read_evidence(spark, cfg.store, batches=ids)
+            stored = store.read_evidence(spark, cfg.store, batches=ids,
+                                         columns=evo.ROLLUP_INPUT)
             summaries = evo.rollup(stored, cfg.mode, terminal_only=True)
             store.write_summaries(summaries, cfg.summaries)
         finally:
