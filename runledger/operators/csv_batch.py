@@ -104,14 +104,22 @@ def batch_summary(results: DataFrame,
 def batch_failures(results: DataFrame,
                    prevalidate_errors: DataFrame | None = None) -> DataFrame:
     """Conversion, load and validation failures as one long table."""
-    conv = results.where(~F.col("converted")).select(
-        "batch_id", F.lit(STEP_CONVERT).alias("step"),
-        F.col("key").alias("file"), F.col("convert_error").alias("error"))
-    load = results.where(F.col("converted") & F.col("load_ran")
-                         & ~F.col("loaded")).select(
-        "batch_id", F.lit(STEP_LOAD).alias("step"),
-        F.col("key").alias("file"), F.col("load_error").alias("error"))
-    parts = [conv, load]
+    # Both step failures come from the same joined results: build them as
+    # a small array per file and explode it (one pass over the results).
+    candidates = F.array(
+        F.struct(F.lit(STEP_CONVERT).alias("step"),
+                 F.col("convert_error").alias("error"),
+                 (~F.col("converted")).alias("failed")),
+        F.struct(F.lit(STEP_LOAD).alias("step"),
+                 F.col("load_error").alias("error"),
+                 (F.col("converted") & F.col("load_ran") & ~F.col("loaded"))
+                 .alias("failed")))
+    steps = (results.select("batch_id", F.col("key").alias("file"),
+                            F.explode(F.filter(candidates,
+                                               lambda x: x["failed"]))
+                            .alias("f"))
+             .select("batch_id", "f.step", "file", "f.error"))
+    parts = [steps]
     if prevalidate_errors is not None:
         parts.append(prevalidate_errors.select(
             "batch_id", F.lit(STEP_PREVALIDATE).alias("step"),

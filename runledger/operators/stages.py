@@ -115,17 +115,23 @@ LOG_FAILURE_STEPS = (("collect", "log_collect", "Log collection failed"),
 
 def log_pipeline_failures(joined: DataFrame) -> DataFrame:
     """One row per failed stage that ran.  A stage runs only when every
-    earlier one succeeded; an absent collect stage counts as failed."""
+    earlier one succeeded; an absent collect stage counts as failed.
+
+    The candidate failures of a batch are built as a small array and
+    exploded, so the joined stages are evaluated once (a union of three
+    filters would plan the stage joins three times)."""
     collect_ok = _ok("collect_ok")
     register_ok = collect_ok & _ok("register_ok")
     ran = {"collect": F.lit(True),
            "register": collect_ok & F.col("register_ok").isNotNull(),
            "query": register_ok & F.col("query_ok").isNotNull()}
-    parts = []
+    candidates = []
     for stage, step, error in LOG_FAILURE_STEPS:
-        failed = ran[stage] & ~_ok(f"{stage}_ok")
         err = (F.coalesce(F.col(f"{stage}_error"), F.lit(error))
                if f"{stage}_error" in joined.columns else F.lit(error))
-        parts.append(joined.where(failed).select(
-            "batch_id", F.lit(step).alias("step"), err.alias("error")))
-    return failures_union(*parts)
+        candidates.append(F.struct(
+            F.lit(step).alias("step"), err.alias("error"),
+            (ran[stage] & ~_ok(f"{stage}_ok")).alias("failed")))
+    failed = F.filter(F.array(*candidates), lambda x: x["failed"])
+    return (joined.select("batch_id", F.explode(failed).alias("f"))
+            .select("batch_id", "f.step", "f.error"))
