@@ -207,17 +207,14 @@ def _truthy(c: Column) -> Column:
     return F.coalesce(c != 0, F.lit(False))
 
 
-def rollup(evidence: DataFrame, mode: str = "by_step",
-           terminal_only: bool = False) -> DataFrame:
-    """A13 per batch.  ``all_steps`` sums every step's rows (the reference
-    as is, Q16); ``by_step`` takes input/output rows from the conversion
-    and loaded rows from the load step only.  Zero or missing rows add to
-    neither the sum nor the file count (Q15).
+PARTIAL_SUMS = ("input_files", "input_rows", "output_files", "output_rows",
+                "redshift_loaded", "steps", "failures")
 
-    ``terminal_only`` keeps the batches that have a terminal event (ST3).
-    Being terminal is a property of the whole batch, so it is computed in
-    the same aggregation (``bool_or``) instead of a semi join of the
-    evidence with itself (J5), which would scan the evidence twice."""
+
+def rollup_partials(evidence: DataFrame, mode: str = "by_step") -> DataFrame:
+    """A13's per-batch aggregates before the status is derived (sums,
+    counts, first/last time, terminated).  Partials of disjoint evidence
+    combine by sum/min/max/or (``combine_partials``)."""
     if mode not in ("by_step", "all_steps"):
         raise ValueError(f"unknown roll-up mode {mode}")
     step = F.col("step")
@@ -226,7 +223,7 @@ def rollup(evidence: DataFrame, mode: str = "by_step",
     has_in = conv & _truthy(F.col("input_rows"))
     has_out = conv & _truthy(F.col("output_rows"))
     has_load = load & _truthy(F.col("inserted_rows"))
-    out = evidence.groupBy("batch_id").agg(
+    return evidence.groupBy("batch_id").agg(
         F.count_if(has_in).alias("input_files"),
         F.coalesce(F.sum(F.when(has_in, F.col("input_rows"))), F.lit(0))
         .cast("bigint").alias("input_rows"),
@@ -238,12 +235,41 @@ def rollup(evidence: DataFrame, mode: str = "by_step",
         F.count(F.lit(1)).alias("steps"),
         F.count_if(failed(F.col("ok"))).alias("failures"),
         F.min("ts").alias("started"), F.max("ts").alias("ended"),
-        F.bool_or("is_terminal").alias("_terminal"))
+        F.coalesce(F.bool_or("is_terminal"), F.lit(False)).alias("terminal"))
+
+
+def combine_partials(partials: DataFrame) -> DataFrame:
+    """Merge partial aggregates of the same batch (e.g. one per
+    micro-batch)."""
+    return partials.groupBy("batch_id").agg(
+        *[F.sum(c).cast("bigint").alias(c) for c in PARTIAL_SUMS],
+        F.min("started").alias("started"), F.max("ended").alias("ended"),
+        F.bool_or("terminal").alias("terminal"))
+
+
+def finish_rollup(partials: DataFrame, terminal_only: bool = False
+                  ) -> DataFrame:
+    """Summaries from partials: optional terminal filter (ST3), status."""
     if terminal_only:
-        out = out.where(F.col("_terminal"))
-    return out.drop("_terminal").withColumn(
-        "status", F.when(F.col("failures") > 0, STATUS_ERROR)
-        .otherwise(STATUS_OK))
+        partials = partials.where(F.col("terminal"))
+    return partials.select(
+        "batch_id", *PARTIAL_SUMS, "started", "ended",
+        F.when(F.col("failures") > 0, STATUS_ERROR).otherwise(STATUS_OK)
+        .alias("status"))
+
+
+def rollup(evidence: DataFrame, mode: str = "by_step",
+           terminal_only: bool = False) -> DataFrame:
+    """A13 per batch.  ``all_steps`` sums every step's rows (the reference
+    as is, Q16); ``by_step`` takes input/output rows from the conversion
+    and loaded rows from the load step only.  Zero or missing rows add to
+    neither the sum nor the file count (Q15).
+
+    ``terminal_only`` keeps the batches that have a terminal event (ST3).
+    Being terminal is a property of the whole batch, so it is computed in
+    the same aggregation (``bool_or``) instead of a semi join of the
+    evidence with itself (J5), which would scan the evidence twice."""
+    return finish_rollup(rollup_partials(evidence, mode), terminal_only)
 
 
 def failures(evidence: DataFrame) -> DataFrame:

@@ -513,17 +513,15 @@ def stream_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     them in several micro-batches (late evidence re-finalizes terminated
     batches).  After all input the summaries equal the batch roll-up."""
     from runledger.streaming.evidence_stream import (
-        EvidenceStreamConfig, start_evidence_stream)
+        EvidenceStreamConfig, run_until_done, start_evidence_stream)
     root = new_run_dir(spark, "stream")
     write_envelopes(spark, sf_dir, f"{root}/landing", by_year=True)
     cfg = EvidenceStreamConfig(
         landing=f"{root}/landing/*", store=f"{root}/store",
         summaries=f"{root}/summaries", checkpoint=f"{root}/checkpoint",
-        ingested_at=CLOCK, max_files_per_trigger=32)
+        ingested_at=CLOCK, max_files_per_trigger=16,
+        raw_archive=f"{root}/raw")
     flow_map = read_flow_map(spark, write_flow_map(
         spark, REFERENCE_FLOW_PATTERNS))
-    query = start_evidence_stream(spark, cfg, flow_map)
-    query.awaitTermination()
-    if query.exception() is not None:
-        raise RuntimeError(str(query.exception()))
+    run_until_done(start_evidence_stream(spark, cfg, flow_map))
     return store.read_summaries(spark, cfg.summaries).select(*SUMMARY_COLUMNS)

@@ -63,5 +63,14 @@ def write_summaries(summaries: DataFrame, path: str) -> None:
      .partitionBy("batch_id").parquet(path))
 
 
+SUMMARY_SCHEMA = (
+    "input_files bigint, input_rows bigint, output_files bigint, "
+    "output_rows bigint, redshift_loaded bigint, steps bigint, "
+    "failures bigint, started timestamp_ntz, ended timestamp_ntz, "
+    "status string, batch_id string")
+
+
 def read_summaries(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    """Summaries with their schema given, so a table that has no finalized
+    batch yet reads as empty."""
+    return spark.read.schema(SUMMARY_SCHEMA).parquet(path)

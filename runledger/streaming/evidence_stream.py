@@ -1,20 +1,32 @@
 """Continuous evidence ingestion (ST1-ST4) with Structured Streaming.
 
-    readStream (JSON envelopes) -> explode -> foreachBatch:
-        parse (P12-P15) -> in-batch de-dup (ST2) -> append to store (S12)
-        -> batches touched by this micro-batch
-        -> read their stored evidence (partition pruned), de-duplicated
-        -> roll up the terminated ones (ST3) -> overwrite their summaries
-           (S14, dynamic partition overwrite)
-
-State lives in the evidence table, not in the state store: whether a batch
-has terminated is unbounded in time, so keeping it in operator state would
-grow forever.  ``foreachBatch`` is at-least-once; a replayed micro-batch
-appends duplicates that readers drop (key de-dup) and rewrites the same
-summary partitions, so the result is unchanged.  Late evidence of an
-already-terminated batch re-finalizes that batch (ST4, ``refinalize_late``);
-without the flag it waits for the batch's next terminal event, as the
-reference does.
+    readStream (JSON envelopes) -> explode -> parse (P12-P15)
+        -> dropDuplicates on the event key (ST2, state store)
+        -> foreachBatch:
+             append the new events to the store (S12)
+             partial roll-up of this micro-batch per batch, written as
+               the (batch_id, epoch) partition of a partials table
+             merge the partials of the batches touched, finalize the
+               terminated ones (ST3, ST4) -> summaries (S14)
+
+Work per micro-batch is proportional to the new events plus one partial
+row per (batch, earlier micro-batch) -- never to the stored history, so a
+batch that keeps receiving evidence (even one holding a third of all rows)
+is not re-read on every trigger.
+
+Exactly-once: de-duplication state is keyed by (batch, step, event id) in
+the checkpointed state store, spread over shuffle partitions by the whole
+key.  ``foreachBatch`` may re-run an epoch after a failure; the partials
+of that epoch are written with dynamic partition overwrite of exactly the
+(batch_id, epoch) partitions, and summaries overwrite their batch
+partition, so a replay changes nothing.  Evidence appends are at least
+once and readers of the store de-duplicate on the key.
+
+Whether a batch terminated is unbounded in time, so it lives in the
+partials table rather than in operator state.  Late evidence of a
+terminated batch re-finalizes it (``refinalize_late``); without the flag a
+batch is finalized only in a micro-batch that carries its terminal event,
+as the reference does.
 """
 
 from __future__ import annotations
@@ -41,7 +53,11 @@ class EvidenceStreamConfig:
     max_files_per_trigger: int | None = None
     refinalize_late: bool = True
     mode: str = "by_step"
-    raw_archive: str | None = None   # S16 when set
+    raw_archive: str | None = None   # S16 when set (a second query)
+
+    @property
+    def partials(self) -> str:
+        return self.summaries.rstrip("/") + "_partials"
 
 
 def envelope_stream(spark: SparkSession, cfg: EvidenceStreamConfig
@@ -68,48 +84,73 @@ def _pinned_flow_map(spark: SparkSession, flow_map: DataFrame | None
     return spark.createDataFrame(rows, "ord int, pattern string, flow string")
 
 
-def make_batch_writer(spark: SparkSession, cfg: EvidenceStreamConfig,
-                      flow_map: DataFrame | None):
-    """The ``foreachBatch`` function (exposed for direct testing)."""
-    pinned = _pinned_flow_map(spark, flow_map)
-
-    def process(envelopes: DataFrame, epoch_id: int) -> None:
-        if cfg.raw_archive:
-            (envelopes.select(F.to_json(F.struct("*")).alias("value"))
-             .write.mode("append").option("compression", "gzip")
-             .text(cfg.raw_archive))
-        events = evo.explode_envelopes(envelopes)
-        parsed = (evo.parse_log_events(events, pinned, cfg.ingested_at)
-                  .dropDuplicates(evo.EVENT_KEY)
-                  .persist(StorageLevel.MEMORY_AND_DISK))
+def evidence_events(envelopes: DataFrame, flow_map: DataFrame | None,
+                    ingested_at: str) -> DataFrame:
+    """Parsed, flattened evidence events of (streaming) envelopes."""
+    return evo.parse_log_events(evo.explode_envelopes(envelopes), flow_map,
+                                ingested_at)
+
+
+def make_batch_writer(spark: SparkSession, cfg: EvidenceStreamConfig):
+    """The ``foreachBatch`` function over de-duplicated new events
+    (exposed for direct testing)."""
+
+    def process(events: DataFrame, epoch_id: int) -> None:
+        new = events.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            store.append_evidence(parsed, cfg.store)
-            touched = parsed.groupBy("batch_id").agg(
-                F.bool_or("is_terminal").alias("terminal_now"))
+            if new.isEmpty():
+                return
+            store.append_evidence(new, cfg.store)
+            delta = evo.rollup_partials(new, cfg.mode) \
+                .withColumn("epoch", F.lit(epoch_id).cast("bigint"))
+            (delta.hint("rebalance", "batch_id").write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic")
+             .partitionBy("batch_id", "epoch").parquet(cfg.partials))
+            touched = delta
             if not cfg.refinalize_late:
-                touched = touched.where(F.col("terminal_now"))
-            ids = touched.select("batch_id")
-            stored = store.read_evidence(spark, cfg.store, batches=ids,
-                                         columns=evo.ROLLUP_INPUT)
-            summaries = evo.rollup(stored, cfg.mode, terminal_only=True)
-            store.write_summaries(summaries, cfg.summaries)
+                touched = touched.where(F.col("terminal"))
+            partials = spark.read.parquet(cfg.partials).join(
+                touched.select("batch_id"), "batch_id", "left_semi")
+            merged = evo.combine_partials(partials.drop("epoch"))
+            store.write_summaries(
+                evo.finish_rollup(merged, terminal_only=True),
+                cfg.summaries)
         finally:
-            parsed.unpersist()
+            new.unpersist()
 
     return process
 
 
 def start_evidence_stream(spark: SparkSession, cfg: EvidenceStreamConfig,
                           flow_map: DataFrame | None = None,
-                          available_now: bool = True) -> StreamingQuery:
-    """Start the stream; with ``available_now`` it processes what has
-    arrived (in several micro-batches when a file cap is set) and stops."""
-    events = envelope_stream(spark, cfg)
+                          available_now: bool = True
+                          ) -> list[StreamingQuery]:
+    """Start the stream (and the raw archive when configured); with
+    ``available_now`` it processes what has arrived -- in several
+    micro-batches when a file cap is set -- and stops."""
+    envelopes = envelope_stream(spark, cfg)
+    events = evidence_events(envelopes, _pinned_flow_map(spark, flow_map),
+                             cfg.ingested_at).dropDuplicates(evo.EVENT_KEY)
     writer = (events.writeStream
-              .foreachBatch(make_batch_writer(spark, cfg, flow_map))
+              .foreachBatch(make_batch_writer(spark, cfg))
               .option("checkpointLocation", cfg.checkpoint))
-    if available_now:
-        writer = writer.trigger(availableNow=True)
-    else:
-        writer = writer.trigger(processingTime="30 seconds")
-    return writer.start()
+    writer = (writer.trigger(availableNow=True) if available_now
+              else writer.trigger(processingTime="30 seconds"))
+    queries = [writer.start()]
+    if cfg.raw_archive:
+        raw = (envelopes.select(F.to_json(F.struct("*")).alias("value"))
+               .writeStream.format("text")
+               .option("path", cfg.raw_archive)
+               .option("checkpointLocation", cfg.checkpoint + "_raw"))
+        raw = (raw.trigger(availableNow=True) if available_now
+               else raw.trigger(processingTime="30 seconds"))
+        queries.append(raw.start())
+    return queries
+
+
+def run_until_done(queries: list[StreamingQuery]) -> None:
+    """Wait for available-now queries and surface their failures."""
+    for q in queries:
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise RuntimeError(str(q.exception()))

@@ -7,14 +7,13 @@ import gzip
 import json
 import os
 
-from pyspark.sql import functions as F
-
 from runledger.operators import evidence as evo
 from runledger.operators.flows import (
     classify_flow, classify_flow_join, read_flow_map)
 from runledger.sources import evidence_store as store
 from runledger.streaming.evidence_stream import (
-    EvidenceStreamConfig, make_batch_writer, start_evidence_stream)
+    EvidenceStreamConfig, make_batch_writer, run_until_done,
+    start_evidence_stream)
 from tests.conftest import rows
 
 CLOCK = "2025-08-27 14:05:00"
@@ -212,22 +211,44 @@ def test_stream_equals_batch_and_replay(spark, tmp_dir):
     cfg = EvidenceStreamConfig(
         landing=land, store=f"{tmp_dir}/st", summaries=f"{tmp_dir}/sum",
         checkpoint=f"{tmp_dir}/ck", ingested_at=CLOCK,
-        max_files_per_trigger=1)
-    q = start_evidence_stream(spark, cfg)
-    q.awaitTermination()
-    assert q.exception() is None
+        max_files_per_trigger=1, raw_archive=f"{tmp_dir}/raw")
+    run_until_done(start_evidence_stream(spark, cfg))
     streamed = store.read_summaries(spark, cfg.summaries)
-    batch = evo.rollup(evo.parse_log_events(
+    all_events = evo.parse_log_events(
         evo.explode_envelopes(store.read_envelopes(spark, land)), None,
-        CLOCK).transform(evo.dedup_events), terminal_only=True)
-    cols = [c for c in batch.columns]
+        CLOCK).transform(evo.dedup_events)
+    batch = evo.rollup(all_events, terminal_only=True)
+    cols = list(batch.columns)
     assert rows(streamed.select(*cols)) == rows(batch)
     got = streamed.collect()
     assert [r.batch_id for r in got] == ["B1"]     # B2 never terminated
     assert got[0].redshift_loaded == 10            # late evidence included
-    # replaying a micro-batch leaves the summaries unchanged
-    process = make_batch_writer(spark, cfg, None)
-    process(store.read_envelopes(spark, land), 99)
+    assert got[0].input_rows == 10                 # redelivery not counted
+    assert spark.read.text(f"{tmp_dir}/raw").count() == 3
+    assert spark.read.parquet(cfg.partials).select("epoch").distinct() \
+        .count() == 3                              # one micro-batch per file
+
+
+def test_foreach_batch_replay_is_idempotent(spark, tmp_dir):
+    def events(*evs):
+        df = spark.createDataFrame(
+            [(GLUE, str(i), "EVIDENCE " + json.dumps(e)) for i, e in evs],
+            "log_group string, event_id string, message string")
+        return evo.parse_log_events(df, None, CLOCK)
+    first = events((1, ev("B1", "glue_convert", 4, 4)))
+    second = events((2, ev("B1", "finalize", is_terminal=True)),
+                    (3, ev("B1", "redshift_load", inserted=4)))
+    cfg = EvidenceStreamConfig(
+        landing="unused", store=f"{tmp_dir}/st", summaries=f"{tmp_dir}/sum",
+        checkpoint=f"{tmp_dir}/ck", ingested_at=CLOCK)
+    process = make_batch_writer(spark, cfg)
+    process(first, 0)
+    # not terminated yet: no summary
+    assert store.read_summaries(spark, cfg.summaries).count() == 0
+    process(second, 1)
+    once = rows(store.read_summaries(spark, cfg.summaries))
+    process(second, 1)                             # the epoch re-runs
+    assert rows(store.read_summaries(spark, cfg.summaries)) == once
+    expected = evo.rollup(first.unionByName(second), terminal_only=True)
     assert rows(store.read_summaries(spark, cfg.summaries)
-                .select(*cols)) == rows(batch)
-    assert F is not None
+                .select(*expected.columns)) == rows(expected)
