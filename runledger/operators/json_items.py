@@ -34,9 +34,13 @@ SUMMARY_WRITE_FAILURES = 3
 
 
 # S5 -------------------------------------------------------------------------
-def read_batch_documents(spark: SparkSession, path: str) -> DataFrame:
-    """Multi-line JSON batch documents, ``input_data`` kept as JSON text."""
-    return (spark.read.option("multiLine", "true")
+def read_batch_documents(spark: SparkSession, path: str,
+                         multi_line: bool = True) -> DataFrame:
+    """JSON batch documents, ``input_data`` kept as JSON text.
+
+    ``multi_line``: one (pretty-printed) document per file; otherwise one
+    document per line, which splits across tasks for large inputs."""
+    return (spark.read.option("multiLine", str(multi_line).lower())
             .schema("batch_id string, input_data string").json(path))
 
 

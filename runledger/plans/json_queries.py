@@ -260,3 +260,63 @@ WHERE rk <= 3
 def json_batch_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     validation, results = _json_stages(spark, sf_dir)
     return ji.batch_failures(validation, results)
+
+
+@register("json_batch_documents", "S5 P3 P4", sql="""
+WITH d AS (SELECT 'T' || CAST(conv_id AS VARCHAR) || '_' || CAST(turn AS VARCHAR)
+                      AS batch_id, role, turn FROM conversations)
+SELECT batch_id,
+       CAST(CASE WHEN role = 'system' OR role = 'assistant' AND turn % 2 = 1
+                      OR turn = 0 THEN 0
+                 WHEN role = 'user' THEN 1 ELSE 2 END AS BIGINT)
+           AS received_items,
+       CAST(0 AS BIGINT) AS missing_name,
+       CAST(CASE WHEN role = 'assistant' AND turn % 2 = 0 AND turn <> 0
+                 THEN 1 ELSE 0 END AS BIGINT) AS missing_category,
+       CAST(CASE WHEN role = 'assistant' AND turn % 2 = 0 AND turn <> 0
+                 THEN 1 ELSE 0 END AS BIGINT) AS violations,
+       CAST(CASE WHEN role = 'assistant' AND turn % 2 = 0 AND turn <> 0
+                 THEN 1 ELSE -1 END AS BIGINT) AS first_violation_index,
+       CASE WHEN role = 'system' THEN '''items''キーが存在しません'
+            WHEN role = 'assistant' AND turn % 2 = 1
+                THEN '''items''がリスト形式ではありません'
+            WHEN turn = 0 THEN '''items''が空です' END AS structure_error,
+       role = 'user' AND turn <> 0 AS valid
+FROM d
+""")
+def json_batch_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each conversation turn becomes one JSON batch document:
+    system turns carry no ``items``, odd assistant turns an object instead
+    of a list, turn 0 an empty list, user turns one complete item and even
+    assistant turns two items, the second without ``category``.  Documents
+    are read, structure-checked, exploded and validated."""
+    conv = table(spark, sf_dir, "conversations").select(
+        "conv_id", "turn", "role", "text")
+    item = F.struct(F.col("role").alias("name"),
+                    F.lit("turn").alias("category"),
+                    F.col("text").alias("description"))
+    partial = F.struct(F.col("role").alias("name"))
+    role, turn = F.col("role"), F.col("turn")
+    data = (F.when(role == "system",
+                   F.to_json(F.struct(F.col("text").alias("key1"))))
+            .when((role == "assistant") & (turn % 2 == 1),
+                  F.to_json(F.struct(item.alias("items"))))
+            .when(turn == 0, F.lit('{"items": []}'))
+            .when(role == "user", F.to_json(F.struct(F.array(item)
+                                                      .alias("items"))))
+            .otherwise(F.concat(F.lit('{"items": ['), F.to_json(item),
+                                F.lit(", "), F.to_json(partial),
+                                F.lit("]}"))))
+    batch_id = F.concat(F.lit("T"), F.col("conv_id").cast("string"),
+                        F.lit("_"), turn.cast("string"))
+    head = F.to_json(F.struct(batch_id.alias("batch_id")))
+    # '{"batch_id":"T1_0"' + ', "input_data": ...}'
+    docs = conv.select(F.concat(
+        F.substring_index(head, "}", 1),
+        F.lit(', "input_data": '), data, F.lit("}")).alias("doc"))
+    path = new_run_dir(spark, "json_docs")
+    docs.write.text(path)                  # one document per line
+    raw = ji.read_batch_documents(spark, path, multi_line=False)
+    checked = ji.structure_check(raw)
+    items = ji.explode_items(checked)
+    return ji.batch_validation(items, checked)
