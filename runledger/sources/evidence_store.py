@@ -11,7 +11,7 @@ partition overwrite, so re-finalizing a batch replaces only its partition.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-
+from pyspark.sql import functions as F
 
 from runledger import schemas
 from runledger.operators.evidence import dedup_events
@@ -39,18 +39,35 @@ def append_evidence(evidence: DataFrame, store: str) -> None:
      .write.mode("append").partitionBy("batch_id").parquet(store))
 
 
+# Largest batch set turned into a partition filter on the driver.
+PRUNE_LIMIT = 10_000
+
+
+def restrict_partitions(df: DataFrame, batches: DataFrame | None
+                        ) -> DataFrame:
+    """Keep the rows of the given batches.
+
+    A set of at most ``PRUNE_LIMIT`` batch ids (checked with a bounded
+    read) becomes an ``IN`` filter on the partition column, so only those
+    folders are listed and read.  A larger set is applied as a semi join
+    (distributed, no driver-side list)."""
+    if batches is None:
+        return df
+    ids = batches.select("batch_id").distinct()
+    few = ids.limit(PRUNE_LIMIT + 1).collect()
+    if len(few) <= PRUNE_LIMIT:
+        return df.where(F.col("batch_id").isin([r.batch_id for r in few]))
+    return df.join(ids, "batch_id", "left_semi")
+
+
 def read_evidence(spark: SparkSession, store: str,
                   batches: DataFrame | None = None,
                   dedup: bool = True,
                   columns: list[str] | None = None) -> DataFrame:
-    """Stored evidence, optionally for some batches only (a semi join
-    on the partition column, which dynamic partition pruning turns into a
-    partition filter), de-duplicated on the event key.  ``columns`` limits
+    """Stored evidence, optionally for some batches only (partition
+    pruned, see ``restrict_partitions``), de-duplicated on the event key.  ``columns`` limits
     the columns read (Parquet column pruning) and carried by the de-dup."""
-    df = spark.read.parquet(store)
-    if batches is not None:
-        df = df.join(batches.select("batch_id").distinct(), "batch_id",
-                     "left_semi")
+    df = restrict_partitions(spark.read.parquet(store), batches)
     if columns:
         df = df.select(*columns)
     return dedup_events(df) if dedup else df

@@ -109,8 +109,8 @@ def make_batch_writer(spark: SparkSession, cfg: EvidenceStreamConfig):
             touched = delta
             if not cfg.refinalize_late:
                 touched = touched.where(F.col("terminal"))
-            partials = spark.read.parquet(cfg.partials).join(
-                touched.select("batch_id"), "batch_id", "left_semi")
+            partials = store.restrict_partitions(
+                spark.read.parquet(cfg.partials), touched)
             merged = evo.combine_partials(partials.drop("epoch"))
             store.write_summaries(
                 evo.finish_rollup(merged, terminal_only=True),
