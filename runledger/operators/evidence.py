@@ -43,6 +43,17 @@ def _is_object(text: Column) -> Column:
     return F.json_object_keys(text).isNotNull()
 
 
+_GLUE_SCHEMA = schemas.with_corrupt(schemas.EVIDENCE_WRAPPED)
+_STATE_SCHEMA = schemas.with_corrupt(schemas.STATE_LOG)
+
+
+def _checked(parsed: str, text: str) -> Column:
+    """The parsed struct unless the text was flagged and is not an object."""
+    flagged = F.col(parsed)[schemas.CORRUPT].isNotNull()
+    return F.when(F.col(parsed).isNotNull()
+                  & (~flagged | _is_object(F.col(text))), F.col(parsed))
+
+
 def glue_evidence(parsed: Column) -> Column:
     """The record of a parsed ``EVIDENCE {json}`` body; the JSON may
     wrap it in ``{"evidence": ...}``."""
@@ -79,12 +90,21 @@ def parse_log_events(events: DataFrame, flow_map: DataFrame | None,
         .alias("_body"),
         msg.alias("_msg"),
         F.xxhash64("log_group", msg).alias("event_hash"))
-    parsed = texts.select(
+    decoded = texts.select(
+        "event_id", "log_group", "_states", "_marker", "event_hash",
+        "_body", "_msg",
+        F.from_json("_body", _GLUE_SCHEMA, schemas.JSON_OPTIONS)
+        .alias("_glue_raw"),
+        F.when(F.col("_states"),
+               F.from_json("_msg", _STATE_SCHEMA, schemas.JSON_OPTIONS))
+        .alias("_log_raw"))
+    # A flagged text is kept only if it is still a JSON object (a value of
+    # the wrong type leaves the other fields usable); the second, cheaper
+    # check runs for flagged rows only.
+    parsed = decoded.select(
         "event_id", "log_group", "_states", "_marker", "event_hash",
-        F.when(_is_object(F.col("_body")),
-               F.from_json("_body", schemas.EVIDENCE_WRAPPED)).alias("_glue"),
-        F.when(F.col("_states") & _is_object(F.col("_msg")),
-               F.from_json("_msg", schemas.STATE_LOG)).alias("_log"))
+        _checked("_glue_raw", "_body").alias("_glue"),
+        _checked("_log_raw", "_msg").alias("_log"))
     log = F.col("_log")
     from_glue = F.when(F.col("_marker") & F.col("_glue").isNotNull(),
                        glue_evidence(F.col("_glue")))

@@ -68,3 +68,12 @@ JSON_BATCH = _struct(("batch_id", S),
 JSON_ITEM_LINE = _struct(("batch_id", S), ("item_index", L), ("item", ITEM))
 
 FLOW_MAP_DOC = _struct(("flow_patterns", T.MapType(S, S, True)))
+
+# Parser-flag column: set by from_json when the text is malformed or a value
+# does not fit its field (the other fields are still filled).
+CORRUPT = "_corrupt_record"
+JSON_OPTIONS = {"columnNameOfCorruptRecord": CORRUPT}
+
+
+def with_corrupt(schema: T.StructType) -> T.StructType:
+    return T.StructType(list(schema.fields) + [T.StructField(CORRUPT, S)])

@@ -252,3 +252,16 @@ def test_foreach_batch_replay_is_idempotent(spark, tmp_dir):
     expected = evo.rollup(first.unionByName(second), terminal_only=True)
     assert rows(store.read_summaries(spark, cfg.summaries)
                 .select(*expected.columns)) == rows(expected)
+
+
+def test_type_mismatch_keeps_other_fields(spark):
+    bad_rows = ev("B9", "glue_convert", ok=True)
+    bad_rows["input"]["rows"] = "ten"               # not a number
+    events = spark.createDataFrame(
+        [(GLUE, "1", "EVIDENCE " + json.dumps(bad_rows)),
+         (GLUE, "2", 'EVIDENCE {"batch_id": "B9", "step": ')],
+        "log_group string, event_id string, message string")
+    got = evo.parse_log_events(events, None, CLOCK).collect()
+    assert len(got) == 1                            # malformed one dropped
+    assert (got[0].batch_id, got[0].step, got[0].input_rows) == (
+        "B9", "glue_convert", None)
