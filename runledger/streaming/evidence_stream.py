@@ -54,6 +54,9 @@ class EvidenceStreamConfig:
     refinalize_late: bool = True
     mode: str = "by_step"
     raw_archive: str | None = None   # S16 when set (a second query)
+    # State-store partitions of the de-dup (fixed at the first start);
+    # default: the cluster's parallelism.
+    state_partitions: int | None = None
 
     @property
     def partials(self) -> str:
@@ -136,7 +139,16 @@ def start_evidence_stream(spark: SparkSession, cfg: EvidenceStreamConfig,
               .option("checkpointLocation", cfg.checkpoint))
     writer = (writer.trigger(availableNow=True) if available_now
               else writer.trigger(processingTime="30 seconds"))
-    queries = [writer.start()]
+    # The stream copies the session's settings when it starts; the number
+    # of shuffle (and state-store) partitions is sized for this query only.
+    key = "spark.sql.shuffle.partitions"
+    previous = spark.conf.get(key)
+    spark.conf.set(key, str(cfg.state_partitions
+                            or spark.sparkContext.defaultParallelism))
+    try:
+        queries = [writer.start()]
+    finally:
+        spark.conf.set(key, previous)
     if cfg.raw_archive:
         raw = (envelopes.select(F.to_json(F.struct("*")).alias("value"))
                .writeStream.format("text")

@@ -96,11 +96,16 @@ def compare(spark, name, fn, sql, sf_dir, con) -> dict:
 def main() -> None:
     ap = argparse.ArgumentParser()
     ap.add_argument("--sf", default="/root/testdata/sf0.01")
+    ap.add_argument("--driver-memory", default=None)
+    ap.add_argument("--shuffle-partitions", type=int, default=8)
     ap.add_argument("names", nargs="*")
     args = ap.parse_args()
     import __spark_entry__ as entry
     from runledger.session import build_session
-    spark = build_session("local[8]", shuffle_partitions=8)
+    extra = ({"spark.driver.memory": args.driver_memory}
+             if args.driver_memory else None)
+    spark = build_session("local[8]", shuffle_partitions=args.shuffle_partitions,
+                          extra=extra)
     spark.sparkContext.setLogLevel("ERROR")
     qs, sqls = entry.queries(), entry.oracle_sql()
     con = duck(args.sf)
