@@ -297,11 +297,15 @@ def terminal_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def write_envelopes(spark: SparkSession, sf_dir: str, path: str,
                     by_year: bool = False) -> None:
-    """Log events grouped into delivery envelopes (one per order and log
-    group, at most 14 events), written as gzip JSON lines.  With
-    ``by_year`` each ship year becomes its own arrival folder."""
-    ev = _lineitem_events(spark, sf_dir)
-    keys = ["l_orderkey", "log_group"] + (["year"] if by_year else [])
+    """Log events grouped into delivery envelopes (per order and log
+    group), written as gzip JSON lines.  The input partition is part of the
+    envelope key, so an envelope never holds more than one input split's
+    events, however many lines one order has.  With ``by_year`` each ship
+    year becomes its own arrival folder."""
+    ev = _lineitem_events(spark, sf_dir).withColumn(
+        "_split", F.spark_partition_id())
+    keys = ["l_orderkey", "log_group", "_split"] + (
+        ["year"] if by_year else [])
     if by_year:
         ev = ev.withColumn("year", F.year("l_shipdate"))
     env = ev.groupBy(*keys).agg(
