@@ -97,3 +97,11 @@ def validation_totals(checked: DataFrame,
                                          "validated_files", "error_count")]))
     return out.withColumn(
         "success", (F.col("error_count") == 0) & (F.col("validated_files") > 0))
+
+
+def valid_files(checked: DataFrame) -> DataFrame:
+    """Q4: the entries that go on to conversion -- only validated files
+    (invalid ones still fail the batch through ``validation_totals`` and the
+    failure list)."""
+    return checked.where(F.col("valid")).select(
+        "batch_id", "file_index", "bucket", "key", "uri", "file_size")

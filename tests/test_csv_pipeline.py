@@ -80,6 +80,9 @@ def test_validation_reasons_and_totals(spark):
     assert b1.success is False
     assert totals["B2"].success is True
     assert totals["B3"].files_count == 0 and totals["B3"].success is False
+    go = sorted((r.batch_id, r.key) for r in va.valid_files(checked).collect())
+    assert go == [("B1", "UP.CSV"), ("B1", "exact.csv"), ("B1", "ok.csv"),
+                  ("B2", "ok.csv")]
 
 
 def test_listing_from_files(spark, tmp_dir):
