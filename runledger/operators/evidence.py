@@ -54,6 +54,13 @@ def _checked(parsed: str, text: str) -> Column:
                   & (~flagged | _is_object(F.col(text))), F.col(parsed))
 
 
+def _signal_record(batch_id: Column) -> Column:
+    """An evidence-shaped record that only names its batch."""
+    return F.struct(*[
+        (batch_id if f.name == "batch_id" else F.lit(None).cast(f.dataType))
+        .alias(f.name) for f in schemas.EVIDENCE_RAW.fields])
+
+
 def glue_evidence(parsed: Column) -> Column:
     """The record of a parsed ``EVIDENCE {json}`` body; the JSON may
     wrap it in ``{"evidence": ...}``."""
@@ -110,13 +117,18 @@ def parse_log_events(events: DataFrame, flow_map: DataFrame | None,
                        glue_evidence(F.col("_glue")))
     from_states = F.when(F.col("_states"), state_evidence(log))
     terminal_event = F.col("_states") & log["type"].isin(*TERMINAL_TYPES)
+    # Q18: a terminal event without evidence still ends its batch when its
+    # input names the batch; it becomes a signal row (not a step).
+    signal = F.when(terminal_event & log["input"]["batch_id"].isNotNull(),
+                    _signal_record(log["input"]["batch_id"]))
     states_src = from_glue.isNull()
     # Events without evidence are dropped by exploding a 0/1-element array
     # rather than by a filter: a filter here would be pushed below these
     # projections with every JSON expression inlined into it, doing the
     # parse twice.
     kept = F.filter(F.array(F.struct(
-        F.coalesce(from_glue, from_states).alias("ev"),
+        F.coalesce(from_glue, from_states, signal).alias("ev"),
+        (from_glue.isNull() & from_states.isNull()).alias("is_signal"),
         F.when(states_src, "states").otherwise("glue").alias("source"),
         F.when(states_src, log["type"]).alias("event_type"),
         F.when(states_src, log["executionArn"]).alias("execution_arn"),
@@ -143,6 +155,7 @@ def parse_log_events(events: DataFrame, flow_map: DataFrame | None,
         clock.alias("ingested_at"), "event_hash",
         (F.col("_terminal_event") | F.coalesce(e["is_terminal"], F.lit(False)))
         .alias("is_terminal"),
+        "is_signal",
         e["input"]["rows"].alias("input_rows"),
         e["output"]["rows"].alias("output_rows"),
         e["load"]["inserted_rows"].alias("inserted_rows"),
@@ -178,8 +191,8 @@ EVENT_KEY = ["batch_id", "step", "event_id"]
 
 
 ROLLUP_INPUT = ["batch_id", "step", "event_id", "ingested_at", "event_hash",
-                "ok", "error", "ts", "is_terminal", "input_rows",
-                "output_rows", "inserted_rows"]
+                "ok", "error", "ts", "is_terminal", "is_signal",
+                "input_rows", "output_rows", "inserted_rows"]
 
 
 def dedup_events(evidence: DataFrame,
@@ -243,6 +256,8 @@ def rollup_partials(evidence: DataFrame, mode: str = "by_step") -> DataFrame:
     has_in = conv & _truthy(F.col("input_rows"))
     has_out = conv & _truthy(F.col("output_rows"))
     has_load = load & _truthy(F.col("inserted_rows"))
+    step_row = (~F.coalesce(F.col("is_signal"), F.lit(False))
+                if "is_signal" in evidence.columns else F.lit(True))
     return evidence.groupBy("batch_id").agg(
         F.count_if(has_in).alias("input_files"),
         F.coalesce(F.sum(F.when(has_in, F.col("input_rows"))), F.lit(0))
@@ -252,8 +267,8 @@ def rollup_partials(evidence: DataFrame, mode: str = "by_step") -> DataFrame:
         .cast("bigint").alias("output_rows"),
         F.coalesce(F.sum(F.when(has_load, F.col("inserted_rows"))), F.lit(0))
         .cast("bigint").alias("redshift_loaded"),
-        F.count(F.lit(1)).alias("steps"),
-        F.count_if(failed(F.col("ok"))).alias("failures"),
+        F.count_if(step_row).alias("steps"),
+        F.count_if(step_row & failed(F.col("ok"))).alias("failures"),
         F.min("ts").alias("started"), F.max("ts").alias("ended"),
         F.coalesce(F.bool_or("is_terminal"), F.lit(False)).alias("terminal"))
 

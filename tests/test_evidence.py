@@ -62,6 +62,9 @@ def _events(spark):
                                                  inserted=20)})),
         (STATES, "8", json.dumps({"type": "ExecutionSucceeded",
                                   "executionArn": ARN})),
+        (STATES, "12", json.dumps({"type": "ExecutionFailed",
+                                   "executionArn": ARN,
+                                   "input": {"batch_id": "B4"}})),
         (STATES, "9", json.dumps({"type": "TaskStateExited",
                                   "executionArn": "arn:other",
                                   "output": {"Payload": {"evidence": ev(
@@ -98,7 +101,13 @@ def test_parse_rules(spark, tmp_dir):
     for r in parsed.collect():
         got.setdefault(r.event_id, []).append(r)
     # marker not at the start, malformed JSON, plain line, no evidence
-    assert set(got) == {"1", "5", "6", "7", "9", "10", "11"}
+    assert set(got) == {"1", "5", "6", "7", "9", "10", "11", "12"}
+    # a terminal event without evidence ends the batch named in its input
+    assert got["12"][0].is_signal and got["12"][0].is_terminal
+    assert got["12"][0].batch_id == "B4" and not got["7"][0].is_signal
+    summary = {r.batch_id: r for r in
+               evo.rollup(parsed, terminal_only=True).collect()}
+    assert summary["B4"].steps == 0 and "B2" not in summary
     assert got["1"][0].input_rows == 10 and got["1"][0].source == "glue"
     assert got["5"][0].inserted_rows == 20 and got["5"][0].state_name == "Load"
     assert got["6"][0].ok is None                  # missing ok
