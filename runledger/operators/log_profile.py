@@ -98,3 +98,22 @@ def most_recent(df: DataFrame, key: str, ts_col: str, k: int) -> DataFrame:
                  F.count(F.lit(1)).alias("lines"))
             .orderBy(F.col("last_ts").desc(), F.col(key).asc())
             .limit(k))
+
+
+def profile_files(listing: DataFrame, lines: DataFrame) -> DataFrame:
+    """A7 per listed log file with a ``failed`` flag (Q10).
+
+    ``listing`` holds the log files (S7 + P8: path, length,
+    modification_time); ``lines`` the scanned lines (``file``, ``line``).
+    A listed file of size > 0 always yields at least one line, so a listed
+    file without lines could not be read: it is marked failed and its
+    counts are zero (it still counts in ``total_files``)."""
+    per_file = profile_lines(lines, ["file"])
+    joined = listing.select("path", "length", "modification_time").join(
+        per_file, listing.path == per_file.file, "left")
+    read = per_file["file"].isNotNull()
+    return joined.select(
+        "path", "length", "modification_time",
+        (~read).alias("failed"),
+        *[F.coalesce(per_file[c], F.lit(0)).cast("bigint").alias(c)
+          for c in ("lines", "errors", *LEVEL_COLUMNS)])

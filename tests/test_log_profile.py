@@ -79,3 +79,20 @@ def test_most_recent(spark):
     out = [r.user_id for r in lp.most_recent(df, "user_id", "ts", 2)
            .collect()]
     assert out == [1, 2]
+
+
+def test_unreadable_file_counts_as_failed(spark, tmp_dir):
+    _write(f"{tmp_dir}/ok.log", "ERROR a\ninfo b\n")
+    _write(f"{tmp_dir}/bad.txt.gz.log", b"\x1f\x8b not really gzip")
+    listing = log_file_filter(list_files(spark, tmp_dir))
+    lines = read_log_lines(spark, tmp_dir)
+    # simulate a file that vanished/was unreadable at scan time
+    lines = lines.where(~F.col("file").endswith("bad.txt.gz.log"))
+    files = lp.profile_files(listing, lines)
+    got = {r.path.rsplit("/", 1)[-1]: r for r in files.collect()}
+    assert got["ok.log"].failed is False and got["ok.log"].lines == 2
+    assert got["bad.txt.gz.log"].failed is True
+    assert got["bad.txt.gz.log"].lines == 0
+    totals = lp.profile_totals(files, failed_col="failed").collect()[0]
+    assert (totals.total_files, totals.processed_files,
+            totals.total_log_lines) == (2, 1, 2)
