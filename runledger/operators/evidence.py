@@ -331,3 +331,17 @@ def reconcile(summary: DataFrame) -> DataFrame:
         "  failures = 0, failures = 0"
         ") AS (check_name, expected, actual, passed, passed_lenient)"
     ).withColumn("difference", F.col("expected") - F.col("actual"))
+
+
+# S18 (any step) -------------------------------------------------------------
+def evidence_log_lines(records: DataFrame, log_group: str,
+                       event_id: Column) -> DataFrame:
+    """Emit evidence the way a step logs it: one ``EVIDENCE {json}`` line
+    per record.  ``records`` has an ``evidence`` struct column shaped like
+    (a subset of) ``schemas.EVIDENCE_RAW``; the lines go through
+    ``parse_log_events`` into the same store as every other step."""
+    return records.select(
+        F.lit(log_group).alias("log_group"), event_id.alias("event_id"),
+        F.concat(F.lit(EVIDENCE_PREFIX),
+                 F.to_json(F.struct(F.col("evidence").alias("evidence"))))
+        .alias("message"))

@@ -192,3 +192,29 @@ def batch_failures(validation: DataFrame, results: DataFrame) -> DataFrame:
         "batch_id", F.lit(STEP_WRITE).alias("step"), "item_index",
         F.coalesce(F.col("error"), F.lit(MSG_WRITE_FAILED)).alias("error"))
     return pre.unionByName(writes)
+
+
+# Q25 / S18 ------------------------------------------------------------------
+# Flow, step and note texts of the preprocess evidence.
+JSON_FLOW = "json-to-dynamodb-pipeline"
+NOTE_PREPROCESS = "JSON前処理%s: %d→%d件"
+NOTE_OK, NOTE_FAILED = "成功", "失敗"
+
+
+def preprocess_evidence(validation: DataFrame, clock: str) -> DataFrame:
+    """Evidence of the preprocess step per batch, with the item counts in
+    ``input.items`` / ``output.items`` (not only in the note)."""
+    received = F.col("received_items")
+    accepted = F.when(F.col("valid"), received).otherwise(F.lit(0))
+    return validation.select("batch_id", F.struct(
+        F.col("batch_id").alias("batch_id"), F.lit("").alias("test_id"),
+        F.lit(JSON_FLOW).alias("flow"), F.lit(STEP_PREPROCESS).alias("step"),
+        F.format_string(NOTE_PREPROCESS,
+                        F.when(F.col("valid"), NOTE_OK).otherwise(NOTE_FAILED),
+                        received, accepted).alias("note"),
+        F.when(~F.col("valid"), MSG_VALIDATION_FAILED).alias("error"),
+        F.col("valid").alias("ok"),
+        F.lit(clock.replace(" ", "T")).alias("ts"),
+        F.struct(received.alias("items")).alias("input"),
+        F.struct(accepted.cast("bigint").alias("items")).alias("output"))
+        .alias("evidence"))

@@ -64,7 +64,8 @@ def tables_stats(spark: SparkSession,
 
 
 def stats_summary(stats: DataFrame) -> DataFrame:
-    """Failed tables count in ``total_tables`` only."""
+    """Failed tables count in ``total_tables`` only; ``success`` when
+    at least one table was analysed."""
     ok = F.coalesce(F.col("ok"), F.lit(False))
     out = stats.agg(
         F.count(F.lit(1)).alias("total_tables"),
@@ -73,8 +74,11 @@ def stats_summary(stats: DataFrame) -> DataFrame:
         .cast("bigint").alias("total_log_entries"),
         F.coalesce(F.sum(F.when(ok, F.col("error_count"))), F.lit(0))
         .cast("bigint").alias("total_error_entries"))
-    return out.withColumn("error_rate", guarded_ratio(
-        "total_error_entries", "total_log_entries"))
+    return out.withColumns({
+        "error_rate": guarded_ratio("total_error_entries",
+                                    "total_log_entries"),
+        # Q13: the analysis succeeds when at least one table succeeded.
+        "success": F.col("successful_tables") > 0})
 
 
 def sample_rows(df: DataFrame, n: int, order_by: list[str] | None = None

@@ -320,3 +320,32 @@ def json_batch_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     checked = ji.structure_check(raw)
     items = ji.explode_items(checked)
     return ji.batch_validation(items, checked)
+
+
+@register("json_preprocess_evidence", "S18 Q25 P12 S12", sql=_ITEMS_SQL + """
+SELECT batch_id, 'json_preprocess' AS step,
+       'json-to-dynamodb-pipeline' AS flow, valid AS ok,
+       'JSON前処理' || CASE WHEN valid THEN '成功' ELSE '失敗' END || ': '
+           || CAST(received_items AS VARCHAR) || '→'
+           || CAST(CASE WHEN valid THEN received_items ELSE 0 END AS VARCHAR)
+           || '件' AS note,
+       received_items AS input_items,
+       CAST(CASE WHEN valid THEN received_items ELSE 0 END AS BIGINT)
+           AS output_items,
+       TIMESTAMP '2024-02-01 00:00:00' AS ts
+FROM v
+""")
+def json_preprocess_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The preprocess step logs its evidence as ``EVIDENCE`` lines, which
+    are parsed back like any other step's evidence."""
+    from runledger.operators import evidence as evo
+    items = _event_items(spark, sf_dir)
+    records = ji.preprocess_evidence(ji.batch_validation(items), CLOCK)
+    lines = evo.evidence_log_lines(
+        records, "/aws/lambda/json-preprocessor",
+        F.concat(F.lit("pre-"), F.col("batch_id")))
+    parsed = evo.parse_log_events(lines, None, CLOCK)
+    return parsed.select(
+        "batch_id", "step", "flow", "ok", "note",
+        F.col("evidence.input.items").alias("input_items"),
+        F.col("evidence.output.items").alias("output_items"), "ts")

@@ -186,7 +186,8 @@ SELECT CAST(count(*) AS BIGINT) AS total_tables,
        CASE WHEN coalesce(sum(CASE WHEN ok THEN row_count END), 0) > 0
             THEN CAST(sum(CASE WHEN ok THEN error_count END) AS DOUBLE)
                  / CAST(sum(CASE WHEN ok THEN row_count END) AS DOUBLE)
-            ELSE 0.0 END AS error_rate
+            ELSE 0.0 END AS error_rate,
+       count_if(ok) > 0 AS success
 FROM s
 """)
 def log_table_summary(spark: SparkSession, sf_dir: str) -> DataFrame:

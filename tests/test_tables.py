@@ -45,7 +45,7 @@ def test_stats_and_summary(spark):
     summ = ts.stats_summary(stats).collect()[0]
     assert (summ.total_tables, summ.successful_tables,
             summ.total_log_entries, summ.total_error_entries) == (2, 1, 4, 2)
-    assert summ.error_rate == 0.5
+    assert summ.error_rate == 0.5 and summ.success is True
 
 
 def test_first_tables_and_sample(spark):
