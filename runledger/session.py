@@ -111,16 +111,6 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def bounded_rows(df: DataFrame, max_rows: int) -> int | None:
-    """Row count of ``df`` if it is at most ``max_rows``, else ``None``.
-
-    Reads at most ``max_rows + 1`` rows, so the check itself is bounded.
-    Used before turning a dimension into a plan-time constant or a broadcast.
-    """
-    n = df.limit(max_rows + 1).count()
-    return n if n <= max_rows else None
-
-
 def ensure_parallelism(df: DataFrame, min_partitions: int | None = None
                        ) -> DataFrame:
     """Spread a scan that yields fewer splits than the cluster has cores.

@@ -274,3 +274,11 @@ def test_type_mismatch_keeps_other_fields(spark):
     assert len(got) == 1                            # malformed one dropped
     assert (got[0].batch_id, got[0].step, got[0].input_rows) == (
         "B9", "glue_convert", None)
+
+
+def test_semi_join_restriction_matches_terminal_rollup(spark):
+    parsed = evo.parse_log_events(_events(spark), None, CLOCK)
+    dedup = evo.dedup_events(parsed)
+    via_join = evo.rollup(evo.restrict_to(dedup,
+                                          evo.terminal_batches(dedup)))
+    assert rows(via_join) == rows(evo.rollup(dedup, terminal_only=True))

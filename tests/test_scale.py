@@ -101,3 +101,14 @@ def test_no_python_udfs_in_library():
                 text = open(os.path.join(base, name), encoding="utf-8").read()
                 hits += [(name, m.group(0)) for m in pattern.finditer(text)]
     assert hits == []
+
+
+def test_cut_lineage_uses_shared_checkpoint_folder(spark):
+    from runledger.session import checkpoint_root, cut_lineage
+    df = spark.range(10).withColumn("y", F.col("id") * 2)
+    cut = cut_lineage(df)
+    assert cut.count() == 10
+    assert "ExistingRDD" in plan(cut) or "Scan" in plan(cut)
+    root = checkpoint_root(spark)
+    assert spark.sparkContext.getCheckpointDir().split(":", 1)[-1] \
+        .startswith(root.split(":", 1)[-1])
