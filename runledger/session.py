@@ -120,8 +120,10 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None
     work (JSON encode/decode, text splitting) on one core.  Only the
     partition count of the plan is inspected, nothing is executed.
     """
-    spark = df.sparkSession
-    target = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        spark = df.sparkSession
+        target = min_partitions or spark.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # e.g. a remote session without RDD access
         return df
-    return df.repartition(target)
+    return df if current >= target else df.repartition(target)
