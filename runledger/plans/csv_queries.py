@@ -232,3 +232,57 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(step.output_rows).cast("bigint").alias("output_rows"),
         F.lit(load["inserted_rows"]).cast("bigint").alias("inserted_rows"),
         F.lit(load["table_rows"]).cast("bigint").alias("table_rows"))
+
+
+MISSING_KEY = "orders/o_orderpriority=9-MISSING"
+
+
+@register("csv_batch_load", "S1 S2 S3 S4 S7 J1 J3 A2 P19", sql=f"""
+SELECT 'L1' AS batch_id, 'orders/o_orderpriority=' || o_orderpriority AS key,
+       true AS converted, CAST(count(*) AS BIGINT) AS input_rows,
+       CAST(count(*) AS BIGINT) AS rows, true AS loaded,
+       CAST(count(*) AS BIGINT) AS inserted_rows
+FROM orders GROUP BY o_orderpriority
+UNION ALL
+SELECT 'L1', '{MISSING_KEY}', false, CAST(0 AS BIGINT), CAST(0 AS BIGINT),
+       false, CAST(0 AS BIGINT)
+""")
+def csv_batch_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch of CSV files end to end: orders land as one CSV folder per
+    priority; the manifest names every priority plus one file that never
+    arrived.  Existence comes from a listing (J1); the existing files are
+    converted in one multi-file job (per-file input and output counts),
+    appended to the warehouse table in one load, and joined back per file
+    (J3)."""
+    from runledger.sources.files import list_files
+    orders = table(spark, sf_dir, "orders")
+    root = new_run_dir(spark, "csvbatch")
+    landing = f"{root}/landing"
+    orders.write.option("header", "true").partitionBy("o_orderpriority") \
+        .csv(f"{landing}/orders")
+    listed = (list_files(spark, landing)
+              .select(F.regexp_extract(F.url_decode("path"),
+                                       r"/landing/(.*)/[^/]*$", 1)
+                      .alias("key"))
+              .distinct().withColumn("exists", F.lit(True)))
+    manifest = (orders.select(F.concat(F.lit("orders/o_orderpriority="),
+                                       F.col("o_orderpriority"))
+                              .alias("key")).distinct()
+                .unionByName(spark.createDataFrame([(MISSING_KEY,)],
+                                                   "key string"))
+                .withColumn("batch_id", F.lit("L1")))
+    files = (manifest.join(listed, "key", "left")
+             .select("batch_id", "key",
+                     F.coalesce("exists", F.lit(False)).alias("exists"),
+                     F.concat(F.lit(landing + "/"), F.col("key"))
+                     .alias("path")))
+    schema = orders.drop("o_orderpriority").schema
+    conversions = cp.convert_files(spark, files, f"{root}/staging", schema)
+    name = "etl_batch_" + uuid.uuid4().hex[:12]
+    loads = cp.load_converted(spark, f"{root}/staging", name,
+                              f"{root}/warehouse/{name}")
+    results = cb.file_results(files.select("batch_id", "key"),
+                              conversions.drop("input_rows"), loads)
+    return results.join(conversions.select("key", "input_rows"), "key") \
+        .select("batch_id", "key", "converted", "input_rows", "rows",
+                "loaded", "inserted_rows")

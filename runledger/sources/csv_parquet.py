@@ -104,3 +104,98 @@ def step_evidence(spark: SparkSession, batch_id: str, flow: str, step: str,
         F.struct(F.col("output_s3").alias("s3"),
                  F.col("output_rows").alias("rows"),
                  F.col("output_format").alias("format")).alias("output"))
+
+
+# Largest number of files converted in one job (their paths are passed to
+# the reader on the driver).
+MAX_FILES = 100_000
+
+
+def _bare(path: str) -> str:
+    """A local path without its scheme and trailing slash."""
+    if path.startswith("file://"):
+        path = path[len("file://"):]
+    elif path.startswith("file:"):
+        path = path[len("file:"):]
+    return path.rstrip("/")
+
+
+def convert_files(spark: SparkSession, files: DataFrame, dst: str,
+                  schema: T.StructType | None = None,
+                  transform: Transform = identity) -> DataFrame:
+    """S1-S3 for every file of a batch in one job.
+
+    ``files`` has ``key`` (the file's name in the results) and ``path``
+    (a CSV file or folder) and ``exists``.  Existing inputs are read in one
+    multi-file scan; each row keeps its source key (matched on the path
+    prefix), the output is written once, partitioned by that key (the
+    destination derives from the key, S2), and read back for the output
+    counts (S3).  Returns per file: key, job_state, error_message,
+    input_rows, rows (output rows).
+    """
+    chosen = files.where(F.col("exists")).select("key", "path").distinct()
+    listed = chosen.limit(MAX_FILES + 1).collect()
+    if len(listed) > MAX_FILES:
+        raise ValueError(f"more than {MAX_FILES} files in one conversion")
+    empty = spark.createDataFrame([], "key string, input_rows long")
+    if listed:
+        raw = read_csv(spark, [r.path for r in listed], schema) \
+            .withColumn("_file", F.col("_metadata.file_path"))
+        prefixes = spark.createDataFrame(
+            [(r.key, _bare(r.path)) for r in listed],
+            "key string, prefix string")
+        # Each source file belongs to the listed path that is one of its
+        # ancestors (or itself): explode the few ancestors of each distinct
+        # file name and equi-join them with the listed paths.
+        bare = F.url_decode(F.regexp_replace("_file", "^file:(//)?", ""))
+        ancestors = F.expr(
+            "transform(sequence(1, size(split(_p, '/'))), "
+            "i -> array_join(slice(split(_p, '/'), 1, i), '/'))")
+        file_keys = (raw.select("_file").distinct()
+                     .withColumn("_p", bare)
+                     .select("_file", F.explode(ancestors).alias("prefix"))
+                     .join(prefixes, "prefix")
+                     .select("_file", "key"))
+        keyed = raw.join(file_keys, "_file").drop("_file")
+        inputs = keyed.groupBy("key").agg(
+            F.count(F.lit(1)).alias("input_rows"))
+        transform(keyed).withColumnRenamed("key", "src_key") \
+            .write.mode("overwrite").partitionBy("src_key").parquet(dst)
+        outputs = (spark.read.parquet(dst).groupBy("src_key")
+                   .agg(F.count(F.lit(1)).alias("rows"))
+                   .withColumnRenamed("src_key", "key"))
+    else:
+        inputs = empty
+        outputs = spark.createDataFrame([], "key string, rows long")
+    results = (files.select("key", "exists")
+               .join(inputs, "key", "left").join(outputs, "key", "left"))
+    return results.select(
+        "key",
+        F.when(F.col("exists"), "SUCCEEDED").otherwise("FAILED")
+        .alias("job_state"),
+        F.when(~F.col("exists"), F.concat(F.lit("Error accessing "),
+                                          F.col("key"))).alias("error_message"),
+        F.coalesce("input_rows", F.lit(0)).cast("bigint").alias("input_rows"),
+        F.coalesce("rows", F.lit(0)).cast("bigint").alias("rows"))
+
+
+def load_converted(spark: SparkSession, dst: str, table: str,
+                   location: str) -> DataFrame:
+    """S4 for a converted batch: one append of every file's output; per
+    file ``load_result`` payloads (JSON text) with the rows inserted and
+    the table's total after the load (Q1)."""
+    staged = spark.read.parquet(dst)
+    obs = Observation("batch_load")
+    (staged.observe(obs, F.count(F.lit(1)).alias("rows"))
+     .drop("src_key").write.mode("append").format("parquet")
+     .option("path", location).saveAsTable(table))
+    total = spark.table(table).count()
+    per_file = staged.groupBy("src_key").agg(
+        F.count(F.lit(1)).alias("n"))
+    return per_file.select(
+        F.col("src_key").alias("key"),
+        F.to_json(F.struct(F.to_json(F.struct(
+            F.lit(True).alias("success"),
+            F.col("n").alias("inserted_rows"),
+            F.lit(total).cast("bigint").alias("table_rows")))
+            .alias("Payload"))).alias("load_result"))

@@ -150,3 +150,34 @@ def test_batch_summary_and_failures(spark):
     assert fails == [("glue_convert", "b.csv", "boom"),
                      ("prevalidate", "validation", "Not a CSV file: x.txt"),
                      ("redshift_load", "c.csv", "copy failed")]
+
+
+def test_convert_files_batch(spark, tmp_dir):
+    emp = spark.createDataFrame(EMPLOYEES, EMP_SCHEMA)
+    emp.where("department = 'Engineering'").write \
+        .option("header", "true").csv(f"{tmp_dir}/land/eng dept")
+    with open(f"{tmp_dir}/land/hr.csv", "w") as fh:
+        fh.write("employee_id,first_name\n5,David\n10,Susan\n")
+    files = spark.createDataFrame(
+        [("B", "eng dept", f"{tmp_dir}/land/eng dept", True),
+         ("B", "hr.csv", f"{tmp_dir}/land/hr.csv", True),
+         ("B", "gone.csv", f"{tmp_dir}/land/gone.csv", False)],
+        "batch_id string, key string, path string, exists boolean")
+    conv = {r.key: r for r in cp.convert_files(
+        spark, files, f"{tmp_dir}/stage",
+        schema=emp.select("employee_id", "first_name").schema).collect()}
+    assert (conv["eng dept"].job_state, conv["eng dept"].input_rows,
+            conv["eng dept"].rows) == ("SUCCEEDED", 4, 4)
+    assert (conv["hr.csv"].input_rows, conv["hr.csv"].rows) == (2, 2)
+    assert conv["gone.csv"].job_state == "FAILED"
+    name = "b_" + uuid.uuid4().hex[:8]
+    loads = cp.load_converted(spark, f"{tmp_dir}/stage", name,
+                              f"{tmp_dir}/wh/{name}")
+    res = {r.key: r for r in cb.file_results(
+        files.select("batch_id", "key"),
+        cp.convert_files(spark, files, f"{tmp_dir}/stage2",
+                         schema=emp.select("employee_id", "first_name")
+                         .schema).drop("input_rows"), loads).collect()}
+    assert res["eng dept"].loaded and res["eng dept"].inserted_rows == 4
+    assert not res["gone.csv"].converted and not res["gone.csv"].loaded
+    assert spark.table(name).count() == 6
