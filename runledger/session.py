@@ -25,6 +25,9 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
+    # AQE sizes post-shuffle partitions to this target and splits skewed
+    # ones; the initial shuffle partition count only needs to be generous.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
 }
 # Only applied when this process starts the JVM (local runs, tests, bench).
 LOCAL_CONF = {"spark.driver.memory": "16g", "spark.ui.enabled": "false"}
