@@ -282,3 +282,16 @@ def test_semi_join_restriction_matches_terminal_rollup(spark):
     via_join = evo.rollup(evo.restrict_to(dedup,
                                           evo.terminal_batches(dedup)))
     assert rows(via_join) == rows(evo.rollup(dedup, terminal_only=True))
+
+
+def test_missing_batch_id_and_routing(spark):
+    no_batch = ev(None, "glue_convert", 1, 1)
+    del no_batch["batch_id"]
+    state_like = json.dumps({"type": "ExecutionSucceeded",
+                             "evidence": ev("B7", "finalize")})
+    events = spark.createDataFrame(
+        [(GLUE, "1", "EVIDENCE " + json.dumps(no_batch)),
+         (GLUE, "2", state_like)],              # not a state-machine group
+        "log_group string, event_id string, message string")
+    got = evo.parse_log_events(events, None, CLOCK).collect()
+    assert [(r.event_id, r.batch_id) for r in got] == [("1", "B202508271405")]
