@@ -124,9 +124,11 @@ def table_registration(spark: SparkSession, sf_dir: str) -> DataFrame:
         (table(spark, sf_dir, name).write.option("header", "true")
          .csv(f"{root}/{name}"))
     database = "crawl_" + uuid.uuid4().hex[:12]
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    db_location = f"{root}/_catalog/{database}.db"
+    catalog.create_database(spark, database, db_location)
     before = catalog.list_tables(spark, database)
-    catalog.register_path_tables(spark, database, root)
+    catalog.register_path_tables(spark, database, root,
+                                 location=db_location)
     after = catalog.list_tables(spark, database)
     fresh = catalog.new_tables(before, after).select(
         "table_name", F.lit(True).alias("is_new"))

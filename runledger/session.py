@@ -47,6 +47,15 @@ def build_session(master: str | None = None, app_name: str = "runledger",
         for key, value in LOCAL_CONF.items():
             conf.setdefault(key, value)
     conf.update(extra or {})
+    # Managed tables and databases go to shared storage too, when the
+    # cluster names a checkpoint folder and no warehouse folder is set.
+    from pyspark import SparkConf
+    defaults = SparkConf()
+    ckpt = conf.get("spark.checkpoint.dir") or defaults.get(
+        "spark.checkpoint.dir", None)
+    if ckpt and not defaults.get("spark.sql.warehouse.dir", None):
+        conf.setdefault("spark.sql.warehouse.dir",
+                        ckpt.rstrip("/") + "/runledger/warehouse")
     for key, value in conf.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()

@@ -42,9 +42,18 @@ def table_folders(spark: SparkSession, root: str) -> list[str]:
     return sorted(r.folder for r in folders)
 
 
+def create_database(spark: SparkSession, database: str,
+                    location: str | None = None) -> None:
+    """``CREATE DATABASE IF NOT EXISTS``; with a location on shared storage
+    (the session's warehouse folder is used otherwise)."""
+    where = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`{where}")
+
+
 def register_path_tables(spark: SparkSession, database: str, root: str,
                          fmt: str = "csv",
-                         options: dict[str, str] | None = None) -> DataFrame:
+                         options: dict[str, str] | None = None,
+                         location: str | None = None) -> DataFrame:
     """Create the database if absent and (re)register one table per
     folder with an inferred schema.  Returns the registered table names.
 
@@ -53,7 +62,7 @@ def register_path_tables(spark: SparkSession, database: str, root: str,
     """
     options = {"header": "true", "inferSchema": "true", **(options or {})}
     opts = ", ".join(f"'{k}' '{v}'" for k, v in options.items())
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    create_database(spark, database, location)
     names = []
     for folder in table_folders(spark, root):
         name = _identifier(folder)

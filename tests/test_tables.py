@@ -16,7 +16,7 @@ def test_register_list_and_update(spark, tmp_dir):
         .option("header", "true").csv(f"{tmp_dir}/one")
     spark.createDataFrame([(2.5,)], "x double").write \
         .option("header", "true").csv(f"{tmp_dir}/two")
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
+    catalog.create_database(spark, db, f"{tmp_dir}_db")
     before = catalog.list_tables(spark, db)
     catalog.register_path_tables(spark, db, tmp_dir)
     after = catalog.list_tables(spark, db)
