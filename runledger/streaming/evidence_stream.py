@@ -43,6 +43,10 @@ from runledger.operators import evidence as evo
 from runledger.sources import evidence_store as store
 
 
+ROCKSDB_PROVIDER = ("org.apache.spark.sql.execution.streaming.state."
+                    "RocksDBStateStoreProvider")
+
+
 @dataclass
 class EvidenceStreamConfig:
     landing: str                 # folder (or glob) the envelopes arrive in
@@ -57,6 +61,9 @@ class EvidenceStreamConfig:
     # State-store partitions of the de-dup (fixed at the first start);
     # default: the cluster's parallelism.
     state_partitions: int | None = None
+    # Keep the de-dup keys in RocksDB (off-heap, spills to disk) instead of
+    # the session's provider -- the choice for very large key state.
+    rocksdb_state: bool = False
 
     @property
     def partials(self) -> str:
@@ -141,14 +148,22 @@ def start_evidence_stream(spark: SparkSession, cfg: EvidenceStreamConfig,
               else writer.trigger(processingTime="30 seconds"))
     # The stream copies the session's settings when it starts; the number
     # of shuffle (and state-store) partitions is sized for this query only.
-    key = "spark.sql.shuffle.partitions"
-    previous = spark.conf.get(key)
-    spark.conf.set(key, str(cfg.state_partitions
-                            or spark.sparkContext.defaultParallelism))
+    overrides = {"spark.sql.shuffle.partitions": str(
+        cfg.state_partitions or spark.sparkContext.defaultParallelism)}
+    if cfg.rocksdb_state:
+        overrides["spark.sql.streaming.stateStore.providerClass"] = (
+            ROCKSDB_PROVIDER)
+    previous = {k: spark.conf.get(k, None) for k in overrides}
+    for k, v in overrides.items():
+        spark.conf.set(k, v)
     try:
         queries = [writer.start()]
     finally:
-        spark.conf.set(key, previous)
+        for k, v in previous.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
     if cfg.raw_archive:
         raw = (envelopes.select(F.to_json(F.struct("*")).alias("value"))
                .writeStream.format("text")

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -14,14 +13,12 @@ sys.path.insert(0, ROOT)
 
 @pytest.fixture(scope="session")
 def spark():
-    from runledger.session import build_session
-    extra = {}
-    # Tests set their own checkpoint folder only when none is configured.
-    from pyspark import SparkConf
-    if not SparkConf().get("spark.checkpoint.dir", None):
-        extra["spark.checkpoint.dir"] = tempfile.mkdtemp(prefix="rl-ckpt-")
+    from runledger.session import build_session, checkpoint_root
     session = build_session("local[4]", app_name="runledger-tests",
-                            shuffle_partitions=4, extra=extra)
+                            shuffle_partitions=4)
+    # The session's spark.checkpoint.dir is used as configured; only when
+    # it is unset does checkpoint_root create a local one (local master).
+    checkpoint_root(session)
     session.sparkContext.setLogLevel("ERROR")
     yield session
 

@@ -220,7 +220,8 @@ def test_stream_equals_batch_and_replay(spark, tmp_dir):
     cfg = EvidenceStreamConfig(
         landing=land, store=f"{tmp_dir}/st", summaries=f"{tmp_dir}/sum",
         checkpoint=f"{tmp_dir}/ck", ingested_at=CLOCK,
-        max_files_per_trigger=1, raw_archive=f"{tmp_dir}/raw")
+        max_files_per_trigger=1, raw_archive=f"{tmp_dir}/raw",
+        rocksdb_state=True)
     run_until_done(start_evidence_stream(spark, cfg))
     streamed = store.read_summaries(spark, cfg.summaries)
     all_events = evo.parse_log_events(
