@@ -64,9 +64,9 @@ def build_session(master: str | None = None, app_name: str = "runledger",
 
 
 def apply_runtime_conf(spark: SparkSession) -> None:
-    """Set the SQL options every operator relies on (idempotent)."""
+    """Set the SQL options every operator relies on (idempotent).  Sinks
+    that need dynamic partition overwrite ask for it per write."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
