@@ -96,3 +96,17 @@ def test_unreadable_file_counts_as_failed(spark, tmp_dir):
     totals = lp.profile_totals(files, failed_col="failed").collect()[0]
     assert (totals.total_files, totals.processed_files,
             totals.total_log_lines) == (2, 1, 2)
+
+
+def test_carriage_return_and_invalid_utf8(spark, tmp_dir):
+    # "\r" stays in the line (split on "\n" only); a bad byte does not
+    # change the level of its line.
+    _write(f"{tmp_dir}/x.log", b"ERROR one\r\n\xff\xfe warn two\n\r\nplain\n")
+    lines = read_log_lines(spark, tmp_dir)
+    got = [r.line for r in lines.collect()]
+    assert got[0] == "ERROR one\r" and len(got) == 4
+    prof = lp.profile_lines(lines.withColumn("f", F.lit(1)), ["f"]) \
+        .collect()[0]
+    # "\r" alone is blank, like str.strip() treats it
+    assert (prof.lines, prof.error_count, prof.warn_count,
+            prof.other_count) == (3, 1, 1, 1)
