@@ -109,7 +109,7 @@ def parse_log_events(events: DataFrame, flow_map: DataFrame | None,
     # the wrong type leaves the other fields usable); the second, cheaper
     # check runs for flagged rows only.
     parsed = decoded.select(
-        "event_id", "log_group", "_states", "_marker", "event_hash",
+        "event_id", "log_group", "_states", "_marker", "event_hash", "_msg",
         _checked("_glue_raw", "_body").alias("_glue"),
         _checked("_log_raw", "_msg").alias("_log"))
     log = F.col("_log")
@@ -135,9 +135,9 @@ def parse_log_events(events: DataFrame, flow_map: DataFrame | None,
         F.when(states_src, log["state"]).alias("state_name"),
         F.coalesce(terminal_event, F.lit(False)).alias("_terminal_event"))),
         lambda x: x["ev"].isNotNull())
-    staged = parsed.select("event_id", "log_group", "event_hash",
+    staged = parsed.select("event_id", "log_group", "event_hash", "_msg",
                            F.explode(kept).alias("_k")).select(
-        "event_id", "log_group", "event_hash", "_k.*")
+        "event_id", "log_group", "event_hash", "_msg", "_k.*")
     clock = F.lit(ingested_at).cast("timestamp_ntz")
     e = F.col("ev")
     out = staged.select(
@@ -162,7 +162,8 @@ def parse_log_events(events: DataFrame, flow_map: DataFrame | None,
         e["input"]["s3"].alias("input_s3"),
         e["output"]["s3"].alias("output_s3"),
         e["load"]["table"].alias("load_table"),
-        e.alias("evidence"))        # the whole record, kept nested
+        e.alias("evidence"),        # the whole record, nested (in flight)
+        F.col("_msg").alias("raw_message"))   # as delivered (stored)
     # State-log evidence takes its flow from the execution ARN.
     if flow_map is not None:
         out = classify_flow(out, "execution_arn", flow_map, "_arn_flow")
