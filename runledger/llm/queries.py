@@ -6,19 +6,31 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from runledger.llm import block_naming
+from runledger.llm import block_naming, bpe_count, secret_scan
 from runledger.llm.common import documents
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base patterns and random tokens in whole texts."""
+    return secret_scan.scan(documents(spark, sf_dir))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact duplicates of whole texts, by block naming."""
     return block_naming.exact_duplicates(documents(spark, sf_dir))
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of whole texts by heap merging."""
+    return bpe_count.token_counts(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, QueryFn] = {
+    "op1_secret_scan": op1_secret_scan,
     "op3_exact_dedup": op3_exact_dedup,
+    "op9_token_counts": op9_token_counts,
 }
 
 ORACLE_SQL: dict[str, str] = {
