@@ -119,9 +119,11 @@ def exact_duplicates(docs: DataFrame, block_bytes: int = BLOCK_BYTES,
     """doc_id, keep_id, group_size, kept, text_sha256 for every row."""
     named = identities(docs, block_bytes, hash_bits)
     # Count and the row that stays, per identity: partially aggregated.
-    groups = named.groupBy("n_bytes", "name").agg(
+    # Stored, so that the join below reads two plain shuffles and a large
+    # group of copies can be split over several tasks.
+    groups = stored(named.groupBy("n_bytes", "name").agg(
         F.count(F.lit(1)).alias("group_size"),
-        F.max(F.struct("doc_id", "row_no")).alias("top"))
+        F.max(F.struct("doc_id", "row_no")).alias("top")), "block-groups")
     return named.join(groups, ["n_bytes", "name"]).select(
         "doc_id", F.col("top.doc_id").alias("keep_id"), "group_size",
         (F.col("row_no") == F.col("top.row_no")).alias("kept"),
