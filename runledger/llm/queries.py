@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from runledger.llm import block_naming, bpe_count, secret_scan
-from runledger.llm.common import documents
+from runledger.llm import (
+    block_naming, bpe_count, secret_scan, spaced_seeds, weak_quality)
+from runledger.llm.common import documents, table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +23,17 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return block_naming.exact_duplicates(documents(spark, sf_dir))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold benchmark passages, with the passage."""
+    return spaced_seeds.leaks(documents(spark, sf_dir),
+                              table(spark, sf_dir, "benchmark"))
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, from weak labels."""
+    return weak_quality.quality(documents(spark, sf_dir))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of whole texts by heap merging."""
     return bpe_count.token_counts(documents(spark, sf_dir))
@@ -30,6 +42,8 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, QueryFn] = {
     "op1_secret_scan": op1_secret_scan,
     "op3_exact_dedup": op3_exact_dedup,
+    "op5_decontamination": op5_decontamination,
+    "op8_quality": op8_quality,
     "op9_token_counts": op9_token_counts,
 }
 
