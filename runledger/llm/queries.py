@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from runledger.llm import (
-    block_naming, bpe_count, secret_scan, spaced_seeds, weak_quality)
+    block_naming, bpe_count, secret_scan, spaced_seeds, toxic_mil,
+    weak_quality)
 from runledger.llm.common import documents, table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +20,14 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(documents(spark, sf_dir))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learnt from rows that are not held out."""
+    scored = toxic_mil.toxicity(documents(spark, sf_dir),
+                                table(spark, sf_dir, "labels"))
+    return scored.withColumn("n_offending", F.size("offending")).drop(
+        "offending")
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact duplicates of whole texts, by block naming."""
     return block_naming.exact_duplicates(documents(spark, sf_dir))
@@ -41,6 +51,7 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, QueryFn] = {
     "op1_secret_scan": op1_secret_scan,
+    "op2_toxicity": op2_toxicity,
     "op3_exact_dedup": op3_exact_dedup,
     "op5_decontamination": op5_decontamination,
     "op8_quality": op8_quality,

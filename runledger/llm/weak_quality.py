@@ -35,6 +35,10 @@ WIDTH = 1 << 14
 THRESHOLD = 0.5
 EM_ROUNDS = 60
 ADAM_ROUNDS = 150
+# Prior on the rate of junk votes on good documents: its value, and its
+# weight as a share of the good documents.  Without it, a rare kind of junk
+# that few heuristics see is explained as good documents with odd votes.
+PRIOR_RATE, PRIOR_WEIGHT = 0.01, 0.5
 
 # Frequent function words of the four languages.
 FUNCTION_WORDS = frozenset("""
@@ -171,6 +175,9 @@ def estimate(patterns: np.ndarray, counts: np.ndarray,
         for c, weight in ((1, counts * post), (0, counts * (1 - post))):
             # Smoothing: what a heuristic never did remains possible.
             bad, fine = weight @ junk + 0.5, weight @ good + 0.5
+            if c:   # the heuristics are built to spare good documents
+                bad = bad + PRIOR_WEIGHT * weight.sum() * PRIOR_RATE
+                fine = fine + PRIOR_WEIGHT * weight.sum() * (1 - PRIOR_RATE)
             rates[c] = bad / (bad + fine)
             logs[:, c] = (np.log(weight.sum() + 1.0)
                           + junk @ np.log(rates[c])
