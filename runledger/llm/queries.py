@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from runledger.llm import (
-    block_naming, bpe_count, secret_scan, spaced_seeds, toxic_mil,
-    weak_quality)
+    block_naming, bpe_count, count_tree, secret_scan, spaced_seeds,
+    toxic_mil, weak_quality)
 from runledger.llm.common import documents, table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -49,6 +49,11 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_count.token_counts(documents(spark, sf_dir))
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document under the 4-word Jaccard join at 0.85."""
+    return count_tree.near_duplicates(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, QueryFn] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_toxicity": op2_toxicity,
@@ -56,6 +61,7 @@ QUERIES: dict[str, QueryFn] = {
     "op5_decontamination": op5_decontamination,
     "op8_quality": op8_quality,
     "op9_token_counts": op9_token_counts,
+    "op10_jaccard_join": op10_jaccard_join,
 }
 
 ORACLE_SQL: dict[str, str] = {
