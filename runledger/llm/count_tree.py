@@ -365,7 +365,8 @@ def _links(docs: DataFrame, k: int, percent: int
             return sets, links
     pairs = stored(_leaf_pairs(cells, percent), "jaccard-pairs")
     found = _verified(pairs, texts, k, percent)
-    return sets, stored(links.union(found), "jaccard-links")
+    return sets, stored(found if links is None else links.union(found),
+                        "jaccard-links")
 
 
 def similar_pairs(docs: DataFrame, k: int = WORDS, percent: int = PERCENT

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from runledger.llm import (
-    block_naming, bpe_count, count_tree, secret_scan, spaced_seeds,
-    toxic_mil, weak_quality)
+    block_naming, bm25_packing, bpe_count, count_tree, secret_scan,
+    spaced_seeds, toxic_mil, weak_quality)
 from runledger.llm.common import documents, table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +39,11 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                               table(spark, sf_dir, "benchmark"))
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 1024 ids."""
+    return bm25_packing.pack(documents(spark, sf_dir))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document, from weak labels."""
     return weak_quality.quality(documents(spark, sf_dir))
@@ -59,6 +64,7 @@ QUERIES: dict[str, QueryFn] = {
     "op2_toxicity": op2_toxicity,
     "op3_exact_dedup": op3_exact_dedup,
     "op5_decontamination": op5_decontamination,
+    "op7_packing": op7_packing,
     "op8_quality": op8_quality,
     "op9_token_counts": op9_token_counts,
     "op10_jaccard_join": op10_jaccard_join,
