@@ -186,7 +186,7 @@ def _needed(nx: Column, ny: Column, percent: int) -> Column:
 
 
 def _bound(px: Column, py: Column) -> Column:
-    return F.aggregate(F.zip_with(px, py, F.least), F.lit(0),
+    return F.aggregate(F.zip_with(px, py, lambda a, b: F.least(a, b)), F.lit(0),
                        lambda a, b: a + b)
 
 

@@ -102,7 +102,10 @@ def test_scores_are_bm25():
 
 def test_neighbours_share_windows(make_docs):
     """Texts of one topic are packed together more often than by chance."""
-    topics = [[f"t{t}w{w}" for w in range(30)] for t in range(8)]
+    vocab = [w[1:] for w in TOKENIZER.get_vocab() if w[0] == "Ġ"
+             and w[1:].isascii() and w[1:].islower() and len(w) > 5]
+    vocab.sort()
+    topics = [vocab[t * 30:t * 30 + 30] for t in range(8)]
     rows = [(k, " ".join(RNG.choice(topics[k % 8]) for _ in range(60)))
             for k in range(240)]
     pieces = pack(make_docs(rows), shard=400, task_rows=1000).collect()

@@ -59,7 +59,7 @@ def corpus():
             for edits in (0, 1, 1, 2, 3, 5):
                 v = list(base)
                 for _ in range(edits):
-                    at = RNG.randrange(len(v))
+                    at = RNG.randrange(len(v) + 1)
                     v[at:at + 1] = RNG.choice(([], words(1), words(2)))
                 rows.append((n := n + 1, "\t".join(v).upper()))
     hub = words(120)                       # a crowd around one text
