@@ -36,9 +36,9 @@ THRESHOLD = 0.5
 EM_ROUNDS = 60
 ADAM_ROUNDS = 150
 # Prior on the rate of junk votes on good documents: its value, and its
-# weight as a share of the good documents.  Without it, a rare kind of junk
+# weight in multiples of the good documents.  Without it, a rare kind of junk
 # that few heuristics see is explained as good documents with odd votes.
-PRIOR_RATE, PRIOR_WEIGHT = 0.01, 0.5
+PRIOR_RATE, PRIOR_WEIGHT = 0.005, 5.0
 
 # Frequent function words of the four languages.
 FUNCTION_WORDS = frozenset("""
@@ -168,7 +168,7 @@ def estimate(patterns: np.ndarray, counts: np.ndarray,
     and, per class and heuristic, its rate of junk votes where it votes."""
     good, junk = patterns > 0, patterns < 0
     # Start: one junk vote outweighs the good votes, none leaves it good.
-    post = np.where(junk.any(axis=1), 0.2, 0.9)
+    post = np.where(junk.any(axis=1), 0.02, 0.9)
     rates = np.zeros((2, patterns.shape[1]))
     for _ in range(rounds):
         logs = np.zeros((len(patterns), 2))
