@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from runledger.llm import (
-    block_naming, bm25_packing, bpe_count, count_tree, secret_scan,
-    spaced_seeds, toxic_mil, weak_quality)
+    block_naming, bm25_packing, bpe_count, count_tree, quote_links,
+    secret_scan, spaced_seeds, toxic_mil, weak_quality)
 from runledger.llm.common import documents, table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +40,11 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                               table(spark, sf_dir, "benchmark"))
 
 
+def op6_quote_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, linked by quotations and freed of them."""
+    return quote_links.conversations(table(spark, sf_dir, "conversations"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 1024 ids."""
     return bm25_packing.pack(documents(spark, sf_dir))
@@ -64,10 +70,12 @@ QUERIES: dict[str, QueryFn] = {
     "op2_toxicity": op2_toxicity,
     "op3_exact_dedup": op3_exact_dedup,
     "op5_decontamination": op5_decontamination,
+    "op6_quote_links": op6_quote_links,
     "op7_packing": op7_packing,
     "op8_quality": op8_quality,
     "op9_token_counts": op9_token_counts,
     "op10_jaccard_join": op10_jaccard_join,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE_SQL: dict[str, str] = {
