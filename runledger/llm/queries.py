@@ -34,6 +34,11 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return block_naming.exact_duplicates(documents(spark, sf_dir))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes covered by repeated 200-byte strings, removed."""
+    return suffix_names.remove_repeats(documents(spark, sf_dir)).drop("kept")
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold benchmark passages, with the passage."""
     return spaced_seeds.leaks(documents(spark, sf_dir),
@@ -69,6 +74,7 @@ QUERIES: dict[str, QueryFn] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_toxicity": op2_toxicity,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_decontamination": op5_decontamination,
     "op6_quote_links": op6_quote_links,
     "op7_packing": op7_packing,
