@@ -3,7 +3,8 @@
 A document is the set of its distinct word n-grams.  The n-grams are hashed
 into ``GROUPS`` groups; the counts per group are the document's point.  The
 overlap of two sets is at most the summed coordinate minima of their points,
-which is the pruning bound of the tree.  The tree has three levels:
+which is the pruning bound of the tree.  Boxes use points of ``BOX_GROUPS``
+groups, pairs the finer ones.  The tree has three levels:
 
 * cells: n-grams are ordered from rare to frequent, and a set stands in the
   cell of each of its first ``n - ceil(t n) + 1`` n-grams.  Two sets with a
@@ -49,10 +50,10 @@ from runledger.llm.sketches import (
 
 WORDS, PERCENT = 4, 85      # of the query
 STAGE_WORDS, STAGE_PERCENT = 5, 80
-GROUPS = 32
+GROUPS, BOX_GROUPS = 256, 32
 SKETCH = 1 << 20            # counters, 4 MB
 STAR_ROUNDS = 3
-LEAF = 64
+LEAF = 256
 CELL_MASK = (1 << 48) - 1   # a shorter cell name only adds candidates
 CACHE_ENTRIES = 500_000
 
@@ -123,21 +124,23 @@ def _sketch(docs: DataFrame, k: int) -> np.ndarray:
 
 
 def _sets(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """doc_id, n, tag (128-bit name of the set), point, cells of all rows."""
+    """doc_id, n, tag (128-bit name of the set), box_point, point, cells of
+    all rows.  Counts of a point stop at 127."""
     sketch = docs.sparkSession.sparkContext.broadcast(_sketch(docs, k))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = sketch.value
         for batch in batches:
-            out = {c: [] for c in ("n", "tag", "point", "cells")}
+            out = {c: [] for c in ("n", "tag", "box", "point", "cells")}
             for text in batch.column(1):
                 s = shingles(text.as_py(), k)
                 n = len(s)
                 out["n"].append(n)
                 out["tag"].append(set_tag(s))
-                out["point"].append(np.bincount(
-                    (s % np.uint64(GROUPS)).astype(np.int64),
-                    minlength=GROUPS).astype(np.int32))
+                point = np.bincount((s % np.uint64(GROUPS)).astype(np.int64),
+                                    minlength=GROUPS)
+                out["box"].append(point.reshape(BOX_GROUPS, -1).sum(1))
+                out["point"].append(np.minimum(point, 127))
                 often = counts[(s >> np.uint64(20)) & np.uint64(SKETCH - 1)]
                 order = np.argsort(often, kind="stable")  # then by name
                 first = n - -(-percent * n // 100) + 1 if n else 0
@@ -146,13 +149,14 @@ def _sets(docs: DataFrame, k: int, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(out["n"], pa.int32()),
                  pa.array(out["tag"], pa.binary()),
-                 pa.array(out["point"], pa.list_(pa.int32())),
+                 pa.array(out["box"], pa.list_(pa.int32())),
+                 pa.array(out["point"], pa.list_(pa.int8())),
                  pa.array(out["cells"], pa.list_(pa.int64()))],
-                ["doc_id", "n", "tag", "point", "cells"])
+                ["doc_id", "n", "tag", "box_point", "point", "cells"])
 
     return stored(_texts(docs).mapInArrow(
-        run, "doc_id long, n int, tag binary, point array<int>, "
-             "cells array<long>"), "jaccard-sets")
+        run, "doc_id long, n int, tag binary, box_point array<int>, "
+             "point array<byte>, cells array<long>"), "jaccard-sets")
 
 
 def _live_cells(sets: DataFrame) -> DataFrame:
@@ -185,9 +189,19 @@ def _needed(nx: Column, ny: Column, percent: int) -> Column:
     return F.ceil(percent * (nx + ny) / F.lit(100.0 + percent))
 
 
-def _bound(px: Column, py: Column) -> Column:
-    return F.aggregate(F.zip_with(px, py, lambda a, b: F.least(a, b)), F.lit(0),
-                       lambda a, b: a + b)
+def _box_bound(top_x: Column, top_y: Column) -> Column:
+    """Summed minima of the tops of two boxes."""
+    return F.aggregate(F.zip_with(top_x, top_y,
+                                  lambda a, b: F.least(a, b)),
+                       F.lit(0), lambda a, b: a + b)
+
+
+def _bound(nx: Column, ny: Column, px: Column, py: Column) -> Column:
+    """Summed minima of two points, as half of the sizes less the summed
+    differences; counts cut at 127 only make the bound larger."""
+    apart = F.aggregate(F.zip_with(px, py, lambda a, b: F.abs(
+        a.cast("int") - b)), F.lit(0), lambda a, b: a + b)
+    return (nx + ny - apart) / 2
 
 
 def _sizes_fit(nx: Column, ny: Column, percent: int) -> Column:
@@ -262,26 +276,34 @@ def _open_cells(cells: DataFrame) -> DataFrame:
     return stored(cells.join(alive, "cell"), "jaccard-cells")
 
 
-def _star_pairs(cells: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Pairs of each cell's centre with its other sets, and the cells without
-    their centres.  The centre stands in the most live cells."""
+def _star_pairs(cells: DataFrame, points: DataFrame, percent: int
+                ) -> tuple[DataFrame, DataFrame]:
+    """Pairs of each cell's centre with its other sets that pass the bound,
+    and the cells without their centres.  The centre is the set that stands
+    in the most live cells."""
     centre = stored(cells.groupBy("cell").agg(F.max(F.struct(
-        "score", "tag", "label", "n", "point")).alias("c")).select(
+        "score", "tag", "label", "n")).alias("c")).select(
         "cell", *[F.col(f"c.{f}").alias(f"c_{f}")
-                  for f in ("tag", "label", "n", "point")]),
-        "jaccard-centres")
+                  for f in ("tag", "label", "n")]), "jaccard-centres")
     met = cells.join(centre, "cell")
-    pairs = (met.filter((F.col("label") != F.col("c_label"))
-                        & _sizes_fit(F.col("n"), F.col("c_n"), percent))
-             .filter(_bound(F.col("point"), F.col("c_point"))
-                     >= _needed(F.col("n"), F.col("c_n"), percent))
-             .select(F.col("c_tag").alias("x"), F.col("tag").alias("y")))
+    pairs = stored(
+        met.filter((F.col("label") != F.col("c_label"))
+                   & _sizes_fit(F.col("n"), F.col("c_n"), percent))
+        .select(F.col("c_tag").alias("x"), F.col("tag").alias("y"))
+        .distinct(), "jaccard-pairs")
     rest = met.filter(F.col("tag") != F.col("c_tag")).select(*cells.columns)
-    return pairs, rest
-
-
-def _leaf_pairs(cells: DataFrame, percent: int, labelled: bool = True
-                ) -> DataFrame:
+    x = points.select(F.col("tag").alias("x"), F.col("n").alias("nx"),
+                      F.col("point").alias("px"))
+    y = points.select(F.col("tag").alias("y"), F.col("n").alias("ny"),
+                      F.col("point").alias("py"))
+    near = pairs.join(y, "y").join(x, "x").filter(
+        _bound(F.col("nx"), F.col("ny"), F.col("px"), F.col("py"))
+        >= _needed(F.col("nx"), F.col("ny"), percent)).select("x", "y")
+    return near, rest
+
+
+def _leaf_pairs(cells: DataFrame, points: DataFrame, percent: int,
+                labelled: bool = True) -> DataFrame:
     """All pairs of a cell's sets that pass the bound, over pairs of leaves
     whose boxes pass it (of different components only, if labelled)."""
     band = F.floor(F.log("n") / np.log(100 / percent)).cast("int")
@@ -290,10 +312,10 @@ def _leaf_pairs(cells: DataFrame, percent: int, labelled: bool = True
     rows = stored(cells.withColumn("band", band).join(
         crowd, ["cell", "band"]).withColumn(
         "leaf", F.pmod(F.xxhash64("tag"), F.ceil(F.col("count") / LEAF)))
-        .drop("count"), "jaccard-leaves")
-    axes = range(GROUPS)
+        .drop("count").join(points.drop("n"), "tag"), "jaccard-leaves")
+    axes = range(BOX_GROUPS)
     boxes = stored(rows.groupBy("cell", "band", "leaf").agg(
-        F.array(*[F.max(F.col("point")[g]) for g in axes]).alias("top"),
+        F.array(*[F.max(F.col("box_point")[g]) for g in axes]).alias("top"),
         F.min("n").alias("n_low"), F.max("n").alias("n_high"),
         F.min("label").alias("l_low"), F.max("label").alias("l_high")),
         "jaccard-boxes")
@@ -302,7 +324,7 @@ def _leaf_pairs(cells: DataFrame, percent: int, labelled: bool = True
     b = boxes.select("cell", *[F.col(c).alias(f"b_{c}") for c in names])
     # The box bound: no overlap exceeds the summed minima of the tops.
     near = (F.abs(F.col("a_band") - F.col("b_band")) <= 1) & (
-        _bound(F.col("a_top"), F.col("b_top")) >= _needed(
+        _box_bound(F.col("a_top"), F.col("b_top")) >= _needed(
             F.col("a_n_low"), F.col("b_n_low"), percent)) & (
         (F.col("a_band") < F.col("b_band"))
         | (F.col("a_band") == F.col("b_band"))
@@ -328,42 +350,42 @@ def _leaf_pairs(cells: DataFrame, percent: int, labelled: bool = True
     met = ends.join(right, ["cell", "b_band", "b_leaf"]).filter(
         other & (~one_leaf | (F.col("a_tag") < F.col("b_tag")))
         & _sizes_fit(F.col("a_n"), F.col("b_n"), percent)
-        & (_bound(F.col("a_point"), F.col("b_point"))
-           >= _needed(F.col("a_n"), F.col("b_n"), percent)))
+        & (_bound(F.col("a_n"), F.col("b_n"), F.col("a_point"),
+                  F.col("b_point")) >= _needed(F.col("a_n"), F.col("b_n"), percent)))
     return met.select(F.least("a_tag", "b_tag").alias("x"),
                       F.greatest("a_tag", "b_tag").alias("y")).distinct()
 
 
 def _prepared(docs: DataFrame, k: int, percent: int
-              ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Sets of all documents, cell rows with points, texts of their sets."""
+              ) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Sets of all documents, and of the live ones: cell rows, points,
+    texts."""
     sets = _sets(docs, k, percent)
     cells = _live_cells(sets)
     tags = stored(cells.groupBy("tag").agg(F.count(F.lit(1)).alias("score")),
                   "jaccard-tags")
-    points = stored(sets.select("tag", "n", "point").join(
+    points = stored(sets.select("tag", "n", "box_point", "point").join(
         tags, "tag").dropDuplicates(["tag"]), "jaccard-points")
     texts = _texts_of(docs, sets, tags.select("tag"), k)
-    return sets, cells.join(points, "tag").withColumn(
-        "label", F.col("tag")), texts
+    cells = stored(cells.join(points.select("tag", "n", "score"), "tag")
+                   .withColumn("label", F.col("tag")), "jaccard-cells")
+    return sets, cells, points.drop("score"), texts
 
 
 def _links(docs: DataFrame, k: int, percent: int
            ) -> tuple[DataFrame, DataFrame]:
     """Sets of all documents, and links that connect every component."""
-    sets, cells, texts = _prepared(docs, k, percent)
-    cells = stored(cells, "jaccard-cells")
+    sets, cells, points, texts = _prepared(docs, k, percent)
     links = None
     for _ in range(STAR_ROUNDS):
-        pairs, rest = _star_pairs(cells, percent)
-        found = _verified(stored(pairs.distinct(), "jaccard-pairs"),
-                          texts, k, percent)
+        pairs, rest = _star_pairs(cells, points, percent)
+        found = _verified(pairs, texts, k, percent)
         links = stored(found if links is None else links.union(found),
                        "jaccard-links")
         cells = _open_cells(_with_labels(rest, links))
         if not cells.limit(1).count():
             return sets, links
-    pairs = stored(_leaf_pairs(cells, percent), "jaccard-pairs")
+    pairs = stored(_leaf_pairs(cells, points, percent), "jaccard-pairs")
     found = _verified(pairs, texts, k, percent)
     return sets, stored(found if links is None else links.union(found),
                         "jaccard-links")
@@ -373,9 +395,9 @@ def similar_pairs(docs: DataFrame, k: int = WORDS, percent: int = PERCENT
                   ) -> tuple[DataFrame, DataFrame]:
     """The whole join: every pair (a, b) of different sets that are similar
     enough, and the membership (doc_id, n, set) of the documents."""
-    sets, cells, texts = _prepared(docs, k, percent)
-    pairs = stored(_leaf_pairs(stored(cells, "jaccard-cells"), percent,
-                               labelled=False), "jaccard-pairs")
+    sets, cells, points, texts = _prepared(docs, k, percent)
+    pairs = stored(_leaf_pairs(cells, points, percent, labelled=False),
+                   "jaccard-pairs")
     return _verified(pairs, texts, k, percent), sets.select(
         "doc_id", "n", F.col("tag").alias("set"))
 
