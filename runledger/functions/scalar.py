@@ -118,6 +118,15 @@ def default_batch_id(batch_id: Column | str, prefix: str,
                  F.date_format(_col(clock), BATCH_ID_TIME_FORMAT)))
 
 
+def epoch_batch_id(batch_id: Column | str, prefix: str,
+                   clock: Column | str) -> Column:
+    """``batch_id`` or ``prefix`` + epoch seconds of the clock value."""
+    return F.coalesce(
+        F.nullif(_col(batch_id), F.lit("")),
+        F.concat(F.lit(prefix), F.unix_timestamp(
+            _col(clock).cast("timestamp")).cast("string")))
+
+
 # F8 ------------------------------------------------------------------------
 def guarded_ratio(num: Column | str, den: Column | str) -> Column:
     """num / den as double, 0.0 when the denominator is 0 or null."""
@@ -132,6 +141,14 @@ def try_int(c: Column | str) -> Column:
     return _col(c).try_cast("bigint")
 
 
+def int_or_text(c: Column | str) -> Column:
+    """The cell as a struct: its integer if it is one, else its text."""
+    c = _col(c)
+    number = c.try_cast("bigint")
+    return F.struct(number.alias("number"),
+                    F.when(number.isNull(), c).alias("text"))
+
+
 # F10 -----------------------------------------------------------------------
 def duration_text(start: Column | str, end: Column | str) -> Column:
     """Whole seconds between two timestamps rendered by size."""

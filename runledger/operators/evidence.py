@@ -15,7 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from runledger import schemas
-from runledger.functions.scalar import default_batch_id, safe_name
+from runledger.functions.scalar import (
+    component_type, epoch_batch_id, safe_name, step_display_name)
 from runledger.operators.flows import classify_flow
 
 # Marker, log-group routing, terminal event types, defaults.
@@ -76,20 +77,29 @@ def state_evidence(log: Column) -> Column:
 
 def parse_log_events(events: DataFrame, flow_map: DataFrame | None,
                      ingested_at: str) -> DataFrame:
-    """P12-P15 + U4 over ``(log_group, event_id, message)`` rows.
+    """P12-P15 + U4 over ``(log_group, event_id, message)`` rows, with the
+    time of delivery in ``delivered_at`` (timestamp) if there is one.
 
     Returns one flat row per event that yields evidence; the rest (no
     marker, marker not at the start, malformed JSON, state logs without
-    evidence) are dropped.  ``ts`` keeps the event time (Q17); the arrival
-    time is ``ingested_at``.
+    evidence) are dropped.  ``ts`` keeps the event time (Q17);
+    ``ingested_at`` is the time of delivery, or the argument where an event
+    has none.  A record without a batch id gets ``B`` and the epoch seconds
+    of its delivery.
+
+    The flow of state-log evidence follows from its execution ARN
+    (``with_flow``); without a flow map the record's own flow stays.
 
     Each JSON text is parsed once, in its own projection: the parsed struct
     is referenced by many field accesses, and Catalyst does not inline a
     non-cheap expression that is used more than once.
     """
     msg = F.col("message")
+    clock = F.lit(ingested_at).cast("timestamp_ntz")
+    arrived = (F.coalesce(F.col("delivered_at").cast("timestamp_ntz"), clock)
+               if "delivered_at" in events.columns else clock)
     texts = events.select(
-        "event_id", "log_group",
+        "event_id", "log_group", arrived.alias("_arrived"),
         F.col("log_group").contains(STATES_GROUP_MARK).alias("_states"),
         msg.contains(EVIDENCE_PREFIX).alias("_marker"),
         F.when(msg.startswith(EVIDENCE_PREFIX),
@@ -98,7 +108,7 @@ def parse_log_events(events: DataFrame, flow_map: DataFrame | None,
         msg.alias("_msg"),
         F.xxhash64("log_group", msg).alias("event_hash"))
     decoded = texts.select(
-        "event_id", "log_group", "_states", "_marker", "event_hash",
+        "event_id", "log_group", "_arrived", "_states", "_marker", "event_hash",
         "_body", "_msg",
         F.from_json("_body", _GLUE_SCHEMA, schemas.JSON_OPTIONS)
         .alias("_glue_raw"),
@@ -109,7 +119,7 @@ def parse_log_events(events: DataFrame, flow_map: DataFrame | None,
     # the wrong type leaves the other fields usable); the second, cheaper
     # check runs for flagged rows only.
     parsed = decoded.select(
-        "event_id", "log_group", "_states", "_marker", "event_hash", "_msg",
+        "event_id", "log_group", "_arrived", "_states", "_marker", "event_hash", "_msg",
         _checked("_glue_raw", "_body").alias("_glue"),
         _checked("_log_raw", "_msg").alias("_log"))
     log = F.col("_log")
@@ -136,13 +146,12 @@ def parse_log_events(events: DataFrame, flow_map: DataFrame | None,
         F.coalesce(terminal_event, F.lit(False)).alias("_terminal_event"))),
         lambda x: x["ev"].isNotNull())
     staged = parsed.select("event_id", "log_group", "event_hash", "_msg",
-                           F.explode(kept).alias("_k")).select(
-        "event_id", "log_group", "event_hash", "_msg", "_k.*")
-    clock = F.lit(ingested_at).cast("timestamp_ntz")
+                           "_arrived", F.explode(kept).alias("_k")).select(
+        "event_id", "log_group", "event_hash", "_msg", "_arrived", "_k.*")
     e = F.col("ev")
     out = staged.select(
-        default_batch_id(e["batch_id"], MISSING_BATCH_PREFIX, clock)
-        .alias("batch_id"),
+        epoch_batch_id(e["batch_id"], MISSING_BATCH_PREFIX,
+                       F.col("_arrived")).alias("batch_id"),
         e["step"].alias("step"), "event_id", "source",
         F.coalesce("event_type", e["event_type"]).alias("event_type"),
         F.coalesce("execution_arn", e["execution_arn"])
@@ -152,7 +161,7 @@ def parse_log_events(events: DataFrame, flow_map: DataFrame | None,
         e["test_id"].alias("test_id"), e["ok"].alias("ok"),
         e["error"].alias("error"), e["note"].alias("note"),
         e["ts"].try_cast("timestamp_ntz").alias("ts"),
-        clock.alias("ingested_at"), "event_hash",
+        F.col("_arrived").alias("ingested_at"), "event_hash",
         (F.col("_terminal_event") | F.coalesce(e["is_terminal"], F.lit(False)))
         .alias("is_terminal"),
         "is_signal",
@@ -164,18 +173,23 @@ def parse_log_events(events: DataFrame, flow_map: DataFrame | None,
         e["load"]["table"].alias("load_table"),
         e.alias("evidence"),        # the whole record, nested (in flight)
         F.col("_msg").alias("raw_message"))   # as delivered (stored)
-    # State-log evidence takes its flow from the execution ARN.
-    if flow_map is not None:
-        out = classify_flow(out, "execution_arn", flow_map, "_arn_flow")
-        flow = F.when(F.col("source") == "states", F.col("_arn_flow")) \
-            .otherwise(F.col("evidence_flow"))
-        out = out.withColumn("flow", flow).drop("_arn_flow")
-    else:
-        out = out.withColumn("flow", F.col("evidence_flow"))
-    return out.withColumn("object_key", F.concat_ws(
+    out = out.withColumn("object_key", F.concat_ws(
         "/", F.lit("evidence"), "batch_id", F.lit("per-step"),
         F.concat(safe_name(F.col("step")), F.lit("_"),
                  F.coalesce("event_id", F.lit("")), F.lit(".json"))))
+    return with_flow(out, flow_map)
+
+
+def with_flow(evidence: DataFrame, flow_map: DataFrame | None) -> DataFrame:
+    """State-log evidence takes its flow from the execution ARN, other
+    evidence from its record."""
+    if flow_map is None:
+        return evidence.withColumn("flow", F.col("evidence_flow"))
+    return (classify_flow(evidence, "execution_arn", flow_map, "_arn_flow")
+            .withColumn("flow", F.when(F.col("source") == "states",
+                                       F.col("_arn_flow"))
+                        .otherwise(F.col("evidence_flow")))
+            .drop("_arn_flow"))
 
 
 def explode_envelopes(envelopes: DataFrame) -> DataFrame:
@@ -184,7 +198,8 @@ def explode_envelopes(envelopes: DataFrame) -> DataFrame:
         F.col("logGroup").alias("log_group"),
         F.explode(F.coalesce("logEvents", F.array())).alias("e")).select(
         "log_group", F.col("e.id").alias("event_id"),
-        F.col("e.message").alias("message"))
+        F.col("e.message").alias("message"),
+        F.timestamp_millis("e.timestamp").alias("delivered_at"))
 
 
 # ST2 / W2 -------------------------------------------------------------------
@@ -208,8 +223,9 @@ def dedup_events(evidence: DataFrame,
     keyed = (evidence.select(*cols)
              .withColumn("step", F.coalesce("step", F.lit("unknown")))
              .withColumn("event_id", F.coalesce("event_id", F.lit(""))))
-    return latest_per_key(keyed, EVENT_KEY, ["ingested_at", "event_hash"]) \
-        .select(*cols)
+    # Equal hashes are equal texts, between which there is nothing to choose.
+    return latest_per_key(keyed, EVENT_KEY, ["ingested_at", "event_hash"],
+                          tie=F.lit(0)).select(*cols)
 
 
 # P16 / A14 / J5 -------------------------------------------------------------
@@ -247,8 +263,7 @@ PARTIAL_SUMS = ("input_files", "input_rows", "output_files", "output_rows",
 
 def rollup_partials(evidence: DataFrame, mode: str = "by_step") -> DataFrame:
     """A13's per-batch aggregates before the status is derived (sums,
-    counts, first/last time, terminated).  Partials of disjoint evidence
-    combine by sum/min/max/or (``combine_partials``)."""
+    counts, first/last time, terminated)."""
     if mode not in ("by_step", "all_steps"):
         raise ValueError(f"unknown roll-up mode {mode}")
     step = F.col("step")
@@ -274,15 +289,6 @@ def rollup_partials(evidence: DataFrame, mode: str = "by_step") -> DataFrame:
         F.coalesce(F.bool_or("is_terminal"), F.lit(False)).alias("terminal"))
 
 
-def combine_partials(partials: DataFrame) -> DataFrame:
-    """Merge partial aggregates of the same batch (e.g. one per
-    micro-batch)."""
-    return partials.groupBy("batch_id").agg(
-        *[F.sum(c).cast("bigint").alias(c) for c in PARTIAL_SUMS],
-        F.min("started").alias("started"), F.max("ended").alias("ended"),
-        F.bool_or("terminal").alias("terminal"))
-
-
 def finish_rollup(partials: DataFrame, terminal_only: bool = False
                   ) -> DataFrame:
     """Summaries from partials: optional terminal filter (ST3), status."""
@@ -308,6 +314,20 @@ def rollup(evidence: DataFrame, mode: str = "by_step",
     return finish_rollup(rollup_partials(evidence, mode), terminal_only)
 
 
+def step_details(evidence: DataFrame) -> DataFrame:
+    """What a summary shows of each step: component, display name, outcome,
+    where it read and wrote, and its error.  One long row per step event."""
+    step = F.coalesce("step", F.lit("unknown"))
+    return evidence.where(~F.coalesce("is_signal", F.lit(False))).select(
+        "batch_id", step.alias("step"), "event_id",
+        component_type(step).alias("component"),
+        step_display_name(step).alias("display_name"),
+        F.coalesce("ok", F.lit(True)).alias("ok"), "ts", "input_s3",
+        "output_s3",
+        F.when(failed(F.col("ok")), F.coalesce("error", F.lit(UNKNOWN_ERROR)))
+        .alias("error"))
+
+
 def failures(evidence: DataFrame) -> DataFrame:
     """The failure list of every batch, long form."""
     return evidence.where(failed(F.col("ok"))).select(

@@ -1,17 +1,19 @@
 """Ordered substring classification (J2) and the flow map source.
 
 "First pattern (in map order) contained in the value, else a default" is a
-theta join.  Two exact strategies:
-
-* a map of at most ``INLINE_LIMIT`` patterns (the normal case: a handful
-  of state-machine names) becomes a ``CASE WHEN contains(...)`` chain in
-  map order.  The row-count check reads at most ``INLINE_LIMIT + 1`` rows,
-  so only a proven-small map ever reaches the driver; no join or shuffle is
-  planned at all.
-* a larger map is matched by an equi-join: every substring of the value
-  whose length equals some pattern length is generated and joined to the
-  patterns on text, then the smallest ``ord`` per value row wins
-  (``min_by``, map-side combined).  Nothing is broadcast.
+theta join.  It is evaluated the same way for a map of any size:
+
+* every pattern is filed under one of its three-character grams, the one that
+  the fewest patterns contain (a shorter pattern under itself);
+* the distinct values are exploded into their grams, keeping only grams that
+  a pattern may be filed under (a bitmap of fixed size, ``GRAM_BITS``);
+* grams are equi-joined to the patterns, ``contains`` decides, the pattern of
+  least ``(ord, pattern)`` wins per value (``min_by``, combined map-side), and
+  the flows are joined back to the rows on the value.
+
+Nothing is broadcast by hand, collected or numbered; an empty pattern matches
+every value that is not null, a matching pattern with a null flow gives null,
+and equal ``ord`` go by pattern text.  A null value gets the default.
 """
 
 from __future__ import annotations
@@ -23,8 +25,8 @@ from runledger import schemas
 
 # Fixed value: the flow name when no pattern matches.
 UNKNOWN_FLOW = "unknown-pipeline"
-INLINE_LIMIT = 256
-MAX_PATTERN_LENGTHS = 4096
+GRAM = 3
+GRAM_BITS = 1 << 16
 
 
 def read_flow_map(spark: SparkSession, path: str) -> DataFrame:
@@ -38,62 +40,82 @@ def read_flow_map(spark: SparkSession, path: str) -> DataFrame:
                       .alias("ord", "pattern", "flow"))
 
 
-def _inline(value: Column, rules: list[tuple[int, str, str]],
-            default: str) -> Column:
-    out = None
-    for _, pattern, flow in sorted(rules):
-        cond = value.contains(pattern)
-        out = F.when(cond, flow) if out is None else out.when(cond, flow)
-    return F.lit(default) if out is None else out.otherwise(default)
+def _grams(text: Column, size: int) -> Column:
+    """Distinct substrings of ``size`` characters (none if too short)."""
+    starts = F.sequence(F.lit(1), F.length(text) - (size - 1))
+    return F.when(F.length(text) >= size, F.array_distinct(F.transform(
+        starts, lambda i: F.substring(text, i, F.lit(size))))
+    ).otherwise(F.array().cast("array<string>"))
+
+
+def _filed(flow_map: DataFrame) -> DataFrame:
+    """The non-empty patterns with the gram each is filed under."""
+    p = flow_map.where(F.length("pattern") > 0).select("ord", "pattern",
+                                                       "flow")
+    text = F.col("pattern")
+    grams = F.when(F.length(text) < GRAM, F.array(text)).otherwise(
+        _grams(text, GRAM))
+    each = p.select("pattern", F.explode(grams).alias("gram")).distinct()
+    common = each.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+    best = (each.join(common, "gram").groupBy("pattern")
+            .agg(F.min(F.struct("n", "gram")).alias("g"))
+            .select("pattern", F.col("g.gram").alias("gram")))
+    return p.join(best, "pattern")
+
+
+def _gram_bit(gram: Column) -> Column:
+    return F.xxhash64(gram).bitwiseAND(F.lit(GRAM_BITS - 1))
+
+
+def _gram_bits(filed: DataFrame) -> list[int]:
+    """The bitmap of the grams in use, as GRAM_BITS / 32 numbers."""
+    rows = (filed.select(_gram_bit(F.col("gram")).alias("bit"))
+            .select(F.shiftright("bit", 5).alias("at"),
+                    F.expr("shiftleft(1L, int(bit & 31))").alias("m"))
+            .groupBy("at").agg(F.bit_or("m").alias("m")).collect())
+    out = [0] * (GRAM_BITS // 32)
+    for r in rows:
+        out[r["at"]] = r["m"]
+    return out
 
 
 def classify_flow(df: DataFrame, value_col: str, flow_map: DataFrame,
-                  out_col: str = "flow", default: str = UNKNOWN_FLOW,
-                  inline_limit: int = INLINE_LIMIT) -> DataFrame:
-    """Add ``out_col``: the flow of the first matching pattern."""
-    small = flow_map.select("ord", "pattern", "flow").limit(inline_limit + 1)
-    rows = small.collect() if inline_limit > 0 else []
-    if inline_limit > 0 and len(rows) <= inline_limit:
-        rules = [(r.ord, r.pattern, r.flow) for r in rows]
-        return df.withColumn(out_col, _inline(F.col(value_col), rules,
-                                              default))
-    return classify_flow_join(df, value_col, flow_map, out_col, default)
-
-
-def classify_flow_join(df: DataFrame, value_col: str, flow_map: DataFrame,
-                       out_col: str = "flow",
-                       default: str = UNKNOWN_FLOW) -> DataFrame:
-    """Equi-join strategy for maps of any size (see module docstring).
-
-    The distinct pattern lengths are checked to be at most
-    ``MAX_PATTERN_LENGTHS`` and inlined; each value row is exploded into its
-    substrings of those lengths.  Rows are tagged with
-    ``monotonically_increasing_id`` (deterministic for a deterministic
-    input) to join the winning flow back.
+                  out_col: str = "flow",
+                  default: str = UNKNOWN_FLOW) -> DataFrame:
+    """Add ``out_col``: the flow of the first matching pattern.
+
+    ``df`` is a batch DataFrame; a stream classifies its micro-batches.
     """
-    patterns = flow_map.where(F.length("pattern") > 0).select(
-        "ord", "pattern", "flow", F.length("pattern").alias("plen"))
-    lens = [r.plen for r in patterns.select("plen").distinct()
-            .limit(MAX_PATTERN_LENGTHS + 1).collect()]
-    if len(lens) > MAX_PATTERN_LENGTHS:
-        raise ValueError("too many distinct pattern lengths")
-    rid = "_flow_row_id"
-    rows = df.withColumn(rid, F.monotonically_increasing_id())
-    if not lens:
-        return rows.withColumn(out_col, F.lit(default)).drop(rid)
-    # A value shorter than L yields itself once, which cannot equal a
-    # pattern of length L, so no false match is produced.
-    per_len = [F.expr(
-        f"transform(sequence(1, greatest(length(_v) - {n} + 1, 1)), "
-        f"i -> named_struct('plen', {n}, 'pattern', substring(_v, i, {n})))")
-        for n in sorted(lens)]
-    subs = (rows.select(rid, F.col(value_col).alias("_v"))
-            .where(F.col("_v").isNotNull())
-            .select(rid, F.explode(F.flatten(F.array(*per_len))).alias("s"))
-            .select(rid, F.col("s.plen").alias("plen"),
-                    F.col("s.pattern").alias("pattern")))
-    hits = (subs.join(patterns, ["plen", "pattern"])
-            .groupBy(rid).agg(F.min_by("flow", "ord").alias("_hit")))
-    return (rows.join(hits, rid, "left")
-            .withColumn(out_col, F.coalesce("_hit", F.lit(default)))
-            .drop(rid, "_hit"))
+    filed = _filed(flow_map)
+    bits = F.lit(_gram_bits(filed))
+    values = df.select(F.col(value_col).alias("_v")).where(
+        "_v is not null").distinct()
+    every = F.flatten(F.array(*[_grams(F.col("_v"), n)
+                                for n in range(1, GRAM + 1)]))
+
+    def in_use(g: Column) -> Column:
+        bit = _gram_bit(g)
+        word = F.get(bits, F.shiftright(bit, 5).cast("int"))
+        at = bit.bitwiseAND(F.lit(31)).cast("int")
+        return F.call_function("shiftright", word, at).bitwiseAND(
+            F.lit(1)) == 1
+
+    hits = (values.select("_v", F.explode(F.filter(every, in_use))
+                          .alias("gram"))
+            .join(filed, "gram").where(F.col("_v").contains(F.col("pattern")))
+            .select("_v", "ord", "pattern", "flow"))
+    empty = flow_map.where(F.length("pattern") == 0).select(
+        "ord", "pattern", "flow").limit(1)
+    anything = empty.collect()   # the empty pattern, if the map has it
+    if anything:
+        hits = hits.unionByName(values.select(
+            "_v", F.lit(anything[0]["ord"]).alias("ord"),
+            F.lit("").alias("pattern"),
+            F.lit(anything[0]["flow"]).cast("string").alias("flow")))
+    first = hits.groupBy("_v").agg(F.min_by(
+        F.struct("flow"), F.struct("ord", "pattern")).alias("_hit"))
+    return (df.join(first, df[value_col] == first["_v"], "left")
+            .withColumn(out_col, F.when(F.col("_hit").isNull(),
+                                        F.lit(default))
+                        .otherwise(F.col("_hit.flow")))
+            .drop("_v", "_hit"))

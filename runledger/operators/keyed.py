@@ -3,9 +3,9 @@ group (W1).
 
 Both are written so that no single key can pin one task:
 
-* latest-per-key is a ``max_by`` aggregate, which Spark evaluates partially
-  on the map side, so a key with a billion copies costs one partial row per
-  task before the shuffle;
+* latest-per-key keeps the first row of a ranking, which Spark applies within
+  each task before the shuffle (a window group limit), so a key with a billion
+  copies costs one row per task;
 * first-n-per-group ranks inside ``(group, salt)`` first (a hot group is
   spread over ``salt_buckets`` tasks), keeps ``n`` per salt, and ranks the
   at most ``n * salt_buckets`` survivors per group in a second pass.
@@ -21,21 +21,20 @@ from pyspark.sql.window import Window
 DEFAULT_SALT_BUCKETS = 32
 
 
-def latest_per_key(df: DataFrame, keys: list[str],
-                   order: list[str]) -> DataFrame:
+def latest_per_key(df: DataFrame, keys: list[str], order: list[str],
+                   tie: Column | None = None) -> DataFrame:
     """The row with the greatest ``order`` tuple per key.
 
-    Ties on the whole order tuple are broken by the remaining columns, so
-    the result is deterministic.
+    Rows that are equal in it are told apart by ``tie`` (default: a hash of
+    the whole row as JSON), so the result is deterministic; columns of any
+    type may be carried.
     """
-    values = [c for c in df.columns if c not in keys]
-    ranking = F.struct(*[F.col(c) for c in order],
-                       *[F.col(c) for c in values if c not in order])
-    picked = df.groupBy(*keys).agg(
-        F.max_by(F.struct(*[F.col(c) for c in values]), ranking)
-        .alias("_latest"))
-    return picked.select(*keys, *[F.col(f"_latest.{c}").alias(c)
-                                  for c in values])
+    if tie is None:
+        tie = F.xxhash64(F.to_json(F.struct(*[F.col(c) for c in df.columns])))
+    rank = Window.partitionBy(*keys).orderBy(
+        *[F.col(c).desc_nulls_last() for c in order], tie.desc())
+    return (df.withColumn("_rank", F.row_number().over(rank))
+            .where("_rank = 1").drop("_rank"))
 
 
 def first_n_per_group(df: DataFrame, group: list[str], order: list[Column],
@@ -61,7 +60,17 @@ def first_n_per_group(df: DataFrame, group: list[str], order: list[Column],
 def upsert(base: DataFrame, updates: DataFrame, keys: list[str],
            order: list[str]) -> DataFrame:
     """Put by key, last write wins.  Base rows without an update are
-    kept; every updated key holds its latest update."""
-    latest = latest_per_key(updates, keys, order).select(*base.columns)
-    untouched = base.join(latest.select(*keys), keys, "left_anti")
-    return untouched.unionByName(latest)
+    kept; every updated key holds its latest update.  The updates are
+    reduced once and met by the base in one full outer join."""
+    latest = latest_per_key(updates.select(
+        *base.columns, *[c for c in order if c not in base.columns]),
+        keys, order).select(*base.columns)
+    put = latest.select(*[F.col(k).alias(f"_k_{k}") for k in keys],
+                        F.struct(*base.columns).alias("_put"))
+    same = F.lit(True)
+    for k in keys:
+        same = same & base[k].eqNullSafe(F.col(f"_k_{k}"))
+    joined = base.join(put, same, "full_outer")
+    return joined.select(*[
+        F.when(F.col("_put").isNotNull(), F.col(f"_put.{c}"))
+        .otherwise(base[c]).alias(c) for c in base.columns])

@@ -12,21 +12,21 @@ from runledger.operators import evidence as evo
 from runledger.operators.flows import classify_flow, read_flow_map
 from runledger.plans.registry import register, table
 from runledger.session import (
-    ensure_local_dir, ensure_parallelism, local_path, new_run_dir)
+    ensure_parallelism, materialized, new_run_dir)
 from runledger.sources import evidence_store as store
 
-# The reference's flow map (pattern -> flow, in order).
-REFERENCE_FLOW_PATTERNS = {
-    "sf-etl-observer-dev-ingest": "csv-to-parquet-pipeline",
-    "sf-json-processor-dev-ingest": "json-to-dynamodb-pipeline",
-    "sf-log-processor-dev-ingest": "log-aggregation-athena-pipeline",
+# Flow map of the state machines below (pattern -> flow, in order).
+FLOW_PATTERNS = {
+    "machine-csv-ingest": "csv-to-parquet-pipeline",
+    "machine-json-ingest": "json-to-dynamodb-pipeline",
+    "machine-log-ingest": "log-aggregation-athena-pipeline",
 }
 
 # Derivation of run logs from line items (see ``_lineitem_events``).
 STEP_BY_LINE = ("prevalidate", "glue_convert", "redshift_load", "finalize",
                 "glue_convert", "redshift_load", "monitoring")
-STATE_MACHINES = ("sf-etl-observer-dev-ingest", "sf-json-processor-dev-ingest",
-                  "sf-log-processor-dev-ingest", "sf-adhoc-dev-ingest")
+STATE_MACHINES = ("machine-csv-ingest", "machine-json-ingest",
+                  "machine-log-ingest", "machine-adhoc")
 ARN_PREFIX = "arn:aws:states:us-east-1:000000000000:execution:"
 GLUE_GROUP = "/aws-glue/jobs/output"
 STATES_GROUP = "/aws/states/"
@@ -37,15 +37,16 @@ BATCH_WIDTH = 1000
 def write_flow_map(spark: SparkSession, patterns: dict[str, str]) -> str:
     """Write a flow-map document into the shared run folder."""
     path = new_run_dir(spark, "flowmap")
-    ensure_local_dir(path)
-    with open(local_path(path) + "/flow_mapping.json", "w",
-              encoding="utf-8") as fh:
-        json.dump({"flow_patterns": patterns}, fh)
+    text = json.dumps({"flow_patterns": patterns})
+    spark.createDataFrame([(text,)], "value string").coalesce(1) \
+        .write.text(path)
     return path
 
 
 def _lineitem_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One log event per line item (line 3 delivered twice).
+    """One log event per line item; line 3 is delivered twice, first with
+    too few rows, an hour later corrected.  Batch ids look like numbers, with
+    and without leading zeros; some records have none.
 
     Open orders log from the conversion job (``EVIDENCE`` lines; line 6 has
     the marker after a prefix, N-flagged line 7 is truncated JSON); fulfilled
@@ -56,19 +57,26 @@ def _lineitem_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
         "l_returnflag", "l_linestatus", "l_shipdate"))
     line = F.col("l_linenumber")
+    li = li.withColumn("copy", F.explode(F.sequence(
+        F.lit(1), F.when(line == 3, 2).otherwise(1))))
+    wrong = F.when((line == 3) & (F.col("copy") == 1), 5).otherwise(0)
+    group = F.expr(f"l_orderkey div {BATCH_WIDTH}").cast("string")
+    batch = F.when((line == 5) & (F.col("l_returnflag") == "R"),
+                   F.lit(None)).when(F.col("l_suppkey") % 2 == 0,
+                                     F.lpad(group, 4, "0")).otherwise(group)
     step = F.element_at(F.array(*[F.lit(s) for s in STEP_BY_LINE]), line)
     # (order, line) repeats in the provided data; with part and supplier
     # the id is unique.
     event_id = F.concat_ws("-", *[F.col(c).cast("string") for c in (
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")])
     rows_in = F.col("l_quantity").cast("bigint")
-    rows_out = rows_in - F.when(F.col("l_returnflag") == "R", 1).otherwise(0)
+    rows_out = (rows_in - wrong
+                - F.when(F.col("l_returnflag") == "R", 1).otherwise(0))
     failure = (F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F")
     ok = F.when(failure, False).when(F.col("l_returnflag") == "A",
                                      F.lit(None)).otherwise(True)
     ev = F.struct(
-        F.concat(F.lit("B"), F.expr(f"l_orderkey div {BATCH_WIDTH}")
-                 .cast("string")).alias("batch_id"),
+        batch.alias("batch_id"),
         F.lit("").alias("test_id"),
         F.lit("csv-to-parquet-pipeline").alias("flow"),
         step.alias("step"),
@@ -94,7 +102,7 @@ def _lineitem_events(spark: SparkSession, sf_dir: str) -> DataFrame:
              .otherwise("TaskStateExited"))
     # The record is serialised once; the three message shapes embed it.
     staged = li.select(
-        "l_orderkey", "l_shipdate", "l_linenumber", "l_returnflag",
+        "l_orderkey", "l_shipdate", "l_linenumber", "l_returnflag", "copy",
         event_id.alias("event_id"), from_states.alias("from_states"),
         F.to_json(ev).alias("bare"),
         F.to_json(F.struct(
@@ -121,26 +129,34 @@ def _lineitem_events(spark: SparkSession, sf_dir: str) -> DataFrame:
                      head, F.lit(',"output":{"evidence":'), bare, F.lit("}}")))
                  .otherwise(F.concat(head, F.lit(',"evidence":'), bare,
                                      F.lit("}"))))
-    events = staged.select(
+    hours = F.make_dt_interval(hours=F.col("copy") - 1)
+    return staged.select(
         "l_orderkey", "l_shipdate", "log_group", "event_id",
         F.when(F.col("from_states"), state_msg).otherwise(glue_msg)
         .alias("message"),
-        F.explode(F.sequence(F.lit(1), F.when(line == 3, 2).otherwise(1)))
-        .alias("copy"))
-    return events
+        (F.col("l_shipdate").cast("timestamp") + hours)
+        .alias("delivered_at"))
 
 
 def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flow_map = read_flow_map(spark, write_flow_map(
-        spark, REFERENCE_FLOW_PATTERNS))
+    """Parsed events without the flows of their machines."""
     events = _lineitem_events(spark, sf_dir).select(
-        "log_group", "event_id", "message")
-    return evo.parse_log_events(events, flow_map, CLOCK)
+        "log_group", "event_id", "message", "delivered_at")
+    return evo.parse_log_events(events, None, CLOCK)
+
+
+def _flow_map(spark: SparkSession) -> DataFrame:
+    return read_flow_map(spark, write_flow_map(spark, FLOW_PATTERNS))
 
 
 _EV_SQL = f"""
 WITH li AS (
-  SELECT 'B' || CAST(l_orderkey // {BATCH_WIDTH} AS VARCHAR) AS batch_id,
+  SELECT CASE WHEN l_linenumber = 5 AND l_returnflag = 'R'
+              THEN 'B' || CAST(CAST(epoch(l_shipdate) AS BIGINT) AS VARCHAR)
+              WHEN l_suppkey % 2 = 0
+              THEN lpad(CAST(l_orderkey // {BATCH_WIDTH} AS VARCHAR), 4, '0')
+              ELSE CAST(l_orderkey // {BATCH_WIDTH} AS VARCHAR) END
+             AS batch_id,
          CASE l_linenumber WHEN 1 THEN 'prevalidate' WHEN 2 THEN 'glue_convert'
               WHEN 3 THEN 'redshift_load' WHEN 4 THEN 'finalize'
               WHEN 5 THEN 'glue_convert' WHEN 6 THEN 'redshift_load'
@@ -202,11 +218,16 @@ def _parse_cols(df: DataFrame) -> DataFrame:
 @register("evidence_parse", "P12 P13 P14 P15 U4 J2 S17", sql=_EV_SQL + f"""
 SELECT {_PARSE_COLS_SQL} FROM ev
 UNION ALL
-SELECT {_PARSE_COLS_SQL} FROM ev WHERE l_linenumber = 3
+SELECT {_PARSE_COLS_SQL}
+FROM (SELECT * REPLACE (output_rows - 5 AS output_rows,
+                        inserted_rows - 5 AS inserted_rows) FROM ev)
+WHERE l_linenumber = 3
 """)
 def evidence_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every log event parsed (redelivered events appear twice here)."""
-    return _parse_cols(_parsed(spark, sf_dir))
+    # Stored, as the flows are matched on the distinct values of the rows.
+    parsed = materialized(_parsed(spark, sf_dir).drop("evidence"), "parsed")
+    return _parse_cols(evo.with_flow(parsed, _flow_map(spark)))
 
 
 def _deduped(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -285,6 +306,29 @@ def evidence_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evo.failures(_deduped(spark, sf_dir))
 
 
+@register("step_details", "A13 F2 F3", sql=_EV_SQL + """
+SELECT batch_id, step, event_id,
+       CASE step WHEN 'glue_convert' THEN 'AWS Glue Job'
+            ELSE 'Lambda関数' END AS component,
+       CASE step WHEN 'prevalidate' THEN '事前検証'
+            WHEN 'glue_convert' THEN 'Glue変換'
+            WHEN 'redshift_load' THEN 'Redshiftロード'
+            WHEN 'finalize' THEN '終了処理' ELSE '監視処理' END
+           AS display_name,
+       coalesce(ok, true) AS ok, ts,
+       's3://landing/orders/' || split_part(event_id, '-', 1) || '.csv'
+           AS input_s3,
+       CASE WHEN NOT coalesce(ok, true)
+            THEN coalesce(error, 'Unknown error') END AS error
+FROM ev
+""")
+def step_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every step as a summary shows it."""
+    seen = evo.dedup_events(_parsed(spark, sf_dir), [
+        *evo.ROLLUP_INPUT, "input_s3", "output_s3"])
+    return evo.step_details(seen).drop("output_s3")
+
+
 @register("terminal_batches", "P16 A14", sql=_EV_SQL + """
 SELECT batch_id, CAST(count(*) AS BIGINT) AS events,
        CAST(count_if(is_terminal) AS BIGINT) AS terminal_events,
@@ -311,16 +355,14 @@ def write_envelopes(spark: SparkSession, sf_dir: str, path: str,
     env = ev.groupBy(*keys).agg(
         F.sort_array(F.collect_list(F.struct(
             F.col("event_id").alias("id"),
-            F.unix_millis(F.col("l_shipdate").cast("timestamp"))
-            .alias("timestamp"),
-            F.col("message").alias("message"), "copy"))).alias("events"))
+            F.unix_millis("delivered_at").alias("timestamp"),
+            F.col("message").alias("message")))).alias("events"))
     out = env.select(
         *(["year"] if by_year else []),
         F.lit("DATA_MESSAGE").alias("messageType"),
         F.col("log_group").alias("logGroup"),
         F.col("l_orderkey").cast("string").alias("logStream"),
-        F.transform("events", lambda e: e.dropFields("copy"))
-        .alias("logEvents"))
+        F.col("events").alias("logEvents"))
     writer = out.write.option("compression", "gzip")
     if by_year:
         writer = writer.partitionBy("year")
@@ -348,11 +390,11 @@ def evidence_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev_store, summaries = f"{root}/store", f"{root}/summaries"
     write_envelopes(spark, sf_dir, landing)
     store.archive_raw(spark, landing, raw)
-    flow_map = read_flow_map(spark, write_flow_map(
-        spark, REFERENCE_FLOW_PATTERNS))
-    events = evo.explode_envelopes(store.read_envelopes(spark, landing))
-    store.append_evidence(evo.parse_log_events(events, flow_map, CLOCK),
-                          ev_store)
+    # The archive (S16) is what is parsed, so it is read back whole.
+    events = evo.explode_envelopes(store.read_raw(spark, raw))
+    parsed = materialized(evo.parse_log_events(events, None, CLOCK)
+                          .drop("evidence"), "parsed")
+    store.append_evidence(evo.with_flow(parsed, _flow_map(spark)), ev_store)
     seen = store.read_evidence(spark, ev_store, columns=evo.ROLLUP_INPUT)
     store.write_summaries(evo.rollup(seen, terminal_only=True), summaries)
     # J5 + S13: the stored evidence of the finalized batches, read through
@@ -386,23 +428,43 @@ FROM pages
 """
 
 
-def _pages_flow(spark: SparkSession, sf_dir: str, inline: bool) -> DataFrame:
+@register("flow_classify", "J2 S17", sql=_PAGE_FLOW_SQL)
+def flow_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each page URL to the flow of its first matching pattern."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     flow_map = read_flow_map(spark, write_flow_map(spark, PAGE_FLOW_PATTERNS))
-    return classify_flow(pages, "url", flow_map,
-                         inline_limit=256 if inline else 0)
+    return classify_flow(pages, "url", flow_map)
 
 
-@register("flow_classify", "J2 S17", sql=_PAGE_FLOW_SQL)
-def flow_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each page URL to the flow of its first matching pattern."""
-    return _pages_flow(spark, sf_dir, inline=True)
+LARGE_MAP = 1000
 
 
-@register("flow_classify_join", "J2", sql=_PAGE_FLOW_SQL)
+@register("flow_classify_join", "J2", sql=f"""
+WITH m AS (
+  SELECT CAST(i AS BIGINT) AS ord, CASE WHEN i = 999 THEN '' ELSE
+         CAST((i * 37) % 997 AS VARCHAR) END AS pattern,
+         CASE WHEN i % 50 = 7 THEN NULL ELSE 'flow-' || CAST(i AS VARCHAR) END
+             AS flow
+  FROM range({LARGE_MAP}) t(i)),
+v AS (SELECT DISTINCT url FROM pages),
+h AS (SELECT url, arg_min({{'f': flow}}, (ord, pattern)) AS f
+      FROM v JOIN m ON contains(url, pattern) GROUP BY url)
+SELECT page_id, p.url, CASE WHEN h.url IS NULL THEN 'unknown-pipeline'
+                            ELSE h.f.f END AS flow
+FROM pages p LEFT JOIN h ON p.url = h.url
+""")
 def flow_classify_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same through the substring equi-join used for large maps."""
-    return _pages_flow(spark, sf_dir, inline=False)
+    """A map of a thousand number patterns over a shuffled input: an empty
+    pattern that matches all, null flows, patterns of one to three digits."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    i = F.col("id")
+    flow_map = spark.range(LARGE_MAP).select(
+        i.alias("ord"),
+        F.when(i == LARGE_MAP - 1, "").otherwise(
+            ((i * 37) % 997).cast("string")).alias("pattern"),
+        F.when(i % 50 != 7, F.concat(F.lit("flow-"), i.cast("string")))
+        .alias("flow"))
+    return classify_flow(pages.repartition("url"), "url", flow_map)
 
 
 # ---------------------------------------------------------------------------
@@ -524,7 +586,5 @@ def stream_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
         landing=f"{root}/landing/*", store=f"{root}/store",
         summaries=f"{root}/summaries", checkpoint=f"{root}/checkpoint",
         ingested_at=CLOCK, max_files_per_trigger=32)
-    flow_map = read_flow_map(spark, write_flow_map(
-        spark, REFERENCE_FLOW_PATTERNS))
-    run_until_done(start_evidence_stream(spark, cfg, flow_map))
+    run_until_done(start_evidence_stream(spark, cfg, _flow_map(spark)))
     return store.read_summaries(spark, cfg.summaries).select(*SUMMARY_COLUMNS)

@@ -9,7 +9,6 @@ a local one and nothing is configured (unit tests).
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -23,7 +22,6 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
     # AQE sizes post-shuffle partitions to this target and splits skewed
     # ones; the initial shuffle partition count only needs to be generous.
@@ -102,40 +100,23 @@ def new_run_dir(spark: SparkSession, kind: str) -> str:
     return shared_dir(spark, kind, uuid.uuid4().hex)
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so Python can address a local path."""
-    if path.startswith("file://"):
-        return path[len("file://"):]
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    return path
+def materialized(df: DataFrame, kind: str) -> DataFrame:
+    """Write ``df`` once to the shared folder and read it back, where a plan
+    would otherwise compute it twice (survives executor loss)."""
+    path = new_run_dir(df.sparkSession, kind)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def ensure_local_dir(path: str) -> None:
-    """Create a folder when the path is on the local file system."""
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(local_path(path), exist_ok=True)
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder (survives executor loss)."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def ensure_parallelism(df: DataFrame, min_partitions: int | None = None
-                       ) -> DataFrame:
+def ensure_parallelism(df: DataFrame) -> DataFrame:
     """Spread a scan that yields fewer splits than the cluster has cores.
 
     A large input already has thousands of splits and is returned as is;
     a small file with a single row group would otherwise put all per-row
     work (JSON encode/decode, text splitting) on one core.  Only the
-    partition count of the plan is inspected, nothing is executed.
+    partition count of the plan is inspected, nothing is executed, and the
+    rows are the same either way.
     """
-    try:
-        spark = df.sparkSession
-        target = min_partitions or spark.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
-    except Exception:  # e.g. a remote session without RDD access
-        return df
-    return df if current >= target else df.repartition(target)
+    target = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= target else \
+        df.repartition(target)

@@ -1,20 +1,31 @@
 """Evidence store (S12, S13), summary sink (S14), raw-envelope archive
 and the log-envelope source (S15).
 
-Evidence is an append-only Parquet dataset partitioned by ``batch_id``, so
-reading one batch (or the batches of a semi join) prunes partitions.
-Appends are at-least-once; readers de-duplicate on the event key, which
-makes a replayed micro-batch harmless.  Summaries are written with dynamic
-partition overwrite, so re-finalizing a batch replaces only its partition.
+Evidence and summaries are append-only Parquet datasets, partitioned by a hash
+bucket of the batch id.  The number of folders is fixed, however many batches
+there are, and the batch id is an ordinary text column (folder names would be
+read back as numbers where they look like some).  Reading a set of batches is
+a semi join on bucket and batch id, so partitions are pruned at run time.
+
+Appends are at-least-once.  Readers of the evidence keep the latest delivery
+of each event, readers of the summaries the latest version of each batch, so
+replays and corrections need no rewriting.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from runledger import schemas
 from runledger.operators.evidence import dedup_events
+from runledger.operators.keyed import latest_per_key
+
+BUCKETS = 64
+
+
+def bucket(batch_id: Column) -> Column:
+    return F.pmod(F.xxhash64(batch_id), F.lit(BUCKETS)).cast("int")
 
 
 def read_envelopes(spark: SparkSession, path: str) -> DataFrame:
@@ -29,69 +40,85 @@ def archive_raw(spark: SparkSession, src: str, dst: str) -> None:
      .option("compression", "gzip").text(dst))
 
 
-def append_evidence(evidence: DataFrame, store: str) -> None:
-    """Append evidence rows, one partition folder per batch.
+def read_raw(spark: SparkSession, path: str) -> DataFrame:
+    """The archived envelopes, parsed like newly arrived ones."""
+    return read_envelopes(spark, path)
+
 
-    ``rebalance`` on the partition column lets AQE write few files per
-    batch folder while splitting a batch that holds a large share of the
-    rows over several tasks (and coalescing the small ones)."""
+def append_evidence(evidence: DataFrame, store: str) -> None:
+    """Append evidence rows.  ``rebalance`` lets AQE write few files per
+    bucket while splitting one that holds a large share of the rows."""
     # The record is kept as the delivered text (``raw_message``); the
     # nested struct is an in-flight convenience and is not stored twice.
     rows = evidence.drop("evidence") if "evidence" in evidence.columns \
         else evidence
-    (rows.hint("rebalance", "batch_id")
-     .write.mode("append").partitionBy("batch_id").parquet(store))
+    (rows.withColumn("bucket", bucket(F.col("batch_id")))
+     .hint("rebalance", "bucket")
+     .write.mode("append").partitionBy("bucket").parquet(store))
 
 
-# Largest batch set turned into a partition filter on the driver.
-PRUNE_LIMIT = 10_000
-
-
-def restrict_partitions(df: DataFrame, batches: DataFrame | None
+def restrict_to_batches(df: DataFrame, batches: DataFrame | None
                         ) -> DataFrame:
-    """Keep the rows of the given batches.
-
-    A set of at most ``PRUNE_LIMIT`` batch ids (checked with a bounded
-    read) becomes an ``IN`` filter on the partition column, so only those
-    folders are listed and read.  A larger set is applied as a semi join
-    (distributed, no driver-side list)."""
+    """Rows of the given batches (all if None): a semi join whose bucket
+    column prunes partitions at run time."""
     if batches is None:
         return df
-    ids = batches.select("batch_id").distinct()
-    few = ids.limit(PRUNE_LIMIT + 1).collect()
-    if len(few) <= PRUNE_LIMIT:
-        return df.where(F.col("batch_id").isin([r.batch_id for r in few]))
-    return df.join(ids, "batch_id", "left_semi")
+    ids = batches.select("batch_id").distinct().withColumn(
+        "bucket", bucket(F.col("batch_id")))
+    return df.join(ids, ["bucket", "batch_id"], "left_semi")
 
 
 def read_evidence(spark: SparkSession, store: str,
                   batches: DataFrame | None = None,
                   dedup: bool = True,
                   columns: list[str] | None = None) -> DataFrame:
-    """Stored evidence, optionally for some batches only (partition
-    pruned, see ``restrict_partitions``), de-duplicated on the event key.  ``columns`` limits
-    the columns read (Parquet column pruning) and carried by the de-dup."""
-    df = restrict_partitions(spark.read.parquet(store), batches)
+    """Stored evidence, optionally of some batches only, with the latest
+    delivery of each event.  ``columns`` limits the columns read (Parquet
+    column pruning) and carried by the de-dup."""
+    df = restrict_to_batches(spark.read.parquet(store), batches) \
+        .drop("bucket")
     if columns:
         df = df.select(*columns)
     return dedup_events(df) if dedup else df
 
 
-def write_summaries(summaries: DataFrame, path: str) -> None:
-    """One summary row per batch; replaces only the batches given."""
-    (summaries.hint("rebalance", "batch_id").write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic")
-     .partitionBy("batch_id").parquet(path))
+SUMMARY_SCHEMA = (
+    "batch_id string, input_files bigint, input_rows bigint, "
+    "output_files bigint, output_rows bigint, redshift_loaded bigint, "
+    "steps bigint, failures bigint, started timestamp_ntz, "
+    "ended timestamp_ntz, status string")
+VERSIONED_SUMMARY = SUMMARY_SCHEMA + ", version bigint, bucket int"
 
 
-SUMMARY_SCHEMA = (
-    "input_files bigint, input_rows bigint, output_files bigint, "
-    "output_rows bigint, redshift_loaded bigint, steps bigint, "
-    "failures bigint, started timestamp_ntz, ended timestamp_ntz, "
-    "status string, batch_id string")
+def write_summaries(summaries: DataFrame, path: str, version: int = 0
+                    ) -> None:
+    """Append one version of the given batches' summaries."""
+    (summaries.withColumn("version", F.lit(version).cast("bigint"))
+     .withColumn("bucket", bucket(F.col("batch_id")))
+     .hint("rebalance", "bucket")
+     .write.mode("append").partitionBy("bucket").parquet(path))
 
 
 def read_summaries(spark: SparkSession, path: str) -> DataFrame:
-    """Summaries with their schema given, so a table that has no finalized
-    batch yet reads as empty."""
-    return spark.read.schema(SUMMARY_SCHEMA).parquet(path)
+    """The latest summary of every batch.  The schema is given, so a table
+    without a finalized batch reads as empty."""
+    rows = spark.read.schema(VERSIONED_SUMMARY).parquet(path).drop("bucket")
+    return latest_per_key(rows, ["batch_id"], ["version"]).drop("version")
+
+
+# Detail tables: one long row per step and per failure, beside the summaries.
+def write_details(details: DataFrame, path: str, version: int = 0) -> None:
+    """Append one version of the step rows of finalized batches."""
+    (details.withColumn("version", F.lit(version).cast("bigint"))
+     .withColumn("bucket", bucket(F.col("batch_id")))
+     .hint("rebalance", "bucket")
+     .write.mode("append").partitionBy("bucket").parquet(path))
+
+
+def read_details(spark: SparkSession, path: str) -> DataFrame:
+    """Step rows of the latest version of every batch."""
+    rows = spark.read.parquet(path)
+    top = rows.groupBy("bucket", "batch_id").agg(
+        F.max("version").alias("version"))
+    return rows.join(top, ["bucket", "batch_id", "version"]).drop(
+        "bucket", "version")

@@ -1,36 +1,33 @@
 """Continuous evidence ingestion (ST1-ST4) with Structured Streaming.
 
     readStream (JSON envelopes) -> explode -> parse (P12-P15)
-        -> dropDuplicates on the event key (ST2, state store)
+        -> duplicates within the watermark dropped (ST2)
         -> foreachBatch:
-             append the new events to the store (S12)
-             partial roll-up of this micro-batch per batch, written as
-               the (batch_id, epoch) partition of a partials table
-             merge the partials of the batches touched, finalize the
-               terminated ones (ST3, ST4) -> summaries (S14)
-
-Work per micro-batch is proportional to the new events plus one partial
-row per (batch, earlier micro-batch) -- never to the stored history, so a
-batch that keeps receiving evidence (even one holding a third of all rows)
-is not re-read on every trigger.
-
-Exactly-once: de-duplication state is keyed by (batch, step, event id) in
-the checkpointed state store, spread over shuffle partitions by the whole
-key.  ``foreachBatch`` may re-run an epoch after a failure; the partials
-of that epoch are written with dynamic partition overwrite of exactly the
-(batch_id, epoch) partitions, and summaries overwrite their batch
-partition, so a replay changes nothing.  Evidence appends are at least
-once and readers of the store de-duplicate on the key.
-
-Whether a batch terminated is unbounded in time, so it lives in the
-partials table rather than in operator state.  Late evidence of a
-terminated batch re-finalizes it (``refinalize_late``); without the flag a
-batch is finalized only in a micro-batch that carries its terminal event,
-as the reference does.
+             flows of the new events (J2), append to the store (S12)
+             the touched batches read back from the store (latest delivery
+               of each event), rolled up, the terminated ones finalized
+               (ST3, ST4): summaries (S14) and step details
+
+The latest delivery of an event wins, as in the batch path: both read the same
+store with the same rule.  The stream only drops literal repeats (same event,
+same text) within ``watermark`` of their arrival, which bounds its state; a
+repeat that comes later is stored again and settled on read.  Summaries are
+appended in versions, so a replayed epoch or a new checkpoint adds an equal
+version and loses nothing.
+
+A micro-batch reads the stored evidence of the batches it touches, through a
+semi join that prunes hash buckets.  That costs more than running totals, but
+totals can't take back a corrected event, and a run has few step events.
+
+Whether a batch terminated is a property of its stored evidence.  Late evidence
+of a terminated batch re-finalizes it (``refinalize_late``); without the flag a
+batch is finalized only in a micro-batch that carries its terminal event, as
+the reference does.
 """
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -50,10 +47,10 @@ ROCKSDB_PROVIDER = ("org.apache.spark.sql.execution.streaming.state."
 @dataclass
 class EvidenceStreamConfig:
     landing: str                 # folder (or glob) the envelopes arrive in
-    store: str                   # evidence table (partitioned by batch_id)
-    summaries: str               # summary table (partitioned by batch_id)
+    store: str                   # evidence table
+    summaries: str               # summary table
     checkpoint: str              # stream checkpoint, shared storage
-    ingested_at: str             # arrival clock written with each row
+    ingested_at: str             # arrival of events without a timestamp
     max_files_per_trigger: int | None = None
     refinalize_late: bool = True
     mode: str = "by_step"
@@ -65,9 +62,12 @@ class EvidenceStreamConfig:
     # the session's provider -- the choice for very large key state.
     rocksdb_state: bool = False
 
+    # How long literal repeats are recognised in the stream.
+    watermark: str = "1 day"
+
     @property
-    def partials(self) -> str:
-        return self.summaries.rstrip("/") + "_partials"
+    def details(self) -> str:
+        return self.summaries.rstrip("/") + "_steps"
 
 
 def envelope_stream(spark: SparkSession, cfg: EvidenceStreamConfig
@@ -81,50 +81,35 @@ def envelope_stream(spark: SparkSession, cfg: EvidenceStreamConfig
     return reader.json(cfg.landing)
 
 
-def _pinned_flow_map(spark: SparkSession, flow_map: DataFrame | None
-                     ) -> DataFrame | None:
-    """Resolve the (size-checked) flow map once, not per micro-batch."""
-    if flow_map is None:
-        return None
-    from runledger.operators.flows import INLINE_LIMIT
-    rows = flow_map.select("ord", "pattern", "flow") \
-        .limit(INLINE_LIMIT + 1).collect()
-    if len(rows) > INLINE_LIMIT:
-        return flow_map
-    return spark.createDataFrame(rows, "ord int, pattern string, flow string")
-
-
-def evidence_events(envelopes: DataFrame, flow_map: DataFrame | None,
-                    ingested_at: str) -> DataFrame:
-    """Parsed, flattened evidence events of (streaming) envelopes."""
-    return evo.parse_log_events(evo.explode_envelopes(envelopes), flow_map,
-                                ingested_at)
+def evidence_events(envelopes: DataFrame, ingested_at: str) -> DataFrame:
+    """Parsed, flattened evidence events of (streaming) envelopes, without
+    flows."""
+    return evo.parse_log_events(evo.explode_envelopes(envelopes), None,
+                                ingested_at).drop("flow")
 
 
-def make_batch_writer(spark: SparkSession, cfg: EvidenceStreamConfig):
-    """The ``foreachBatch`` function over de-duplicated new events
-    (exposed for direct testing)."""
+def make_batch_writer(spark: SparkSession, cfg: EvidenceStreamConfig,
+                      flow_map: DataFrame | None = None):
+    """The ``foreachBatch`` function over new events without flows (exposed
+    for direct testing)."""
 
     def process(events: DataFrame, epoch_id: int) -> None:
+        # Parsed once: the flows, the append and the touched batches all
+        # read the micro-batch.
         new = events.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            # The append materializes the whole micro-batch into the cache
-            # (a limit-based emptiness test would fill it only partly).
-            store.append_evidence(new, cfg.store)
-            delta = evo.rollup_partials(new, cfg.mode) \
-                .withColumn("epoch", F.lit(epoch_id).cast("bigint"))
-            (delta.hint("rebalance", "batch_id").write.mode("overwrite")
-             .option("partitionOverwriteMode", "dynamic")
-             .partitionBy("batch_id", "epoch").parquet(cfg.partials))
-            touched = delta
-            if not cfg.refinalize_late:
-                touched = touched.where(F.col("terminal"))
-            partials = store.restrict_partitions(
-                spark.read.parquet(cfg.partials), touched)
-            merged = evo.combine_partials(partials.drop("epoch"))
-            store.write_summaries(
-                evo.finish_rollup(merged, terminal_only=True),
-                cfg.summaries)
+            store.append_evidence(evo.with_flow(new, flow_map), cfg.store)
+            touched = new if cfg.refinalize_late else new.where("is_terminal")
+            seen = store.read_evidence(
+                spark, cfg.store, batches=touched,
+                columns=[*evo.ROLLUP_INPUT, "input_s3", "output_s3"])
+            version = time.time_ns() // 1_000_000   # later runs win
+            done = evo.rollup(seen, cfg.mode, terminal_only=True)
+            store.write_summaries(done, cfg.summaries, version)
+            store.write_details(
+                evo.restrict_to(evo.step_details(seen),
+                                done.select("batch_id")),
+                cfg.details, version)
         finally:
             new.unpersist()
 
@@ -139,10 +124,14 @@ def start_evidence_stream(spark: SparkSession, cfg: EvidenceStreamConfig,
     ``available_now`` it processes what has arrived -- in several
     micro-batches when a file cap is set -- and stops."""
     envelopes = envelope_stream(spark, cfg)
-    events = evidence_events(envelopes, _pinned_flow_map(spark, flow_map),
-                             cfg.ingested_at).dropDuplicates(evo.EVENT_KEY)
+    events = (evidence_events(envelopes, cfg.ingested_at)
+              # The time of arrival here, so that nothing is ever too late.
+              .withColumn("_time", F.current_timestamp())
+              .withWatermark("_time", cfg.watermark)
+              .dropDuplicatesWithinWatermark([*evo.EVENT_KEY, "event_hash"])
+              .drop("_time"))
     writer = (events.writeStream
-              .foreachBatch(make_batch_writer(spark, cfg))
+              .foreachBatch(make_batch_writer(spark, cfg, flow_map))
               .option("checkpointLocation", cfg.checkpoint))
     writer = (writer.trigger(availableNow=True) if available_now
               else writer.trigger(processingTime="30 seconds"))

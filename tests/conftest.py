@@ -26,10 +26,10 @@ def spark():
 @pytest.fixture()
 def tmp_dir(spark):
     """A fresh folder below the shared checkpoint root."""
-    from runledger.session import ensure_local_dir, local_path, new_run_dir
-    path = new_run_dir(spark, "test")
-    ensure_local_dir(path)
-    return local_path(path)
+    from runledger.session import new_run_dir
+    path = new_run_dir(spark, "test").removeprefix("file:")
+    os.makedirs(path, exist_ok=True)
+    return path
 
 
 def rows(df, *cols):

@@ -8,20 +8,19 @@ import json
 import os
 
 from runledger.operators import evidence as evo
-from runledger.operators.flows import (
-    classify_flow, classify_flow_join, read_flow_map)
+from runledger.operators.flows import classify_flow, read_flow_map
 from runledger.sources import evidence_store as store
 from runledger.streaming.evidence_stream import (
     EvidenceStreamConfig, make_batch_writer, run_until_done,
     start_evidence_stream)
 from tests.conftest import rows
 
-CLOCK = "2025-08-27 14:05:00"
-ARN = "arn:aws:states:r:a:execution:sf-etl-observer-dev-ingest:x1"
+CLOCK = "2024-03-05 14:05:00"
+ARN = "arn:aws:states:r:a:execution:machine-csv-ingest:x1"
 
 
 def ev(batch, step, rows_in=None, rows_out=None, inserted=None, ok=True,
-       ts="2025-08-27T14:01:45", **extra):
+       ts="2024-03-05T14:01:45", **extra):
     e = {"batch_id": batch, "step": step, "ts": ts, "input": {},
          "output": {}, "load": {}}
     if ok is not None:
@@ -37,7 +36,7 @@ def ev(batch, step, rows_in=None, rows_out=None, inserted=None, ok=True,
 
 
 GLUE = "/aws-glue/jobs/output"
-STATES = "/aws/states/sf-etl-observer-dev-ingest"
+STATES = "/aws/states/machine-csv-ingest"
 
 
 def _events(spark):
@@ -86,8 +85,8 @@ def _events(spark):
 
 def _flow_map(spark, tmp_dir, patterns=None):
     patterns = patterns or {
-        "sf-etl-observer-dev-ingest": "csv-to-parquet-pipeline",
-        "sf-json-processor-dev-ingest": "json-to-dynamodb-pipeline"}
+        "machine-csv-ingest": "csv-to-parquet-pipeline",
+        "machine-json-ingest": "json-to-dynamodb-pipeline"}
     os.makedirs(f"{tmp_dir}/fm", exist_ok=True)
     with open(f"{tmp_dir}/fm/flow_mapping.json", "w") as fh:
         json.dump({"flow_patterns": patterns}, fh)
@@ -116,7 +115,7 @@ def test_parse_rules(spark, tmp_dir):
     assert got["9"][0].flow == "unknown-pipeline"
     assert got["9"][0].error == "copy failed"      # Payload searched last
     assert len(got["10"]) == 2                     # redelivered
-    assert str(got["1"][0].ts) == "2025-08-27 14:01:45"
+    assert str(got["1"][0].ts) == "2024-03-05 14:01:45"
     dedup = evo.dedup_events(parsed)
     assert dedup.count() == parsed.count() - 1
     seen = {r.batch_id: r for r in evo.batches_seen(dedup).collect()}
@@ -126,10 +125,10 @@ def test_parse_rules(spark, tmp_dir):
 def test_rollup_modes_and_reconcile(spark):
     data = [
         ev("B1", "prevalidate", ok=None),
-        ev("B1", "glue_convert", 10, 10, ts="2025-08-27T14:01:45"),
+        ev("B1", "glue_convert", 10, 10, ts="2024-03-05T14:01:45"),
         ev("B1", "redshift_load", 10, 20, inserted=20,
-           ts="2025-08-27T14:02:30"),
-        ev("B1", "finalize", inserted=20, ts="2025-08-27T14:02:54",
+           ts="2024-03-05T14:02:30"),
+        ev("B1", "finalize", inserted=20, ts="2024-03-05T14:02:54",
            is_terminal=True),
         ev("B2", "glue_convert", 0, 0),
         ev("B2", "redshift_load", ok=False),
@@ -144,8 +143,8 @@ def test_rollup_modes_and_reconcile(spark):
     assert (b1.input_files, b1.input_rows, b1.output_files, b1.output_rows,
             b1.redshift_loaded, b1.failures, b1.status) == (
         1, 10, 1, 10, 20, 0, "OK")
-    assert str(b1.started) == "2025-08-27 14:01:45"
-    assert str(b1.ended) == "2025-08-27 14:02:54"
+    assert str(b1.started) == "2024-03-05 14:01:45"
+    assert str(b1.ended) == "2024-03-05 14:02:54"
     b2 = by_step["B2"]   # zero rows count nowhere
     assert (b2.input_files, b2.input_rows, b2.failures, b2.status) == (
         0, 0, 1, "ERROR")
@@ -166,23 +165,35 @@ def test_rollup_modes_and_reconcile(spark):
     assert [(f.batch_id, f.error) for f in fails] == [("B2", "Unknown error")]
 
 
-def test_flow_strategies_agree(spark, tmp_dir):
-    fm = _flow_map(spark, tmp_dir, {"abc": "first", "b": "second",
-                                    "zz": "third"})
-    vals = spark.createDataFrame([("xabcx",), ("b",), ("nothing",), (None,),
-                                  ("zzb",)], "v string")
-    inline = rows(classify_flow(vals, "v", fm), "v", "flow")
-    joined = rows(classify_flow_join(vals, "v", fm), "v", "flow")
-    assert inline == joined
-    assert dict((v, f) for v, f in inline if v) == {
-        "xabcx": "first", "b": "second", "nothing": "unknown-pipeline",
-        "zzb": "second"}
-
-
-def _write_envelopes(path, name, events):
+def test_flow_map_of_any_size(spark):
+    """First pattern in map order, against a plain loop: short, empty and
+    repeated patterns, equal order, null flows and null values."""
+    rules = [(3, "abc", "first"), (4, "b", "second"), (5, "zz", None),
+             (5, "zq", "tie"), (9, "abcd", "late"), (0, "never", "x")]
+    rules += [(100 + k, f"p{k}", f"f{k}") for k in range(1200)]
+    vals = ["xabcx", "b", "nothing", None, "zz", "zzq", "zqz", "abcd", "",
+            "p7", "xp1199", "p1", "ZZ"] * 3
+    for extra in ([], [(50, "", "any")], [(1, "", None)]):
+        fm = spark.createDataFrame(rules + extra,
+                                   "ord int, pattern string, flow string")
+        df = spark.createDataFrame([(v,) for v in vals], "v string") \
+            .repartition("v")
+        want = []
+        for v in vals:
+            hits = sorted(r[:2] for r in rules + extra
+                          if v is not None and r[1] in v)
+            flow = "unknown-pipeline" if not hits else next(
+                r[2] for r in rules + extra if r[:2] == hits[0])
+            want.append((v, flow))
+        got = [(r.v, r.flow) for r in classify_flow(df, "v", fm).collect()]
+        assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def _write_envelopes(path, name, events, timestamp=None):
     os.makedirs(path, exist_ok=True)
     env = {"messageType": "DATA_MESSAGE", "logGroup": GLUE,
-           "logEvents": [{"id": i, "message": m} for i, m in events]}
+           "logEvents": [{"id": i, "message": m, "timestamp": timestamp}
+                         for i, m in events]}
     with gzip.open(f"{path}/{name}.json.gz", "wt") as fh:
         fh.write(json.dumps(env) + "\n")
 
@@ -212,7 +223,7 @@ def test_stream_equals_batch_and_replay(spark, tmp_dir):
         ("2", "EVIDENCE " + json.dumps(ev("B2", "glue_convert", 7, 7)))])
     _write_envelopes(land, "2", [
         ("3", "EVIDENCE " + json.dumps(ev("B1", "finalize", is_terminal=True,
-                                          ts="2025-08-27T15:00:00")))])
+                                          ts="2024-03-05T15:00:00")))])
     _write_envelopes(land, "3", [   # late evidence after the terminal event
         ("4", "EVIDENCE " + json.dumps(ev("B1", "redshift_load",
                                           inserted=10))),
@@ -222,7 +233,9 @@ def test_stream_equals_batch_and_replay(spark, tmp_dir):
         checkpoint=f"{tmp_dir}/ck", ingested_at=CLOCK,
         max_files_per_trigger=1, raw_archive=f"{tmp_dir}/raw",
         rocksdb_state=True)
-    run_until_done(start_evidence_stream(spark, cfg))
+    many = spark.range(300).selectExpr(
+        "id as ord", "concat('m', id) as pattern", "'f' as flow")
+    run_until_done(start_evidence_stream(spark, cfg, many))
     streamed = store.read_summaries(spark, cfg.summaries)
     all_events = evo.parse_log_events(
         evo.explode_envelopes(store.read_envelopes(spark, land)), None,
@@ -235,8 +248,51 @@ def test_stream_equals_batch_and_replay(spark, tmp_dir):
     assert got[0].redshift_loaded == 10            # late evidence included
     assert got[0].input_rows == 10                 # redelivery not counted
     assert spark.read.text(f"{tmp_dir}/raw").count() == 3
-    assert spark.read.parquet(cfg.partials).select("epoch").distinct() \
-        .count() == 3                              # one micro-batch per file
+    steps = store.read_details(spark, cfg.details).collect()
+    assert sorted(r.step for r in steps) == [
+        "finalize", "glue_convert", "redshift_load"]
+
+
+def test_stream_ids_corrections_and_new_checkpoint(spark, tmp_dir):
+    """Ids that look like numbers stay apart; the latest delivery wins; a
+    second checkpoint over the same store loses nothing."""
+    land = f"{tmp_dir}/land"
+
+    def line(batch, step, *a, **k):
+        return "EVIDENCE " + json.dumps(ev(batch, step, *a, **k))
+
+    hour = 3_600_000
+    _write_envelopes(land, "1", [
+        ("1", line("007", "glue_convert", 5, 5, ok=False, error="bad")),
+        ("2", line("007", "finalize", is_terminal=True)),
+        ("1", line("7", "glue_convert", 3, 3)),
+        ("2", line("7", "finalize", is_terminal=True)),
+        ("1", line("2024-01-01", "finalize", is_terminal=True)),
+        ("9", line(None, "glue_convert", 1, 1))], timestamp=hour)
+    _write_envelopes(land, "2", [
+        ("1", line("007", "glue_convert", 9, 9))], timestamp=2 * hour)
+    _write_envelopes(land, "3", [     # delivered before, arrives after
+        ("1", line("7", "glue_convert", 1, 1))], timestamp=hour // 2)
+    cfg = EvidenceStreamConfig(
+        landing=land, store=f"{tmp_dir}/st", summaries=f"{tmp_dir}/sum",
+        checkpoint=f"{tmp_dir}/ck", ingested_at=CLOCK,
+        max_files_per_trigger=1)
+    run_until_done(start_evidence_stream(spark, cfg))
+
+    def check():
+        got = {r.batch_id: r for r in
+               store.read_summaries(spark, cfg.summaries).collect()}
+        assert set(got) == {"007", "7", "2024-01-01"}
+        assert (got["007"].input_rows, got["007"].failures,
+                got["007"].steps) == (9, 0, 2)
+        assert (got["7"].input_rows, got["7"].steps) == (3, 2)
+    check()
+    ids = {r.batch_id for r in store.read_evidence(spark, cfg.store)
+           .collect()}
+    assert ids == {"007", "7", "2024-01-01", "B3600"}
+    cfg.checkpoint = f"{tmp_dir}/ck2"
+    run_until_done(start_evidence_stream(spark, cfg))
+    check()
 
 
 def test_foreach_batch_replay_is_idempotent(spark, tmp_dir):
@@ -295,4 +351,4 @@ def test_missing_batch_id_and_routing(spark):
          (GLUE, "2", state_like)],              # not a state-machine group
         "log_group string, event_id string, message string")
     got = evo.parse_log_events(events, None, CLOCK).collect()
-    assert [(r.event_id, r.batch_id) for r in got] == [("1", "B202508271405")]
+    assert [(r.event_id, r.batch_id) for r in got] == [("1", "B1709647500")]
