@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from runledger.llm import (
     block_naming, bm25_packing, bpe_count, count_tree, quote_links,
-    secret_scan, spaced_seeds, toxic_mil, weak_quality)
+    secret_scan, spaced_seeds, suffix_names, toxic_mil, weak_quality)
 from runledger.llm.common import documents, table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
