@@ -24,6 +24,7 @@ rows and ties are packed row by row; an empty table gives an empty result.
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -69,7 +70,7 @@ class Encoder:
 
     def whole(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return np.array(ids, "<u2").tobytes()
+        return struct.pack(f"<{len(ids)}H", *ids)
 
     def _piece(self, piece: str, blank: str, cache: dict[str, bytes]
                ) -> bytes:
