@@ -45,6 +45,7 @@ K1, B = 1.2, 0.75
 NEIGHBOURS = 32             # ranked per seed; the first unused are always used
 IDS = 1 << 16               # identifiers are below this
 CACHE_ENTRIES = 400_000
+LATIN = 0x250               # code points of the Latin letters end here
 
 _ADJACENT = re.compile(r"\s\s")
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, "
@@ -67,11 +68,26 @@ class Encoder:
         self.first: dict[str, bytes] = {}    # pieces with no blank before
         self.spaced: dict[str, bytes] = {}   # pieces after a blank
         self.line_feed = self.whole("\n")
+        # Byte-level spelling of the Latin letters and the blank.
+        spell = self.tokenizer.pre_tokenizer.pre_tokenize_str
+        self.model = self.tokenizer.model
+        self.spelling = {c: spell(c)[0][0] for c in map(chr, range(LATIN))
+                         if c.isalpha() or c == " "}
 
     def whole(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return struct.pack(f"<{len(ids)}H", *ids)
 
+    def letters(self, word: str) -> bytes | None:
+        """Ids of a blank and Latin letters, which are one word of the
+        tokenizer's pattern; None for anything else."""
+        try:
+            spelt = "".join([self.spelling[c] for c in word])
+        except KeyError:
+            return None
+        ids = [t.id for t in self.model.tokenize(spelt)]
+        return struct.pack(f"<{len(ids)}H", *ids)
+
     def _piece(self, piece: str, blank: str, cache: dict[str, bytes]
                ) -> bytes:
         if len(cache) >= self.limit:
@@ -81,14 +97,21 @@ class Encoder:
             word = piece[:-1]
             ids = cache.get(word)
             if ids is None:
-                ids = cache[word] = self.whole(blank + word)
+                ids = cache[word] = self._word(blank + word)
             ids += self._mark(piece[-1])
         else:
-            ids = self.whole(blank + piece)
+            ids = self._word(blank + piece)
         if len(piece) <= 64:
             cache[piece] = ids
         return ids
 
+    def _word(self, text: str) -> bytes:
+        if text.rfind(" ") <= 0 and len(text) > 1:
+            ids = self.letters(text)
+            if ids is not None:
+                return ids
+        return self.whole(text)
+
     def _mark(self, mark: str) -> bytes:
         ids = self.first.get(mark)
         if ids is None:
@@ -109,10 +132,12 @@ class Encoder:
                 ids = first.get(pieces[0])
                 out.append(self._piece(pieces[0], "", first)
                            if ids is None else ids)
-            for p in pieces[1:]:
-                ids = spaced.get(p)
-                out.append(self._piece(p, " ", spaced)
-                           if ids is None else ids)
+            del pieces[0]
+            known = list(map(spaced.get, pieces))
+            if None in known:
+                known = [self._piece(p, " ", spaced) if ids is None else ids
+                         for p, ids in zip(pieces, known)]
+            out += known
         return b"".join(out)
 
 
