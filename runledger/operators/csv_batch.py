@@ -45,17 +45,19 @@ def conversion_ok(state: Column) -> Column:
 def file_results(files: DataFrame, conversions: DataFrame,
                  loads: DataFrame) -> DataFrame:
     """``files(batch_id, key)`` left-joined with conversion results
-    ``(key, job_state, error_message, rows)`` and raw load results
-    ``(key, load_result)``; attribution is by step (Q3)."""
-    joined = (files.join(conversions, "key", "left")
-              .join(loads, "key", "left"))
+    ``(batch_id, key, job_state, error_message, input_rows, rows)`` and raw
+    load results ``(batch_id, key, load_result)``; a key may stand in several
+    batches.  Attribution is by step (Q3)."""
+    joined = (files.join(conversions, ["batch_id", "key"], "left")
+              .join(loads, ["batch_id", "key"], "left"))
     payload = decode_payload(F.col("load_result"))
     return joined.select(
         "batch_id", "key",
         conversion_ok(F.col("job_state")).alias("converted"),
         F.coalesce(F.col("error_message"), F.lit(GLUE_DEFAULT_ERROR))
         .alias("convert_error"),
-        F.coalesce(F.col("rows"), F.lit(0)).cast("bigint").alias("rows"),
+        *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c)
+          for c in ("input_rows", "rows")],
         F.col("load_result").isNotNull().alias("load_ran"),
         F.coalesce(payload.success, F.lit(False)).alias("loaded"),
         F.coalesce(payload.inserted_rows, F.lit(0)).alias("inserted_rows"),
@@ -67,13 +69,14 @@ def batch_summary(results: DataFrame,
                   prevalidate_errors: DataFrame | None = None) -> DataFrame:
     """A4: counts per batch; SUCCESS iff no failures and every file was
     both converted and loaded, else PARTIAL_FAILURE.  Row totals are
-    summed from the conversion results (Q2)."""
+    summed from the conversion results (Q2).  A batch of which nothing but
+    validation errors is known is listed too."""
     loaded = F.col("converted") & F.col("loaded")
     per_batch = results.groupBy("batch_id").agg(
         F.count(F.lit(1)).alias("total_input_files"),
         F.count_if("converted").alias("successful_conversions"),
         F.count_if(loaded).alias("successful_loads"),
-        F.sum(F.when(F.col("converted"), F.col("rows")).otherwise(0))
+        F.sum(F.when(F.col("converted"), F.col("input_rows")).otherwise(0))
         .cast("bigint").alias("total_input_rows"),
         F.sum(F.when(F.col("converted"), F.col("rows")).otherwise(0))
         .cast("bigint").alias("total_output_rows"),
@@ -82,10 +85,13 @@ def batch_summary(results: DataFrame,
         (F.count_if(~F.col("converted"))
          + F.count_if(F.col("converted") & F.col("load_ran")
                       & ~F.col("loaded"))).alias("_step_failures"))
+    counts = [c for c in per_batch.columns if c != "batch_id"]
     if prevalidate_errors is not None:
         pre = prevalidate_errors.groupBy("batch_id").agg(
             F.count(F.lit(1)).alias("_pre_failures"))
-        per_batch = per_batch.join(pre, "batch_id", "left")
+        per_batch = per_batch.join(pre, "batch_id", "full_outer").select(
+            "batch_id", *[F.coalesce(c, F.lit(0)).alias(c)
+                          for c in [*counts, "_pre_failures"]])
     else:
         per_batch = per_batch.withColumn("_pre_failures", F.lit(0))
     failures = (F.col("_step_failures")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from runledger.operators import csv_batch as cb
 from runledger.operators import validate as va
 from runledger.plans.registry import register, table
-from runledger.session import new_run_dir
+from runledger.session import materialized, new_run_dir
 from runledger.sources import csv_parquet as cp
 
 # Fixed derivation values: file suffix per language (others ".csv") and a
@@ -113,67 +113,93 @@ def manifest_batch_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 PENDING_ERROR = "Glue job failed: order pending"
 NO_ROWS_ERROR = "no rows to load"
+KEYS = 3   # file numbers of a customer
 
 
 def _file_results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders are files (batched by priority); pending orders fail their
-    conversion; a converted order loads its line items, and an order
-    without items fails its load.  Load payloads alternate between a JSON
-    string and an object."""
+    """Orders of a customer are files, batched by priority; the same file
+    name stands in several batches.  Pending orders fail their conversion; a
+    converted file loads its line items, and one without items fails its
+    load.  Load payloads alternate between a JSON string and an object."""
     orders = table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_orderstatus", "o_orderpriority")
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
     counts = (table(spark, sf_dir, "lineitem").groupBy("l_orderkey")
               .agg(F.count(F.lit(1)).alias("n")))
-    base = orders.join(counts, orders.o_orderkey == counts.l_orderkey,
-                       "left").select(
+    pending = F.col("o_orderstatus") == "P"
+    n = F.coalesce("n", F.lit(0))
+    # A fifth of the rows of a file are read and not written.
+    base = materialized(orders.join(
+        counts, orders.o_orderkey == counts.l_orderkey, "left").select(
         F.col("o_orderpriority").alias("batch_id"),
-        F.concat(F.lit("orders/"), F.col("o_orderkey").cast("string"),
-                 F.lit(".csv")).alias("key"),
-        "o_orderstatus", F.coalesce("n", F.lit(0)).alias("n"))
+        F.concat(F.lit("orders/"), (F.col("o_orderkey") % KEYS)
+                 .cast("string"), F.lit("-"), F.col("o_custkey")
+                 .cast("string"), F.lit(".csv")).alias("key"),
+        pending.alias("pending"), (F.col("o_orderstatus") == "O")
+        .alias("nested"), n.alias("n")).groupBy("batch_id", "key").agg(
+        F.bool_or("pending").alias("pending"),
+        F.bool_or("nested").alias("nested"), F.sum("n").alias("n")),
+        "file_results")
     files = base.select("batch_id", "key")
-    pending = F.col("o_orderstatus") == "P"
     conversions = base.select(
-        "key",
-        F.when(pending, "FAILED").otherwise(cb.SUCCEEDED_STATE)
+        "batch_id", "key",
+        F.when(F.col("pending"), "FAILED").otherwise(cb.SUCCEEDED_STATE)
         .alias("job_state"),
-        F.when(pending, PENDING_ERROR).alias("error_message"),
+        F.when(F.col("pending"), PENDING_ERROR).alias("error_message"),
+        (F.col("n") + F.expr("n div 4")).alias("input_rows"),
         F.col("n").alias("rows"))
     payload = F.to_json(F.struct(
         (F.col("n") > 0).alias("success"),
         F.col("n").alias("inserted_rows"),
         F.when(F.col("n") == 0, NO_ROWS_ERROR).alias("error")))
-    loads = base.where(~pending).select(
-        "key",
-        F.when(F.col("o_orderstatus") == "O",
-               F.to_json(F.struct(payload.alias("Payload"))))
+    loads = base.where("not pending").select(
+        "batch_id", "key",
+        F.when(F.col("nested"), F.to_json(F.struct(payload.alias("Payload"))))
         .otherwise(F.concat(F.lit('{"Payload":'), payload, F.lit("}")))
         .alias("load_result"))
     return cb.file_results(files, conversions, loads)
 
 
-_FILES_SQL = """
+def _prevalidate_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Validation errors of the batches, and of one with nothing else."""
+    orders = table(spark, sf_dir, "orders").where("o_orderkey % 50 = 0")
+    return orders.select(
+        F.when(F.col("o_orderkey") % 100 == 0, F.lit("0-REJECTED"))
+        .otherwise(F.col("o_orderpriority")).alias("batch_id"),
+        F.concat(F.lit("Not a CSV file: "), F.col("o_orderkey")
+                 .cast("string")).alias("reason"))
+
+
+_FILES_SQL = f"""
 WITH n AS (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY l_orderkey),
 f AS (SELECT o.o_orderpriority AS batch_id,
-             'orders/' || CAST(o.o_orderkey AS VARCHAR) || '.csv' AS key,
-             o.o_orderstatus <> 'P' AS conv_ok,
-             CAST(coalesce(n.n, 0) AS BIGINT) AS n
-      FROM orders o LEFT JOIN n ON o.o_orderkey = n.l_orderkey)
+             'orders/' || CAST(o.o_orderkey % {KEYS} AS VARCHAR) || '-'
+                 || CAST(o.o_custkey AS VARCHAR) || '.csv' AS key,
+             NOT bool_or(o.o_orderstatus = 'P') AS conv_ok,
+             CAST(sum(coalesce(n.n, 0)) AS BIGINT) AS n
+      FROM orders o LEFT JOIN n ON o.o_orderkey = n.l_orderkey
+      GROUP BY 1, 2),
+p AS (SELECT CASE WHEN o_orderkey % 100 = 0 THEN '0-REJECTED'
+                  ELSE o_orderpriority END AS batch_id,
+             'Not a CSV file: ' || CAST(o_orderkey AS VARCHAR) AS reason
+      FROM orders WHERE o_orderkey % 50 = 0)
 """
 
 
 @register("csv_batch_summary", "A4 J3 P18 P19", sql=_FILES_SQL + """
-, s AS (SELECT batch_id, CAST(count(*) AS BIGINT) AS total_input_files,
-             CAST(count_if(conv_ok) AS BIGINT) AS successful_conversions,
-             CAST(count_if(conv_ok AND n > 0) AS BIGINT) AS successful_loads,
-             CAST(sum(CASE WHEN conv_ok THEN n ELSE 0 END) AS BIGINT)
+, a AS (SELECT batch_id, 1 AS files, conv_ok, n, 0 AS pre FROM f
+        UNION ALL SELECT batch_id, 0, NULL, 0, 1 FROM p),
+s AS (SELECT batch_id, CAST(sum(files) AS BIGINT) AS total_input_files,
+             CAST(count_if(coalesce(conv_ok, false)) AS BIGINT) AS successful_conversions,
+             CAST(count_if(coalesce(conv_ok AND n > 0, false)) AS BIGINT) AS successful_loads,
+             CAST(sum(CASE WHEN conv_ok THEN n + n // 4 ELSE 0 END) AS BIGINT)
                  AS total_input_rows,
              CAST(sum(CASE WHEN conv_ok THEN n ELSE 0 END) AS BIGINT)
                  AS total_output_rows,
              CAST(sum(CASE WHEN conv_ok AND n > 0 THEN n ELSE 0 END) AS BIGINT)
                  AS total_loaded_rows,
-             CAST(count_if(NOT conv_ok) + count_if(conv_ok AND n = 0)
-                  AS BIGINT) AS failure_count
-      FROM f GROUP BY batch_id)
+             CAST(count_if(coalesce(NOT conv_ok, false)) + count_if(coalesce(conv_ok AND n = 0, false))
+                  + sum(pre) AS BIGINT) AS failure_count
+      FROM a GROUP BY batch_id)
 SELECT *, CASE WHEN failure_count = 0
                     AND successful_conversions = total_input_files
                     AND successful_loads = total_input_files
@@ -181,7 +207,8 @@ SELECT *, CASE WHEN failure_count = 0
 FROM s
 """)
 def csv_batch_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cb.batch_summary(_file_results(spark, sf_dir))
+    return cb.batch_summary(_file_results(spark, sf_dir),
+                            _prevalidate_errors(spark, sf_dir))
 
 
 @register("csv_batch_failures", "U1", sql=_FILES_SQL + f"""
@@ -190,13 +217,16 @@ SELECT batch_id, 'glue_convert' AS step, key AS file,
 UNION ALL
 SELECT batch_id, 'redshift_load', key, '{NO_ROWS_ERROR}'
 FROM f WHERE conv_ok AND n = 0
+UNION ALL
+SELECT batch_id, 'prevalidate', 'validation', reason FROM p
 """)
 def csv_batch_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cb.batch_failures(_file_results(spark, sf_dir))
+    return cb.batch_failures(_file_results(spark, sf_dir),
+                             _prevalidate_errors(spark, sf_dir))
 
 
 # ---------------------------------------------------------------------------
-@register("csv_roundtrip", "S1 S2 S3 S4 P1 A2 A3 S18", sql="""
+@register("csv_roundtrip", "S1 S2 S3 S4 P1 A2 A3", sql="""
 SELECT o_orderpriority, CAST(count(*) AS BIGINT) AS n_rows,
        CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT)
            AS total_cents,
@@ -220,7 +250,8 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
         raise RuntimeError(f"conversion failed: {step.error}")
     name = "etl_orders_" + uuid.uuid4().hex[:12]
     load = cp.append_load(spark, dst, name, f"{root}/warehouse/{name}")
-    loaded = spark.table(name)
+    loaded = spark.read.parquet(f"{root}/warehouse/{name}")
+    spark.sql(f"DROP TABLE {name}")   # the rows stay in the run's folder
     return loaded.groupBy("o_orderpriority").agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.sum(F.round(F.col("o_totalprice") * 100).cast("bigint"))
@@ -234,55 +265,59 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(load["table_rows"]).cast("bigint").alias("table_rows"))
 
 
-MISSING_KEY = "orders/o_orderpriority=9-MISSING"
+MISSING_KEY = "orders/9-MISSING"
+BAD_KEY = "odd/no rows+here.csv"
 
 
 @register("csv_batch_load", "S1 S2 S3 S4 S7 J1 J3 A2 P19", sql=f"""
-SELECT 'L1' AS batch_id, 'orders/o_orderpriority=' || o_orderpriority AS key,
-       true AS converted, CAST(count(*) AS BIGINT) AS input_rows,
-       CAST(count(*) AS BIGINT) AS rows, true AS loaded,
-       CAST(count(*) AS BIGINT) AS inserted_rows
-FROM orders GROUP BY o_orderpriority
+WITH f AS (SELECT 'orders/a+b ' || o_orderpriority || '%' AS key,
+                  CAST(count(*) AS BIGINT) AS n
+           FROM orders GROUP BY o_orderpriority)
+SELECT b.batch_id, key, true AS converted, n AS input_rows, n AS rows,
+       true AS loaded, n AS inserted_rows
+FROM f, (VALUES ('007'), ('7')) b(batch_id)
+WHERE b.batch_id = '7' OR key <> 'orders/a+b 1-URGENT%'
 UNION ALL
-SELECT 'L1', '{MISSING_KEY}', false, CAST(0 AS BIGINT), CAST(0 AS BIGINT),
-       false, CAST(0 AS BIGINT)
+SELECT '7', k, false, CAST(0 AS BIGINT), CAST(0 AS BIGINT), false,
+       CAST(0 AS BIGINT)
+FROM (VALUES ('{MISSING_KEY}'), ('{BAD_KEY}')) t(k)
 """)
 def csv_batch_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A batch of CSV files end to end: orders land as one CSV folder per
-    priority; the manifest names every priority plus one file that never
-    arrived.  Existence comes from a listing (J1); the existing files are
-    converted in one multi-file job (per-file input and output counts),
-    appended to the warehouse table in one load, and joined back per file
-    (J3)."""
-    from runledger.sources.files import list_files
+    """Two batches of CSV files end to end.  Orders land in one folder per
+    priority, with odd names and two orders of columns; the batches share
+    most of them, and one also names a file that never arrived and one
+    without a line.  Conversion, load and per-file results (J3); a first
+    conversion to the same folder is replaced."""
     orders = table(spark, sf_dir, "orders")
     root = new_run_dir(spark, "csvbatch")
-    landing = f"{root}/landing"
-    orders.write.option("header", "true").partitionBy("o_orderpriority") \
-        .csv(f"{landing}/orders")
-    listed = (list_files(spark, landing)
-              .select(F.regexp_extract(F.url_decode("path"),
-                                       r"/landing/(.*)/[^/]*$", 1)
-                      .alias("key"))
-              .distinct().withColumn("exists", F.lit(True)))
-    manifest = (orders.select(F.concat(F.lit("orders/o_orderpriority="),
-                                       F.col("o_orderpriority"))
-                              .alias("key")).distinct()
-                .unionByName(spark.createDataFrame([(MISSING_KEY,)],
-                                                   "key string"))
-                .withColumn("batch_id", F.lit("L1")))
-    files = (manifest.join(listed, "key", "left")
-             .select("batch_id", "key",
-                     F.coalesce("exists", F.lit(False)).alias("exists"),
-                     F.concat(F.lit(landing + "/"), F.col("key"))
-                     .alias("path")))
-    schema = orders.drop("o_orderpriority").schema
-    conversions = cp.convert_files(spark, files, f"{root}/staging", schema)
+    landing, staging = f"{root}/landing", f"{root}/staging"
+    priorities = sorted(r[0] for r in orders.select("o_orderpriority")
+                        .distinct().collect())   # five fixed values
+    data = orders.drop("o_orderpriority")
+    for i, p in enumerate(priorities):
+        part = orders.where(F.col("o_orderpriority") == p)
+        columns = data.columns if i % 2 else list(reversed(data.columns))
+        part.select(*columns).write.option("header", "true").csv(
+            f"{landing}/orders/a+b {p}%")
+    spark.createDataFrame([("",)], "value string").coalesce(1).write.option(
+        "lineSep", " ").text(f"{landing}/{BAD_KEY}")
+    key = F.concat(F.lit("orders/a+b "), F.col("p"), F.lit("%"))
+    keys = spark.createDataFrame([(p,) for p in priorities], "p string")
+    files = (keys.where("p <> '1-URGENT'").select(
+                 F.lit("007").alias("batch_id"), key.alias("key"))
+             .unionByName(keys.select(F.lit("7").alias("batch_id"),
+                                      key.alias("key")))
+             .unionByName(spark.createDataFrame(
+                 [("7", MISSING_KEY), ("7", BAD_KEY)],
+                 "batch_id string, key string")))
+    cp.convert_files(spark, files.limit(1), landing, staging, data.schema)
+    conversions = cp.convert_files(spark, files, landing, staging,
+                                   data.schema)
     name = "etl_batch_" + uuid.uuid4().hex[:12]
-    loads = cp.load_converted(spark, f"{root}/staging", name,
-                              f"{root}/warehouse/{name}")
-    results = cb.file_results(files.select("batch_id", "key"),
-                              conversions.drop("input_rows"), loads)
-    return results.join(conversions.select("key", "input_rows"), "key") \
-        .select("batch_id", "key", "converted", "input_rows", "rows",
-                "loaded", "inserted_rows")
+    loads = cp.load_converted(spark, files, landing, staging, name,
+                              f"{root}/warehouse/{name}", data.schema,
+                              count_table=False)
+    spark.sql(f"DROP TABLE {name}")   # the rows stay in the run's folder
+    return cb.file_results(files, conversions, loads).select(
+        "batch_id", "key", "converted", "input_rows", "rows", "loaded",
+        "inserted_rows")

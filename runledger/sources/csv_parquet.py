@@ -8,17 +8,19 @@ the written row count comes from a read-back of the Parquet output.
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 Transform = Callable[[DataFrame], DataFrame]
 
 
-def read_csv(spark: SparkSession, path: str,
+def read_csv(spark: SparkSession, path: str | list[str],
              schema: T.StructType | None = None,
              options: dict[str, str] | None = None) -> DataFrame:
     """Header row; explicit schema when given, else inferred."""
@@ -53,7 +55,8 @@ def convert_csv_to_parquet(spark: SparkSession, src: str, dst: str,
         df = read_csv(spark, src, schema)
         obs = Observation("csv_rows")
         observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-        writer = transform(observed).write.mode("overwrite")
+        writer = transform(observed).write.mode("overwrite") \
+            .option("partitionOverwriteMode", "static")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(dst)
@@ -61,16 +64,18 @@ def convert_csv_to_parquet(spark: SparkSession, src: str, dst: str,
         output_rows = spark.read.parquet(dst).count()
         return StepResult(True, input_rows, output_rows, None)
     except Exception as exc:  # the step reports failure as evidence
-        return StepResult(False, 0, 0, str(exc).splitlines()[0][:500])
+        return StepResult(False, 0, 0, str(exc))
 
 
 def append_load(spark: SparkSession, src: str, table: str,
                 location: str, fmt: str = "parquet",
-                options: dict[str, str] | None = None) -> dict:
+                options: dict[str, str] | None = None,
+                count_table: bool = True) -> dict:
     """S4 + A3: append a staged folder into a named table.
 
     Returns ``inserted_rows`` (this load) and ``table_rows`` (the whole
-    table after the load, which is what the reference reports, Q1).
+    table after the load, which is what the reference reports, Q1; null
+    unless ``count_table``).
     """
     df = spark.read.format(fmt).options(**(options or {})).load(src)
     obs = Observation("load_rows")
@@ -78,7 +83,7 @@ def append_load(spark: SparkSession, src: str, table: str,
      .write.mode("append").format("parquet").option("path", location)
      .saveAsTable(table))
     inserted = int(obs.get["rows"])
-    total = spark.table(table).count()
+    total = spark.table(table).count() if count_table else None
     return {"table": table, "inserted_rows": inserted, "table_rows": total}
 
 
@@ -106,95 +111,165 @@ def step_evidence(spark: SparkSession, batch_id: str, flow: str, step: str,
                  F.col("output_format").alias("format")).alias("output"))
 
 
-# Largest number of files converted in one job (their paths are passed to
-# the reader on the driver).
-MAX_FILES = 100_000
+def bare_path(col: Column, encoded: bool = False) -> Column:
+    """A path without scheme, authority and trailing slashes.  Spark gives
+    ``_metadata.file_path`` percent-encoded and listings plain; ``+`` is an
+    ordinary character in both."""
+    if encoded:
+        col = F.url_decode(F.replace(col, F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(
+        F.regexp_replace(col, r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", ""),
+        r"/+$", "")
 
 
-def _bare(path: str) -> str:
-    """A local path without its scheme and trailing slash."""
-    if path.startswith("file://"):
-        path = path[len("file://"):]
-    elif path.startswith("file:"):
-        path = path[len("file:"):]
-    return path.rstrip("/")
+def _below(path: Column, root: str) -> Column:
+    """The part of a bare path below ``root``; null elsewhere."""
+    base = bare_path(F.lit(root))
+    return F.when(path.startswith(F.concat(base, F.lit("/"))), F.substring(
+        path, F.length(base) + 2, F.lit(1 << 30)))
 
 
-def convert_files(spark: SparkSession, files: DataFrame, dst: str,
+def match_files(spark: SparkSession, files: DataFrame, root: str
+                ) -> DataFrame:
+    """(batch_id, key, path, file) of the listed files of each key below
+    ``root``; a key names a file or a folder.  File-sized on both sides."""
+    from runledger.sources.files import list_files
+    listed = list_files(spark, root).select(
+        "path", _below(bare_path(F.col("path")), root).alias("file"))
+    parts = F.split("file", "/")
+    ancestors = F.transform(
+        F.sequence(F.lit(1), F.size(parts)),
+        lambda i: F.array_join(F.slice(parts, 1, i), "/"))
+    names = listed.where("file is not null").select(
+        "path", "file", F.explode(ancestors).alias("key"))
+    return files.select("batch_id", "key").distinct().join(names, "key")
+
+
+def _headers(spark: SparkSession, paths: list[str], root: str) -> DataFrame:
+    """(file, header): the first line of every readable file."""
+    lines = (spark.read.option("ignoreCorruptFiles", "true")
+             .option("lineSep", "\n").text(paths))
+    first = lines.select(
+        _below(bare_path(F.col("_metadata.file_path"), encoded=True), root)
+        .alias("file"), F.col("_metadata.file_block_start").alias("at"),
+        F.rtrim(F.col("value"), F.lit("\r")).alias("value"),
+        F.monotonically_increasing_id().alias("no"))
+    # Only the order within the first block of a file counts.
+    return first.where("at = 0").groupBy("file").agg(
+        F.min_by("value", "no").alias("header"))
+
+
+CONVERTED = "src_file"
+
+
+def convert_files(spark: SparkSession, files: DataFrame, root: str, dst: str,
                   schema: T.StructType | None = None,
                   transform: Transform = identity) -> DataFrame:
-    """S1-S3 for every file of a batch in one job.
-
-    ``files`` has ``key`` (the file's name in the results) and ``path``
-    (a CSV file or folder) and ``exists``.  Existing inputs are read in one
-    multi-file scan; each row keeps its source key (matched on the path
-    prefix), the output is written once, partitioned by that key (the
-    destination derives from the key, S2), and read back for the output
-    counts (S3).  Returns per file: key, job_state, error_message,
-    input_rows, rows (output rows).
+    """S1-S3 for every file of the batches ``(batch_id, key)`` below ``root``.
+
+    Files are grouped by header line, each group is read with its own
+    columns (one scan) and written partitioned by file; the row's file comes
+    from the scan itself, so no data-sized join is needed.  With a schema,
+    columns are taken by name and a file that lacks one fails; without one,
+    all columns are text.  A key without a readable file is FAILED, the
+    others go on.  An earlier output in ``dst`` is replaced as a whole.
+
+    Returns per (batch_id, key): job_state, error_message, input_rows, rows.
     """
-    chosen = files.where(F.col("exists")).select("key", "path").distinct()
-    listed = chosen.limit(MAX_FILES + 1).collect()
-    if len(listed) > MAX_FILES:
-        raise ValueError(f"more than {MAX_FILES} files in one conversion")
-    empty = spark.createDataFrame([], "key string, input_rows long")
-    if listed:
-        raw = read_csv(spark, [r.path for r in listed], schema) \
-            .withColumn("_file", F.col("_metadata.file_path"))
-        prefixes = spark.createDataFrame(
-            [(r.key, _bare(r.path)) for r in listed],
-            "key string, prefix string")
-        # Each source file belongs to the listed path that is one of its
-        # ancestors (or itself): explode the few ancestors of each distinct
-        # file name and equi-join them with the listed paths.
-        bare = F.url_decode(F.regexp_replace("_file", "^file:(//)?", ""))
-        ancestors = F.expr(
-            "transform(sequence(1, size(split(_p, '/'))), "
-            "i -> array_join(slice(split(_p, '/'), 1, i), '/'))")
-        file_keys = (raw.select("_file").distinct()
-                     .withColumn("_p", bare)
-                     .select("_file", F.explode(ancestors).alias("prefix"))
-                     .join(prefixes, "prefix")
-                     .select("_file", "key"))
-        keyed = raw.join(file_keys, "_file").drop("_file")
-        inputs = keyed.groupBy("key").agg(
-            F.count(F.lit(1)).alias("input_rows"))
-        transform(keyed).withColumnRenamed("key", "src_key") \
-            .write.mode("overwrite").partitionBy("src_key").parquet(dst)
-        outputs = (spark.read.parquet(dst).groupBy("src_key")
-                   .agg(F.count(F.lit(1)).alias("rows"))
-                   .withColumnRenamed("src_key", "key"))
-    else:
-        inputs = empty
-        outputs = spark.createDataFrame([], "key string, rows long")
-    results = (files.select("key", "exists")
-               .join(inputs, "key", "left").join(outputs, "key", "left"))
-    return results.select(
-        "key",
-        F.when(F.col("exists"), "SUCCEEDED").otherwise("FAILED")
-        .alias("job_state"),
-        F.when(~F.col("exists"), F.concat(F.lit("Error accessing "),
-                                          F.col("key"))).alias("error_message"),
+    matched = match_files(spark, files, root)
+    found = matched.select("path", "file").distinct().collect()
+    wanted = files.select("batch_id", "key").distinct()
+    counts = spark.createDataFrame([], f"{CONVERTED} string, input_rows long,"
+                                       " rows long")
+    errors = spark.createDataFrame([], "file string, error string")
+    if found:
+        head = {r["file"]: r["header"]
+                for r in _headers(spark, [r["path"] for r in found], root)
+                .collect()}
+        groups: dict[str, list[str]] = {}
+        bad = []
+        for r in found:
+            if r["file"] in head:
+                groups.setdefault(head[r["file"]], []).append(r["path"])
+            else:
+                bad.append((r["file"], "file is empty or unreadable"))
+        parts = []
+        for header, paths in sorted(groups.items()):
+            names = _columns(header)
+            missing = [] if schema is None else [
+                f.name for f in schema.fields if f.name not in names]
+            if missing:
+                bad += [(r["file"], f"column {missing[0]} not found")
+                        for r in found if r["path"] in set(paths)]
+                continue
+            text = T.StructType([T.StructField(n, T.StringType())
+                                 for n in names])
+            rows = read_csv(spark, paths, text).withColumn(
+                CONVERTED, _below(bare_path(
+                    F.col("_metadata.file_path"), encoded=True), root))
+            if schema is not None:
+                rows = rows.select(*[
+                    F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name)
+                    for f in schema.fields], CONVERTED)
+            parts.append(rows)
+        if parts:
+            data = reduce(lambda a, b: a.unionByName(
+                b, allowMissingColumns=True), parts)
+            out = transform(data)
+            (out.write.mode("overwrite")
+             .option("partitionOverwriteMode", "static")
+             .partitionBy(CONVERTED).parquet(dst))
+            written = spark.read.schema(out.schema).parquet(dst).groupBy(
+                CONVERTED).agg(F.count(F.lit(1)).alias("rows"))
+            # Without a transform every row read is a row written.
+            read = (written.withColumnRenamed("rows", "input_rows")
+                    if transform is identity else data.groupBy(CONVERTED)
+                    .agg(F.count(F.lit(1)).alias("input_rows")))
+            counts = read.join(written, CONVERTED, "left")
+        errors = spark.createDataFrame(bad, "file string, error string")
+    per_key = (matched.join(errors, "file", "left")
+               .join(counts, F.col("file") == F.col(CONVERTED), "left")
+               .groupBy("batch_id", "key").agg(
+                   F.count_if(F.col("error").isNull()).alias("good"),
+                   F.min("error").alias("error"),
+                   F.sum("input_rows").alias("input_rows"),
+                   F.sum("rows").alias("rows")))
+    out = wanted.join(per_key, ["batch_id", "key"], "left")
+    ok = F.coalesce(F.col("good") > 0, F.lit(False)) & F.col("error").isNull()
+    return out.select(
+        "batch_id", "key",
+        F.when(ok, "SUCCEEDED").otherwise("FAILED").alias("job_state"),
+        F.when(~ok, F.concat(F.lit("Error accessing "), F.col("key"),
+                             F.coalesce(F.concat(F.lit(": "), F.col("error")),
+                                        F.lit("")))).alias("error_message"),
         F.coalesce("input_rows", F.lit(0)).cast("bigint").alias("input_rows"),
         F.coalesce("rows", F.lit(0)).cast("bigint").alias("rows"))
 
 
-def load_converted(spark: SparkSession, dst: str, table: str,
-                   location: str) -> DataFrame:
-    """S4 for a converted batch: one append of every file's output; per
-    file ``load_result`` payloads (JSON text) with the rows inserted and
-    the table's total after the load (Q1)."""
-    staged = spark.read.parquet(dst)
-    obs = Observation("batch_load")
-    (staged.observe(obs, F.count(F.lit(1)).alias("rows"))
-     .drop("src_key").write.mode("append").format("parquet")
+def _columns(header: str) -> list[str]:
+    """Column names of a header line."""
+    return next(csv.reader([header]))
+
+
+def load_converted(spark: SparkSession, files: DataFrame, root: str,
+                   dst: str, table: str, location: str,
+                   schema: T.StructType, count_table: bool = True
+                   ) -> DataFrame:
+    """S4 for converted batches: one append of every file's output; per
+    (batch_id, key) the ``load_result`` payload (JSON text) with the rows
+    inserted and, if wanted, the table's total after the load (Q1)."""
+    full = T.StructType([*schema.fields,
+                         T.StructField(CONVERTED, T.StringType())])
+    staged = spark.read.schema(full).parquet(dst)
+    (staged.drop(CONVERTED).write.mode("append").format("parquet")
      .option("path", location).saveAsTable(table))
-    total = spark.table(table).count()
-    per_file = staged.groupBy("src_key").agg(
-        F.count(F.lit(1)).alias("n"))
-    return per_file.select(
-        F.col("src_key").alias("key"),
-        F.to_json(F.struct(F.to_json(F.struct(
+    total = spark.table(table).count() if count_table else None
+    per_file = staged.groupBy(CONVERTED).agg(F.count(F.lit(1)).alias("n"))
+    per_key = (match_files(spark, files, root)
+               .join(per_file, F.col("file") == F.col(CONVERTED))
+               .groupBy("batch_id", "key").agg(F.sum("n").alias("n")))
+    return per_key.select(
+        "batch_id", "key", F.to_json(F.struct(F.to_json(F.struct(
             F.lit(True).alias("success"),
             F.col("n").alias("inserted_rows"),
             F.lit(total).cast("bigint").alias("table_rows")))
