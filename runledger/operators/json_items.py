@@ -1,8 +1,9 @@
 """JSON batch validation, enrichment and write statistics
 (S5, P3-P7, J6, A5, W1, U2).
 
-Items are ``map<string,string>`` so that an absent field (not a key) can be
-told apart from a field that is present with a null value (Q6).
+Documents and items are variants, so the JSON type of every value is known: a
+string that looks like a list is not one, numbers and nested objects stay what
+they are, and an absent field can be told apart from one that is null (Q6).
 """
 
 from __future__ import annotations
@@ -10,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runledger import schemas
 from runledger.functions.scalar import guarded_ratio, ttl_epoch
 from runledger.operators.keyed import first_n_per_group
 
@@ -36,29 +36,57 @@ SUMMARY_WRITE_FAILURES = 3
 # S5 -------------------------------------------------------------------------
 def read_batch_documents(spark: SparkSession, path: str,
                          multi_line: bool = True) -> DataFrame:
-    """JSON batch documents, ``input_data`` kept as JSON text.
+    """JSON batch documents, ``input_data`` as a variant.
 
     ``multi_line``: one (pretty-printed) document per file; otherwise one
     document per line, which splits across tasks for large inputs."""
     return (spark.read.option("multiLine", str(multi_line).lower())
-            .schema("batch_id string, input_data string").json(path))
+            .schema("batch_id string, input_data variant").json(path))
 
 
 def read_item_lines(spark: SparkSession, path: str) -> DataFrame:
     """JSON lines, one item per line: ``batch_id, item_index, item``."""
-    return spark.read.schema(schemas.JSON_ITEM_LINE).json(path)
+    return spark.read.schema(
+        "batch_id string, item_index long, item variant").json(path)
+
+
+def _kind(value: Column) -> Column:
+    """JSON type of a variant: OBJECT, ARRAY, STRING, ... (null if none)."""
+    return F.regexp_extract(F.schema_of_variant(value), "^[A-Z]+", 0)
+
+
+def fields(item: Column) -> Column:
+    """The fields of an item; null for anything but an object."""
+    return F.when(_kind(item) == "OBJECT", F.variant_get(
+        item, "$", "map<string,variant>"))
+
+
+def field_names(item: Column) -> Column:
+    return F.coalesce(F.map_keys(fields(item)),
+                      F.array().cast("array<string>"))
+
+
+def text_of(value: Column) -> Column:
+    """A variant as text: strings as they are, other values as JSON; a JSON
+    null (or no value) is null."""
+    return F.when(_kind(value) == "STRING",
+                  F.try_variant_get(value, "$", "string")).when(
+        F.is_variant_null(value), F.lit(None)).otherwise(F.to_json(value))
 
 
 # P3 -------------------------------------------------------------------------
 def structure_check(docs: DataFrame) -> DataFrame:
     """Batch-level structure error (null when the structure is valid)."""
     data = F.col("input_data")
-    keys = F.json_object_keys(data)
-    items = F.get_json_object(data, "$.items")
-    n = F.json_array_length(items)
-    error = (F.when(keys.isNull(), MSG_NOT_OBJECT)
-             .when(~F.array_contains(keys, "items"), MSG_NO_ITEMS)
-             .when(n.isNull(), MSG_NOT_LIST)
+    items = F.try_variant_get(data, "$.items", "variant")
+    kind = F.coalesce(_kind(data), F.lit("VOID"))
+    n = F.size(F.when(_kind(items) == "ARRAY", F.variant_get(
+        items, "$", "array<variant>")))
+    error = (F.when(kind != "OBJECT", MSG_NOT_OBJECT)
+             .when(~F.array_contains(field_names(data), "items"),
+                   MSG_NO_ITEMS)
+             .when(F.coalesce(_kind(items), F.lit("VOID")) != "ARRAY",
+                   MSG_NOT_LIST)
              .when(n == 0, MSG_EMPTY))
     return docs.select("batch_id", "input_data",
                        error.alias("structure_error"))
@@ -66,13 +94,11 @@ def structure_check(docs: DataFrame) -> DataFrame:
 
 def explode_items(checked: DataFrame) -> DataFrame:
     """Items of structurally valid documents with their 0-based index."""
-    arr = F.from_json(F.get_json_object("input_data", "$.items"),
-                      "array<string>")
     return (checked.where(F.col("structure_error").isNull())
-            .select("batch_id", F.posexplode(arr).alias("item_index",
-                                                         "item_json"))
-            .select("batch_id", F.col("item_index").cast("bigint"),
-                    F.from_json("item_json", schemas.ITEM).alias("item")))
+            .select("batch_id", F.posexplode(F.variant_get(
+                "input_data", "$.items", "array<variant>"))
+                .alias("item_index", "item"))
+            .select("batch_id", F.col("item_index").cast("bigint"), "item"))
 
 
 # P4 -------------------------------------------------------------------------
@@ -81,7 +107,7 @@ def field_violations(items: DataFrame,
                      ) -> DataFrame:
     """One row per (item, missing field) with the indexed message.
     Presence is tested, not non-null (a null ``name`` passes)."""
-    keys = F.coalesce(F.map_keys("item"), F.array().cast("array<string>"))
+    keys = field_names(F.col("item"))
     missing = F.filter(F.array(*[F.lit(f) for f in required]),
                        lambda f: ~F.array_contains(keys, f))
     return (items.select("batch_id", "item_index",
@@ -93,7 +119,7 @@ def field_violations(items: DataFrame,
 def batch_validation(items: DataFrame,
                      structure: DataFrame | None = None) -> DataFrame:
     """P3 + P4 per batch: received items, violations and ``valid``."""
-    keys = F.coalesce(F.map_keys("item"), F.array().cast("array<string>"))
+    keys = field_names(F.col("item"))
     per_item = items.select(
         "batch_id", "item_index",
         *[(~F.array_contains(keys, f)).alias(f"_miss_{f}")
@@ -144,15 +170,18 @@ def item_id(batch_id: Column, item_index: Column) -> Column:
 
 
 def enrich_items(items: DataFrame, clock: str) -> DataFrame:
-    """P6 + P7: id, timestamps, flattened fields (missing -> ''), the whole
-    item as JSON and the TTL in epoch seconds."""
+    """P6 + P7: id, timestamps, flattened fields (missing -> '', null stays
+    null), the whole item as JSON with its types and the TTL in epoch
+    seconds."""
     now = F.lit(clock).cast("timestamp_ntz")
+    items = items.withColumn("_fields", fields(F.col("item")))
+    keys = F.coalesce(F.map_keys("_fields"), F.array().cast("array<string>"))
     return items.select(
         item_id(F.col("batch_id"), F.col("item_index")).alias("id"),
         "batch_id", "item_index",
         now.alias("timestamp"), now.alias("processed_at"),
-        *[F.coalesce(F.col("item")[f], F.lit("")).alias(f)
-          for f in FLATTENED_FIELDS],
+        *[F.when(F.array_contains(keys, f), text_of(F.col("_fields")[f]))
+          .otherwise(F.lit("")).alias(f) for f in FLATTENED_FIELDS],
         F.to_json("item").alias("metadata"),
         ttl_epoch(F.lit(clock)).cast("bigint").alias("ttl"))
 
@@ -182,12 +211,24 @@ def first_failures(results: DataFrame, n: int = REPORTED_WRITE_FAILURES
 
 
 # U2 -------------------------------------------------------------------------
-def batch_failures(validation: DataFrame, results: DataFrame) -> DataFrame:
-    """Rejected batches plus the first three write failures of a batch."""
-    pre = validation.where(~F.col("valid")).select(
-        "batch_id", F.lit(STEP_PREPROCESS).alias("step"),
-        F.lit(-1).cast("bigint").alias("item_index"),
-        F.lit(MSG_VALIDATION_FAILED).alias("error"))
+def validation_errors(violations: DataFrame,
+                      structure: DataFrame | None = None) -> DataFrame:
+    """(batch_id, item_index, error): every message of the validation."""
+    out = violations.select("batch_id", "item_index",
+                            F.col("message").alias("error"))
+    if structure is not None:
+        out = out.unionByName(
+            structure.where(F.col("structure_error").isNotNull()).select(
+                "batch_id", F.lit(-1).cast("bigint").alias("item_index"),
+                F.col("structure_error").alias("error")))
+    return out
+
+
+def batch_failures(errors: DataFrame, results: DataFrame) -> DataFrame:
+    """All validation errors of rejected batches plus the first three write
+    failures of a batch."""
+    pre = errors.select("batch_id", F.lit(STEP_PREPROCESS).alias("step"),
+                        "item_index", "error")
     writes = first_failures(results, SUMMARY_WRITE_FAILURES).select(
         "batch_id", F.lit(STEP_WRITE).alias("step"), "item_index",
         F.coalesce(F.col("error"), F.lit(MSG_WRITE_FAILED)).alias("error"))

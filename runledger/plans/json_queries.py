@@ -31,7 +31,8 @@ def _event_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select(
         F.concat(F.lit("U"), F.col("user_id").cast("string"))
         .alias("batch_id"),
-        F.col("event_id").alias("item_index"), item.alias("item"),
+        F.col("event_id").alias("item_index"),
+        F.parse_json(F.to_json(item)).alias("item"),
         (F.col("event_type") != "error").alias("write_ok"))
 
 
@@ -78,49 +79,70 @@ def json_accepted_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     accepted = ji.accepted_items(items, ji.batch_validation(items))
     return accepted.select(
         "batch_id", "item_index",
-        F.coalesce(F.col("item")["name"], F.lit("")).alias("name"),
-        F.coalesce(F.col("item")["category"], F.lit("")).alias("category"))
+        *[F.coalesce(F.try_variant_get("item", f"$.{f}", "string"),
+                     F.lit("")).alias(f) for f in ("name", "category")])
 
 
 @register("json_items_enrich", "S5 P6 P7 F11 F12", sql=f"""
 WITH c AS (SELECT 'C' || CAST(conv_id AS VARCHAR) AS batch_id,
-                  turn AS item_index, role, 'turn_' || CAST(turn AS VARCHAR)
-                      AS category, text FROM conversations)
+                  turn AS item_index, role, text FROM conversations)
 SELECT sha256(batch_id || '|' || CAST(item_index AS VARCHAR)) AS id,
        batch_id, item_index,
        TIMESTAMP '{CLOCK}' AS timestamp, TIMESTAMP '{CLOCK}' AS processed_at,
-       coalesce(role, '') AS name, category,
-       CASE WHEN role = 'system' THEN '' ELSE coalesce(text, '') END
-           AS description,
-       CASE WHEN role = 'system'
-            THEN to_json(MAP(['name', 'category'], [role, category]))
-            ELSE to_json(MAP(['name', 'category', 'description'],
-                             [role, category, text])) END AS metadata,
+       CASE WHEN item_index <> 0 THEN role END AS name,
+       '{{"deep":[true,null],"turn":' || CAST(item_index AS VARCHAR) || '}}'
+           AS category,
+       CASE WHEN role = 'system' THEN '' ELSE text END AS description,
+       '{{"category":{{"deep":[true,null],"turn":'
+           || CAST(item_index AS VARCHAR) || '}}'
+           || CASE WHEN role = 'system' THEN ''
+                   ELSE ',"description":' || to_json(text) END
+           || ',"name":' || CASE WHEN item_index <> 0 THEN to_json(role)
+                                 ELSE 'null' END
+           || ',"score":' || CAST(item_index AS VARCHAR) || '.5}}'
+           AS metadata,
        CAST(epoch(TIMESTAMP '{CLOCK}') AS BIGINT) + 2592000 AS ttl
 FROM c
 """)
 def json_items_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Conversation turns as items (system turns carry no description),
-    through the whole preprocess path: JSON lines, validation, all-or-nothing
-    acceptance, then id/timestamps/flattening/TTL."""
+    """Conversation turns as items through the whole preprocess path: JSON
+    lines, validation, all-or-nothing acceptance, then id, timestamps,
+    flattening and TTL.  Items have a nested object, numbers and booleans;
+    system turns carry no description, first turns a null name."""
     conv = table(spark, sf_dir, "conversations")
-    item = F.create_map(
-        F.lit("name"), F.col("role"),
-        F.lit("category"), F.concat(F.lit("turn_"),
-                                    F.col("turn").cast("string")),
-        F.lit("description"), F.col("text"))
-    item = F.when(F.col("role") == "system",
-                  F.map_filter(item, lambda k, _: k != "description")
-                  ).otherwise(item)
+    turn = F.col("turn").cast("string")
+    name = F.when(F.col("turn") != 0, F.to_json(F.struct(F.col("role")
+                                                         .alias("name")))
+                  ).otherwise(F.lit('{"name":null}'))
+    text = F.when(F.col("role") == "system", F.lit("")).otherwise(
+        F.concat(F.lit(","), F.expr(
+            "substring(to_json(struct(text as description)), 2, "
+            "length(to_json(struct(text as description))) - 2)")))
+    item = F.concat(F.expr("substring(n, 1, length(n) - 1)"),
+                    F.lit(',"category":{"turn":'), turn,
+                    F.lit(',"deep":[true,null]},"score":'), turn,
+                    F.lit('.5'), F.col("t"), F.lit("}"))
     path = new_run_dir(spark, "json_conv")
-    conv.select(F.concat(F.lit("C"), F.col("conv_id").cast("string"))
-                .alias("batch_id"), F.col("turn").alias("item_index"),
-                item.alias("item")).write.json(path)
+    lines = conv.withColumn("n", name).withColumn("t", text).select(F.concat(
+        F.lit('{"batch_id":"C'), F.col("conv_id").cast("string"),
+        F.lit('","item_index":'), turn, F.lit(',"item":'), item, F.lit("}")))
+    lines.write.text(path)
     items = ji.read_item_lines(spark, path)
     accepted = ji.accepted_items(items, ji.batch_validation(items))
     return ji.enrich_items(accepted, CLOCK)
 
 
+@register("json_field_violations", "P4", sql=_ITEMS_SQL + """
+SELECT batch_id, item_index, 'name' AS field,
+       'アイテム' || CAST(item_index AS VARCHAR)
+           || ': 必須フィールド''name''が存在しません' AS message
+FROM i WHERE miss_name
+""")
+def json_field_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every missing required field with its message."""
+    return ji.field_violations(_event_items(spark, sf_dir))
+
+
 @register("keyed_upsert", "S6 W2", sql="""
 WITH u AS (SELECT o_custkey AS id, o_totalprice AS balance,
                   o_orderkey AS last_order, o_orderdate AS updated_at,
@@ -246,8 +268,10 @@ def json_batch_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("json_batch_failures", "U2 W1", sql=_ITEMS_SQL + """
-SELECT batch_id, 'json_preprocess' AS step, CAST(-1 AS BIGINT) AS item_index,
-       'JSON検証失敗' AS error FROM v WHERE NOT valid
+SELECT batch_id, 'json_preprocess' AS step, item_index,
+       'アイテム' || CAST(item_index AS VARCHAR)
+           || ': 必須フィールド''name''が存在しません' AS error
+FROM i WHERE miss_name
 UNION ALL
 SELECT batch_id, 'dynamodb_write', item_index, 'Write failed'
 FROM (SELECT i.batch_id, i.item_index,
@@ -258,13 +282,15 @@ FROM (SELECT i.batch_id, i.item_index,
 WHERE rk <= 3
 """)
 def json_batch_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    validation, results = _json_stages(spark, sf_dir)
-    return ji.batch_failures(validation, results)
+    _, results = _json_stages(spark, sf_dir)
+    errors = ji.validation_errors(ji.field_violations(
+        _event_items(spark, sf_dir)))
+    return ji.batch_failures(errors, results)
 
 
 @register("json_batch_documents", "S5 P3 P4", sql="""
 WITH d AS (SELECT 'T' || CAST(conv_id AS VARCHAR) || '_' || CAST(turn AS VARCHAR)
-                      AS batch_id, role, turn FROM conversations)
+                      AS batch_id, role, turn, conv_id FROM conversations)
 SELECT batch_id,
        CAST(CASE WHEN role = 'system' OR role = 'assistant' AND turn % 2 = 1
                       OR turn = 0 THEN 0
@@ -277,7 +303,9 @@ SELECT batch_id,
                  THEN 1 ELSE 0 END AS BIGINT) AS violations,
        CAST(CASE WHEN role = 'assistant' AND turn % 2 = 0 AND turn <> 0
                  THEN 1 ELSE -1 END AS BIGINT) AS first_violation_index,
-       CASE WHEN role = 'system' THEN '''items''キーが存在しません'
+       CASE WHEN role = 'system' AND conv_id % 3 = 0
+                THEN 'データがDict形式ではありません'
+            WHEN role = 'system' THEN '''items''キーが存在しません'
             WHEN role = 'assistant' AND turn % 2 = 1
                 THEN '''items''がリスト形式ではありません'
             WHEN turn = 0 THEN '''items''が空です' END AS structure_error,
@@ -286,9 +314,10 @@ FROM d
 """)
 def json_batch_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each conversation turn becomes one JSON batch document:
-    system turns carry no ``items``, odd assistant turns an object instead
-    of a list, turn 0 an empty list, user turns one complete item and even
-    assistant turns two items, the second without ``category``.  Documents
+    system turns carry no ``items`` or are a string that holds a document,
+    odd assistant turns have an object or a string instead of a list, turn 0
+    an empty list, user turns one complete item and even assistant turns two
+    items, the second without ``category``.  Documents
     are read, structure-checked, exploded and validated."""
     conv = table(spark, sf_dir, "conversations").select(
         "conv_id", "turn", "role", "text")
@@ -297,8 +326,15 @@ def json_batch_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("text").alias("description"))
     partial = F.struct(F.col("role").alias("name"))
     role, turn = F.col("role"), F.col("turn")
-    data = (F.when(role == "system",
-                   F.to_json(F.struct(F.col("text").alias("key1"))))
+    whole = F.to_json(F.struct(F.array(item).alias("items")))
+    text_list = F.to_json(F.struct(F.to_json(F.array(item)).alias("items")))
+    data = (F.when((role == "system") & (F.col("conv_id") % 3 == 0),
+                   # The document as a string: looks right, is none.
+                   F.regexp_extract(F.to_json(F.struct(whole.alias("d"))),
+                                    r"^\{\"d\":(.*)\}$", 1))
+            .when(role == "system",
+                  F.to_json(F.struct(F.col("text").alias("key1"))))
+            .when((role == "assistant") & (turn % 4 == 1), text_list)
             .when((role == "assistant") & (turn % 2 == 1),
                   F.to_json(F.struct(item.alias("items"))))
             .when(turn == 0, F.lit('{"items": []}'))

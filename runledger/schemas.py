@@ -59,14 +59,6 @@ LOG_ENVELOPE = _struct(("messageType", S), ("logGroup", S),
 FILE_REF = _struct(("bucket", S), ("key", S))
 MANIFEST = _struct(("batch_id", S), ("files", T.ArrayType(FILE_REF)))
 
-ITEM = T.MapType(S, S, True)
-# A JSON batch document; ``items`` kept as raw JSON so that structure errors
-# ("not a list") can be told apart from an absent key.
-JSON_BATCH = _struct(("batch_id", S),
-                     ("input_data", _struct(("items", S))))
-# Item-per-line form used for large batches.
-JSON_ITEM_LINE = _struct(("batch_id", S), ("item_index", L), ("item", ITEM))
-
 FLOW_MAP_DOC = _struct(("flow_patterns", T.MapType(S, S, True)))
 
 # Parser-flag column: set by from_json when the text is malformed or a value

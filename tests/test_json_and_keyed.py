@@ -25,6 +25,10 @@ BATCHES = [
     {"batch_id": "missing", "input_data": {"items": [
         {"name": "a", "category": "x"}, {"category": "y"}, {"name": "b"}]}},
     {"batch_id": "not_dict", "input_data": [1, 2]},
+    {"batch_id": "text_list", "input_data": {"items": '[{"name": "a"}]'}},
+    {"batch_id": "text_doc", "input_data": '{"items": []}'},
+    {"batch_id": "null_list", "input_data": {"items": None}},
+    {"batch_id": "no_data", "input_data": None},
 ]
 
 
@@ -41,7 +45,11 @@ def test_structure_and_field_validation(spark, tmp_dir):
     errs = {r.batch_id: r.structure_error for r in checked.collect()}
     assert errs == {"ok": None, "no_items": ji.MSG_NO_ITEMS,
                     "not_list": ji.MSG_NOT_LIST, "empty": ji.MSG_EMPTY,
-                    "missing": None, "not_dict": ji.MSG_NOT_OBJECT}
+                    "missing": None, "not_dict": ji.MSG_NOT_OBJECT,
+                    "text_list": ji.MSG_NOT_LIST,
+                    "text_doc": ji.MSG_NOT_OBJECT,
+                    "null_list": ji.MSG_NOT_LIST,
+                    "no_data": ji.MSG_NOT_OBJECT}
     items = ji.explode_items(checked)
     viol = sorted((r.batch_id, r.message)
                   for r in ji.field_violations(items).collect())
@@ -57,17 +65,22 @@ def test_structure_and_field_validation(spark, tmp_dir):
     assert sorted(r.batch_id for r in accepted.collect()) == ["ok", "ok"]
 
 
-def test_enrich_is_deterministic(spark):
-    items = spark.createDataFrame(
-        [("b", 0, {"name": "n", "category": "c"}), ("b", 1, {"category": "c"})],
-        "batch_id string, item_index long, item map<string,string>")
-    a = ji.enrich_items(items, "2024-02-01 00:00:00")
-    b = ji.enrich_items(items, "2024-02-01 00:00:00")
-    assert rows(a) == rows(b)
+def test_enrich_is_deterministic_and_keeps_types(spark):
+    items = [{"name": "n", "category": "c"}, {"category": "c"},
+             {"name": None, "category": 5, "description": {"a": [1.5, True]},
+              "extra": "5"}]
+    df = spark.createDataFrame(
+        [("b", i, json.dumps(x)) for i, x in enumerate(items)],
+        "batch_id string, item_index long, t string").select(
+        "batch_id", "item_index", F.parse_json("t").alias("item"))
+    a = ji.enrich_items(df, "2024-02-01 00:00:00")
+    assert rows(a) == rows(ji.enrich_items(df, "2024-02-01 00:00:00"))
     r = {x.item_index: x for x in a.collect()}
     assert r[1].name == "" and r[1].description == ""
     assert r[0].ttl == 1706745600 + 2592000
-    assert json.loads(r[0].metadata) == {"name": "n", "category": "c"}
+    assert [json.loads(r[i].metadata) for i in range(3)] == items
+    assert (r[2].name, r[2].category, r[2].description) == (
+        None, "5", '{"a":[1.5,true]}')
     assert r[0].id != r[1].id and len(r[0].id) == 64
 
 
@@ -84,11 +97,17 @@ def test_write_outcome_threshold(spark):
     top = ji.first_failures(df).where("batch_id = 'r89'")
     assert [r.item_index for r in top.orderBy("rank").collect()] == [
         89, 90, 91, 92, 93]
-    fails = ji.batch_failures(
-        spark.createDataFrame([("r90", True), ("bad", False)],
-                              "batch_id string, valid boolean"), df)
+    violations = spark.createDataFrame(
+        [("bad", 2, "m2"), ("bad", 5, "m5")],
+        "batch_id string, item_index long, message string")
+    structure = spark.createDataFrame(
+        [("worse", "no list"), ("r90", None)],
+        "batch_id string, structure_error string")
+    fails = ji.batch_failures(ji.validation_errors(violations, structure), df)
     assert fails.where("step = 'dynamodb_write'").count() == 6   # 3 + 3
-    assert fails.where("step = 'json_preprocess'").count() == 1
+    assert rows(fails.where("step = 'json_preprocess'"), "batch_id",
+                "item_index", "error") == [
+        ("bad", 2, "m2"), ("bad", 5, "m5"), ("worse", -1, "no list")]
 
 
 def test_json_batch_statistics(spark):
