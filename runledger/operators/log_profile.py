@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from runledger.functions.scalar import (
     ERROR_LEVELS, LOG_LEVEL_ORDER, OTHER_LEVEL, guarded_ratio, log_level)
+from runledger.sources.files import bare_path
 
 LEVEL_COLUMNS = tuple(f"{lv.lower()}_count"
                       for lv in (*LOG_LEVEL_ORDER, OTHER_LEVEL))
@@ -110,7 +111,7 @@ def profile_files(listing: DataFrame, lines: DataFrame) -> DataFrame:
     counts are zero (it still counts in ``total_files``)."""
     per_file = profile_lines(lines, ["file"])
     joined = listing.select("path", "length", "modification_time").join(
-        per_file, listing.path == per_file.file, "left")
+        per_file, bare_path(listing["path"]) == per_file["file"], "left")
     read = per_file["file"].isNotNull()
     return joined.select(
         "path", "length", "modification_time",

@@ -16,9 +16,6 @@ from runledger.functions.scalar import cell_display, guarded_ratio
 
 # The error predicate's keywords (upper-case substring).
 ERROR_KEYWORDS = ("ERROR", "WARN")
-STATS_SCHEMA = ("table_name string, column_name string, ok boolean, "
-                "row_count bigint, error_count bigint, error string")
-
 
 def error_predicate(c: Column) -> Column:
     """``UPPER(c) LIKE '%ERROR%' OR UPPER(c) LIKE '%WARN%'``."""
@@ -41,19 +38,18 @@ def table_stats(spark: SparkSession, name: str, df: DataFrame,
     """A9 + A10 fused: one row with row and error-row counts.
 
     A missing column is reported as a failed table: ``ok`` false with the
-    reason in ``error`` (counts 0 and excluded from every summary).
+    reason in ``error``, no error count (and left out of every summary); its
+    rows are counted all the same.
     """
-    if column not in df.columns:
-        return spark.createDataFrame(
-            [(name, column, False, 0, 0, f"column {column} not found")],
-            STATS_SCHEMA)
-    return df.agg(
-        F.count(F.lit(1)).alias("row_count"),
-        F.count_if(error_predicate(F.col(column))).alias("error_count"),
-    ).select(F.lit(name).alias("table_name"),
-             F.lit(column).alias("column_name"), F.lit(True).alias("ok"),
-             "row_count", "error_count",
-             F.lit(None).cast("string").alias("error"))
+    known = column in df.columns
+    errors = (F.count_if(error_predicate(F.col(column))) if known
+              else F.lit(None).cast("bigint"))
+    return df.agg(F.count(F.lit(1)).alias("row_count"),
+                  errors.alias("error_count")).select(
+        F.lit(name).alias("table_name"), F.lit(column).alias("column_name"),
+        F.lit(known).alias("ok"), "row_count", "error_count",
+        F.lit(None if known else f"column {column} not found")
+        .cast("string").alias("error"))
 
 
 def tables_stats(spark: SparkSession,

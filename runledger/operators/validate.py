@@ -9,12 +9,11 @@ both sides are file-sized, so Spark picks the join strategy from sizes
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from runledger.functions.scalar import object_uri
+from runledger.sources.files import bare_path, below
 
 # The size limit (strictly greater fails), the accepted
 # suffix (case-insensitive) and the reason texts.
@@ -39,9 +38,7 @@ def listing_from_files(files: DataFrame, bucket: str, root: str
                        ) -> DataFrame:
     """Turn an S7 listing into ``bucket, key, file_size, last_modified``;
     the key is the path below ``root``."""
-    base = root.rstrip("/").split(":", 1)[-1] if root.startswith("file:") \
-        else root.rstrip("/")
-    key = F.regexp_extract("path", re.escape(base) + "/(.*)$", 1)
+    key = below(bare_path(F.col("path")), root)
     return files.select(F.lit(bucket).alias("bucket"), key.alias("key"),
                         F.col("length").alias("file_size"),
                         F.col("modification_time").alias("last_modified"))

@@ -15,7 +15,8 @@ from runledger.plans.derive import (
 from runledger.plans.registry import register, table
 from runledger.session import ensure_parallelism, new_run_dir
 from runledger.sources import catalog
-from runledger.sources.files import read_log_lines
+from runledger.sources.files import (
+    list_files, log_file_filter, newest_files, read_log_lines)
 
 PROFILE_COLS = ["lines", "errors", *lp.LEVEL_COLUMNS]
 
@@ -63,7 +64,7 @@ def recent_sources_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lp.most_recent(ev, "user_id", "ts", 10)
 
 
-@register("log_files_profile", "S7 S8 P8 A7", sql=f"""
+@register("log_files_profile", "S8 P8 A7", sql=f"""
 WITH l AS (SELECT strftime(ts, '%Y-%m-%d') AS log_date,
                   {EVENT_LINE_SQL} AS line
            FROM events WHERE event_type <> 'purchase'),
@@ -87,6 +88,40 @@ def log_files_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lp.profile_lines(read, ["log_date"])
 
 
+NEWEST = 10
+
+
+@register("log_file_stats", "S7 S8 P8 T1 A7 A8", sql=f"""
+WITH l AS (SELECT user_id % 7 AS g, event_id, {EVENT_LINE_SQL} AS line
+           FROM events),
+c AS (SELECT g, {LEVEL_SQL} AS level FROM l)
+SELECT 'app ' || CAST(g AS VARCHAR) || '+%.log' AS name, false AS failed,
+       {PROFILE_SQL}
+FROM c GROUP BY g
+UNION ALL
+SELECT 'blank one.txt', false, 0, 0, 0, 0, 0, 0, 0
+""")
+def log_file_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log files with odd names, listed, the newest ten read, one profile
+    each.  Files of other suffixes are ignored."""
+    root = new_run_dir(spark, "logstats")
+    lines = _event_lines(spark, sf_dir).select(
+        (F.col("user_id") % 7).alias("g"), "line")
+    groups = sorted(r[0] for r in lines.select("g").distinct().collect())
+    for g in groups:     # seven at most
+        lines.where(F.col("g") == g).select("line").coalesce(1).write.text(
+            f"{root}/app {g}+%.log")
+    for name, text in (("blank one.txt", " "), ("ignored.LOGS", "ERROR")):
+        spark.createDataFrame([(text,)], "line string").coalesce(1) \
+            .write.text(f"{root}/{name}")
+    # Spark writes folders; the folder is the log file's name here.
+    part = F.element_at(F.split("path", "/"), -2)
+    listing = list_files(spark, root).withColumn("name", part)
+    newest = newest_files(log_file_filter(listing), NEWEST)
+    files = lp.profile_files(newest, read_log_lines(spark, root))
+    return files.select(part.alias("name"), "failed", *PROFILE_COLS)
+
+
 @register("document_log_profile", "S8 P9 P10 A7", sql=f"""
 WITH l AS (SELECT doc_id,
                   unnest(string_split(coalesce(text, ''), chr(10))) AS line
@@ -142,6 +177,8 @@ def table_registration(spark: SparkSession, sf_dir: str) -> DataFrame:
     count_df = counts[0]
     for c in counts[1:]:
         count_df = count_df.unionByName(c)
+    # The files stay in the run's folder, the catalog is left as it was.
+    spark.sql(f"DROP DATABASE `{database}` CASCADE")
     return (listed.join(fresh, "table_name", "left")
             .join(count_df, "table_name", "left")
             .select("table_name",
@@ -163,8 +200,8 @@ TABLE_ERROR_SQL = "\nUNION ALL\n".join(
      f"CAST(count_if({_ERR.format(c=c)}) AS BIGINT) AS error_count, "
      f"CAST(NULL AS VARCHAR) AS error FROM {t}"
      for t, c in ERROR_STAT_SPECS[:-1]]
-    + ["SELECT 'orders', 'o_comment', false, CAST(0 AS BIGINT), "
-       "CAST(0 AS BIGINT), 'column o_comment not found'"])
+    + ["SELECT 'orders', 'o_comment', false, CAST(count(*) AS BIGINT), "
+       "CAST(-1 AS BIGINT), 'column o_comment not found' FROM orders"])
 
 
 def _table_error_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -174,7 +211,9 @@ def _table_error_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("table_error_stats", "A9 A10 P11", sql=TABLE_ERROR_SQL)
 def table_error_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table_error_stats(spark, sf_dir)
+    """A table without the column has a row count and -1 for its errors."""
+    return _table_error_stats(spark, sf_dir).fillna(
+        -1, subset=["error_count"])
 
 
 @register("log_table_summary", "A11 F8", sql=f"""

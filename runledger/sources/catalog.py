@@ -7,15 +7,13 @@ the distinct folder names (one per table) reach the driver.
 
 from __future__ import annotations
 
+import hashlib
 import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runledger.sources.files import list_files
-
-# Largest number of tables registered from one path.
-MAX_TABLES = 10_000
+from runledger.sources.files import bare_path, below, list_files
 
 
 def _identifier(name: str) -> str:
@@ -32,16 +30,24 @@ def list_tables(spark: SparkSession, database: str) -> DataFrame:
 
 def table_folders(spark: SparkSession, root: str) -> list[str]:
     """Distinct first-level folder names below ``root`` that hold files."""
-    base = root.rstrip("/").rsplit("/", 1)[-1]
-    rel = F.regexp_extract("path", re.escape(base) + r"/([^/]+)/", 1)
-    folders = (list_files(spark, root).select(rel.alias("folder"))
-               .where(F.col("folder") != "").distinct()
-               .limit(MAX_TABLES + 1).collect())
-    if len(folders) > MAX_TABLES:
-        raise ValueError(f"more than {MAX_TABLES} table folders under {root}")
+    rel = below(bare_path(F.col("path")), root)
+    folders = (list_files(spark, root)
+               .select(F.regexp_extract(rel, r"^([^/]+)/", 1).alias("folder"))
+               .where("folder <> ''").distinct().collect())
     return sorted(r.folder for r in folders)
 
 
+def table_names(folders: list[str]) -> dict[str, str]:
+    """A table name for each folder; folders whose names differ only in
+    characters that no table name has are told apart by a hash."""
+    names: dict[str, list[str]] = {}
+    for f in folders:
+        names.setdefault(_identifier(f), []).append(f)
+    return {f: n if len(fs) == 1 else
+            f"{n}_{hashlib.sha256(f.encode()).hexdigest()[:8]}"
+            for n, fs in names.items() for f in fs}
+
+
 def create_database(spark: SparkSession, database: str,
                     location: str | None = None) -> None:
     """``CREATE DATABASE IF NOT EXISTS``; with a location on shared storage
@@ -64,8 +70,7 @@ def register_path_tables(spark: SparkSession, database: str, root: str,
     opts = ", ".join(f"'{k}' '{v}'" for k, v in options.items())
     create_database(spark, database, location)
     names = []
-    for folder in table_folders(spark, root):
-        name = _identifier(folder)
+    for folder, name in table_names(table_folders(spark, root)).items():
         location = f"{root.rstrip('/')}/{folder}"
         qualified = f"`{database}`.`{name}`"
         if spark.catalog.tableExists(f"{database}.{name}"):

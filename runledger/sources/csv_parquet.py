@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from runledger.sources.files import bare_path, below, list_files
+
 Transform = Callable[[DataFrame], DataFrame]
 
 
@@ -111,31 +113,12 @@ def step_evidence(spark: SparkSession, batch_id: str, flow: str, step: str,
                  F.col("output_format").alias("format")).alias("output"))
 
 
-def bare_path(col: Column, encoded: bool = False) -> Column:
-    """A path without scheme, authority and trailing slashes.  Spark gives
-    ``_metadata.file_path`` percent-encoded and listings plain; ``+`` is an
-    ordinary character in both."""
-    if encoded:
-        col = F.url_decode(F.replace(col, F.lit("+"), F.lit("%2B")))
-    return F.regexp_replace(
-        F.regexp_replace(col, r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", ""),
-        r"/+$", "")
-
-
-def _below(path: Column, root: str) -> Column:
-    """The part of a bare path below ``root``; null elsewhere."""
-    base = bare_path(F.lit(root))
-    return F.when(path.startswith(F.concat(base, F.lit("/"))), F.substring(
-        path, F.length(base) + 2, F.lit(1 << 30)))
-
-
 def match_files(spark: SparkSession, files: DataFrame, root: str
                 ) -> DataFrame:
     """(batch_id, key, path, file) of the listed files of each key below
     ``root``; a key names a file or a folder.  File-sized on both sides."""
-    from runledger.sources.files import list_files
     listed = list_files(spark, root).select(
-        "path", _below(bare_path(F.col("path")), root).alias("file"))
+        "path", below(bare_path(F.col("path")), root).alias("file"))
     parts = F.split("file", "/")
     ancestors = F.transform(
         F.sequence(F.lit(1), F.size(parts)),
@@ -150,7 +133,7 @@ def _headers(spark: SparkSession, paths: list[str], root: str) -> DataFrame:
     lines = (spark.read.option("ignoreCorruptFiles", "true")
              .option("lineSep", "\n").text(paths))
     first = lines.select(
-        _below(bare_path(F.col("_metadata.file_path"), encoded=True), root)
+        below(bare_path(F.col("_metadata.file_path"), encoded=True), root)
         .alias("file"), F.col("_metadata.file_block_start").alias("at"),
         F.rtrim(F.col("value"), F.lit("\r")).alias("value"),
         F.monotonically_increasing_id().alias("no"))
@@ -205,7 +188,7 @@ def convert_files(spark: SparkSession, files: DataFrame, root: str, dst: str,
             text = T.StructType([T.StructField(n, T.StringType())
                                  for n in names])
             rows = read_csv(spark, paths, text).withColumn(
-                CONVERTED, _below(bare_path(
+                CONVERTED, below(bare_path(
                     F.col("_metadata.file_path"), encoded=True), root))
             if schema is not None:
                 rows = rows.select(*[

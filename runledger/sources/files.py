@@ -8,14 +8,30 @@ source split on ``\\n`` only (a ``\\r`` stays in the line, as with
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Suffixes the log collector accepts (case-sensitive).
 LOG_SUFFIXES = (".log", ".txt")
 LOG_GLOB = "*.{log,txt}"
-# Largest newest-first file cap that is resolved on the driver.
-MAX_FILE_CAP = 100_000
+
+
+def bare_path(col: Column, encoded: bool = False) -> Column:
+    """A path without scheme, authority and trailing slashes.  Spark gives
+    ``_metadata.file_path`` percent-encoded and listings plain; ``+`` is an
+    ordinary character in both."""
+    if encoded:
+        col = F.url_decode(F.replace(col, F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(
+        F.regexp_replace(col, r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", ""),
+        r"/+$", "")
+
+
+def below(path: Column, root: str) -> Column:
+    """The part of a bare path below ``root``; null elsewhere."""
+    base = bare_path(F.lit(root))
+    return F.when(path.startswith(F.concat(base, F.lit("/"))), F.substring(
+        path, F.length(base) + 2, F.lit(1 << 30)))
 
 
 def list_files(spark: SparkSession, root: str,
@@ -63,13 +79,12 @@ def read_log_lines(spark: SparkSession, root: str,
     if newest_k is None:
         df = reader.option("pathGlobFilter", LOG_GLOB).text(root)
     else:
-        if newest_k > MAX_FILE_CAP:
-            raise ValueError(f"file cap {newest_k} above {MAX_FILE_CAP}")
         chosen = newest_files(log_file_filter(list_files(spark, root)),
                               newest_k)
         paths = [r.path for r in chosen.select("path").collect()]
         if not paths:
             return spark.createDataFrame([], "file string, line string")
         df = spark.read.option("lineSep", "\n").text(paths)
-    return df.select(F.col("_metadata.file_path").alias("file"),
-                     F.col("value").alias("line"))
+    return df.select(
+        bare_path(F.col("_metadata.file_path"), encoded=True).alias("file"),
+        F.col("value").alias("line"))
