@@ -160,8 +160,10 @@ def _documents_with(batch: pa.RecordBatch) -> np.ndarray:
 
 def train(rows: DataFrame, rounds: int = ROUNDS) -> np.ndarray:
     """Weights (the last one is the bias) from rows (label, text)."""
-    # Bounded by the sample: a few tasks, or each would send a vector.
-    table = stored(_featurize(rows).coalesce(TRAIN_TASKS), "toxic-features")
+    # Bounded by the sample: a few tasks, or each would send a vector.  The
+    # scan that finds the sample keeps all its tasks.
+    table = stored(_featurize(rows.repartition(TRAIN_TASKS)),
+                   "toxic-features")
     size = {r["label"]: r["count"]
             for r in table.groupBy("label").count().collect()}
     w = np.zeros(WIDTH + 1)
