@@ -185,27 +185,36 @@ p AS (SELECT CASE WHEN o_orderkey % 100 = 0 THEN '0-REJECTED'
 """
 
 
-@register("csv_batch_summary", "A4 J3 P18 P19", sql=_FILES_SQL + """
+SUMMARY_CTE = """
 , a AS (SELECT batch_id, 1 AS files, conv_ok, n, 0 AS pre FROM f
         UNION ALL SELECT batch_id, 0, NULL, 0, 1 FROM p),
 s AS (SELECT batch_id, CAST(sum(files) AS BIGINT) AS total_input_files,
-             CAST(count_if(coalesce(conv_ok, false)) AS BIGINT) AS successful_conversions,
-             CAST(count_if(coalesce(conv_ok AND n > 0, false)) AS BIGINT) AS successful_loads,
+             CAST(count_if(coalesce(conv_ok, false)) AS BIGINT)
+                 AS successful_conversions,
+             CAST(count_if(coalesce(conv_ok AND n > 0, false)) AS BIGINT)
+                 AS successful_loads,
              CAST(sum(CASE WHEN conv_ok THEN n + n // 4 ELSE 0 END) AS BIGINT)
                  AS total_input_rows,
              CAST(sum(CASE WHEN conv_ok THEN n ELSE 0 END) AS BIGINT)
                  AS total_output_rows,
              CAST(sum(CASE WHEN conv_ok AND n > 0 THEN n ELSE 0 END) AS BIGINT)
                  AS total_loaded_rows,
-             CAST(count_if(coalesce(NOT conv_ok, false)) + count_if(coalesce(conv_ok AND n = 0, false))
+             CAST(count_if(coalesce(NOT conv_ok, false))
+                  + count_if(coalesce(conv_ok AND n = 0, false))
                   + sum(pre) AS BIGINT) AS failure_count
-      FROM a GROUP BY batch_id)
-SELECT *, CASE WHEN failure_count = 0
+      FROM a GROUP BY batch_id),
+summary AS (SELECT *, CASE WHEN failure_count = 0
                     AND successful_conversions = total_input_files
                     AND successful_loads = total_input_files
                THEN 'SUCCESS' ELSE 'PARTIAL_FAILURE' END AS status
-FROM s
-""")
+FROM s)
+"""
+FILES_SUMMARY_SQL = (_FILES_SQL + SUMMARY_CTE
+                     + _CHECKED_SQL.replace("WITH lst AS", ", lst AS"))
+
+
+@register("csv_batch_summary", "A4 J3 P18 P19",
+          sql=_FILES_SQL + SUMMARY_CTE + "SELECT * FROM summary")
 def csv_batch_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cb.batch_summary(_file_results(spark, sf_dir),
                             _prevalidate_errors(spark, sf_dir))

@@ -40,7 +40,8 @@ def register(name: str, operators: str, sql: str | None = None
 def all_queries() -> dict[str, Query]:
     # Import the modules that register queries (order = display order).
     from runledger.plans import (  # noqa: F401
-        csv_queries, evidence_queries, json_queries, log_queries)
+        csv_queries, emitter_queries, evidence_queries, json_queries,
+        log_queries)
     return dict(_QUERIES)
 
 
