@@ -214,20 +214,20 @@ def _texts_of(docs: DataFrame, sets: DataFrame, tags: DataFrame, k: int
     ids = sets.join(tags, "tag").groupBy("tag").agg(
         F.min("doc_id").alias("doc_id"))
     bits = docs.sparkSession.sparkContext.broadcast(
-        bitmap(F.col("doc_id"), stored(ids.filter("doc_id is not null"),
-                                       "jaccard-ids")))
+        bitmap(F.xxhash64("doc_id"), stored(ids.filter(
+            "doc_id is not null"), "jaccard-ids")))
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(0).fill_null(0).to_numpy()
-            ok = in_bitmap(bits.value, ids) | batch.column(0).is_null(
-                ).to_numpy(zero_copy_only=False)
+            ok = in_bitmap(bits.value, batch.column(2).to_numpy())
+            ok |= batch.column(0).is_null().to_numpy(zero_copy_only=False)
             texts = batch.column(1).filter(pa.array(ok))
             tag = [set_tag(shingles(t.as_py(), k)) for t in texts]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(tag, pa.binary()), texts], ["tag", "text"])
 
-    found = _texts(docs).mapInArrow(pick, "tag binary, text string")
+    found = _texts(docs).withColumn("mark", F.xxhash64("doc_id")).mapInArrow(
+        pick, "tag binary, text string")
     return stored(found.join(tags, "tag").dropDuplicates(["tag"]),
                   "jaccard-texts")
 

@@ -231,15 +231,19 @@ def _classes(rows: DataFrame, grams: np.ndarray) -> DataFrame:
 
 def _texts_of(rows: DataFrame, numbers: DataFrame) -> DataFrame:
     """(row_no, doc_id, text) of the rows, and of some more."""
+    # Row numbers count up in every partition, so they are hashed.
     some = rows.sparkSession.sparkContext.broadcast(
-        bitmap(F.col("row_no"), numbers))
+        bitmap(F.xxhash64("row_no"), numbers))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ok = in_bitmap(some.value, batch.column(0).to_numpy())
-            yield batch.filter(pa.array(ok))
+            ok = in_bitmap(some.value, batch.column(3).to_numpy())
+            kept = batch.filter(pa.array(ok))
+            yield pa.RecordBatch.from_arrays(kept.columns[:3],
+                                             ["row_no", "doc_id", "text"])
 
-    return rows.mapInArrow(run, rows.schema)
+    return rows.withColumn("mark", F.xxhash64("row_no")).mapInArrow(
+        run, "row_no long, doc_id long, text string")
 
 
 def _windows(texts: DataFrame, spans: DataFrame) -> DataFrame:
