@@ -74,6 +74,19 @@ def prevalidate(totals: DataFrame, clock: str) -> DataFrame:
          "errors": _c("error_count").cast("string")})
 
 
+def csv_convert(results: DataFrame, clock: str) -> DataFrame:
+    """From the per-file results (J3), one record per file."""
+    ok = F.col("converted")
+    n_in, n_out = _c("input_rows"), _c("rows")
+    return _emit(
+        results, CSV_FLOW, "glue_convert", ok,
+        F.when(ok, _text("Converted {} rows to {} rows", n_in, n_out))
+        .otherwise(F.col("convert_error")), clock,
+        {"s3": F.col("key"), "rows": F.when(ok, n_in).otherwise(0)},
+        {"rows": F.when(ok, n_out).otherwise(0),
+         "format": F.lit("parquet")})
+
+
 def csv_load(results: DataFrame, table: str, clock: str) -> DataFrame:
     """From the per-file results (J3) that reached the load; one record per
     file."""

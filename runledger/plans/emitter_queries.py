@@ -54,6 +54,12 @@ SELECT batch_id, 'prevalidate' AS step, 'csv-to-parquet-pipeline' AS flow,
        CAST(0 AS BIGINT) AS dropped_rows, '' AS reason
 FROM t
 UNION ALL
+SELECT batch_id, 'glue_convert', 'csv-to-parquet-pipeline', conv_ok,
+       CASE WHEN conv_ok THEN 'Converted ' || (n + n // 4) || ' rows to '
+                              || n || ' rows'
+            ELSE 'Glue job failed: order pending' END, '', 0, 0, ''
+FROM f
+UNION ALL
 SELECT batch_id, 'redshift_load', 'csv-to-parquet-pipeline', n > 0,
        CASE WHEN n > 0 THEN 'Loaded ' || n || ' rows into public.etl_data'
             ELSE 'no rows to load' END, 'public.etl_data', n,
@@ -73,12 +79,13 @@ FROM summary
 
 @register("csv_pipeline_evidence", "S18 F13 P12 A1 A4", sql=_CSV_SQL)
 def csv_pipeline_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Validation, load and finalize evidence of the CSV batches."""
+    """Validation, conversion, load and finalize evidence of CSV batches."""
     results = cq._file_results(spark, sf_dir)
     results = materialized(results, "results")
     return parsed([
         em.prevalidate(va.validation_totals(cq._checked(spark, sf_dir)),
                        CLOCK),
+        em.csv_convert(results, CLOCK),
         em.csv_load(results, TARGET, CLOCK),
         em.csv_finalize(cb.batch_summary(
             results, cq._prevalidate_errors(spark, sf_dir)), CLOCK)],
