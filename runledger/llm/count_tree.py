@@ -335,7 +335,7 @@ def _leaf_pairs(cells: DataFrame, points: DataFrame, percent: int,
                         & (F.col("a_l_low") == F.col("b_l_low")))
     leaves = stored(a.join(b, "cell").filter(near).select(
         "cell", "a_band", "a_leaf", "b_band", "b_leaf"), "jaccard-near")
-    fields = ("tag", "label", "n", "point")
+    fields = ("tag", "label", "n", "box_point", "point")
     left = rows.select("cell", F.col("band").alias("a_band"),
                        F.col("leaf").alias("a_leaf"),
                        *[F.col(c).alias(f"a_{c}") for c in fields])
@@ -350,6 +350,9 @@ def _leaf_pairs(cells: DataFrame, points: DataFrame, percent: int,
     met = ends.join(right, ["cell", "b_band", "b_leaf"]).filter(
         other & (~one_leaf | (F.col("a_tag") < F.col("b_tag")))
         & _sizes_fit(F.col("a_n"), F.col("b_n"), percent)
+        # The boxes' coarser points rule out most pairs at less cost.
+        & (_box_bound(F.col("a_box_point"), F.col("b_box_point"))
+           >= _needed(F.col("a_n"), F.col("b_n"), percent))
         & (_bound(F.col("a_n"), F.col("b_n"), F.col("a_point"),
                   F.col("b_point")) >= _needed(F.col("a_n"), F.col("b_n"), percent)))
     return met.select(F.least("a_tag", "b_tag").alias("x"),
@@ -357,36 +360,56 @@ def _leaf_pairs(cells: DataFrame, points: DataFrame, percent: int,
 
 
 def _prepared(docs: DataFrame, k: int, percent: int
-              ) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """Sets of all documents, and of the live ones: cell rows, points,
-    texts."""
+              ) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Sets of all documents; cell rows and points of the live ones."""
     sets = _sets(docs, k, percent)
     cells = _live_cells(sets)
     tags = stored(cells.groupBy("tag").agg(F.count(F.lit(1)).alias("score")),
                   "jaccard-tags")
     points = stored(sets.select("tag", "n", "box_point", "point").join(
         tags, "tag").dropDuplicates(["tag"]), "jaccard-points")
-    texts = _texts_of(docs, sets, tags.select("tag"), k)
     cells = stored(cells.join(points.select("tag", "n", "score"), "tag")
                    .withColumn("label", F.col("tag")), "jaccard-cells")
-    return sets, cells, points.drop("score"), texts
+    return sets, cells, points.drop("score")
+
+
+class _Verifier:
+    """Verifies pairs; fetches the text of a set when a pair first needs it,
+    so only sets with a pair that passed the bound are fetched."""
+
+    def __init__(self, docs: DataFrame, sets: DataFrame, k: int,
+                 percent: int):
+        self.docs, self.sets = docs, sets
+        self.k, self.percent = k, percent
+        self.texts: DataFrame | None = None
+
+    def links(self, pairs: DataFrame) -> DataFrame:
+        pairs = stored(pairs, "jaccard-pairs")
+        tags = pairs.select(F.col("x").alias("tag")).union(
+            pairs.select("y")).distinct()
+        if self.texts is not None:
+            tags = tags.join(self.texts.select("tag"), "tag", "left_anti")
+        tags = stored(tags, "jaccard-tags")
+        more = _texts_of(self.docs, self.sets, tags, self.k)
+        self.texts = more if self.texts is None else \
+            self.texts.unionByName(more)
+        return _verified(pairs, self.texts, self.k, self.percent)
 
 
 def _links(docs: DataFrame, k: int, percent: int
            ) -> tuple[DataFrame, DataFrame]:
     """Sets of all documents, and links that connect every component."""
-    sets, cells, points, texts = _prepared(docs, k, percent)
-    links = None
+    sets, cells, points = _prepared(docs, k, percent)
+    verifier, links = _Verifier(docs, sets, k, percent), None
     for _ in range(STAR_ROUNDS):
         pairs, rest = _star_pairs(cells, points, percent)
-        found = _verified(pairs, texts, k, percent)
+        found = verifier.links(pairs)
         links = stored(found if links is None else links.union(found),
                        "jaccard-links")
         cells = _open_cells(_with_labels(rest, links))
         if not cells.limit(1).count():
             return sets, links
-    pairs = stored(_leaf_pairs(cells, points, percent), "jaccard-pairs")
-    found = _verified(pairs, texts, k, percent)
+    found = verifier.links(_leaf_pairs(cells, points, percent))
     return sets, stored(found if links is None else links.union(found),
                         "jaccard-links")
 
@@ -395,10 +418,9 @@ def similar_pairs(docs: DataFrame, k: int = WORDS, percent: int = PERCENT
                   ) -> tuple[DataFrame, DataFrame]:
     """The whole join: every pair (a, b) of different sets that are similar
     enough, and the membership (doc_id, n, set) of the documents."""
-    sets, cells, points, texts = _prepared(docs, k, percent)
-    pairs = stored(_leaf_pairs(cells, points, percent, labelled=False),
-                   "jaccard-pairs")
-    return _verified(pairs, texts, k, percent), sets.select(
+    sets, cells, points = _prepared(docs, k, percent)
+    pairs = _leaf_pairs(cells, points, percent, labelled=False)
+    return _Verifier(docs, sets, k, percent).links(pairs), sets.select(
         "doc_id", "n", F.col("tag").alias("set"))
 
 
