@@ -335,28 +335,66 @@ def _leaf_pairs(cells: DataFrame, points: DataFrame, percent: int,
                         & (F.col("a_l_low") == F.col("b_l_low")))
     leaves = stored(a.join(b, "cell").filter(near).select(
         "cell", "a_band", "a_leaf", "b_band", "b_leaf"), "jaccard-near")
-    fields = ("tag", "label", "n", "box_point", "point")
-    left = rows.select("cell", F.col("band").alias("a_band"),
-                       F.col("leaf").alias("a_leaf"),
-                       *[F.col(c).alias(f"a_{c}") for c in fields])
-    right = rows.select("cell", F.col("band").alias("b_band"),
-                        F.col("leaf").alias("b_leaf"),
-                        *[F.col(c).alias(f"b_{c}") for c in fields])
-    other = (F.col("a_label") != F.col("b_label")) if labelled else (
-        F.col("a_tag") != F.col("b_tag"))
-    one_leaf = (F.col("a_band") == F.col("b_band")) & (
-        F.col("a_leaf") == F.col("b_leaf"))
-    ends = left.join(leaves, ["cell", "a_band", "a_leaf"])
-    met = ends.join(right, ["cell", "b_band", "b_leaf"]).filter(
-        other & (~one_leaf | (F.col("a_tag") < F.col("b_tag")))
-        & _sizes_fit(F.col("a_n"), F.col("b_n"), percent)
-        # The boxes' coarser points rule out most pairs at less cost.
-        & (_box_bound(F.col("a_box_point"), F.col("b_box_point"))
-           >= _needed(F.col("a_n"), F.col("b_n"), percent))
-        & (_bound(F.col("a_n"), F.col("b_n"), F.col("a_point"),
-                  F.col("b_point")) >= _needed(F.col("a_n"), F.col("b_n"), percent)))
-    return met.select(F.least("a_tag", "b_tag").alias("x"),
-                      F.greatest("a_tag", "b_tag").alias("y")).distinct()
+    # A leaf has about LEAF members, so a pair of leaves is a bounded row.
+    members = stored(rows.groupBy("cell", "band", "leaf").agg(
+        F.collect_list("tag").alias("tags"),
+        F.collect_list("label").alias("labels"),
+        F.collect_list("n").alias("ns"),
+        F.flatten(F.collect_list("point")).alias("points")),
+        "jaccard-members")
+    fields = ("tags", "labels", "ns", "points")
+    left = members.select("cell", F.col("band").alias("a_band"),
+                          F.col("leaf").alias("a_leaf"),
+                          *[F.col(c).alias(f"a_{c}") for c in fields])
+    right = members.select("cell", F.col("band").alias("b_band"),
+                           F.col("leaf").alias("b_leaf"),
+                           *[F.col(c).alias(f"b_{c}") for c in fields])
+    met = leaves.join(left, ["cell", "a_band", "a_leaf"]).join(
+        right, ["cell", "b_band", "b_leaf"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cols = [batch.column(c).to_pylist() for c in range(3)]
+            other = [batch.column(c).to_pylist() for c in range(4, 7)]
+            x, y = [], []
+            for i in range(batch.num_rows):
+                a = _leaf(cols, batch.column(3), i)
+                b = _leaf(other, batch.column(7), i)
+                for p, q in _near_members(a, b, percent, labelled):
+                    x.append(min(a[0][p], b[0][q]))
+                    y.append(max(a[0][p], b[0][q]))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(x, pa.binary()), pa.array(y, pa.binary())],
+                ["x", "y"])
+
+    return met.select(*[f"a_{c}" for c in fields],
+                      *[f"b_{c}" for c in fields]).mapInArrow(
+        run, "x binary, y binary").filter("x <> y").distinct()
+
+
+def _leaf(cols: list[list], points: pa.Array, i: int) -> tuple:
+    tags, labels, ns = (c[i] for c in cols)
+    return tags, labels, np.array(ns), np.array(
+        points[i].values.to_numpy(zero_copy_only=False)).reshape(
+        len(tags), GROUPS).astype(np.int16)
+
+
+def _near_members(a: tuple, b: tuple, percent: int, labelled: bool
+                  ) -> Iterator[tuple[int, int]]:
+    """Pairs of members of two leaves whose sizes and points are near."""
+    names = {x: k for k, x in enumerate({*a[1], *b[1]})}
+    lb = np.array([names[x] for x in b[1]])
+    for p in range(len(a[0])):
+        n, m = a[2][p], b[2]
+        ok = 100 * np.minimum(n, m) >= percent * np.maximum(n, m)
+        if labelled:
+            ok &= lb != names[a[1][p]]
+        q = np.nonzero(ok)[0]
+        if len(q):
+            apart = np.abs(b[3][q] - a[3][p]).sum(1)
+            need = -(-percent * (n + m[q]) // (100 + percent))
+            for k in q[n + m[q] - apart >= 2 * need]:
+                yield p, int(k)
 
 
 def _prepared(docs: DataFrame, k: int, percent: int
