@@ -41,7 +41,8 @@ ROUNDS = 60
 RATE, BIAS_RATE, MOMENTUM = 10.0, 1.0, 0.9
 SPARSITY = 1e-3         # weight of the absolute values in the loss
 START = -6.0            # bias before training: few sentences offend
-LEAST_DOCS, MOST_SHARE = 5, 0.1   # documents a trained feature occurs in
+LEAST_DOCS = 5          # documents a trained feature occurs in
+MOST_CLEAN = 0.1        # share of the clean documents it may occur in
 THRESHOLD = 0.7
 OFFENDING = 0.5         # probability from which a sentence is reported
 CACHE_ENTRIES = 400_000
@@ -151,10 +152,12 @@ def _bag(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
             idx.flatten().to_numpy(zero_copy_only=False))
 
 
-def _documents_with(batch: pa.RecordBatch) -> np.ndarray:
+def _documents_with(batch: pa.RecordBatch, toxic: int) -> np.ndarray:
+    """Number of documents of one class that hold each feature."""
     label, doc, lens, idx = _bag(batch)
     of = doc[np.repeat(np.arange(len(lens)), lens)].astype(np.int64)
     pairs = np.unique(idx.astype(np.int64) * len(label) + of)
+    pairs = pairs[label[pairs % len(label)] == toxic]
     return np.bincount(pairs // len(label), minlength=WIDTH + 1)
 
 
@@ -171,9 +174,12 @@ def train(rows: DataFrame, rounds: int = ROUNDS) -> np.ndarray:
     if len(size) < 2:
         return w
     class_weight = np.array([0.5 / size[0], 0.5 / size[1]])
-    found = _summed(table, _documents_with)
-    rate = RATE * ((found >= LEAST_DOCS) & (
-        found <= MOST_SHARE * sum(size.values())))
+    # The upper cut is by the clean class alone, so that it depends neither
+    # on the mix of the sample nor on how many toxic documents hold a word.
+    clean, toxic = (_summed(table, lambda batch, c=c: _documents_with(
+        batch, c)) for c in (0, 1))
+    rate = RATE * ((clean + toxic >= LEAST_DOCS) & (
+        clean <= MOST_CLEAN * size[0]))
     rate[-1] = BIAS_RATE
     speed = np.zeros(WIDTH + 1)
     sc = table.sparkSession.sparkContext

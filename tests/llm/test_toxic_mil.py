@@ -83,3 +83,18 @@ def test_without_labels_or_rows(spark, make_docs):
     got = toxicity(make_docs(EDGE), none).collect()
     assert len(got) == len(EDGE) and not any(r.predicted for r in got)
     assert toxicity(make_docs([]), none).count() == 0
+
+
+def test_words_of_many_toxic_documents_are_learnt_in_a_balanced_sample(
+        spark, make_docs):
+    """Each bad word stands in a third of the toxic documents, which is a
+    sixth of a sample with as many toxic as clean ones."""
+    made = {i: (i % 2 == 0, *text(i % 2 == 0)) for i in range(600)}
+    docs = make_docs([(i, t) for i, (_, t, _) in made.items()])
+    labels = spark.createDataFrame(
+        [(i, None, int(y)) for i, (y, _, _) in made.items()],
+        "doc_id long, quality int, toxic int")
+    rows = {r.doc_id: r for r in toxicity(docs, labels).collect()}
+    out = [i for i in made if remainder(i) == 1]
+    right = sum(rows[i].predicted == int(made[i][0]) for i in out)
+    assert right >= 0.95 * len(out)
