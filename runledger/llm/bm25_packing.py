@@ -2,9 +2,9 @@
 
 Every document is tokenised (identifiers of a tokenizer file, then id 0).
 Its whole windows of ``WINDOW`` ids are sequences of their own; the rest of
-it, its tail, is packed with other tails.  Tails are dealt out by a min-hash
-of their ids (ties by document, so that no key is hot) into shards of
-``SHARD`` tails.  Each shard has a BM25 inverted index over its tails, with
+it, its tail, is packed with other tails.  Tails are dealt out by min-hashes
+of their ids, the appended id 0 left out (ties by document and row, so that no
+key is hot), into shards of ``SHARD`` tails.  Each shard has a BM25 inverted index over its tails, with
 document frequencies and lengths of the whole corpus.  A seed tail opens a
 window, its best unused neighbours fill it greedily, and where none fits
 whole, the best one is cut to fit and its remainder stays in the index.  So
@@ -44,9 +44,14 @@ TASK_ROWS = 16_384          # tails per task, about
 K1, B = 1.2, 0.75
 NEIGHBOURS = 32             # ranked per seed; the first unused are always used
 IDS = 1 << 16               # identifiers are below this
+ROUTE_HASHES = 4            # 16 bits each
 CACHE_ENTRIES = 400_000
 LATIN = 0x250               # code points of the Latin letters end here
 
+# A fixed permutation: the hash of every identifier.
+_RANK = np.argsort([zlib.crc32(b"route %d" % i) for i in range(IDS)],
+                   kind="stable").astype(np.uint16)
+
 _ADJACENT = re.compile(r"\s\s")
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, "
           "doc_tokens long, sequence_id long, offset long")
@@ -158,21 +163,26 @@ def ids_crc(ids: np.ndarray) -> int:
 
 
 def _route(ids: np.ndarray) -> int:
-    """Min-hash of the set of ids."""
-    x = ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    x ^= x >> np.uint64(29)
-    x *= np.uint64(0xBF58476D1CE4E5B9)
-    return int((x >> np.uint64(1)).min())
+    """The ROUTE_HASHES smallest hashes of the set of ids, smallest first, as
+    one number: tails that share ids come next to each other.  ``ids`` is a
+    tail without the appended id, which all tails share."""
+    low = np.unique(_RANK[ids])[:ROUTE_HASHES].tolist()
+    low += [IDS - 1] * (ROUTE_HASHES - len(low))
+    out = 0
+    for x in low:
+        out = out * IDS + x
+    return out >> 1
 
 
 def _tokenized(docs: DataFrame, vocabulary: str, window: int) -> DataFrame:
-    """Whole windows, each a sequence (ids null), and tails (ids, route)."""
+    """Whole windows, each a sequence (ids null), and tails (ids, route,
+    row_no)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(vocabulary)
-        part, made = TaskContext.get().partitionId() << 34, 0
+        part, made, row_no = TaskContext.get().partitionId() << 34, 0, 0
         for batch in batches:
-            cols = [[] for _ in range(8)]
+            cols = [[] for _ in range(9)]
             for doc, text in zip(batch.column(0).to_pylist(),
                                  batch.column(1)):
                 raw = encoder.encode(text.as_py()) + b"\0\0"
@@ -182,22 +192,26 @@ def _tokenized(docs: DataFrame, vocabulary: str, window: int) -> DataFrame:
                     piece = ids[at:at + window]
                     if len(piece) == window:
                         row = (doc, at, window, ids_crc(piece), n,
-                               2 * (part + made) + 1, None, None)
+                               2 * (part + made) + 1, None, None, None)
                         made += 1
                     else:
                         row = (doc, at, len(piece), None, n, None,
-                               piece.tobytes(), _route(piece))
+                               piece.tobytes(), _route(piece[:-1]),
+                               part + row_no)
+                        row_no += 1
                     for c, v in zip(cols, row):
                         c.append(v)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(cols, (
-                    *[pa.int64()] * 6, pa.binary(), pa.int64()))],
+                    *[pa.int64()] * 6, pa.binary(), pa.int64(),
+                    pa.int64()))],
                 ["doc_id", "start", "length", "ids_crc32", "doc_tokens",
-                 "sequence_id", "ids", "route"])
+                 "sequence_id", "ids", "route", "row_no"])
 
     return doc_texts(docs).mapInArrow(
         run, "doc_id long, start long, length long, ids_crc32 long, "
-             "doc_tokens long, sequence_id long, ids binary, route long")
+             "doc_tokens long, sequence_id long, ids binary, route long, "
+             "row_no long")
 
 
 def _frequencies(tails: DataFrame) -> np.ndarray:
@@ -382,7 +396,7 @@ def pack(docs: DataFrame, vocabulary: str = VOCABULARY, window: int = WINDOW,
         return whole
     df = _frequencies(tails).astype(float)
     idf = np.log1p((n - df + 0.5) / (df + 0.5))
-    key = ["route", "doc_id", "start"]
+    key = ["route", "doc_id", "start", "row_no"]
     dealt = tails.repartitionByRange(-(-n // task_rows), *key) \
         .sortWithinPartitions(*key)
     packed = stored(_packed(dealt, idf, mean, window, shard),

@@ -122,6 +122,29 @@ def test_neighbours_share_windows(make_docs):
     assert total and same / total > 0.5
 
 
+def test_tails_are_dealt_by_their_ids(make_docs):
+    """Topics interleaved by doc_id meet in shards that hold an eighth of
+    the tails, and rows of one null id and text go to several tasks."""
+    vocab = sorted(w[1:] for w in TOKENIZER.get_vocab() if w[0] == "Ġ"
+                   and w[1:].isascii() and w[1:].islower() and len(w) > 5)
+    topics = [vocab[t * 30:t * 30 + 30] for t in range(8)]
+    rows = [(k, " ".join(RNG.choice(topics[k % 8]) for _ in range(60)))
+            for k in range(640)]
+    pieces = pack(make_docs(rows), shard=80, task_rows=10_000).collect()
+    check(rows, pieces)
+    seqs = defaultdict(set)
+    for p in pieces:
+        seqs[p.sequence_id].add(p.doc_id)
+    pairs = [a % 8 == b % 8 for ids in seqs.values()
+             for a in ids for b in ids if a < b]
+    assert sum(pairs) > 0.8 * len(pairs)
+
+    same = [(None, "one two three")] * 400
+    pieces = pack(make_docs(same), shard=50, task_rows=50).collect()
+    check(same, pieces)
+    assert len({p.sequence_id >> 35 for p in pieces}) > 4
+
+
 def test_powers_of_two():
     rest = [(0, 5, 105), (1, 0, 33), (2, 7, 8)]
     out = powers_of_two(rest)
