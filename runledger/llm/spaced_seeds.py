@@ -1,12 +1,19 @@
 """Operator 5: benchmark decontamination by spaced-seed hashing.
 
-Benchmark items are cut into overlapping windows of ``WINDOW`` words.  Fixed
-masks of ``SPAN`` positions ignore some word positions; the hash of the words
-at the others is a seed.  Documents yield the same seeds at every position; a
-seed join gives (window, alignment) candidates, and a candidate is verified by
-comparing the window word by word with the document around the hit.  A window
-leaks when at least ``SHARE`` of its words agree at that alignment, so
-substituted words are tolerated while unrelated texts are not reported.
+Fixed masks ignore some word positions; the hash of the words at the others
+is a seed.  Documents yield the same seeds at every position as benchmark
+items; a seed join gives (item, alignment) candidates, and a candidate is
+verified by comparing item and document word by word around the hit.  An item
+leaks where any stretch of at least ``STRETCH`` of its words (or the whole
+item, if shorter) has ``SHARE`` of its words equal at that alignment, so
+excerpts and substituted words are found while unrelated texts are not.
+
+The seeds lose nothing at the default share.  A shortest such stretch has
+fewer than twice ``STRETCH`` words, as one half of a longer one would do; the
+masks of each length class leave one seed untouched for every choice of 20 %
+substituted words (a test tries all choices).  So items longer than ``WINDOW``
+words are compared in windows that overlap by ``WINDOW - STEP`` words, which
+hold every shortest stretch.
 
 Only a bitmap of fixed size (``BITMAP_BITS``), filled from the seeds of the
 benchmark, is sent to the tasks; it merely saves shuffling seeds that cannot
@@ -16,14 +23,14 @@ The seeds themselves are joined by a shuffle.
 Words are runs of letters, digits and underscores, lower-cased.  Defined
 results: null and empty texts and items have no words and never match; items
 of fewer than ``LEAST`` words carry too little evidence and are never
-reported; items of up to ``SPAN`` words are sought with one word left out at a
-time; repeated rows are reported once per id; an empty table on either side gives no leaks.
+reported; repeated rows are reported once per id; an empty table on either
+side gives no leaks.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,15 +40,22 @@ from pyspark.sql import functions as F
 
 from runledger.llm.common import doc_texts, stored
 
-WINDOW, STEP = 50, 25
+WINDOW, STEP = 80, 40
+STRETCH = 20
 LEAST = 5
 SHARE = 0.8
 SPAN = 9
-# The positions each mask looks at; any one or two substituted
-# words within a span leave at least one mask untouched nearby.
-MASKS = ((0, 1, 2, 4, 5, 7, 8), (0, 1, 3, 4, 6, 7, 8),
-         (0, 2, 3, 4, 5, 6, 8), (0, 1, 2, 3, 6, 8))
+# The positions that the masks look at, for items of at least so
+# many words.  Found by search: as few and as long as leave none out.
+MASKS = {
+    5: ((0, 1, 2, 3), (0, 1, 2, 4), (0, 1, 3, 4), (0, 2, 3, 4)),
+    10: ((0, 1, 2, 4, 5), (0, 1, 3, 6, 7), (0, 1, 2, 3, 4)),
+    15: ((0, 1, 2, 3, 5, 6), (0, 1, 4, 6, 7, 8), (0, 1, 2, 3, 4, 5),
+         (0, 1, 3, 4, 5, 6), (0, 1, 2, 4, 6, 8)),
+    20: ((0, 1, 2, 3, 5, 6), (0, 1, 4, 6, 7, 8), (0, 1, 2, 4, 5, 7)),
+}
 BITMAP_BITS = 1 << 23
+SECOND = 23              # the second bit of a seed is taken from here
 CHUNK_WORDS = 200_000
 REGION_WORDS = 4096
 CACHE_ENTRIES = 500_000
@@ -73,26 +87,26 @@ def _mix(x: np.ndarray, salt: int) -> np.ndarray:
     return x
 
 
-def seed_plan(short: tuple[int, ...] = ()) -> list[tuple[int, list[int]]]:
-    """(span, positions looked at) of every kind of seed: the masks, and for
-    windows of up to SPAN words the whole run and all runs but one word."""
-    plan = [(SPAN, list(m)) for m in MASKS]
-    for n in short:
-        plan.append((n, list(range(n))))
-        plan += [(n, [i for i in range(n) if i != skip]) for skip in range(n)]
-    return plan
+def length_class(n: int) -> int:
+    """The key of MASKS for an item of ``n`` words, at least LEAST."""
+    return min(n // 5 * 5, STRETCH)
 
 
-def seeds(words: np.ndarray, plan: list[tuple[int, list[int]]]
+def seed_plan(classes: Iterable[int]) -> list[tuple[int, ...]]:
+    """The different masks of some length classes."""
+    return sorted({m for c in classes for m in MASKS[c]})
+
+
+def seeds(words: np.ndarray, plan: list[tuple[int, ...]]
           ) -> Iterator[np.ndarray]:
-    """For each kind of the plan, the seed at every start."""
-    for span, looked_at in plan:
-        n = max(0, len(words) - span + 1)
+    """For each mask of the plan, the seed at every start."""
+    at = {o: words * _ODD[o] for o in {o for m in plan for o in m}}
+    for mask in plan:
+        n = max(0, len(words) - mask[-1])
         acc = np.zeros(n, np.uint64)
-        for o in looked_at:
-            acc += words[o:o + n] * _ODD[o]
-        kind = sum(1 << o for o in looked_at) + (span << SPAN)
-        yield _mix(acc, kind)
+        for o in mask:
+            acc += at[o][o:o + n]
+        yield _mix(acc, sum(1 << o for o in mask))
 
 
 def _as_long(x: np.ndarray) -> list[int]:
@@ -137,8 +151,7 @@ def _window_seeds(windows: DataFrame) -> DataFrame:
             for w, words in zip(batch.column(0).to_pylist(),
                                 batch.column(1).to_pylist()):
                 arr = np.array(words, np.int64).view(np.uint64)
-                short = (len(arr),) if len(arr) <= SPAN else ()
-                for s in seeds(arr, seed_plan(short)):
+                for s in seeds(arr, seed_plan([length_class(len(arr))])):
                     seed += _as_long(s)
                     win += [w] * len(s)
                     pos += range(len(s))
@@ -151,17 +164,26 @@ def _window_seeds(windows: DataFrame) -> DataFrame:
 
 
 def _bitmap(seed_rows: DataFrame) -> np.ndarray:
-    """BITMAP_BITS bits, one per seed, as 64-bit words."""
-    bit = F.col("seed").bitwiseAND(F.lit(BITMAP_BITS - 1))
-    words = seed_rows.groupBy(F.shiftright(bit, 6).alias("at")).agg(
-        F.bit_or(F.expr(f"shiftleft(1L, int((seed & {BITMAP_BITS - 1}) & 63))"
-                        )).alias("bits")).collect()
+    """BITMAP_BITS bits, two per seed, as 64-bit words."""
+    low = BITMAP_BITS - 1
+    bits = seed_rows.select(F.explode(F.expr(
+        f"array(seed & {low}, shiftright(seed, {SECOND}) & {low})"))
+        .alias("bit"))
+    words = bits.groupBy(F.shiftright("bit", 6).alias("at")).agg(
+        F.bit_or(F.expr("shiftleft(1L, int(bit & 63))")).alias("bits")
+    ).collect()
     out = np.zeros(BITMAP_BITS // 64, np.int64)
     for r in words:
         out[r.at] = r.bits
     return out.view(np.uint64)
 
 
+def _marked(table: np.ndarray, x: np.ndarray) -> np.ndarray:
+    low = x & np.uint64(BITMAP_BITS - 1)
+    return (table[low >> np.uint64(6)] >> (low & np.uint64(63))
+            & np.uint64(1)).astype(bool)
+
+
 def _hit_regions(words: np.ndarray, hits: dict[int, list[int]]
                  ) -> Iterator[tuple[int, np.ndarray, list]]:
     """Stretches of a document that hold its hits with WINDOW words around;
@@ -181,10 +203,10 @@ def _hit_regions(words: np.ndarray, hits: dict[int, list[int]]
         k = j + 1
 
 
-def _regions(docs: DataFrame, bits: np.ndarray, short: tuple[int, ...]
+def _regions(docs: DataFrame, bits: np.ndarray, classes: list[int]
              ) -> DataFrame:
     bitmap = docs.sparkSession.sparkContext.broadcast(bits)
-    plan = seed_plan(short)
+    plan = seed_plan(classes)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = bitmap.value
@@ -195,12 +217,11 @@ def _regions(docs: DataFrame, bits: np.ndarray, short: tuple[int, ...]
             flat = np.fromiter((h for p in parts for h in p), np.uint64,
                                int(ends[-1]) if len(ends) else 0)
             found: dict[int, dict[int, list[int]]] = {}
-            for (span, _), s in zip(plan, seeds(flat, plan)):
-                low = s & np.uint64(BITMAP_BITS - 1)
-                hit = np.nonzero((table[low >> np.uint64(6)] >> (
-                    low & np.uint64(63))) & np.uint64(1))[0]
+            for mask, s in zip(plan, seeds(flat, plan)):
+                hit = np.nonzero(_marked(table, s))[0]
+                hit = hit[_marked(table, s[hit] >> np.uint64(SECOND))]
                 doc = np.searchsorted(ends, hit, side="right")
-                inside = hit + span <= ends[doc]
+                inside = hit + mask[-1] < ends[doc]
                 for at, d, v in zip(hit[inside].tolist(),
                                     doc[inside].tolist(),
                                     _as_long(s[hit[inside]])):
@@ -238,17 +259,58 @@ def _regions(docs: DataFrame, bits: np.ndarray, short: tuple[int, ...]
               "hits array<struct<seed:long,at:int>>")
 
 
+def best_stretch(equal: np.ndarray, share: float
+                 ) -> tuple[int, int, int] | None:
+    """(from, to, equal words) of the stretch with most equal words among
+    those long enough with at least ``share`` (ties: shortest, first)."""
+    n = len(equal)
+    sums = np.concatenate(([0], np.cumsum(equal)))
+    a, b = np.triu_indices(n + 1, min(n, STRETCH))
+    same = sums[b] - sums[a]
+    good = np.nonzero(same >= share * (b - a))[0]
+    if not len(good):
+        return None
+    k = good[np.lexsort((a[good], (b - a)[good], -same[good]))[0]]
+    return int(a[k]), int(b[k]), int(same[k])
+
+
+def _verified(flags: DataFrame, share: float) -> DataFrame:
+    """doc_id, item_id, item_start, doc_start, n_words, n_equal of each
+    candidate's best stretch, from the equal places of whole windows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for doc, item, item_at, doc_at, equal in zip(
+                    *[c.to_pylist() for c in batch.columns]):
+                best = best_stretch(np.array(equal), share)
+                if best:
+                    a, b, same = best
+                    rows.append((doc, item, item_at + a, doc_at + a, b - a,
+                                 same))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[k] for r in rows], t) for k, t in enumerate(
+                    [pa.int64()] * 2 + [pa.int32()] * 4)],
+                ["doc_id", "item_id", "item_start", "doc_start", "n_words",
+                 "n_equal"])
+
+    return flags.select(
+        "doc_id", "item_id", "item_start", "doc_start", "equal").mapInArrow(
+        run, "doc_id long, item_id long, item_start int, doc_start int, "
+             "n_words int, n_equal int")
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, share: float = SHARE
           ) -> DataFrame:
     """doc_id, item_id, item_start, doc_start, n_words, n_equal: for each
-    document and item found in it, the best window (positions in words)."""
+    document and item found in it, the best stretch (positions in words)."""
     windows = stored(benchmark_windows(benchmark), "seed-windows")
     seed_rows = stored(_window_seeds(windows), "seed-rows")
-    short = tuple(sorted(r[0] for r in windows.select(
-        F.size("words")).filter(F.size("words") <= SPAN).distinct()
-        .collect()))  # at most SPAN lengths
+    classes = [r[0] for r in windows.select(F.least(
+        F.floor(F.size("words") / 5) * 5, F.lit(STRETCH)).cast("int"))
+        .distinct().collect()]  # at most as many as MASKS has
     regions = stored(
-        _regions(docs, _bitmap(seed_rows), short)
+        _regions(docs, _bitmap(seed_rows), classes)
         .withColumn("region", F.monotonically_increasing_id()),
         "seed-regions")
     hits = regions.select("region", F.inline("hits"))
@@ -260,18 +322,21 @@ def leaks(docs: DataFrame, benchmark: DataFrame, share: float = SHARE
         "region", "doc_id", "region_start", "words"), "region").join(
         windows.withColumnRenamed("words", "window"), "window_id")
     # Position i of the window stands at i + shift of the region.
-    equal = F.size(F.filter(
+    equal = F.transform(
         F.sequence(F.lit(0), F.size("window") - 1),
-        lambda i: (i + F.col("shift") >= 0) & (
-            F.get("words", i + F.col("shift")) == F.get("window", i))))
-    found = pairs.select(
+        lambda i: ((i + F.col("shift") >= 0) & F.coalesce(
+            F.get("words", i + F.col("shift")) == F.get("window", i),
+            F.lit(False))).cast("int"))
+    flags = pairs.select(
         "doc_id", "item_id", "item_start",
         (F.col("region_start") + F.col("shift")).alias("doc_start"),
-        F.size("window").alias("n_words"), equal.alias("n_equal")
-    ).filter(F.col("n_equal") >= share * F.col("n_words"))
+        equal.alias("equal")
+    ).filter(F.aggregate("equal", F.lit(0), lambda n, x: n + x)
+             >= share * F.least(F.size("equal"), F.lit(STRETCH)))
     best = F.max(F.struct("n_equal", (-F.col("doc_start")).alias("d"),
                           (-F.col("item_start")).alias("i"), "n_words"))
-    return found.groupBy("doc_id", "item_id").agg(best.alias("b")).select(
+    return _verified(flags, share).groupBy("doc_id", "item_id").agg(
+        best.alias("b")).select(
         "doc_id", "item_id", (-F.col("b.i")).alias("item_start"),
         (-F.col("b.d")).alias("doc_start"), "b.n_words", "b.n_equal")
 
