@@ -2,7 +2,9 @@
 
 Three base patterns (assignments, access keys, hexadecimal runs) are located
 in every whole text.  Besides, every run of 20 or more encoding characters
-that holds a digit is tested for randomness under its inferred encoding:
+that holds a digit and a letter is tested for randomness under its inferred
+encoding; a run that mixes the signs of several encodings is cut at ``/``,
+``_`` and ``-``, and ``=`` belongs to a run as its padding only:
 
 * chi-squared uniformity of its characters over the encoding's alphabet;
 * a runs test on the character classes (lower, upper, digit, other);
@@ -37,7 +39,10 @@ ASSIGN = (r"((?i:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*"
 # may stand in the pattern for these two (it may not for assignments).
 ACCESS = r"AKIA[A-Z0-9]{12,}"
 HEX = r"[0-9a-f]{32,}"
-CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
+# A whole run of one encoding with its padding, or of a run that mixes '/'
+# with '_' or '-' each part between these.  '=' otherwise ends a run.
+CANDIDATE = (r"(?<![A-Za-z0-9+/_-])(?:[A-Za-z0-9+/]{20,}+|[A-Za-z0-9_-]{20,}+)"
+             r"(?![A-Za-z0-9+/_-])={0,2}|[A-Za-z0-9+]{20,}+={0,2}")
 KINDS = ("assign", "access", "hex", "random")
 ASSIGN_VALUE_LENGTH = 8
 

@@ -71,5 +71,19 @@ def test_random_tokens_are_found_and_prose_is_left(make_docs):
     assert all(got[1000 + k].spans == "" for k in range(20))
 
 
+def test_random_values_inside_longer_runs_are_found(make_docs):
+    """Names, paths and padding around a value do not hide it."""
+    forms = ["AccountKey={}==;Endpoint", "client_key={}",
+             "https://a.example/x?sig={}&v=1", "/my-hook/T0Ab/{}",
+             "STORAGE_ACCOUNT_CONNECTION={}"]
+    rows = [(k, forms[k % 5].format(x)) for k, x in enumerate(KEYS)]
+    got = {r.doc_id: r.spans for r in scan(make_docs(rows)).collect()}
+    for f, form in enumerate(forms):
+        at, pad = form.index("{}"), 2 * ("{}==" in form)
+        mine = range(f, len(KEYS), 5)
+        found = [k for k in mine if got[k] == f"random:{at}:{at + 40 + pad}"]
+        assert len(found) >= 0.8 * len(mine)
+
+
 def test_empty_table(make_docs):
     assert scan(make_docs([])).count() == 0
