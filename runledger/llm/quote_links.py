@@ -4,15 +4,16 @@ Messages may quote earlier ones in lines that start with ``>``, nested by
 more marks.  A message's lines are split by quote level; a passage is a line,
 normalised (marks and outer blanks dropped, inner blanks to one, lower case)
 and hashed.  Every line that a message writes itself (level 0) is an entry of
-the index.  A quoted line is joined to
-
-* the latest earlier turn of its own conversation that wrote it, else
-* the first message of any earlier conversation that wrote it (one row per
-  passage, so a passage that many messages share joins to one of them).
-
-For each quote level, the message with most joined lines is the original of
-that level (ties: the latest).  Level 1 names the parent; a deeper level names
-the parent's parent, and links it where that message quotes nothing itself.
+the index.  The lines that a message quotes at one level are a block; its
+original is, of all earlier turns of the own conversation and all messages of
+earlier conversations, the one that wrote most lines of the block.  Of several
+with most lines, the own conversation goes first, there the latest turn, and
+elsewhere the first message.  Equal blocks are looked up once, and of messages
+that wrote the same quoted lines only the first, so lines that many share
+cost one row for each different set of lines, not one for each message.
+
+Level 1 names the parent; a deeper level names the parent's parent, and links
+it where that message quotes nothing itself.
 Messages come before what quotes them, so links never form a circle.
 Conversations that quote one another become one thread, named by the first.
 
@@ -62,8 +63,14 @@ def _lines(messages: DataFrame) -> DataFrame:
             .filter(F.col("passage").rlike(r"[\p{L}\p{N}]")))
 
 
+def _set_name(passages: Column) -> Column:
+    """Name of a set of passages, which hold no line feeds."""
+    return F.sha2(F.array_join(F.array_sort(F.collect_set(passages)), "\n")
+                  .cast("binary"), 256)
+
+
 def _originals(lines: DataFrame) -> DataFrame:
-    """conv_id, turn, level, o_conv, o_turn: what each quoted line quotes.
+    """conv_id, turn, level, o_conv, o_turn: what each block quotes.
 
     The passage itself stands beside its hash in every join, so passages of
     equal hash are kept apart.
@@ -76,32 +83,48 @@ def _originals(lines: DataFrame) -> DataFrame:
     written = stored(lines.filter("level = 0").select(
         "conv_id", "turn", "passage", key).join(
         wanted, ["hash", "passage"]).distinct(), "quotes-index")
-    # Within the conversation: the latest earlier turn.
+    at = ["conv_id", "turn", "level"]
+    # Within the conversation: every earlier turn.
     near = (quoted.join(written.select(
         "hash", "passage", "conv_id", F.col("turn").alias("o_turn")),
         ["hash", "passage", "conv_id"]).filter("o_turn < turn")
-        .groupBy("conv_id", "turn", "level", "hash", "passage")
-        .agg(F.max("o_turn").alias("o_turn"))
-        .withColumn("o_conv", F.col("conv_id")))
-    near = stored(near, "quotes-near")
-    # Elsewhere: one message for each passage.
-    first = stored(written.groupBy("hash", "passage").agg(F.min(F.struct(
-        F.col("conv_id").alias("o_conv"), F.col("turn").alias("o_turn")))
-        .alias("o")).select("hash", "passage", "o.*"), "quotes-first")
-    line = ["conv_id", "turn", "level", "hash", "passage"]
-    far = (quoted.join(near.select(*line), line, "left_anti")
-           .join(first, ["hash", "passage"]).filter("o_conv < conv_id"))
-    cols = ["conv_id", "turn", "level", "o_conv", "o_turn"]
-    return near.select(*cols).unionByName(far.select(*cols))
+        .groupBy(*at, "o_turn").agg(F.count(F.lit(1)).alias("n"))
+        .select(*at, "n", F.lit(1).alias("own"),
+                F.col("conv_id").alias("x"), F.col("o_turn").alias("y")))
+    # Elsewhere: the different sets of lines, quoted and written, meet; of
+    # the messages with as many lines of a block the first is enough.
+    blocks = stored(quoted.groupBy(*at).agg(
+        _set_name(F.col("passage")).alias("block")), "quotes-blocks")
+    block_lines = stored(quoted.join(blocks, at).select(
+        "block", "hash", "passage").distinct(), "quotes-block-lines")
+    messages = stored(written.groupBy("conv_id", "turn").agg(
+        _set_name(F.col("passage")).alias("wrote")), "quotes-messages")
+    first = stored(messages.groupBy("wrote").agg(F.min(F.struct(
+        "conv_id", "turn")).alias("o")), "quotes-first")
+    wrote_lines = stored(written.join(
+        first.select("wrote", "o.*"), ["conv_id", "turn"]).select(
+        "wrote", "hash", "passage"), "quotes-wrote-lines")
+    shared = (block_lines.join(wrote_lines, ["hash", "passage"])
+              .groupBy("block", "wrote").agg(F.count(F.lit(1)).alias("n")))
+    firsts = stored(shared.join(first, "wrote").groupBy("block", "n").agg(
+        F.min("o").alias("o")), "quotes-candidates")
+    far = (blocks.join(firsts.select(
+        "block", "n", F.col("o.conv_id").alias("o_conv"),
+        F.col("o.turn").alias("o_turn")), "block")
+           .filter("o_conv < conv_id")
+           .select(*at, "n", F.lit(0).alias("own"),
+                   (-F.col("o_conv")).alias("x"),
+                   (-F.col("o_turn")).alias("y")))
+    best = near.unionByName(far).groupBy(*at).agg(
+        F.max(F.struct("n", "own", "x", "y")).alias("b"))
+    sign = F.col("b.own") * 2 - 1
+    return best.select(*at, (F.col("b.x") * sign).alias("o_conv"),
+                       (F.col("b.y") * sign).alias("o_turn"))
 
 
 def _links(lines: DataFrame) -> DataFrame:
     """conv_id, turn, p_conv, p_turn: one parent for each reply."""
-    votes = _originals(lines).groupBy(
-        "conv_id", "turn", "level", "o_conv", "o_turn").count()
-    best = stored(votes.groupBy("conv_id", "turn", "level").agg(F.max(
-        F.struct("count", "o_conv", "o_turn")).alias("b")).select(
-        "conv_id", "turn", "level", "b.o_conv", "b.o_turn"), "quotes-best")
+    best = stored(_originals(lines), "quotes-best")
     own = best.filter("level = 1").select(
         "conv_id", "turn", F.col("o_conv").alias("p_conv"),
         F.col("o_turn").alias("p_turn"))

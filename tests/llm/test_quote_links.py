@@ -69,6 +69,25 @@ def test_shared_passage_and_repeated_rows(spark):
     assert got[500, 0] == [(0, 0, 0, 1, "x")] * 3
 
 
+def test_original_wrote_most_lines_of_all_messages(spark):
+    abc = ["alpha line", "beta line", "gamma line"]
+    quote = "\n".join("> " + x for x in abc)
+    rows = [(k + 1, 0, "user", x) for k, x in enumerate(abc)]
+    rows += [(5, 0, "user", "\n".join(abc)), (6, 0, "user", "\n".join(abc)),
+             (9, 0, "user", quote),
+             # The own conversation wrote fewer of the lines.
+             (11, 0, "user", abc[0]), (11, 1, "user", quote),
+             # Turn 3 repeats one of the two lines that turn 1 wrote.
+             (20, 1, "user", "delta line\nepsilon line"),
+             (20, 3, "user", "delta line"),
+             (20, 5, "user", "> delta line\n> epsilon line")]
+    got = run(spark, rows)
+    assert got[9, 0][0][:3] == (5, 5, 0)
+    assert got[11, 1][0][:3] == (5, 5, 0)
+    assert got[20, 5][0][:3] == (20, 20, 1)
+    assert got[3, 0][0][0] == 3
+
+
 def test_long_chain_and_empty_table(spark):
     rows = [(1, 0, "user", "line 0")] + [
         (1, k, "user", f"> line {k - 1}\nline {k}") for k in range(1, 40)]
