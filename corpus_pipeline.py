@@ -41,7 +41,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str
                     ) -> DataFrame:
     """Documents that hold a passage of the benchmark go."""
-    return spaced_seeds.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    return spaced_seeds.decontaminate(docs, table(spark, sf_dir, "benchmark"),
+                                      by_row=True)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -20,10 +20,12 @@ table gives an empty result.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from runledger.llm.common import doc_texts, keep_rows, stored
+from runledger.llm.common import doc_texts, once, stored
 
 BLOCK_BYTES = 4096
 HASH_BITS = 56
@@ -132,4 +134,15 @@ def exact_duplicates(docs: DataFrame, block_bytes: int = BLOCK_BYTES,
 
 def deduplicate(docs: DataFrame, **params) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    return keep_rows(docs, exact_duplicates(docs, **params).filter("kept"))
+    key, text = f"k_{uuid.uuid4().hex}", F.coalesce(docs["text"], F.lit(""))
+    kept = stored(exact_duplicates(docs, **params).filter("kept").select(
+        F.col("doc_id").alias(key),
+        F.col("text_sha256").alias(f"{key}_text")), "block-kept")
+    out = docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(F.col(key))
+                    & (F.sha2(text.cast("binary"), 256)
+                       == F.col(f"{key}_text")), "left_semi")
+    # Rows that repeat the kept id and text stay once.
+    if kept.groupBy(*kept.columns).count().filter("count > 1").limit(
+            1).count():
+        out = once(out)
+    return out

@@ -38,21 +38,31 @@ def stored(df: DataFrame, kind: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def keep_rows(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id"
-              ) -> DataFrame:
-    """Rows of ``docs`` whose doc_id is in ``ids``, with all their columns.
+def row_key(docs: DataFrame) -> Column:
+    """64-bit name of a row by its doc_id and text together: rows that share
+    only one of them (many may have no id) are told apart."""
+    return F.xxhash64(docs["doc_id"].cast("long"), docs["doc_id"].isNull(),
+                      F.coalesce(docs["text"], F.lit("")))
 
-    Rows that repeat an id together with its text count as one document and
-    stay once; the extra pass for them only runs when an id repeats.
-    """
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """The texts with their row keys as ``doc_id``."""
+    return docs.select(row_key(docs).alias("doc_id"), "text")
+
+
+def rows_of(docs: DataFrame, keys: DataFrame, how: str = "left_semi"
+            ) -> DataFrame:
+    """Rows of ``docs``, with all their columns, whose row key is among
+    ``keys`` (column doc_id), or is not (``left_anti``)."""
+    key = f"k_{uuid.uuid4().hex}"
+    wanted = keys.select(F.col("doc_id").alias(key)).distinct()
+    return docs.join(wanted, row_key(docs) == F.col(key), how)
+
+
+def once(docs: DataFrame) -> DataFrame:
+    """One row of those that repeat a doc_id together with its text."""
     key = f"k_{uuid.uuid4().hex}"
-    wanted = ids.select(F.col(id_col).alias(key)).distinct()
-    kept = docs.join(wanted, docs["doc_id"].eqNullSafe(F.col(key)),
-                     "left_semi")
-    repeats = docs.groupBy("doc_id").count().filter(F.col("count") > 1)
-    if repeats.limit(1).count():
-        kept = kept.dropDuplicates(["doc_id", "text"])
-    return kept
+    return docs.withColumn(key, row_key(docs)).dropDuplicates([key]).drop(key)
 
 
 def crc_remainder(col: Column, n: int) -> Column:

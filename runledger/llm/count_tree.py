@@ -43,7 +43,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from runledger.llm.common import doc_texts, keep_rows, stored
+from runledger.llm.common import (
+    doc_texts, keyed, once, row_key, rows_of, stored)
 from runledger.llm.components import components
 from runledger.llm.sketches import (
     CHUNK, bitmap, in_bitmap, summed_counts)
@@ -486,6 +487,17 @@ def near_duplicates(docs: DataFrame, k: int = WORDS, percent: int = PERCENT
 
 def deduplicate(docs: DataFrame, k: int = STAGE_WORDS,
                 percent: int = STAGE_PERCENT) -> DataFrame:
-    """One document of each component (the smallest id), all columns."""
-    found = stored(near_duplicates(docs, k, percent), "jaccard-result")
-    return keep_rows(docs, found.filter("doc_id <=> component_id"))
+    """One row of each component (the smallest id; a null id if there is no
+    other), all columns."""
+    found = stored(near_duplicates(keyed(docs), k, percent)
+                   .withColumnRenamed("doc_id", "key"), "jaccard-result")
+    ids = stored(docs.select(row_key(docs).alias("key"), F.col("doc_id").cast(
+        "long").alias("doc_id")).distinct(), "jaccard-row-ids")
+    kept = stored(found.join(ids, "key").groupBy("component_id").agg(F.min(
+        F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key"))
+        .alias("b")).select(F.col("b.key").alias("doc_id")), "jaccard-kept")
+    out = rows_of(docs, kept)
+    # Rows that repeat an id and text stay once.
+    if found.groupBy("key").count().filter("count > 1").limit(1).count():
+        out = once(out)
+    return out

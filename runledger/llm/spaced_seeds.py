@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from runledger.llm.common import doc_texts, stored
+from runledger.llm.common import doc_texts, keyed, rows_of, stored
 
 WINDOW, STEP = 80, 40
 STRETCH = 20
@@ -342,8 +342,12 @@ def leaks(docs: DataFrame, benchmark: DataFrame, share: float = SHARE
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame,
-                  share: float = SHARE) -> DataFrame:
-    """The rows of ``docs`` in which no item leaks, with all columns."""
+                  share: float = SHARE, by_row: bool = False) -> DataFrame:
+    """The rows of ``docs`` in which no item leaks, with all columns; without
+    ``by_row``, rows that share the id of a leaking one go too."""
+    if by_row:
+        return rows_of(docs, stored(leaks(keyed(docs), benchmark, share),
+                                    "seed-leaks"), "left_anti")
     import uuid
     key = f"k_{uuid.uuid4().hex}"
     bad = stored(leaks(docs, benchmark, share), "seed-leaks").select(

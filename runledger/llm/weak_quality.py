@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from runledger.llm.common import doc_texts, keep_rows, stored
+from runledger.llm.common import doc_texts, keyed, rows_of, stored
 from runledger.llm.linear import Adam, sigmoid
 
 TRAIN_ROWS = 20_000   # bound of the sample that the scorer is fitted on
@@ -251,5 +251,5 @@ def quality(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 def reject_junk(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that score well enough, with all columns."""
-    return keep_rows(docs, stored(quality(docs, threshold), "quality-scores")
-                     .filter("kept"))
+    scores = stored(quality(keyed(docs), threshold), "quality-scores")
+    return rows_of(docs, scores.filter("kept"))

@@ -95,6 +95,42 @@ def test_stages_keep_what_they_should(spark, make_docs):
     assert total == want and set(key) <= set(whole.columns)
 
 
+def test_stages_decide_by_row(spark, make_docs):
+    """Rows that share an id, or have none, are decided one by one."""
+    bench = [(0, prose(40))]
+    a, b, c, d = (prose(90) for _ in range(4))
+    near_b = b.split()
+    near_b[45] = "altered"
+    near_b = " ".join(near_b)
+    sf_dir = new_run_dir(spark, "pipeline-rows")
+    spark.createDataFrame(bench, "item_id long, text string") \
+        .write.parquet(f"{sf_dir}/benchmark.parquet")
+    stages = dict(corpus_pipeline.STAGES)
+
+    def run(name, rows):
+        out = stages[name](spark, make_docs(rows), sf_dir)
+        return sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
+
+    def same(rows):
+        return sorted(rows, key=str)
+
+    good = [(k, prose(100)) for k in range(120)] + [
+        (None, a), (None, b), (3, c), (3, c)]
+    bad = [(300 + k, junk(k % 4)) for k in range(40)] + [
+        (None, junk(k % 4)) for k in range(8)]
+    assert run("quality_classifier", good + bad) == same(good)
+    assert run("exact_dedup", [
+        (5, a), (5, b), (9, b), (None, c), (None, d), (None, d), (4, d)]
+    ) == same([(5, a), (9, b), (None, c), (4, d)])
+    assert run("near_dedup", [
+        (5, a), (5, near_b), (3, b), (None, c), (None, d)]
+    ) == same([(5, a), (3, b), (None, c), (None, d)])
+    leak = prose(20) + " " + bench[0][1]
+    assert run("decontamination", [
+        (None, leak), (None, a), (7, leak), (7, b), (8, c)]
+    ) == same([(None, a), (7, b), (8, c)])
+
+
 def test_stage_names_and_operators():
     names = [n for n, _ in corpus_pipeline.STAGES]
     assert len(names) == 5 and len(set(names)) == 5
