@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from runledger.operators import log_profile as lp
@@ -105,21 +105,29 @@ def log_file_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log files with odd names, listed, the newest ten read, one profile
     each.  Files of other suffixes are ignored."""
     root = new_run_dir(spark, "logstats")
-    lines = _event_lines(spark, sf_dir).select(
-        (F.col("user_id") % 7).alias("g"), "line")
-    groups = sorted(r[0] for r in lines.select("g").distinct().collect())
-    for g in groups:     # seven at most
-        lines.where(F.col("g") == g).select("line").coalesce(1).write.text(
-            f"{root}/app {g}+%.log")
+    # One scan; every task writes its part of each log.
+    _event_lines(spark, sf_dir).select(
+        F.concat(F.lit("app "), F.col("user_id") % 7, F.lit("+%.log"))
+        .alias("log"), "line").write.partitionBy("log").text(root)
     for name, text in (("blank one.txt", " "), ("ignored.LOGS", "ERROR")):
         spark.createDataFrame([(text,)], "line string").coalesce(1) \
             .write.text(f"{root}/{name}")
-    # Spark writes folders; the folder is the log file's name here.
-    part = F.element_at(F.split("path", "/"), -2)
-    listing = list_files(spark, root).withColumn("name", part)
+    # Spark writes folders; the folder is the log file here, and its name
+    # that of the folder (partitions are escaped).
+    def folder(path: str) -> Column:
+        return F.regexp_replace(path, "/[^/]*$", "")
+
+    name = F.replace(F.regexp_extract("path", r"([^/]*)$", 1).substr(
+        F.when(F.col("path").rlike("/log=[^/]*$"), 5).otherwise(1),
+        F.lit(1 << 30)), F.lit("%25"), F.lit("%"))
+    listing = (list_files(spark, root).groupBy(folder("path").alias("path"))
+               .agg(F.sum("length").alias("length"),
+                    F.max("modification_time").alias("modification_time"))
+               .withColumn("name", name))
     newest = newest_files(log_file_filter(listing), NEWEST)
-    files = lp.profile_files(newest, read_log_lines(spark, root))
-    return files.select(part.alias("name"), "failed", *PROFILE_COLS)
+    files = lp.profile_files(newest, read_log_lines(spark, root).withColumn(
+        "file", folder("file")))
+    return files.select(name.alias("name"), "failed", *PROFILE_COLS)
 
 
 @register("document_log_profile", "S8 P9 P10 A7", sql=f"""

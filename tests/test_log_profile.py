@@ -110,3 +110,36 @@ def test_carriage_return_and_invalid_utf8(spark, tmp_dir):
     # "\r" alone is blank, like str.strip() treats it
     assert (prof.lines, prof.error_count, prof.warn_count,
             prof.other_count) == (3, 1, 1, 1)
+
+
+def test_log_file_stats_writes_each_log_by_many_tasks(spark, monkeypatch):
+    import glob
+
+    from runledger.plans import log_queries
+    from runledger.session import new_run_dir
+
+    sf_dir = new_run_dir(spark, "log-stats-test")
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    events.repartition(4).write.parquet(f"{sf_dir}/events.parquet")
+    roots = []
+
+    def run_dir(*args):
+        roots.append(new_run_dir(*args))
+        return roots[-1]
+
+    monkeypatch.setattr(log_queries, "new_run_dir", run_dir)
+    old = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", "128m")  # a split each
+    try:
+        got = {r.name: r for r in log_queries.log_file_stats(
+            spark, sf_dir).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", old)
+    want = {f"app {r.g}+%.log": r["count"] for r in events.selectExpr(
+        "user_id % 7 as g").groupBy("g").count().collect()}
+    assert {n: r.lines for n, r in got.items()} == want | {
+        "blank one.txt": got["blank one.txt"].lines}
+    assert not any(r.failed for r in got.values())
+    root = roots[0].removeprefix("file://").removeprefix("file:")
+    files = glob.glob(f"{root}/*app 0+*.log/part-*")
+    assert len(files) > 1
