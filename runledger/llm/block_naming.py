@@ -135,14 +135,15 @@ def exact_duplicates(docs: DataFrame, block_bytes: int = BLOCK_BYTES,
 def deduplicate(docs: DataFrame, **params) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
     key, text = f"k_{uuid.uuid4().hex}", F.coalesce(docs["text"], F.lit(""))
-    kept = stored(exact_duplicates(docs, **params).filter("kept").select(
-        F.col("doc_id").alias(key),
-        F.col("text_sha256").alias(f"{key}_text")), "block-kept")
+    found = stored(exact_duplicates(docs, **params).filter(
+        "doc_id <=> keep_id").select("doc_id", "text_sha256", "kept"),
+        "block-kept")
+    kept = found.filter("kept").select(
+        F.col("doc_id").alias(key), F.col("text_sha256").alias(f"{key}_text"))
     out = docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(F.col(key))
                     & (F.sha2(text.cast("binary"), 256)
                        == F.col(f"{key}_text")), "left_semi")
-    # Rows that repeat the kept id and text stay once.
-    if kept.groupBy(*kept.columns).count().filter("count > 1").limit(
-            1).count():
+    # Rows that repeat the kept id and text pass the join too: one stays.
+    if found.filter("not kept").limit(1).count():
         out = once(out)
     return out

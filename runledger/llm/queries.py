@@ -36,7 +36,8 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes covered by repeated 200-byte strings, removed."""
-    return suffix_names.remove_repeats(documents(spark, sf_dir)).drop("kept")
+    return suffix_names.remove_repeats(
+        documents(spark, sf_dir), file_scan=True).drop("kept")
 
 
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -37,7 +37,7 @@ from runledger.llm.common import stored
 from runledger.llm.components import components
 
 # A marker is ">" with blanks around it; up to this level, all deeper the same
-MARKS = r"^(?:\s*>)+"
+MARKS = r"^[\s>]*>"    # one class: the match needs no stack, however long
 
 
 def _level(line: Column) -> Column:

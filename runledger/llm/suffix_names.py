@@ -324,10 +324,14 @@ def kept_bytes(text: bytes, covered: list[tuple[int, int]]
     return b"".join(keep), removed, runs
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
+def remove_repeats(docs: DataFrame, file_scan: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and the kept text
-    (bytes, null where nothing is removed) of every row."""
-    rows = _rows(docs)
+    (bytes, null where nothing is removed) of every row.
+
+    The rows are numbered, and read several times.  A plain scan of files
+    (``file_scan``) numbers them alike each time; any other input, such as
+    the result of a shuffle, is stored once with its numbers."""
+    rows = _rows(docs) if file_scan else stored(_rows(docs), "suffix-rows")
     covered, texts = _covered(rows)
     runs = stored(covered.groupBy("row_no").agg(F.collect_list(
         F.struct("at", "n")).alias("covered")), "suffix-covered")

@@ -120,7 +120,8 @@ def test_stages_decide_by_row(spark, make_docs):
         (None, junk(k % 4)) for k in range(8)]
     assert run("quality_classifier", good + bad) == same(good)
     assert run("exact_dedup", [
-        (5, a), (5, b), (9, b), (None, c), (None, d), (None, d), (4, d)]
+        (5, a), (5, a), (3, a), (5, b), (9, b), (9, b), (None, c),
+        (None, c), (None, d), (None, d), (4, d)]
     ) == same([(5, a), (9, b), (None, c), (4, d)])
     assert run("near_dedup", [
         (5, a), (5, near_b), (3, b), (None, c), (None, d)]

@@ -94,3 +94,12 @@ def test_long_chain_and_empty_table(spark):
     got = run(spark, rows)
     assert all(got[1, k][0][3] == k for k in range(40))
     assert run(spark, []) == {}
+
+
+def test_million_marks(spark):
+    rows = [(1, 0, "user", "a line\nanother"),
+            (1, 1, "user", "> a line\n" + ">" * 1_000_000 + " a line\nx"),
+            (1, 2, "user", "> " * 300_000 + "\n" + "y" * 500_000)]
+    got = run(spark, rows)
+    assert got[1, 1] == [(1, 1, 0, 1, "x")]
+    assert got[1, 2][0][4] == "y" * 500_000

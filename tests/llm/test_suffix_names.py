@@ -65,6 +65,13 @@ def test_equals_brute_force(make_docs):
     assert result(remove_repeats(make_docs(rows))) == brute(rows)
 
 
+def test_rows_of_a_shuffle(make_docs):
+    """Rows that come in another order in each evaluation keep their texts."""
+    rows = corpus() * 2
+    assert result(remove_repeats(make_docs(rows).repartition(8))) == brute(
+        rows)
+
+
 def test_long_documents_are_cut_into_blocks(make_docs, monkeypatch):
     """Blocks of 257 window starts (on the driver's side of this test)."""
     monkeypatch.setattr(suffix_names, "BLOCK", 257)
