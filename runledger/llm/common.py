@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from runledger.session import new_run_dir
@@ -67,3 +67,30 @@ def once(docs: DataFrame) -> DataFrame:
 
 def crc_remainder(col: Column, n: int) -> Column:
     return F.pmod(F.crc32(col.cast("string").cast("binary")), F.lit(n))
+
+
+def numbered(rows: DataFrame, key: list[str], order: list[Column], name: str
+             ) -> DataFrame:
+    """``rows`` with their number (1, 2, ...) in ``order`` within ``key`` (no
+    key: in the whole table).  A global range sort deals the rows out, so one
+    key may be spread over many tasks; only the counts of the ranges meet."""
+    n = max(rows.sparkSession.sparkContext.defaultParallelism, int(
+        rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    sort = [F.col(c) for c in key] + order
+    at = F.monotonically_increasing_id()
+    placed = stored(rows.repartitionByRange(n, *sort).sortWithinPartitions(
+        *sort).select("*", F.shiftright(at, 33).alias("part"), at.bitwiseAND(
+            F.lit((1 << 33) - 1)).alias("at")), "numbered")
+    before = Window.partitionBy(*key).orderBy("part").rowsBetween(
+        Window.unboundedPreceding, -1)
+    # One row for each key and range: a range ends in at most one more key.
+    ranges = placed.groupBy(*key, "part").agg(
+        F.min("at").alias("first"), F.count(F.lit(1)).alias("n"))
+    ranges = ranges.select(*key, "part", (F.coalesce(F.sum("n").over(before),
+                                                     F.lit(0))
+                                          - F.col("first") + 1).alias("plus"))
+    if not key:   # as many rows as there are ranges
+        ranges = F.broadcast(ranges)
+    return placed.join(ranges, [*key, "part"]).withColumn(
+        name, (F.col("at") + F.col("plus")).cast("long")).drop(
+        "at", "part", "plus")

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from runledger.llm import (
-    block_naming, bm25_packing, bpe_count, count_tree, quote_links,
-    secret_scan, spaced_seeds, suffix_names, toxic_mil, weak_quality)
+    block_naming, bm25_packing, bpe_count, count_tree, importance,
+    prefix_trie, quote_links, secret_scan, spaced_seeds, style_tree,
+    suffix_names, toxic_mil, weak_quality)
 from runledger.llm.common import documents, table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -71,6 +72,22 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tree.near_duplicates(documents(spark, sf_dir))
 
 
+def op11_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page, by the style trees of the hosts."""
+    return style_tree.main_text(table(spark, sf_dir, "pages"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the trie of all rebuilt conversations."""
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weights, scores and ranks of the draw towards the benchmark."""
+    return importance.ranked(documents(spark, sf_dir), table(
+        spark, sf_dir, "benchmark")).drop("key")
+
+
 QUERIES: dict[str, QueryFn] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_toxicity": op2_toxicity,
@@ -82,6 +99,9 @@ QUERIES: dict[str, QueryFn] = {
     "op8_quality": op8_quality,
     "op9_token_counts": op9_token_counts,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_html_extraction": op11_html_extraction,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_importance_resampling": op13_importance_resampling,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -94,5 +114,119 @@ SELECT doc_id,
        sha256(coalesce(text, '')) AS text_sha256
 FROM documents
 WINDOW same AS (PARTITION BY coalesce(text, ''))
+""",
+    "op12_prefix_trie": """
+WITH crc_table AS (
+  SELECT list(c ORDER BY b) AS crcs FROM (
+    SELECT b, list_reduce(list_prepend(b, range(8)), lambda c, i:
+      CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS c
+    FROM range(256) AS t(b))),
+turns AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+           sha256(coalesce(role, '') || chr(0) || coalesce(text, '')))
+           AS place
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (
+  SELECT c, c - c % 100 AS base, xor(list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(
+      range(1, length(CAST(c AS VARCHAR)) + 1),
+      lambda i: CAST(unicode(substr(CAST(c AS VARCHAR), CAST(i AS INT), 1))
+        AS BIGINT))),
+    lambda a, b: xor(a // 256, crcs[CAST(xor(a, b) % 256 AS INT) + 1])),
+    4294967295) % 6 AS h
+  FROM (SELECT DISTINCT c FROM turns), crc_table),
+kept AS (
+  SELECT convs.c, 0 AS part, place, role, text
+  FROM convs JOIN turns ON turns.c = base AND place <= h
+  UNION ALL
+  SELECT c, 1, place, role, text FROM convs JOIN turns USING (c)
+  WHERE place > h),
+rebuilt AS (
+  SELECT c, row_number() OVER w AS d, length(text) AS chars,
+         list(sha256(role || chr(0) || text)) OVER w AS path
+  FROM kept WINDOW w AS (PARTITION BY c ORDER BY part, place)),
+steps AS (
+  SELECT c, CAST(d AS BIGINT) AS d, chars,
+         sha256(array_to_string(path, ',')) AS name FROM rebuilt
+  UNION ALL SELECT c, 0, 0, 'root' FROM convs),
+linked AS (
+  SELECT *, lag(name) OVER (PARTITION BY c ORDER BY d) AS up,
+         lead(name) OVER (PARTITION BY c ORDER BY d) IS NULL AS is_end
+  FROM steps),
+nodes AS (
+  SELECT name, min(c) AS c, min(d) AS d, min(up) AS up, count(*) AS n,
+         (count(*) - 1) * min(chars) AS saved,
+         coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c)
+           FILTER (is_end), '') AS ends
+  FROM linked GROUP BY name),
+children AS (SELECT up AS name, count(*) AS k FROM nodes GROUP BY up),
+whole AS (SELECT nodes.*, coalesce(k, 0) AS k FROM nodes
+          LEFT JOIN children USING (name)),
+sums AS (
+  SELECT steps.name, count(*) FILTER (k = 0) AS leaves, sum(saved) AS saved
+  FROM whole JOIN steps ON steps.c = whole.c AND steps.d <= whole.d
+  GROUP BY steps.name)
+SELECT whole.c AS conv_id, whole.d AS depth, above.c AS parent_conv_id,
+       CAST(whole.n AS BIGINT) AS n_convs, CAST(whole.k AS BIGINT)
+         AS n_children, CAST(sums.leaves AS BIGINT) AS n_leaves,
+       CAST(sums.saved AS BIGINT) AS saved_tokens,
+       sha256(whole.ends) AS ends_sha256
+FROM whole JOIN sums USING (name)
+LEFT JOIN nodes AS above ON above.name = whole.up
+""",
+    "op13_importance_resampling": """
+WITH crc_table AS (
+  SELECT list(c ORDER BY b) AS crcs FROM (
+    SELECT b, list_reduce(list_prepend(b, range(8)), lambda c, i:
+      CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS c
+    FROM range(256) AS t(b))),
+texts AS (
+  SELECT true AS own, doc_id, text, row_number() OVER () AS r FROM documents
+  UNION ALL SELECT false, NULL, text, row_number() OVER () FROM benchmark),
+words AS (
+  SELECT own, r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM texts),
+features AS (
+  SELECT own, r, f, count(*) AS k FROM (
+    SELECT own, r, unnest(w) AS f FROM words UNION ALL
+    SELECT own, r, unnest(list_transform(range(1, len(w)), lambda i:
+      w[CAST(i AS INT)] || ' ' || w[CAST(i + 1 AS INT)])) FROM words)
+  GROUP BY ALL),
+coded AS (
+  SELECT f, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(
+      range(0, octet_length(encode(f))), lambda i:
+        CAST('0x' || hex(encode(f))[CAST(2 * i + 1 AS INT)
+          : CAST(2 * i + 2 AS INT)] AS BIGINT))),
+    lambda a, b: xor(a // 256, crcs[CAST(xor(a, b) % 256 AS INT) + 1])),
+    4294967295) % 10000 AS bucket
+  FROM (SELECT DISTINCT f FROM features), crc_table),
+hashed AS (SELECT own, r, bucket, k FROM features JOIN coded USING (f)),
+totals AS (
+  SELECT bucket, coalesce(sum(k) FILTER (own), 0) AS s,
+         coalesce(sum(k) FILTER (NOT own), 0) AS t
+  FROM hashed GROUP BY bucket),
+gains AS (
+  SELECT bucket, CAST(floor(1000 * ln(CAST((t + 1) * (all_s + 10000)
+    AS DOUBLE) / CAST((s + 1) * (all_t + 10000) AS DOUBLE))) AS BIGINT) AS g
+  FROM totals, (SELECT sum(s) AS all_s, sum(t) AS all_t FROM totals)),
+weights AS (
+  SELECT r, CAST(sum(k) AS BIGINT) AS n, CAST(floor(CAST(sum(k * g)
+    AS DOUBLE) / CAST(sum(k) AS DOUBLE)) AS BIGINT) AS weight
+  FROM hashed JOIN gains USING (bucket) WHERE own GROUP BY r),
+scores AS (
+  SELECT doc_id, len(w) >= 20 AS able, coalesce(n, 0) AS n_features,
+         coalesce(weight, 0) AS weight, coalesce(weight, 0) + CAST(floor(
+           -1000 * ln(-ln((CAST('0x' || substr(sha256('7:' || doc_id), 1, 8)
+             AS BIGINT) + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT)
+           AS score
+  FROM words LEFT JOIN weights USING (r) WHERE own),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY able ORDER BY score DESC, doc_id)
+    AS place, count(*) OVER (PARTITION BY able) AS able_n FROM scores)
+SELECT doc_id, n_features, weight, score,
+       CASE WHEN able AND place <= able_n * 25 // 100 THEN place END AS rank
+FROM ranked
 """,
 }
