@@ -8,11 +8,11 @@ weights into a draw without replacement: the highest scores are drawn.
 
 Head-tail vocabulary: the words and pairs seen most often are counted in one
 pass over all texts (each task keeps a bounded table of counts) and sent to
-every task as CRC states of words (the CRC of a pair continues from the state
-of its first word) and buckets of pairs.  All others, the tail, take the CRC
-of their own bytes.  Both give the same numbers, so the totals are exact
-whatever is in the head; its choice only saves time.  The head is bounded by
-``HEAD_WORDS``, ``HEAD_PAIRS`` and ``HEAD_BYTES`` a word.
+every task, which has the CRC states of the words and the buckets of the
+pairs.  All others, the tail, take the CRC of their own bytes (that of a pair
+continues from the state of its first word).  Both give the same numbers, so
+the totals are exact whatever is in the head; its choice only saves time.  The
+head is bounded by ``HEAD_WORDS``, ``HEAD_PAIRS`` and ``HEAD_BYTES`` a word.
 
 Defined results: null and empty texts have no features, weight 0 and a score
 of noise alone; a null doc_id counts as the empty string in the noise and
@@ -27,6 +27,7 @@ import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +43,7 @@ LEAST_WORDS = 20
 HEAD_WORDS = 20_000
 HEAD_PAIRS = 100_000
 HEAD_BYTES = 48       # longer words are left to the tail
-COUNTED = 400_000     # entries of a task's table of counts
+COUNTED = 1_000_000   # entries of a task's tables of counts
 PIECE = 1 << 20       # bytes of a text that are cut into words at once
 
 # ASCII letters to lower case; every other ASCII byte but digits parts words.
@@ -69,40 +70,76 @@ def word_lists(text: bytes) -> Iterator[list[bytes]]:
         start = end
 
 
-class _States(dict):
-    """CRC state of a word: looked up, or taken from its bytes."""
-
-    def __missing__(self, word: bytes) -> int:
-        return zlib.crc32(word)
-
-
-class _Pairs(dict):
-    """Bucket of a pair: looked up, or continued from the first's state."""
-
-    def __init__(self, head: dict, states: _States):
-        super().__init__(head)
-        self.states = states
-
-    def __missing__(self, pair: tuple[bytes, bytes]) -> int:
-        return zlib.crc32(b" " + pair[1], self.states[pair[0]]) % BUCKETS
+def _shifts() -> np.ndarray:
+    """[n, k, v]: what byte k with value v of a CRC turns to when n bytes
+    follow.  CRCs are linear, so the CRC of two strings joined is that of the
+    first, so shifted, exclusive-or that of the second."""
+    table = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        table = np.where(table & 1, (table >> 1) ^ np.uint32(0xEDB88320),
+                         table >> 1)
+    step = np.arange(256, dtype=np.uint32) << (
+        8 * np.arange(4, dtype=np.uint32)[:, None])
+    out = [step]
+    for _ in range(HEAD_BYTES + 1):
+        step = (step >> 8) ^ table[step & 255]
+        out.append(step)
+    return np.array(out)
+
+
+def _follow(shifts: np.ndarray, crc: np.ndarray, n: np.ndarray) -> np.ndarray:
+    out = shifts[n, 0, crc & 255]
+    for k in (1, 2, 3):
+        out ^= shifts[n, k, (crc >> (8 * k)) & 255]
+    return out
 
 
 class Hasher:
     """Buckets of a text's features, by head and tail."""
 
-    def __init__(self, words: dict[bytes, int],
-                 pairs: dict[tuple[bytes, bytes], int]):
-        self.states = _States(words)
-        self.pairs = _Pairs(pairs, self.states)
+    def __init__(self, words: list[bytes], pairs: list[tuple[int, int]]):
+        self.place = {w: k for k, w in enumerate(words)}
+        self.states = np.array([*map(zlib.crc32, words), 0], np.uint32)
+        self.size = len(words) + 1
+        codes = np.array([a * self.size + b for a, b in pairs], np.int64)
+        order = np.argsort(codes)
+        self.pairs = np.append(codes[order], np.iinfo(np.int64).max)
+        self.pair_buckets = np.array(
+            [zlib.crc32(words[a] + b" " + words[b]) % BUCKETS
+             for a, b in pairs] + [0], np.int64)[[*order, len(pairs)]]
+        self.shifts = _shifts()
+        space = np.full(HEAD_BYTES + 1, zlib.crc32(b" "), np.uint32)
+        self.spaces = _follow(self.shifts, space, np.arange(HEAD_BYTES + 1))
 
     def buckets(self, text: bytes) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Buckets of words and of pairs, piece by piece."""
         for k, words in enumerate(word_lists(text)):
-            one = np.fromiter(map(self.states.__getitem__, words), np.int64,
-                              len(words))[min(k, 1):] % BUCKETS
-            yield one, np.fromiter(
-                map(self.pairs.__getitem__, zip(words, words[1:])), np.int64,
-                len(words) - 1)
+            n = len(words)
+            place = np.fromiter(map(self.place.get, words, repeat(-1)),
+                                np.int64, n)
+            crc = self.states[place]
+            tail = np.nonzero(place < 0)[0]
+            crc[tail] = [zlib.crc32(words[i]) for i in tail.tolist()]
+            yield (crc[min(k, 1):].astype(np.int64) % BUCKETS,
+                   self._pairs(words, place, crc))
+
+    def _pairs(self, words: list[bytes], place: np.ndarray, crc: np.ndarray
+               ) -> np.ndarray:
+        a, b = place[:-1], place[1:]
+        code = np.where((a < 0) | (b < 0), -1, a * self.size + b)
+        at = np.searchsorted(self.pairs, code)
+        out = self.pair_buckets[at]
+        tail = np.nonzero(self.pairs[at] != code)[0]
+        # The tail: the first's state, a blank and the bytes of the second.
+        n = np.fromiter((len(words[i + 1]) for i in tail.tolist()), np.int64,
+                        len(tail))
+        short = n <= HEAD_BYTES
+        some, n = tail[short], n[short]
+        out[some] = (_follow(self.shifts, crc[some], n + 1) ^ self.spaces[n]
+                     ^ crc[some + 1]).astype(np.int64) % BUCKETS
+        for i in tail[~short].tolist():
+            out[i] = zlib.crc32(b" " + words[i + 1], int(crc[i])) % BUCKETS
+        return out
 
 
 def _texts(batch: pa.RecordBatch) -> Iterator[bytes]:
@@ -110,16 +147,18 @@ def _texts(batch: pa.RecordBatch) -> Iterator[bytes]:
         yield t.as_buffer().to_pybytes() if t.is_valid else b""
 
 
-def _pruned(counts: Counter, most: int) -> None:
-    """Keep the ``most`` highest counts (ties as they come)."""
-    if len(counts) > most:
-        kept = counts.most_common(most)
+def _pruned(counts: Counter) -> None:
+    """Drop the lowest counts, and half of the entries at least."""
+    most, least = len(counts) // 2, 0
+    while len(counts) > most:
+        least += 1
+        kept = {k: n for k, n in counts.items() if n > least}
         counts.clear()
-        counts.update(dict(kept))
+        dict.update(counts, kept)
 
 
-def head(docs: DataFrame) -> tuple[dict, dict]:
-    """CRC states of frequent words and buckets of frequent pairs."""
+def head(docs: DataFrame) -> tuple[list[bytes], list[tuple[int, int]]]:
+    """Frequent words, and frequent pairs of them by their places."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, pairs = Counter(), Counter()
         for batch in batches:
@@ -127,10 +166,9 @@ def head(docs: DataFrame) -> tuple[dict, dict]:
                 for k, found in enumerate(word_lists(text)):
                     words.update(found[min(k, 1):])
                     pairs.update(zip(found, found[1:]))
-                    if len(words) > COUNTED:
-                        _pruned(words, COUNTED // 2)
-                    if len(pairs) > 2 * COUNTED:
-                        _pruned(pairs, COUNTED)
+                    for counts in (words, pairs):
+                        if len(counts) > COUNTED:
+                            _pruned(counts)
         top = [(w, None, n) for w, n in words.most_common(HEAD_WORDS)
                if len(w) <= HEAD_BYTES]
         top += [(a, b, n) for (a, b), n in pairs.most_common(HEAD_PAIRS)
@@ -147,12 +185,12 @@ def head(docs: DataFrame) -> tuple[dict, dict]:
     def most(rows: DataFrame, n: int) -> list:
         return rows.orderBy(F.desc("n"), "a", "b").limit(n).collect()
 
-    words = {bytes(r["a"]): zlib.crc32(r["a"]) for r in most(
-        counts.filter("b is null"), HEAD_WORDS)}
-    pairs = {(bytes(r["a"]), bytes(r["b"])): zlib.crc32(
-        bytes(r["a"]) + b" " + bytes(r["b"])) % BUCKETS for r in most(
-        counts.filter("b is not null"), HEAD_PAIRS)}
-    return words, pairs
+    words = [bytes(r["a"]) for r in most(counts.filter("b is null"),
+                                         HEAD_WORDS)]
+    place = {w: k for k, w in enumerate(words)}
+    pairs = [(place.get(bytes(r["a"])), place.get(bytes(r["b"])))
+             for r in most(counts.filter("b is not null"), HEAD_PAIRS)]
+    return words, [p for p in pairs if None not in p]
 
 
 def totals(texts: DataFrame, vocabulary) -> np.ndarray:

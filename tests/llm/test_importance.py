@@ -88,9 +88,11 @@ def test_head_never_changes_a_bucket():
     """Words and pairs of the head, of the tail, and of both."""
     text = ("aa bb cc dd aa bb ée " * 50).encode()
     want = [bucket(f) for f in features(text.decode())[1]]
-    states = {b"aa": zlib.crc32(b"aa"), b"cc": zlib.crc32(b"cc")}
-    pairs = {(b"aa", b"bb"): bucket("aa bb"), (b"bb", b"cc"): bucket("bb cc")}
-    for w, p in (({}, {}), (states, {}), ({}, pairs), (states, pairs)):
+    words = [b"aa", b"cc", b"bb", b"unseen"]
+    text += b" " + b"q" * 40 + b" cc " + b"z" * 90 + b" aa " + b"y" * 48
+    want = [bucket(f) for f in features(text.decode())[1]]
+    for w, p in (([], []), (words, []), (words, [(0, 2)]),
+                 (words, [(2, 1), (3, 3), (0, 2), (1, 0)])):
         got = [x for part in Hasher(w, p).buckets(text) for y in part
                for x in y.tolist()]
         assert sorted(got) == sorted(want)
@@ -104,7 +106,7 @@ def test_long_texts_in_pieces(monkeypatch):
         lists = list(word_lists(text.encode()))
         got = [w for k, x in enumerate(lists) for w in x[min(k, 1):]]
         assert got == [w.encode() for w in words]
-        found = [x for part in Hasher({}, {}).buckets(text.encode())
+        found = [x for part in Hasher([], []).buckets(text.encode())
                  for y in part for x in y.tolist()]
         assert sorted(found) == sorted(map(bucket, wanted))
 
