@@ -8,7 +8,6 @@ Inline elements are transparent; every other element is a node.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from hashlib import blake2b
 from html import unescape
 
@@ -67,6 +66,7 @@ _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _HIDDEN = re.compile(r"display\s*:\s*none", re.I)
 _NEGATED = re.compile(r"\b(?:has|no|not|with|without)[-_][\w-]*", re.I)
 
+_SIMPLE = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9]*)>")
 _NAME = re.compile(r"[^\s/>]*")
 _ATTRIBUTE = re.compile(
     r"[\s/]*([^\s/>][^\s/>=]*)"
@@ -76,6 +76,7 @@ _TAG_END = re.compile(r"[\s/]*>")
 _RAW_END = {n: re.compile(rf"</{n}(?=[\s/>])", re.I) for n in RAW}
 _DIGITS = re.compile(r"\d+")
 
+_NONE: dict[str, str] = {}
 ROOT, BODY, MAIN, ARTICLE = 0, 1, 2, 3
 
 
@@ -134,7 +135,7 @@ class Page:
         # Open elements with the state before them; how many of each name;
         # places of open paragraphs and of what bounds their scope.
         self.stack: list[tuple[str, Node, int, int]] = []
-        self.open: Counter[str] = Counter()
+        self.open: dict[str, int] = {}
         self.scope: list[tuple[int, bool]] = []
         self.node, self.region, self.dropped = self.root, BODY, 0
         self.text: list[str] = []
@@ -152,17 +153,21 @@ class Page:
 
     def _pop(self, at: int) -> None:
         """Close the elements from place ``at`` of the stack on."""
-        if any(n not in INLINE for n, *_ in self.stack[at:]):
+        names = [entry[0] for entry in self.stack[at:]]
+        if not INLINE.issuperset(names):
             self._flush()
         _, self.node, self.region, self.dropped = self.stack[at]
-        for name, *_ in self.stack[at:]:
+        for name in names:
             self.open[name] -= 1
         while self.scope and self.scope[-1][0] >= at:
             self.scope.pop()
         del self.stack[at:]
 
     def _end(self, names, stop) -> None:
-        if not any(self.open[n] for n in names):
+        for name in names:
+            if self.open.get(name):
+                break
+        else:
             return
         for k in range(len(self.stack) - 1, -1, -1):
             if self.stack[k][0] in names:
@@ -185,7 +190,9 @@ class Page:
             self._pop(len(self.stack) - 1)
         if name in ENDS:
             self._end(*ENDS[name])
-        drop = max(self.dropped, _beside(name, attributes, self.region))
+        drop = self.dropped
+        if drop < 2:
+            drop = max(drop, _beside(name, attributes, self.region))
         region = self.region
         kind = (ARTICLE if name == "article" else MAIN if name == "main"
                 or attributes.get("role", "").strip().lower() == "main"
@@ -195,11 +202,14 @@ class Page:
         if name == "p" or name in BARRIERS:
             self.scope.append((len(self.stack), name == "p"))
         self.stack.append((name, self.node, self.region, self.dropped))
-        self.open[name] += 1
+        self.open[name] = self.open.get(name, 0) + 1
+        if drop == 2:                  # nothing inside is looked at
+            self.dropped = 2
+            return
         if name not in INLINE:
-            own = _DIGITS.sub("#", " ".join(sorted(
+            own = _DIGITS.sub("#", " ".join(
                 f"{a}={attributes[a]}" for a in ("class", "id", "role")
-                if attributes.get(a))))
+                if attributes.get(a))) if attributes else ""
             node = Node(self.node, f"{name} {own}", not own, region)
             if not drop:
                 self.node.children.append(node)
@@ -212,7 +222,7 @@ class Page:
             return
         if name not in INLINE:
             self._flush()
-        if not self.open[name]:
+        if not self.open.get(name):
             return
         for k in range(len(self.stack) - 1, -1, -1):
             at = self.stack[k][0]
@@ -231,6 +241,17 @@ class Page:
                 self.text.append(unescape(html[pos:stop]))
             if at < 0:
                 return
+            simple = _SIMPLE.match(html, at)
+            if simple:                   # most tags are a bare name
+                name = simple[2].lower()
+                if simple[1]:
+                    self._close(name)
+                    pos = simple.end()
+                    continue
+                if name not in RAW and name != "plaintext":
+                    self._start(name, _NONE)
+                    pos = simple.end()
+                    continue
             mark = html[at + 1:at + 2]
             if mark.isascii() and mark.isalpha():
                 pos = self._tag(html, at + 1, True)

@@ -202,26 +202,27 @@ def removals(nodes: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            found = batch.column(1)
+            bounds = found.offsets.to_pylist()
+            pos, parent, leaf, plain, first, last, key, own, m, styles = (
+                found.values.field(k).to_pylist() for k in range(10))
             out = []
-            for page, found in zip(batch.column(0).to_pylist(),
-                                   batch.column(1).to_pylist()):
-                by = {n["pos"]: n for n in found}
-                sums = {}
-                for pos in sorted(by, reverse=True):   # children first
-                    node = by[pos]
-                    own = 1.0 if node["own"] is None else node["own"]
-                    if not node["leaf"]:
-                        total, k = sums.pop(pos)
-                        g = GAMMA ** (node["l"] or 1)
-                        own = (1 - g) * own + g * total / k
-                    if node["parent"] >= 0:
-                        total, k = sums.get(node["parent"], (0.0, 0))
-                        sums[node["parent"]] = total + own, k + 1
-                        if node["m"] is not None and (
-                                not node["leaf"] or own < LOW):
-                            out.append((page, node["key"], node["leaf"],
-                                        node["plain"], node["first"],
-                                        node["last"], node["m"], own))
+            for page, a, z in zip(batch.column(0).to_pylist(), bounds,
+                                  bounds[1:]):
+                sums: dict[int, tuple[float, int]] = {}
+                for i in sorted(range(a, z), key=pos.__getitem__,
+                                reverse=True):         # children first
+                    value = 1.0 if own[i] is None else own[i]
+                    if not leaf[i]:
+                        total, k = sums.pop(pos[i])
+                        g = GAMMA ** (styles[i] or 1)
+                        value = (1 - g) * value + g * total / k
+                    if parent[i] >= 0:
+                        total, k = sums.get(parent[i], (0.0, 0))
+                        sums[parent[i]] = total + value, k + 1
+                        if m[i] is not None and (not leaf[i] or value < LOW):
+                            out.append((page, key[i], leaf[i], plain[i],
+                                        first[i], last[i], m[i], value))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([o[k] for o in out], t) for k, t in enumerate(
                     [pa.binary(), pa.binary(), pa.bool_(), pa.bool_(),
