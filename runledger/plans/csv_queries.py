@@ -12,6 +12,7 @@ from runledger.operators import validate as va
 from runledger.plans.registry import register, table
 from runledger.session import materialized, new_run_dir
 from runledger.sources import csv_parquet as cp
+from runledger.sources import load_ledger
 
 # Fixed derivation values: file suffix per language (others ".csv") and a
 # byte size per character so that long documents exceed the size limit.
@@ -276,6 +277,10 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 MISSING_KEY = "orders/9-MISSING"
 BAD_KEY = "odd/no rows+here.csv"
+# Files whose header can't be read; each fails alone.
+BAD_HEADERS = {"odd/repeated.csv": ["o_orderkey,O_ORDERKEY", "1,2"],
+               "odd/blank.csv": ["", "o_orderkey", "1"],
+               "odd/quoted.csv": ['"o_order', 'key",b', "1,2"]}
 
 
 @register("csv_batch_load", "S1 S2 S3 S4 S7 J1 J3 A2 P19", sql=f"""
@@ -289,13 +294,14 @@ WHERE b.batch_id = '7' OR key <> 'orders/a+b 1-URGENT%'
 UNION ALL
 SELECT '7', k, false, CAST(0 AS BIGINT), CAST(0 AS BIGINT), false,
        CAST(0 AS BIGINT)
-FROM (VALUES ('{MISSING_KEY}'), ('{BAD_KEY}')) t(k)
+FROM (VALUES ('{MISSING_KEY}'), ('{BAD_KEY}'), {', '.join(
+    f"('{k}')" for k in BAD_HEADERS)}) t(k)
 """)
 def csv_batch_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two batches of CSV files end to end.  Orders land in one folder per
     priority, with odd names and two orders of columns; the batches share
-    most of them, and one also names a file that never arrived and one
-    without a line.  Conversion, load and per-file results (J3); a first
+    most of them, and one also names a file that never arrived, one without
+    a line and some with headers that can't be read.  Conversion, load and per-file results (J3); a first
     conversion to the same folder is replaced."""
     orders = table(spark, sf_dir, "orders")
     root = new_run_dir(spark, "csvbatch")
@@ -310,6 +316,9 @@ def csv_batch_load(spark: SparkSession, sf_dir: str) -> DataFrame:
             f"{landing}/orders/a+b {p}%")
     spark.createDataFrame([("",)], "value string").coalesce(1).write.option(
         "lineSep", " ").text(f"{landing}/{BAD_KEY}")
+    for k, lines in BAD_HEADERS.items():
+        spark.createDataFrame([(x,) for x in lines], "value string") \
+            .coalesce(1).write.text(f"{landing}/{k}")
     key = F.concat(F.lit("orders/a+b "), F.col("p"), F.lit("%"))
     keys = spark.createDataFrame([(p,) for p in priorities], "p string")
     files = (keys.where("p <> '1-URGENT'").select(
@@ -317,7 +326,7 @@ def csv_batch_load(spark: SparkSession, sf_dir: str) -> DataFrame:
              .unionByName(keys.select(F.lit("7").alias("batch_id"),
                                       key.alias("key")))
              .unionByName(spark.createDataFrame(
-                 [("7", MISSING_KEY), ("7", BAD_KEY)],
+                 [("7", k) for k in (MISSING_KEY, BAD_KEY, *BAD_HEADERS)],
                  "batch_id string, key string")))
     cp.convert_files(spark, files.limit(1), landing, staging, data.schema)
     conversions = cp.convert_files(spark, files, landing, staging,
@@ -330,3 +339,87 @@ def csv_batch_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cb.file_results(files, conversions, loads).select(
         "batch_id", "key", "converted", "input_rows", "rows", "loaded",
         "inserted_rows")
+
+
+# ---------------------------------------------------------------------------
+class _Lost(RuntimeError):
+    """Stands for the loss of a run between its append and its marker."""
+
+
+@register("csv_load_retry", "S4 S7 J1 J3", sql="""
+WITH f AS (SELECT o_orderpriority AS file, CAST(count(*) AS BIGINT) AS n,
+                  CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT))
+                       AS BIGINT) AS cents,
+                  CAST(count(*) FILTER (o_orderstatus <> 'O') AS BIGINT) AS m,
+                  CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT))
+                       FILTER (o_orderstatus <> 'O') AS BIGINT) AS less
+           FROM orders GROUP BY o_orderpriority)
+SELECT batch_id, file, n AS retried_rows, CAST(0 AS BIGINT) AS again_rows,
+       CASE WHEN batch_id = '7' AND file < '3' THEN m ELSE 0 END
+         AS changed_rows,
+       CASE WHEN file < '3' THEN n + m WHEN file < '4' THEN n + n ELSE n END
+         AS table_rows,
+       CASE WHEN file < '3' THEN cents + less WHEN file < '4'
+         THEN cents + cents ELSE cents END AS table_cents
+FROM f, (VALUES ('7'), ('8')) b(batch_id)
+WHERE (batch_id = '7' AND file < '3') OR (file >= '3' AND file < '4')
+   OR (batch_id = '8' AND file >= '4')
+""")
+def csv_load_retry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loads by the ledger: orders staged as a file for each priority, which
+    two batches share in part.  The first run of batch 7 is lost before its
+    marker, then both batches load, then both once more; at last the files
+    of batch 7 have lost their open orders and are loaded again.  Per batch
+    and file the rows inserted, and what the table holds of the file."""
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_orderpriority").alias("file"), "o_orderkey", "o_orderstatus",
+        "o_totalprice")
+    root = new_run_dir(spark, "csvretry")
+    location = f"{root}/warehouse"
+
+    def staged(rows: DataFrame, name: str) -> DataFrame:
+        rows.write.partitionBy("file").parquet(f"{root}/{name}")
+        return spark.read.schema(rows.schema).parquet(f"{root}/{name}")
+
+    first = staged(orders, "staging")
+    names = orders.select("file").distinct()
+    seven = names.where("file < '4'").select(F.lit("7").alias("batch_id"),
+                                             "file")
+    eight = names.where("file >= '3'").select(F.lit("8").alias("batch_id"),
+                                              "file")
+
+    def lost(load_id: str) -> None:
+        raise _Lost(load_id)
+
+    try:
+        load_ledger.load_once(first, "file", seven, location, lost)
+    except _Lost:
+        pass
+    runs = [materialized(r, "load-run") for r in (
+        load_ledger.load_once(first, "file", batch, location)
+        for batch in (seven, eight, seven, eight))]
+    changed = staged(orders.where("file >= '3' or o_orderstatus <> 'O'"),
+                     "staging2")
+    runs.append(load_ledger.load_once(changed, "file", seven, location))
+
+    def inserted(parts: list[DataFrame], name: str) -> DataFrame:
+        both = parts[0]
+        for p in parts[1:]:
+            both = both.unionByName(p)
+        return both.select("batch_id", "file",
+                           F.col("inserted_rows").alias(name))
+
+    schema = orders.drop("file").schema
+    held = load_ledger.read_loaded(spark, location, schema, with_file=True)
+    held = held.groupBy(F.col(load_ledger.FILE).alias("file")).agg(
+        F.count(F.lit(1)).alias("table_rows"),
+        F.sum(F.round(F.col("o_totalprice") * 100).cast("bigint"))
+        .cast("bigint").alias("table_cents"))
+    key = ["batch_id", "file"]
+    return (inserted(runs[:2], "retried_rows")
+            .join(inserted(runs[2:4], "again_rows"), key)
+            .join(inserted(runs[4:], "changed_rows"), key, "left")
+            .join(held, "file").select(
+                *key, "retried_rows", "again_rows",
+                F.coalesce("changed_rows", F.lit(0)).alias("changed_rows"),
+                "table_rows", "table_cents"))

@@ -9,7 +9,7 @@ the written row count comes from a read-back of the Parquet output.
 from __future__ import annotations
 
 import csv
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from runledger.sources import load_ledger
 from runledger.sources.files import bare_path, below, list_files
 
 Transform = Callable[[DataFrame], DataFrame]
@@ -145,11 +146,41 @@ def _headers(spark: SparkSession, paths: list[str], root: str) -> DataFrame:
 CONVERTED = "src_file"
 
 
+def file_column(columns: Iterable[str]) -> str:
+    """Name of the column that holds a row's file: ``src_file``, with blank
+    marks before it where the data have a column of that name."""
+    taken, name = {c.lower() for c in columns}, CONVERTED
+    while name in taken:
+        name = "_" + name
+    return name
+
+
+def header_columns(header: str, case_sensitive: bool = False
+                   ) -> tuple[list[str], str | None]:
+    """Column names of a header line, and why a file with it can't be read
+    (null: it can).  A column without a name is named by its place."""
+    header = header.removeprefix("\ufeff")
+    if not header.strip():
+        return [], "header line is blank"
+    if header.count('"') % 2:
+        return [], "header has a line feed inside quotes"
+    names = [n or f"_c{i}"
+             for i, n in enumerate(next(csv.reader([header])))]
+    seen = set()
+    for n in names:
+        key = n if case_sensitive else n.lower()
+        if key in seen:
+            return names, f"column {n} is repeated"
+        seen.add(key)
+    return names, None
+
+
 def convert_files(spark: SparkSession, files: DataFrame, root: str, dst: str,
                   schema: T.StructType | None = None,
                   transform: Transform = identity) -> DataFrame:
     """S1-S3 for every file of the batches ``(batch_id, key)`` below ``root``.
 
+    A file whose header is blank, spans lines or repeats a column fails alone.
     Files are grouped by header line, each group is read with its own
     columns (one scan) and written partitioned by file; the row's file comes
     from the scan itself, so no data-sized join is needed.  With a schema,
@@ -169,44 +200,54 @@ def convert_files(spark: SparkSession, files: DataFrame, root: str, dst: str,
         head = {r["file"]: r["header"]
                 for r in _headers(spark, [r["path"] for r in found], root)
                 .collect()}
-        groups: dict[str, list[str]] = {}
+        case = spark.conf.get("spark.sql.caseSensitive") == "true"
+        groups: dict[str, list[tuple[str, str]]] = {}
         bad = []
         for r in found:
             if r["file"] in head:
-                groups.setdefault(head[r["file"]], []).append(r["path"])
+                groups.setdefault(head[r["file"]], []).append(
+                    (r["path"], r["file"]))
             else:
                 bad.append((r["file"], "file is empty or unreadable"))
-        parts = []
+        readable = []
         for header, paths in sorted(groups.items()):
-            names = _columns(header)
+            names, problem = header_columns(header, case)
             missing = [] if schema is None else [
                 f.name for f in schema.fields if f.name not in names]
-            if missing:
-                bad += [(r["file"], f"column {missing[0]} not found")
-                        for r in found if r["path"] in set(paths)]
-                continue
+            if problem is None and missing:
+                problem = f"column {missing[0]} not found"
+            if problem is None:
+                readable.append((names, [path for path, _ in paths]))
+            else:
+                bad += [(file, problem) for _, file in paths]
+        source = file_column(
+            [f.name for f in schema.fields] if schema is not None
+            else [n for names, _ in readable for n in names])
+        parts = []
+        for names, paths in readable:
             text = T.StructType([T.StructField(n, T.StringType())
                                  for n in names])
-            rows = read_csv(spark, paths, text).withColumn(
-                CONVERTED, below(bare_path(
-                    F.col("_metadata.file_path"), encoded=True), root))
-            if schema is not None:
-                rows = rows.select(*[
-                    F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name)
-                    for f in schema.fields], CONVERTED)
-            parts.append(rows)
+            own = file_column(names)     # here the data are as in the file
+            rows = read_csv(spark, paths, text).withColumn(own, below(
+                bare_path(F.col("_metadata.file_path"), encoded=True), root))
+            kept = ([F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name)
+                     for f in schema.fields] if schema is not None
+                    else [F.col(f"`{n}`") for n in names])
+            parts.append(rows.select(*kept, F.col(own).alias(source)))
         if parts:
             data = reduce(lambda a, b: a.unionByName(
                 b, allowMissingColumns=True), parts)
             out = transform(data)
             (out.write.mode("overwrite")
              .option("partitionOverwriteMode", "static")
-             .partitionBy(CONVERTED).parquet(dst))
+             .partitionBy(source).parquet(dst))
             written = spark.read.schema(out.schema).parquet(dst).groupBy(
-                CONVERTED).agg(F.count(F.lit(1)).alias("rows"))
+                F.col(source).alias(CONVERTED)).agg(
+                F.count(F.lit(1)).alias("rows"))
             # Without a transform every row read is a row written.
             read = (written.withColumnRenamed("rows", "input_rows")
-                    if transform is identity else data.groupBy(CONVERTED)
+                    if transform is identity else data.groupBy(
+                        F.col(source).alias(CONVERTED))
                     .agg(F.count(F.lit(1)).alias("input_rows")))
             counts = read.join(written, CONVERTED, "left")
         errors = spark.createDataFrame(bad, "file string, error string")
@@ -229,9 +270,34 @@ def convert_files(spark: SparkSession, files: DataFrame, root: str, dst: str,
         F.coalesce("rows", F.lit(0)).cast("bigint").alias("rows"))
 
 
-def _columns(header: str) -> list[str]:
-    """Column names of a header line."""
-    return next(csv.reader([header]))
+def staged_rows(spark: SparkSession, dst: str, schema: T.StructType
+                ) -> tuple[DataFrame, str]:
+    """The converted rows below ``dst`` and the column that names their
+    file."""
+    source = file_column(f.name for f in schema.fields)
+    full = T.StructType([*schema.fields,
+                         T.StructField(source, T.StringType())])
+    return spark.read.schema(full).parquet(dst), source
+
+
+def load_converted_once(spark: SparkSession, files: DataFrame, root: str,
+                        dst: str, location: str, schema: T.StructType
+                        ) -> DataFrame:
+    """S4 for converted batches, by the ledger at ``location``: what has been
+    loaded for a batch is not loaded again.  Per (batch_id, key) the
+    ``load_result`` payload as ``load_converted`` gives it."""
+    staged, source = staged_rows(spark, dst, schema)
+    matched = match_files(spark, files, root).select(
+        "batch_id", "key", "file")
+    loaded = load_ledger.load_once(staged, source, matched, location)
+    per_key = matched.join(loaded.where("rows > 0"), ["batch_id", "file"]) \
+        .groupBy("batch_id", "key").agg(
+            F.sum("rows").alias("n"), F.sum("inserted_rows").alias("new"))
+    return per_key.select("batch_id", "key", F.to_json(F.struct(F.to_json(
+        F.struct(F.lit(True).alias("success"),
+                 F.col("new").alias("inserted_rows"),
+                 (F.col("n") - F.col("new")).alias("known_rows")))
+        .alias("Payload"))).alias("load_result"))
 
 
 def load_converted(spark: SparkSession, files: DataFrame, root: str,
@@ -241,13 +307,11 @@ def load_converted(spark: SparkSession, files: DataFrame, root: str,
     """S4 for converted batches: one append of every file's output; per
     (batch_id, key) the ``load_result`` payload (JSON text) with the rows
     inserted and, if wanted, the table's total after the load (Q1)."""
-    full = T.StructType([*schema.fields,
-                         T.StructField(CONVERTED, T.StringType())])
-    staged = spark.read.schema(full).parquet(dst)
-    (staged.drop(CONVERTED).write.mode("append").format("parquet")
+    staged, source = staged_rows(spark, dst, schema)
+    (staged.drop(source).write.mode("append").format("parquet")
      .option("path", location).saveAsTable(table))
     total = spark.table(table).count() if count_table else None
-    per_file = staged.groupBy(CONVERTED).agg(F.count(F.lit(1)).alias("n"))
+    per_file = staged.groupBy(F.col(source).alias(CONVERTED)).agg(F.count(F.lit(1)).alias("n"))
     per_key = (match_files(spark, files, root)
                .join(per_file, F.col("file") == F.col(CONVERTED))
                .groupBy("batch_id", "key").agg(F.sum("n").alias("n")))
