@@ -286,7 +286,8 @@ def rollup_partials(evidence: DataFrame, mode: str = "by_step") -> DataFrame:
         F.count_if(step_row).alias("steps"),
         F.count_if(step_row & failed(F.col("ok"))).alias("failures"),
         F.min("ts").alias("started"), F.max("ts").alias("ended"),
-        F.coalesce(F.bool_or("is_terminal"), F.lit(False)).alias("terminal"))
+        F.coalesce(F.bool_or("is_terminal"), F.lit(False)).alias("terminal"),
+        F.count_if("is_terminal").alias("terminal_events"))
 
 
 def finish_rollup(partials: DataFrame, terminal_only: bool = False
@@ -314,18 +315,23 @@ def rollup(evidence: DataFrame, mode: str = "by_step",
     return finish_rollup(rollup_partials(evidence, mode), terminal_only)
 
 
-def step_details(evidence: DataFrame) -> DataFrame:
+def step_details(evidence: DataFrame, signals: bool = False) -> DataFrame:
     """What a summary shows of each step: component, display name, outcome,
-    where it read and wrote, and its error.  One long row per step event."""
+    where it read and wrote, and its error.  One long row per step event; if
+    wanted, signals too, with columns that tell them and terminal events."""
     step = F.coalesce("step", F.lit("unknown"))
-    return evidence.where(~F.coalesce("is_signal", F.lit(False))).select(
+    signal = F.coalesce("is_signal", F.lit(False))
+    return evidence.where(F.lit(signals) | ~signal).select(
         "batch_id", step.alias("step"), "event_id",
         component_type(step).alias("component"),
         step_display_name(step).alias("display_name"),
         F.coalesce("ok", F.lit(True)).alias("ok"), "ts", "input_s3",
         "output_s3",
         F.when(failed(F.col("ok")), F.coalesce("error", F.lit(UNKNOWN_ERROR)))
-        .alias("error"))
+        .alias("error"),
+        *([signal.alias("is_signal"),
+           F.coalesce("is_terminal", F.lit(False)).alias("is_terminal")]
+          if signals else []))
 
 
 def failures(evidence: DataFrame) -> DataFrame:

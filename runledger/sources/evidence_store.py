@@ -14,6 +14,7 @@ replays and corrections need no rewriting.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +23,7 @@ from runledger.operators.evidence import dedup_events
 from runledger.operators.keyed import latest_per_key
 
 BUCKETS = 64
+STORED = "stored_version"   # version under which an evidence row was stored
 
 
 def bucket(batch_id: Column) -> Column:
@@ -45,16 +47,36 @@ def read_raw(spark: SparkSession, path: str) -> DataFrame:
     return read_envelopes(spark, path)
 
 
-def append_evidence(evidence: DataFrame, store: str) -> None:
-    """Append evidence rows.  ``rebalance`` lets AQE write few files per
-    bucket while splitting one that holds a large share of the rows."""
+def append_rows(rows: DataFrame, path: str) -> None:
+    """Append rows; those with a batch id go to its bucket.  ``rebalance``
+    lets AQE write few files per bucket while splitting one that holds a large
+    share of the rows."""
+    if "batch_id" in rows.columns:
+        rows = rows.withColumn("bucket", bucket(F.col("batch_id"))).hint(
+            "rebalance", "bucket")
+        rows.write.mode("append").partitionBy("bucket").parquet(path)
+    else:
+        rows.write.mode("append").parquet(path)
+
+
+def read_rows(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Appended rows; none while nothing has been appended."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def append_evidence(evidence: DataFrame, store: str, version: int = 0
+                    ) -> None:
+    """Append evidence rows, under the version of their writer."""
     # The record is kept as the delivered text (``raw_message``); the
     # nested struct is an in-flight convenience and is not stored twice.
     rows = evidence.drop("evidence") if "evidence" in evidence.columns \
         else evidence
-    (rows.withColumn("bucket", bucket(F.col("batch_id")))
-     .hint("rebalance", "bucket")
-     .write.mode("append").partitionBy("bucket").parquet(store))
+    append_rows(rows.withColumn(STORED, F.lit(version).cast("bigint")), store)
 
 
 def restrict_to_batches(df: DataFrame, batches: DataFrame | None
@@ -71,12 +93,16 @@ def restrict_to_batches(df: DataFrame, batches: DataFrame | None
 def read_evidence(spark: SparkSession, store: str,
                   batches: DataFrame | None = None,
                   dedup: bool = True,
-                  columns: list[str] | None = None) -> DataFrame:
+                  columns: list[str] | None = None,
+                  before: int | None = None) -> DataFrame:
     """Stored evidence, optionally of some batches only, with the latest
     delivery of each event.  ``columns`` limits the columns read (Parquet
-    column pruning) and carried by the de-dup."""
-    df = restrict_to_batches(spark.read.parquet(store), batches) \
-        .drop("bucket")
+    column pruning) and carried by the de-dup; ``before`` leaves out rows
+    stored under that or a later version."""
+    df = restrict_to_batches(spark.read.parquet(store), batches)
+    if before is not None:
+        df = df.where(F.col(STORED) < before)
+    df = df.drop("bucket", STORED)
     if columns:
         df = df.select(*columns)
     return dedup_events(df) if dedup else df
@@ -93,10 +119,8 @@ VERSIONED_SUMMARY = SUMMARY_SCHEMA + ", version bigint, bucket int"
 def write_summaries(summaries: DataFrame, path: str, version: int = 0
                     ) -> None:
     """Append one version of the given batches' summaries."""
-    (summaries.withColumn("version", F.lit(version).cast("bigint"))
-     .withColumn("bucket", bucket(F.col("batch_id")))
-     .hint("rebalance", "bucket")
-     .write.mode("append").partitionBy("bucket").parquet(path))
+    append_rows(summaries.withColumn(
+        "version", F.lit(version).cast("bigint")), path)
 
 
 def read_summaries(spark: SparkSession, path: str) -> DataFrame:
@@ -108,17 +132,16 @@ def read_summaries(spark: SparkSession, path: str) -> DataFrame:
 
 # Detail tables: one long row per step and per failure, beside the summaries.
 def write_details(details: DataFrame, path: str, version: int = 0) -> None:
-    """Append one version of the step rows of finalized batches."""
-    (details.withColumn("version", F.lit(version).cast("bigint"))
-     .withColumn("bucket", bucket(F.col("batch_id")))
-     .hint("rebalance", "bucket")
-     .write.mode("append").partitionBy("bucket").parquet(path))
+    """Append one version of step rows (``step_details`` with signals)."""
+    append_rows(details.withColumn(
+        "version", F.lit(version).cast("bigint")), path)
 
 
 def read_details(spark: SparkSession, path: str) -> DataFrame:
-    """Step rows of the latest version of every batch."""
-    rows = spark.read.parquet(path)
-    top = rows.groupBy("bucket", "batch_id").agg(
-        F.max("version").alias("version"))
-    return rows.join(top, ["bucket", "batch_id", "version"]).drop(
-        "bucket", "version")
+    """The latest step rows of every batch that has a terminal event."""
+    rows = latest_per_key(spark.read.parquet(path), [
+        "bucket", "batch_id", "step", "event_id"], ["version"])
+    ended = rows.where("is_terminal").select("bucket", "batch_id").distinct()
+    return rows.join(ended, ["bucket", "batch_id"], "left_semi").where(
+        "not is_signal").drop("bucket", "version", "is_signal",
+                              "is_terminal")

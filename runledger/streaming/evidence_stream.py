@@ -4,25 +4,23 @@
         -> duplicates within the watermark dropped (ST2)
         -> foreachBatch:
              flows of the new events (J2), append to the store (S12)
-             the touched batches read back from the store (latest delivery
-               of each event), rolled up, the terminated ones finalized
+             the touched batches' running totals, changed by what the new
+               deliveries add and replace, and the terminated ones finalized
                (ST3, ST4): summaries (S14) and step details
 
-The latest delivery of an event wins, as in the batch path: both read the same
-store with the same rule.  The stream only drops literal repeats (same event,
-same text) within ``watermark`` of their arrival, which bounds its state; a
-repeat that comes later is stored again and settled on read.  Summaries are
-appended in versions, so a replayed epoch or a new checkpoint adds an equal
-version and loses nothing.
-
-A micro-batch reads the stored evidence of the batches it touches, through a
-semi join that prunes hash buckets.  That costs more than running totals, but
-totals can't take back a corrected event, and a run has few step events.
+The latest delivery of an event wins, as in the batch path.  The stream drops
+literal repeats (same event, same text) within ``watermark`` of their arrival,
+which bounds its state, and marks events that it sees for the first time.
+Only events without that mark can have been counted before, and only their
+stored deliveries are read back (``running_totals``).  A repeat that comes
+after the watermark is stored again, and settled by its batch's age.  Summaries
+are appended in versions, so a replayed epoch or a new checkpoint adds an
+equal version and loses nothing.
 
 Whether a batch terminated is a property of its stored evidence.  Late evidence
 of a terminated batch re-finalizes it (``refinalize_late``); without the flag a
-batch is finalized only in a micro-batch that carries its terminal event, as
-the reference does.
+batch's summary is written only in a micro-batch that carries its terminal
+event, as the reference does (its step details go on growing).
 """
 
 from __future__ import annotations
@@ -37,7 +35,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from runledger import schemas
 from runledger.operators import evidence as evo
+from runledger.session import materialized
 from runledger.sources import evidence_store as store
+from runledger.streaming import running_totals as running
 
 
 ROCKSDB_PROVIDER = ("org.apache.spark.sql.execution.streaming.state."
@@ -69,6 +69,10 @@ class EvidenceStreamConfig:
     def details(self) -> str:
         return self.summaries.rstrip("/") + "_steps"
 
+    @property
+    def totals(self) -> str:
+        return self.summaries.rstrip("/") + "_totals"
+
 
 def envelope_stream(spark: SparkSession, cfg: EvidenceStreamConfig
                     ) -> DataFrame:
@@ -88,30 +92,68 @@ def evidence_events(envelopes: DataFrame, ingested_at: str) -> DataFrame:
                                 ingested_at).drop("flow")
 
 
+FIRST = "first_seen_event"
+
+
+def with_first_marks(events: DataFrame) -> DataFrame:
+    """Every event twice: as it is, and as a mark of its key alone, of which
+    the de-dup below lets through the first."""
+    step = F.coalesce("step", F.lit("unknown"))
+    event = F.coalesce("event_id", F.lit(""))
+    twice = events.withColumn(FIRST, F.explode(F.array(
+        F.lit(False), F.lit(True))))
+    return twice.select(
+        "batch_id", step.alias("step"), event.alias("event_id"), FIRST,
+        *[F.when(~F.col(FIRST), F.col(c)).alias(c) for c in events.columns
+          if c not in evo.EVENT_KEY])
+
+
 def make_batch_writer(spark: SparkSession, cfg: EvidenceStreamConfig,
                       flow_map: DataFrame | None = None):
-    """The ``foreachBatch`` function over new events without flows (exposed
-    for direct testing)."""
+    """The ``foreachBatch`` function over new events without flows, with or
+    without marks of first events (exposed for direct testing)."""
+
+    generations: dict[str, int] = {}
 
     def process(events: DataFrame, epoch_id: int) -> None:
-        # Parsed once: the flows, the append and the touched batches all
-        # read the micro-batch.
-        new = events.persist(StorageLevel.MEMORY_AND_DISK)
+        # The query's id stays with its checkpoint.
+        stream = (spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+                  or cfg.checkpoint)
+        if stream not in generations:
+            generations[stream] = running.generation_of(spark, cfg.totals,
+                                                        stream)
+        generation = generations[stream]
+        version = generation * running.EPOCHS + epoch_id
+        # Parsed once: everything below reads the micro-batch.
+        both = events.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            store.append_evidence(evo.with_flow(new, flow_map), cfg.store)
-            touched = new if cfg.refinalize_late else new.where("is_terminal")
-            seen = store.read_evidence(
-                spark, cfg.store, batches=touched,
-                columns=[*evo.ROLLUP_INPUT, "input_s3", "output_s3"])
-            version = time.time_ns() // 1_000_000   # later runs win
-            done = evo.rollup(seen, cfg.mode, terminal_only=True)
-            store.write_summaries(done, cfg.summaries, version)
-            store.write_details(
-                evo.restrict_to(evo.step_details(seen),
-                                done.select("batch_id")),
-                cfg.details, version)
+            new, firsts = both, None
+            if FIRST in both.columns:
+                new = both.where(~F.col(FIRST)).drop(FIRST)
+                firsts = both.where(FIRST)
+            store.append_evidence(evo.with_flow(new, flow_map), cfg.store,
+                                  version)
+            known = materialized(running.read_totals(
+                spark, cfg.totals, new.select("batch_id"), version),
+                "known-totals")
+            plus, minus = running.changes(
+                spark, new, known, firsts, cfg.store, generation, version,
+                cfg.watermark)
+            totals = materialized(running.new_totals(
+                known, plus, minus, cfg.mode, generation, version), "totals")
+            totals = running.rebuilt(spark, totals, cfg.store, cfg.mode,
+                                     version)
+            store.append_rows(totals, cfg.totals)
+            done = totals.where("terminal_events > 0")
+            if not cfg.refinalize_late:
+                done = evo.restrict_to(done, evo.terminal_batches(new))
+            later = time.time_ns() // 1_000_000   # later runs win
+            store.write_summaries(evo.finish_rollup(done), cfg.summaries,
+                                  later)
+            store.write_details(evo.step_details(plus, signals=True),
+                                cfg.details, version)
         finally:
-            new.unpersist()
+            both.unpersist()
 
     return process
 
@@ -124,11 +166,12 @@ def start_evidence_stream(spark: SparkSession, cfg: EvidenceStreamConfig,
     ``available_now`` it processes what has arrived -- in several
     micro-batches when a file cap is set -- and stops."""
     envelopes = envelope_stream(spark, cfg)
-    events = (evidence_events(envelopes, cfg.ingested_at)
+    events = (with_first_marks(evidence_events(envelopes, cfg.ingested_at))
               # The time of arrival here, so that nothing is ever too late.
               .withColumn("_time", F.current_timestamp())
               .withWatermark("_time", cfg.watermark)
-              .dropDuplicatesWithinWatermark([*evo.EVENT_KEY, "event_hash"])
+              .dropDuplicatesWithinWatermark(
+                  [*evo.EVENT_KEY, "event_hash", FIRST])
               .drop("_time"))
     writer = (events.writeStream
               .foreachBatch(make_batch_writer(spark, cfg, flow_map))
