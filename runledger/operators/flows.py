@@ -1,7 +1,10 @@
 """Ordered substring classification (J2) and the flow map source.
 
 "First pattern (in map order) contained in the value, else a default" is a
-theta join.  It is evaluated the same way for a map of any size:
+theta join.  A map whose size is checked to be that of a configuration document
+(``RULES`` patterns, ``RULE_CHARS`` characters) is a chain of conditions on
+each row, inside the scan's generated code, without a join or a shuffle.  A
+larger map is joined, with the same results:
 
 * every pattern is filed under one of its three-character grams, the one that
   the fewest patterns contain (a shorter pattern under itself);
@@ -11,9 +14,10 @@ theta join.  It is evaluated the same way for a map of any size:
   least ``(ord, pattern)`` wins per value (``min_by``, combined map-side), and
   the flows are joined back to the rows on the value.
 
-Nothing is broadcast by hand, collected or numbered; an empty pattern matches
-every value that is not null, a matching pattern with a null flow gives null,
-and equal ``ord`` go by pattern text.  A null value gets the default.
+Nothing of a larger map is broadcast by hand or collected; an empty pattern
+matches every value that is not null, a matching pattern with a null flow gives
+null, and equal ``ord`` go by pattern text.  A null value gets the default and
+a null pattern matches nothing.
 """
 
 from __future__ import annotations
@@ -25,6 +29,8 @@ from runledger import schemas
 
 # Fixed value: the flow name when no pattern matches.
 UNKNOWN_FLOW = "unknown-pipeline"
+RULES = 64
+RULE_CHARS = 1 << 14
 GRAM = 3
 GRAM_BITS = 1 << 16
 
@@ -79,6 +85,18 @@ def _gram_bits(filed: DataFrame) -> list[int]:
     return out
 
 
+def _rules(flow_map: DataFrame) -> list[tuple[str, str | None]] | None:
+    """(pattern, flow) in order of precedence; null for a larger map."""
+    rows = flow_map.where("pattern is not null").select(
+        "ord", F.left("pattern", F.lit(RULE_CHARS + 1)).alias("pattern"),
+        "flow").limit(RULES + 1).collect()
+    if len(rows) > RULES or sum(len(r["pattern"]) for r in rows) > RULE_CHARS:
+        return None
+    rows.sort(key=lambda r: (r["ord"] is not None, r["ord"] or 0,
+                             r["pattern"].encode()))
+    return [(r["pattern"], r["flow"]) for r in rows]
+
+
 def classify_flow(df: DataFrame, value_col: str, flow_map: DataFrame,
                   out_col: str = "flow",
                   default: str = UNKNOWN_FLOW) -> DataFrame:
@@ -86,6 +104,19 @@ def classify_flow(df: DataFrame, value_col: str, flow_map: DataFrame,
 
     ``df`` is a batch DataFrame; a stream classifies its micro-batches.
     """
+    rules = _rules(flow_map)
+    if rules is None:
+        return _joined_flow(df, value_col, flow_map, out_col, default)
+    flow = F.when(df[value_col].isNull(), F.lit(default))
+    for pattern, name in rules:
+        flow = flow.when(df[value_col].contains(F.lit(pattern)),
+                         F.lit(name).cast("string"))
+    return df.withColumn(out_col, flow.otherwise(F.lit(default)))
+
+
+def _joined_flow(df: DataFrame, value_col: str, flow_map: DataFrame,
+                 out_col: str, default: str) -> DataFrame:
+    """The flow by an equi-join of grams."""
     filed = _filed(flow_map)
     bits = F.lit(_gram_bits(filed))
     values = df.select(F.col(value_col).alias("_v")).where(

@@ -120,3 +120,12 @@ def ensure_parallelism(df: DataFrame) -> DataFrame:
     target = df.sparkSession.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() >= target else \
         df.repartition(target)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder of the library's own tables, in any store that Spark
+    writes to."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    target.getFileSystem(conf).delete(target, True)

@@ -9,18 +9,20 @@ a semi join on bucket and batch id, so partitions are pruned at run time.
 
 Appends are at-least-once.  Readers of the evidence keep the latest delivery
 of each event, readers of the summaries the latest version of each batch, so
-replays and corrections need no rewriting.
+replays and corrections need no rewriting.  Every append is a part of a table
+with a log (``snapshots``); compaction packs small parts and drops versions
+that no reader would choose, in one step.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from runledger import schemas
 from runledger.operators.evidence import dedup_events
 from runledger.operators.keyed import latest_per_key
+from runledger.sources import snapshots
 
 BUCKETS = 64
 STORED = "stored_version"   # version under which an evidence row was stored
@@ -48,25 +50,39 @@ def read_raw(spark: SparkSession, path: str) -> DataFrame:
 
 
 def append_rows(rows: DataFrame, path: str) -> None:
-    """Append rows; those with a batch id go to its bucket.  ``rebalance``
-    lets AQE write few files per bucket while splitting one that holds a large
-    share of the rows."""
+    """Append rows as a part of a table (``snapshots``); those with a batch
+    id go to its bucket."""
     if "batch_id" in rows.columns:
-        rows = rows.withColumn("bucket", bucket(F.col("batch_id"))).hint(
-            "rebalance", "bucket")
-        rows.write.mode("append").partitionBy("bucket").parquet(path)
+        snapshots.append(rows.withColumn("bucket", bucket(
+            F.col("batch_id"))), path, "bucket")
     else:
-        rows.write.mode("append").parquet(path)
+        snapshots.append(rows, path)
 
 
 def read_rows(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Appended rows; none while nothing has been appended."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as exc:
-        if exc.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
+    """The rows of a table's present state; none while it has no part."""
+    return snapshots.read(spark, path, schema)
+
+
+def compact_evidence(spark: SparkSession, store: str, **limits) -> int:
+    """Pack the small parts of an evidence store, deliveries unchanged."""
+    return snapshots.compact(spark, store, "bucket", **limits)
+
+
+def compact_versions(spark: SparkSession, path: str, schema: str | None,
+                     key: list[str], before: int | None = None, **limits
+                     ) -> int:
+    """Pack the small parts of a table in versions.  Of the versions below
+    ``before`` (all if none) only the latest of each key stays."""
+    def fold(rows: DataFrame) -> DataFrame:
+        if before is None:
+            return latest_per_key(rows, key, ["version"])
+        old = rows.where(F.col("version") < before)
+        return latest_per_key(old, key, ["version"]).unionByName(
+            rows.where(F.col("version") >= before))
+
+    return snapshots.compact(spark, path, "bucket", fold, schema=schema,
+                             **limits)
 
 
 def append_evidence(evidence: DataFrame, store: str, version: int = 0
@@ -99,7 +115,7 @@ def read_evidence(spark: SparkSession, store: str,
     delivery of each event.  ``columns`` limits the columns read (Parquet
     column pruning) and carried by the de-dup; ``before`` leaves out rows
     stored under that or a later version."""
-    df = restrict_to_batches(spark.read.parquet(store), batches)
+    df = restrict_to_batches(snapshots.read(spark, store), batches)
     if before is not None:
         df = df.where(F.col(STORED) < before)
     df = df.drop("bucket", STORED)
@@ -126,7 +142,7 @@ def write_summaries(summaries: DataFrame, path: str, version: int = 0
 def read_summaries(spark: SparkSession, path: str) -> DataFrame:
     """The latest summary of every batch.  The schema is given, so a table
     without a finalized batch reads as empty."""
-    rows = spark.read.schema(VERSIONED_SUMMARY).parquet(path).drop("bucket")
+    rows = read_rows(spark, path, VERSIONED_SUMMARY).drop("bucket")
     return latest_per_key(rows, ["batch_id"], ["version"]).drop("version")
 
 
@@ -139,7 +155,7 @@ def write_details(details: DataFrame, path: str, version: int = 0) -> None:
 
 def read_details(spark: SparkSession, path: str) -> DataFrame:
     """The latest step rows of every batch that has a terminal event."""
-    rows = latest_per_key(spark.read.parquet(path), [
+    rows = latest_per_key(snapshots.read(spark, path), [
         "bucket", "batch_id", "step", "event_id"], ["version"])
     ended = rows.where("is_terminal").select("bucket", "batch_id").distinct()
     return rows.join(ended, ["bucket", "batch_id"], "left_semi").where(

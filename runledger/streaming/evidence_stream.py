@@ -37,6 +37,7 @@ from runledger import schemas
 from runledger.operators import evidence as evo
 from runledger.session import materialized
 from runledger.sources import evidence_store as store
+from runledger.sources import snapshots
 from runledger.streaming import running_totals as running
 
 
@@ -65,6 +66,11 @@ class EvidenceStreamConfig:
     # How long literal repeats are recognised in the stream.
     watermark: str = "1 day"
 
+    # Small parts of the tables are packed every so many micro-batches
+    # (none: never), and replaced parts removed after ``retain`` seconds.
+    compact_every: int | None = 16
+    retain: float = snapshots.RETAIN_SECONDS
+
     @property
     def details(self) -> str:
         return self.summaries.rstrip("/") + "_steps"
@@ -108,6 +114,20 @@ def with_first_marks(events: DataFrame) -> DataFrame:
           if c not in evo.EVENT_KEY])
 
 
+def compact_tables(spark: SparkSession, cfg: EvidenceStreamConfig,
+                   version: int) -> None:
+    """Pack the small parts of all tables.  An epoch that runs again reads
+    the totals of the versions before it: these and its own stay."""
+    store.compact_evidence(spark, cfg.store)
+    store.compact_versions(spark, cfg.totals, running.TOTALS + ", bucket int",
+                           ["batch_id"], before=version)
+    store.compact_versions(spark, cfg.summaries, store.VERSIONED_SUMMARY,
+                           ["batch_id"])
+    store.compact_versions(spark, cfg.details, None, evo.EVENT_KEY)
+    for path in (cfg.store, cfg.totals, cfg.summaries, cfg.details):
+        snapshots.vacuum(spark, path, cfg.retain)
+
+
 def make_batch_writer(spark: SparkSession, cfg: EvidenceStreamConfig,
                       flow_map: DataFrame | None = None):
     """The ``foreachBatch`` function over new events without flows, with or
@@ -152,6 +172,8 @@ def make_batch_writer(spark: SparkSession, cfg: EvidenceStreamConfig,
                                   later)
             store.write_details(evo.step_details(plus, signals=True),
                                 cfg.details, version)
+            if cfg.compact_every and (epoch_id + 1) % cfg.compact_every == 0:
+                compact_tables(spark, cfg, version)
         finally:
             both.unpersist()
 
