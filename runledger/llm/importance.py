@@ -183,7 +183,19 @@ def head(docs: DataFrame) -> tuple[list[bytes], list[tuple[int, int]]]:
         F.sum("n").alias("n")), "importance-head")
 
     def most(rows: DataFrame, n: int) -> list:
-        return rows.orderBy(F.desc("n"), "a", "b").limit(n).collect()
+        """The rows with the highest counts, ``n`` at most.  A histogram by
+        powers of 2 ** (1 / 8) has the least count; so no task sends more
+        than its share of them."""
+        power = F.floor(F.log2("n") * 8).cast("int")
+        sizes = {r["power"]: r["count"] for r in rows.groupBy(
+            power.alias("power")).count().collect()}
+        least, total = None, 0
+        for p in sorted(sizes, reverse=True):
+            total += sizes[p]
+            if total > n:
+                break
+            least = p
+        return [] if least is None else rows.filter(power >= least).collect()
 
     words = [bytes(r["a"]) for r in most(counts.filter("b is null"),
                                          HEAD_WORDS)]
