@@ -14,6 +14,7 @@ from runledger.plans.registry import register, table
 from runledger.session import (
     ensure_parallelism, materialized, new_run_dir)
 from runledger.sources import evidence_store as store
+from runledger.sources import snapshots
 
 # Flow map of the state machines below (pattern -> flow, in order).
 FLOW_PATTERNS = {
@@ -588,3 +589,35 @@ def stream_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
         ingested_at=CLOCK, max_files_per_trigger=32)
     run_until_done(start_evidence_stream(spark, cfg, _flow_map(spark)))
     return store.read_summaries(spark, cfg.summaries).select(*SUMMARY_COLUMNS)
+
+
+# ---------------------------------------------------------------------------
+APPENDS = 4
+
+
+@register("evidence_compaction", "S12 S13 S14 A13",
+          sql=_EV_SQL + ROLLUP_BY_STEP_SQL)
+def evidence_compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Evidence arrives in several appends, each with a version of the
+    summaries; the parts are packed on the way and at the end.  The summaries
+    read then equal the roll-up of all evidence."""
+    root = new_run_dir(spark, "compaction")
+    ev_store, summaries = f"{root}/store", f"{root}/summaries"
+    parsed = materialized(evo.parse_log_events(
+        _lineitem_events(spark, sf_dir), None, CLOCK).drop("evidence"),
+        "parsed")
+    for k in range(APPENDS):
+        store.append_evidence(parsed.where(F.pmod(
+            F.xxhash64("event_hash", "event_id"), F.lit(APPENDS)) == k),
+            ev_store)
+        seen = store.read_evidence(spark, ev_store, columns=evo.ROLLUP_INPUT)
+        store.write_summaries(evo.rollup(seen, terminal_only=True),
+                              summaries, k)
+        if k % 2:
+            store.compact_evidence(spark, ev_store)
+            store.compact_versions(spark, summaries, store.VERSIONED_SUMMARY,
+                                   ["batch_id"])
+    for path in (ev_store, summaries):
+        if len(snapshots.live_parts(spark, path)) != 1:
+            raise RuntimeError(f"{path} has not been packed")
+    return store.read_summaries(spark, summaries).select(*SUMMARY_COLUMNS)

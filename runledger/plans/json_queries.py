@@ -10,6 +10,7 @@ from runledger.operators import stages as st
 from runledger.operators.keyed import upsert
 from runledger.plans.registry import register, table
 from runledger.session import new_run_dir
+from runledger.sources import keyed_table
 
 # Fixed clock for deterministic ids/timestamps (passed in, never "now").
 CLOCK = "2024-02-01 00:00:00"
@@ -177,6 +178,49 @@ def keyed_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{root}/v=2")
 
 
+@register("keyed_upsert_buckets", "S6 W2", sql="""
+WITH u AS (SELECT o_custkey AS id, o_totalprice AS balance,
+                  o_orderkey AS last_order, o_orderdate AS updated_at,
+                  row_number() OVER (PARTITION BY o_custkey
+                                     ORDER BY o_orderdate DESC,
+                                              o_orderkey DESC,
+                                              o_totalprice DESC) AS rn
+           FROM orders),
+t AS (SELECT c_custkey AS id, c_acctbal AS balance,
+             CAST(-1 AS BIGINT) AS last_order,
+             CAST(NULL AS TIMESTAMP) AS updated_at
+      FROM customer WHERE c_custkey NOT IN (SELECT id FROM u)
+      UNION ALL
+      SELECT id, balance, last_order, updated_at FROM u WHERE rn = 1)
+SELECT id, CASE WHEN id = m THEN 0 ELSE balance END AS balance,
+       CASE WHEN id = m THEN -2 ELSE last_order END AS last_order, updated_at,
+       CAST(1 AS BIGINT) AS rewritten
+FROM t, (SELECT max(c_custkey) AS m FROM customer)
+""")
+def keyed_upsert_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same puts to a table in hash buckets; then one more customer is
+    put, which rewrites one bucket."""
+    path = new_run_dir(spark, "keyed-buckets")
+    base = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("id"), F.col("c_acctbal").alias("balance"),
+        F.lit(-1).cast("bigint").alias("last_order"),
+        F.lit(None).cast("timestamp_ntz").alias("updated_at"))
+    updates = table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("id"), F.col("o_totalprice").alias("balance"),
+        F.col("o_orderkey").alias("last_order"),
+        F.col("o_orderdate").cast("timestamp_ntz").alias("updated_at"))
+    order = ["updated_at", "last_order", "balance"]
+    for rows in (base, updates):
+        keyed_table.put(rows, path, base.schema, ["id"], order, 64)
+    held = keyed_table.read(spark, path, base.schema)
+    last = held.orderBy(F.desc("id")).limit(1).select(
+        "id", F.lit(0.0).alias("balance"),
+        F.lit(-2).cast("bigint").alias("last_order"), "updated_at")
+    touched = keyed_table.put(last, path, base.schema, ["id"], order)
+    return keyed_table.read(spark, path, base.schema).withColumn(
+        "rewritten", F.lit(len(touched)).cast("bigint"))
+
+
 _RESULTS_SQL = """
 WITH r AS (SELECT 'U' || CAST(user_id AS VARCHAR) AS batch_id,
                   event_id AS item_index, event_type <> 'error' AS ok
