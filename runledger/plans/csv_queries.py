@@ -6,13 +6,16 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from runledger.operators import csv_batch as cb
 from runledger.operators import validate as va
 from runledger.plans.registry import register, table
 from runledger.session import materialized, new_run_dir
 from runledger.sources import csv_parquet as cp
+from runledger.sources import csv_records as cr
 from runledger.sources import load_ledger
+from runledger.sources.files import list_files
 
 # Fixed derivation values: file suffix per language (others ".csv") and a
 # byte size per character so that long documents exceed the size limit.
@@ -423,3 +426,49 @@ def csv_load_retry(spark: SparkSession, sf_dir: str) -> DataFrame:
                 *key, "retried_rows", "again_rows",
                 F.coalesce("changed_rows", F.lit(0)).alias("changed_rows"),
                 "table_rows", "table_cents"))
+
+
+# ---------------------------------------------------------------------------
+@register("csv_record_load", "S1 S2 S3 S7 J1 A2 P1", sql="""
+WITH d AS (SELECT doc_id, coalesce(source, '__HIVE_DEFAULT_PARTITION__') AS s,
+                  coalesce(text, '') AS text FROM documents)
+SELECT s AS source, doc_id, CAST(length(text) AS BIGINT) AS n_chars,
+       md5(text) AS text_md5, 'SUCCEEDED' AS job_state,
+       CAST(count(*) OVER (PARTITION BY s) AS BIGINT) AS input_rows,
+       CAST(count(*) FILTER (text <> '') OVER (PARTITION BY s) AS BIGINT)
+         AS rows
+FROM d WHERE text <> ''
+""")
+def csv_record_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents written as CSV folders, one for each source, their texts
+    quoted with all line feeds and a header that spans two lines; converted by
+    records.  The transform drops empty texts.  Every text that was staged,
+    and its folder's counts of rows read and written."""
+    root = new_run_dir(spark, "csvrecords")
+    docs = table(spark, sf_dir, "documents").select(
+        F.coalesce("source", F.lit("__HIVE_DEFAULT_PARTITION__"))
+        .alias("folder"), "doc_id",
+        F.col("text").alias("whole\ntext"))
+    (docs.write.partitionBy("folder").options(
+        header="true", escape='"', ignoreLeadingWhiteSpace="false",
+        ignoreTrailingWhiteSpace="false").csv(f"{root}/landing"))
+    keys = list_files(spark, f"{root}/landing").select(
+        F.lit("1").alias("batch_id"),
+        F.regexp_extract("path", "/(folder=[^/]*)/", 1).alias("key")).distinct()
+    wanted = T.StructType([T.StructField("doc_id", T.LongType()),
+                           T.StructField("whole\ntext", T.StringType())])
+
+    def with_text(rows: DataFrame) -> DataFrame:
+        return rows.where(F.col("whole\ntext") != "")
+
+    results = cr.convert_record_files(
+        spark, keys, f"{root}/landing", f"{root}/staging", wanted, with_text)
+    staged, source = cp.staged_rows(spark, f"{root}/staging", wanted)
+    text = F.col("whole\ntext")
+    rows = staged.select(
+        F.regexp_extract(source, "^([^/]*)/", 1).alias("key"), "doc_id",
+        F.length(text).cast("bigint").alias("n_chars"),
+        F.md5(text).alias("text_md5"))
+    return rows.join(results, "key").select(
+        F.url_decode(F.regexp_replace("key", "^folder=", "")).alias("source"),
+        "doc_id", "n_chars", "text_md5", "job_state", "input_rows", "rows")

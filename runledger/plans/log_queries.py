@@ -88,6 +88,31 @@ def log_files_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lp.profile_lines(read, ["log_date"])
 
 
+@register("log_invalid_bytes", "S8 P8", sql="""
+SELECT doc_id, CAST(length(line) AS BIGINT) AS n_chars, md5(line) AS line_md5
+FROM (SELECT doc_id, replace(coalesce(text, ''), chr(10), ' ') AS line
+      FROM documents)
+""")
+def log_invalid_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as lines of log files, with bytes that are no UTF-8 at every
+    blank and at the end (cut-off sequences, surrogates, overlong forms, stray
+    continuations); the lines read back hold the text alone."""
+    root = new_run_dir(spark, "logbytes")
+    line = F.replace(F.coalesce("text", F.lit("")), F.lit("\n"), F.lit(" "))
+    for after, junk in ((" ", "FFE282"), (".", "EDA080"), ("a", "C0AF80F09F98")):
+        bad = F.unhex(F.lit(junk)).cast("string")
+        line = F.replace(line, F.lit(after), F.concat(F.lit(after), bad))
+    cut = F.unhex(F.lit("F48F")).cast("string")
+    table(spark, sf_dir, "documents").select(F.concat(
+        F.col("doc_id").cast("string"), F.lit("\t"), line, cut)
+        .alias("line")).write.text(root)
+    parts = F.split("line", "\t", 2)
+    return read_log_lines(spark, root).select(
+        parts[0].cast("bigint").alias("doc_id"),
+        F.length(parts[1]).cast("bigint").alias("n_chars"),
+        F.md5(parts[1]).alias("line_md5"))
+
+
 NEWEST = 10
 
 

@@ -175,6 +175,29 @@ def header_columns(header: str, case_sensitive: bool = False
     return names, None
 
 
+def key_results(wanted: DataFrame, matched: DataFrame, errors: DataFrame,
+                counts: DataFrame) -> DataFrame:
+    """Result of each wanted (batch_id, key): its files' counts, FAILED with
+    the first error where a file has one or none was found."""
+    per_key = (matched.join(errors, "file", "left")
+               .join(counts, F.col("file") == F.col(CONVERTED), "left")
+               .groupBy("batch_id", "key").agg(
+                   F.count_if(F.col("error").isNull()).alias("good"),
+                   F.min("error").alias("error"),
+                   F.sum("input_rows").alias("input_rows"),
+                   F.sum("rows").alias("rows")))
+    out = wanted.join(per_key, ["batch_id", "key"], "left")
+    ok = F.coalesce(F.col("good") > 0, F.lit(False)) & F.col("error").isNull()
+    return out.select(
+        "batch_id", "key",
+        F.when(ok, "SUCCEEDED").otherwise("FAILED").alias("job_state"),
+        F.when(~ok, F.concat(F.lit("Error accessing "), F.col("key"),
+                             F.coalesce(F.concat(F.lit(": "), F.col("error")),
+                                        F.lit("")))).alias("error_message"),
+        F.coalesce("input_rows", F.lit(0)).cast("bigint").alias("input_rows"),
+        F.coalesce("rows", F.lit(0)).cast("bigint").alias("rows"))
+
+
 def convert_files(spark: SparkSession, files: DataFrame, root: str, dst: str,
                   schema: T.StructType | None = None,
                   transform: Transform = identity) -> DataFrame:
@@ -251,23 +274,7 @@ def convert_files(spark: SparkSession, files: DataFrame, root: str, dst: str,
                     .agg(F.count(F.lit(1)).alias("input_rows")))
             counts = read.join(written, CONVERTED, "left")
         errors = spark.createDataFrame(bad, "file string, error string")
-    per_key = (matched.join(errors, "file", "left")
-               .join(counts, F.col("file") == F.col(CONVERTED), "left")
-               .groupBy("batch_id", "key").agg(
-                   F.count_if(F.col("error").isNull()).alias("good"),
-                   F.min("error").alias("error"),
-                   F.sum("input_rows").alias("input_rows"),
-                   F.sum("rows").alias("rows")))
-    out = wanted.join(per_key, ["batch_id", "key"], "left")
-    ok = F.coalesce(F.col("good") > 0, F.lit(False)) & F.col("error").isNull()
-    return out.select(
-        "batch_id", "key",
-        F.when(ok, "SUCCEEDED").otherwise("FAILED").alias("job_state"),
-        F.when(~ok, F.concat(F.lit("Error accessing "), F.col("key"),
-                             F.coalesce(F.concat(F.lit(": "), F.col("error")),
-                                        F.lit("")))).alias("error_message"),
-        F.coalesce("input_rows", F.lit(0)).cast("bigint").alias("input_rows"),
-        F.coalesce("rows", F.lit(0)).cast("bigint").alias("rows"))
+    return key_results(wanted, matched, errors, counts)
 
 
 def staged_rows(spark: SparkSession, dst: str, schema: T.StructType

@@ -65,9 +65,27 @@ def newest_files(listing: DataFrame, k: int) -> DataFrame:
                            F.col("path").asc()).limit(k)
 
 
+# Well-formed UTF-8 sequences (Unicode, table 3-7), a byte for each sign, or
+# one byte that belongs to none.
+UTF8_STEP = (
+    r"([\x00-\x7F]++|[\xC2-\xDF][\x80-\xBF]|\xE0[\xA0-\xBF][\x80-\xBF]"
+    r"|[\xE1-\xEC\xEE\xEF][\x80-\xBF]{2}|\xED[\x80-\x9F][\x80-\xBF]"
+    r"|\xF0[\x90-\xBF][\x80-\xBF]{2}|[\xF1-\xF3][\x80-\xBF]{3}"
+    r"|\xF4[\x80-\x8F][\x80-\xBF]{2})|[\x80-\xFF]")
+
+
+def valid_text(text: Column) -> Column:
+    """Text without the bytes that are no UTF-8; all others stay, a U+FFFD
+    of the text itself too.  Valid text is only looked through."""
+    signs = F.decode(text.cast("binary"), "ISO-8859-1")
+    kept = F.encode(F.regexp_replace(signs, UTF8_STEP, "$1"), "ISO-8859-1")
+    return F.when(F.is_valid_utf8(text), text).otherwise(kept.cast("string"))
+
+
 def read_log_lines(spark: SparkSession, root: str,
                    newest_k: int | None = None) -> DataFrame:
-    """One row per ``\\n``-separated line with the file it came from.
+    """One row per ``\\n``-separated line with the file it came from,
+    without bytes that are no UTF-8.
 
     Without a cap every log file below ``root`` is scanned in one
     multi-file scan (the glob filter is the P8 suffix rule; empty files
@@ -87,4 +105,4 @@ def read_log_lines(spark: SparkSession, root: str,
         df = spark.read.option("lineSep", "\n").text(paths)
     return df.select(
         bare_path(F.col("_metadata.file_path"), encoded=True).alias("file"),
-        F.col("value").alias("line"))
+        valid_text(F.col("value")).alias("line"))
