@@ -45,6 +45,7 @@ CANDIDATE = (r"(?<![A-Za-z0-9+/_-])(?:[A-Za-z0-9+/]{20,}+|[A-Za-z0-9_-]{20,}+)"
              r"(?![A-Za-z0-9+/_-])={0,2}|[A-Za-z0-9+]{20,}+={0,2}")
 KINDS = ("assign", "access", "hex", "random")
 ASSIGN_VALUE_LENGTH = 8
+BLOCK = 64
 
 # Inferred encodings, tried in this order, with alphabet size.
 ENCODINGS = (("^[0-9a-f]+$", 16), ("^[0-9A-F]+$", 16), ("^[A-Z2-7]+$", 32),
@@ -59,6 +60,47 @@ FALSE_DISCOVERY = 0.05
 BINS = 300                     # tenths of -log10 p
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once for each row."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _blocks(items: Column) -> Column:
+    """An array cut into blocks of its length's cube root, 64 at least, so
+    that nothing is done for every pair of items."""
+    return _let(items, lambda a: _let(
+        F.greatest(F.lit(BLOCK), F.ceil(F.cbrt(F.size(a))).cast("int")),
+        lambda n: F.transform(
+            F.sequence(F.lit(0), F.greatest(F.size(a) - 1, F.lit(0)), n),
+            lambda i: F.slice(a, i + 1, n))))
+
+
+def _placed(steps: Column, at: Column) -> Column:
+    """(start, end) of the matches of a block whose text begins at ``at``."""
+    empty = F.array().cast("array<struct<start:int,end:int>>")
+    return F.aggregate(
+        steps, F.struct(at.alias("at"), empty.alias("out")),
+        lambda acc, s: F.struct(
+            (acc["at"] + s["gap"] + s["len"]).alias("at"),
+            F.concat(acc["out"], F.array(F.struct(
+                (acc["at"] + s["gap"]).alias("start"),
+                (acc["at"] + s["gap"] + s["len"]).alias("end")))
+            ).alias("out")),
+        lambda acc: acc["out"])
+
+
+def _block_starts(blocks: Column) -> Column:
+    """Where the text of each block begins: running sums of their widths."""
+    empty = F.array().cast("array<int>")
+    return F.aggregate(
+        blocks, F.struct(F.lit(0).alias("at"), empty.alias("out")),
+        lambda acc, b: F.struct(
+            F.aggregate(b, acc["at"], lambda n, s: n + s["gap"] + s["len"])
+            .alias("at"),
+            F.concat(acc["out"], F.array(acc["at"])).alias("out")),
+        lambda acc: acc["out"])
+
+
 def _located(text: Column, pattern: str, group: int | None = None) -> Column:
     """Array of (start, end, value) of all leftmost matches of a pattern."""
     p = F.lit(pattern)
@@ -70,22 +112,36 @@ def _located(text: Column, pattern: str, group: int | None = None) -> Column:
     # Pieces and matches alternate: piece i ends where match i starts.
     steps = F.zip_with(F.slice(between, 1, F.size(found)), widths,
                        lambda a, b: F.struct(a.alias("gap"), b.alias("len")))
-    empty = F.array().cast("array<struct<start:int,end:int>>")
-    spans = F.aggregate(
-        steps, F.struct(F.lit(0).alias("at"), empty.alias("out")),
-        lambda acc, s: F.struct(
-            (acc["at"] + s["gap"] + s["len"]).alias("at"),
-            F.concat(acc["out"], F.array(F.struct(
-                (acc["at"] + s["gap"]).alias("start"),
-                (acc["at"] + s["gap"] + s["len"]).alias("end")))
-            ).alias("out")),
-        lambda acc: acc["out"])
+    spans = _let(_blocks(steps), lambda blocks: F.flatten(F.zip_with(
+        blocks, _block_starts(blocks), _placed)))
     out = F.zip_with(spans, value, lambda s, v: F.struct(
         s["start"].alias("start"), s["end"].alias("end"), v.alias("value")))
     none = F.array().cast("array<struct<start:int,end:int,value:string>>")
     return F.when(text.rlike(pattern), out).otherwise(none)
 
 
+def _bounded(spans: Column) -> Column:
+    """Blocks of spans with the range that each covers."""
+    return F.transform(_blocks(spans), lambda b: F.struct(
+        F.array_min(F.transform(b, lambda s: s["start"])).alias("start"),
+        F.array_max(F.transform(b, lambda s: s["end"])).alias("end"),
+        b.alias("of")))
+
+
+def _apart(candidates: Column, spans: Column) -> Column:
+    """The candidates that overlap none of the spans, found by two levels of
+    blocks above these."""
+
+    def meets(c: Column, s: Column) -> Column:
+        return F.coalesce((s["start"] < c["end"]) & (s["end"] > c["start"]),
+                          F.lit(False))
+
+    return _let(_bounded(_bounded(spans)), lambda top: F.filter(
+        candidates, lambda c: ~F.exists(top, lambda t: meets(c, t) & F.exists(
+            t["of"], lambda b: meets(c, b) & F.exists(
+                b["of"], lambda s: meets(c, s))))))
+
+
 def _spans_text(spans: Column) -> Column:
     return F.array_join(F.transform(F.array_sort(spans), lambda s: F.concat(
         F.element_at(F.array(*[F.lit(k) for k in KINDS]), s["kind"]),
@@ -115,9 +171,7 @@ def base_scan(docs: DataFrame) -> DataFrame:
     return rows.select(
         "row_no", "doc_id",
         *[F.size(k).cast("long").alias(f"n_{k}") for k in KINDS[:3]], "base",
-        F.filter("candidates", lambda c: ~F.exists("base", lambda b:
-                 (b["start"] < c["end"]) & (b["end"] > c["start"])))
-        .alias("candidates"))
+        _apart(F.col("candidates"), F.col("base")).alias("candidates"))
 
 
 def _lower_tail(z: Column) -> Column:

@@ -87,3 +87,20 @@ def test_random_values_inside_longer_runs_are_found(make_docs):
 
 def test_empty_table(make_docs):
     assert scan(make_docs([])).count() == 0
+
+
+def test_texts_of_very_many_matches(make_docs):
+    """50,000 hexadecimal values, each beside a candidate; work for every
+    pair of them would take an hour."""
+    rng = random.Random(3)
+    text = "é".join(f"{rng.getrandbits(128):032x} {rng.choice(KEYS)}"
+                    for _ in range(50_000))
+    got = scan(make_docs([(1, text), (2, "x")])).filter("doc_id = 1").first()
+    spans = base(text)
+    assert got.n_hex == 50_000 and got.n_access == 0
+    assert got.base_sha256 == hashlib.sha256(
+        text_of(spans).encode()).hexdigest()
+    assert got.n_random > 45_000
+    taken = sorted((int(a), int(b)) for _, a, b in (
+        x.split(":") for x in got.spans.split(",")))
+    assert all(a[1] <= b[0] for a, b in zip(taken, taken[1:]))
