@@ -39,6 +39,7 @@ ADAM_ROUNDS = 150
 # weight in multiples of the good documents.  Without it, a rare kind of junk
 # that few heuristics see is explained as good documents with odd votes.
 PRIOR_RATE, PRIOR_WEIGHT = 0.005, 5.0
+SEGMENT = 400      # words
 
 # Frequent function words of the four languages.
 FUNCTION_WORDS = frozenset("""
@@ -55,6 +56,15 @@ _REPEAT = re.compile(r"([^\w\s])\1+")
 _EDGES = ".,;:!?\"'()[]{}"
 
 
+def variety(words: list[str]) -> float:
+    """Mean share of different words in equal stretches of a text, each of
+    SEGMENT words or fewer (the share falls with a stretch's length)."""
+    parts = max(1, -(-len(words) // SEGMENT))
+    cuts = [k * len(words) // parts for k in range(parts + 1)]
+    return sum(len(set(words[a:b])) / max(1, b - a)
+               for a, b in zip(cuts, cuts[1:])) / parts
+
+
 def statistics(text: str) -> tuple[list[str], dict[str, float]]:
     """Words, and the figures the heuristics look at."""
     words = text.split()
@@ -77,7 +87,7 @@ def statistics(text: str) -> tuple[list[str], dict[str, float]]:
         "echo": sum(1 for a, b in zip(plain, plain[1:]) if a == b) / n,
         "top": max((c for w, c in counts.items()
                     if w not in FUNCTION_WORDS), default=0) / n,
-        "distinct": len(counts) / min(n, 400),
+        "distinct": variety(plain),
         "alone": sum(1 for w in words if not any(map(str.isalnum, w))) / n,
         "sentence": ends / n,
         "loud": loud / n,
@@ -124,7 +134,9 @@ def features(text: str, shapes: dict[str, str] | None = None
         if f is None:
             if len(shapes) > 300_000:
                 shapes.clear()
-            f = shapes[w] = shape(w)[:24]
+            f = shape(w)
+            if len(w) <= 64:    # bounds the cache's bytes
+                shapes[w] = f
         counts[f] += c
     n = max(1, len(words))
     named = {f"shape {f}": min(1.0, 4.0 * c / n) for f, c in counts.items()

@@ -4,7 +4,8 @@ import random
 
 import numpy as np
 
-from runledger.llm.weak_quality import estimate, quality, reject_junk, votes
+from runledger.llm.weak_quality import (
+    estimate, features, quality, reject_junk, variety, votes)
 from runledger.llm.weak_quality import statistics as stats
 from tests.llm.conftest import EDGE
 
@@ -67,3 +68,17 @@ def test_edges(make_docs):
     assert out.columns == docs.columns
     assert quality(make_docs([])).count() == 0
     assert votes(stats("")[1])[0] == -1
+
+
+def test_variety_is_that_of_equal_stretches():
+    words = prose(397).split()
+    assert variety(words) == len(set(words)) / len(words)
+    assert abs(variety(words * 40) - variety(words)) < 0.05
+    assert variety([]) == 0.0 and variety(["a"] * 4001) < 0.01
+
+
+def test_long_words_keep_their_whole_shape():
+    cache = {}
+    one, other = ("a1" * 5000 + end for end in "-+")
+    assert features(one, cache)[1] != features(other, cache)[1]
+    assert not cache
