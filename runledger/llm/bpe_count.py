@@ -103,7 +103,9 @@ class Counter:
             if n is None:
                 if len(self.words) >= self.limit:
                     self.words.clear()
-                n = self.words[word] = self.word(word)
+                n = self.word(word)
+                if len(word) <= 64:    # bounds the cache's bytes
+                    self.words[word] = n
             total += n
         return total
 

@@ -34,3 +34,16 @@ def test_rows(make_docs):
     want = [(i, len((t or "").encode()), library(t), library(t) > 2048)
             for i, t in rows]
     assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+
+
+def test_long_words_are_counted_but_not_kept():
+    counter = Counter(PATH, cache_entries=1000)
+    text = " ".join("xyzab" * 1000 + str(k) + "qw" * 40 for k in range(50))
+    assert counter.count(text) == library(text)
+    assert max(map(len, [*counter.words, *counter.pieces, ""])) <= 64
+
+
+def test_empty_table(make_docs):
+    out = token_counts(make_docs([]))
+    assert out.columns == ["doc_id", "n_bytes", "n_tokens", "over_limit"]
+    assert out.count() == 0
