@@ -13,8 +13,10 @@ from runledger.operators import table_stats as ts
 from runledger.plans.derive import (
     EVENT_LINE_SQL, LEVEL_SQL, PROFILE_SQL, event_line)
 from runledger.plans.registry import register, table
-from runledger.session import ensure_parallelism, new_run_dir
+from runledger.session import (
+    ensure_parallelism, materialized, new_run_dir)
 from runledger.sources import catalog
+from runledger.sources.evolving import register_evolving_tables
 from runledger.sources.files import (
     list_files, log_file_filter, newest_files, read_log_lines)
 
@@ -219,6 +221,81 @@ def table_registration(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "n_columns", "row_count", "analyzed"))
 
 
+# Quarters of the length, so that the second delivery's values are exact.
+_EVOLVED_SQL = """
+WITH d AS (SELECT *, n_chars < 1000 AS early,
+    CASE WHEN n_chars < 1000 THEN CAST(n_chars AS DOUBLE)
+         ELSE CAST(n_chars AS DOUBLE) / 4 + 0.25 END AS size FROM documents)
+SELECT lang, CAST(count(*) AS BIGINT) AS n_rows,
+       CAST(count(CASE WHEN NOT early THEN source END) AS BIGINT)
+           AS n_sources,
+       CAST(sum(CAST(size * 4 AS BIGINT)) AS BIGINT) AS quarters,
+       min(doc_id) AS min_id, max(doc_id) AS max_id,
+       'created' AS first_status, 'altered' AS second_status,
+       'unchanged' AS third_status, 'refused' AS bad_status,
+       'int' AS size_type_before, 'double' AS size_type_after
+FROM d GROUP BY lang
+"""
+
+
+@register("table_evolution", "S10 S11", sql=_EVOLVED_SQL)
+def table_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents delivered to a CSV folder in two parts, partitioned by
+    language: whole sizes first, then quarters and a further column.  The
+    table is registered after each part (and once more) and read at the end;
+    a folder whose files name their columns in another order is refused."""
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", "n_chars", "source", "lang")
+    run = new_run_dir(spark, "evolve")
+    root = f"{run}/data"
+    short = F.coalesce(F.col("n_chars") < 1000, F.lit(False))
+    database = "evolve_" + uuid.uuid4().hex[:12]
+
+    def deliver(folder: str, part: DataFrame, *keys: str) -> None:
+        writer = part.write.mode("append").option("header", "true")
+        (writer.partitionBy(*keys) if keys else writer).csv(
+            f"{root}/{folder}")
+
+    def registered() -> dict:
+        out = register_evolving_tables(
+            spark, database, root, f"{run}/{database}.db",
+            f"{run}/{database}_base.db")
+        return {r.table_name: r for r in out.collect()}   # one per table
+
+    def size_type(row) -> str:
+        return {c.name: c.type for c in row["columns"]}["size"]
+
+    nations = table(spark, sf_dir, "nation")
+    deliver("docs", docs.where(short).select(
+        "doc_id", F.col("n_chars").alias("size"), "lang"), "lang")
+    deliver("nations", nations.select("n_nationkey", "n_name"))
+    first = registered()
+    deliver("docs", docs.where(~short).select(
+        "doc_id", (F.col("n_chars") / 4 + 0.25).alias("size"), "source",
+        "lang"), "lang")
+    deliver("nations", nations.select("n_name", "n_nationkey"))
+    second, third = registered(), registered()
+    out = spark.table(f"`{database}`.docs").groupBy("lang").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count("source").alias("n_sources"),
+        F.sum((F.col("size") * 4).cast("bigint")).alias("quarters"),
+        F.min("doc_id").cast("bigint").alias("min_id"),
+        F.max("doc_id").cast("bigint").alias("max_id")).select(
+        "*", *[F.lit(v).alias(c) for c, v in (
+            ("first_status", first["docs"].status),
+            ("second_status", second["docs"].status),
+            ("third_status", third["docs"].status),
+            ("bad_status", second["nations"].status),
+            ("size_type_before", size_type(first["docs"])),
+            ("size_type_after", size_type(third["docs"])))])
+    # The catalog lists the partitions when the query runs: it does now.
+    out = materialized(out, "evolve-result")
+    # The files stay in the run's folder, the catalog is left as it was.
+    for name in (database, f"{database}_base"):
+        spark.sql(f"DROP DATABASE `{name}` CASCADE")
+    return out
+
+
 # Tables analysed for error rows, with the text column to test (Q12: the
 # column is a parameter; ``orders`` has no such column and is a failed
 # table).

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,7 +65,9 @@ def register_path_tables(spark: SparkSession, database: str, root: str,
     folder with an inferred schema.  Returns the registered table names.
 
     An existing table whose files now infer a different schema is replaced
-    (the schema is updated in the catalog; data files are untouched).
+    (the schema is updated in the catalog; data files are untouched) once its
+    successor has been created, so a failed change leaves it as it was.
+    ``evolving.register_evolving_tables`` adds and widens columns instead.
     """
     options = {"header": "true", "inferSchema": "true", **(options or {})}
     opts = ", ".join(f"'{k}' '{v}'" for k, v in options.items())
@@ -73,6 +76,7 @@ def register_path_tables(spark: SparkSession, database: str, root: str,
     for folder, name in table_names(table_folders(spark, root)).items():
         location = f"{root.rstrip('/')}/{folder}"
         qualified = f"`{database}`.`{name}`"
+        target = qualified
         if spark.catalog.tableExists(f"{database}.{name}"):
             current = spark.table(qualified).schema
             fresh = spark.read.format(fmt).options(**options).load(location)
@@ -80,9 +84,12 @@ def register_path_tables(spark: SparkSession, database: str, root: str,
                 spark.catalog.refreshTable(f"{database}.{name}")
                 names.append(name)
                 continue
-            spark.sql(f"DROP TABLE {qualified}")
-        spark.sql(f"CREATE TABLE {qualified} USING {fmt} "
+            target = f"`{database}`.`{name}_{uuid.uuid4().hex[:8]}`"
+        spark.sql(f"CREATE TABLE {target} USING {fmt} "
                   f"OPTIONS ({opts}) LOCATION '{location}'")
+        if target != qualified:
+            spark.sql(f"DROP TABLE {qualified}")
+            spark.sql(f"ALTER TABLE {target} RENAME TO {qualified}")
         names.append(name)
     return spark.createDataFrame([(n,) for n in names], "table_name string")
 
