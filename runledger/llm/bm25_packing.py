@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from runledger.llm.common import doc_texts, stored
+from runledger.llm.common import CACHED_LENGTH, doc_texts, stored
 from runledger.llm.sketches import CHUNK, summed_counts
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -102,11 +102,13 @@ class Encoder:
             word = piece[:-1]
             ids = cache.get(word)
             if ids is None:
-                ids = cache[word] = self._word(blank + word)
+                ids = self._word(blank + word)
+                if len(word) <= CACHED_LENGTH:
+                    cache[word] = ids
             ids += self._mark(piece[-1])
         else:
             ids = self._word(blank + piece)
-        if len(piece) <= 64:
+        if len(piece) <= CACHED_LENGTH:
             cache[piece] = ids
         return ids
 

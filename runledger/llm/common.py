@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 
 from runledger.session import new_run_dir
 
+# Longer words are not kept in a worker's cache, which bounds its bytes.
+CACHED_LENGTH = 64
+
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")

@@ -44,7 +44,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from runledger.llm.common import (
-    doc_texts, keyed, once, row_key, rows_of, stored)
+    CACHED_LENGTH, doc_texts, keyed, once, row_key, rows_of, stored)
 from runledger.llm.components import components
 from runledger.llm.sketches import (
     CHUNK, bitmap, in_bitmap, summed_counts)
@@ -83,7 +83,9 @@ def shingles(text: str, k: int) -> np.ndarray:
     for w in words:
         h = _WORDS.get(w)
         if h is None:
-            h = _WORDS[w] = xxhash.xxh64_intdigest(w)
+            h = xxhash.xxh64_intdigest(w)
+            if len(w) <= CACHED_LENGTH:
+                _WORDS[w] = h
         names.append(h)
     h = np.array(names, np.uint64)
     width = min(k, len(h))

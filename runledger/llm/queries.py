@@ -26,8 +26,10 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document, learnt from rows that are not held out."""
     scored = toxic_mil.toxicity(documents(spark, sf_dir),
                                 table(spark, sf_dir, "labels"))
-    return scored.withColumn("n_offending", F.size("offending")).drop(
-        "offending")
+    spans = F.transform("offending", lambda s: F.concat_ws(
+        ":", s["start"], s["end"]))
+    return (scored.withColumn("n_offending", F.size("offending"))
+            .withColumn("offending", F.array_join(spans, ",")))
 
 
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,6 +116,69 @@ SELECT doc_id,
        sha256(coalesce(text, '')) AS text_sha256
 FROM documents
 WINDOW same AS (PARTITION BY coalesce(text, ''))
+""",
+    "op4_suffix_dedup": """
+WITH docs AS (
+  SELECT doc_id, row_number() OVER () AS r, hex(encode(coalesce(text, '')))
+    AS h, CAST(octet_length(encode(coalesce(text, ''))) AS BIGINT) AS n
+  FROM documents),
+strings AS (
+  SELECT r, pos, md5(substr(h, 2 * pos + 1, 400)) AS s
+  FROM (SELECT r, h, unnest(range(0, n - 199)) AS pos FROM docs
+        WHERE n >= 200)),
+again AS (
+  SELECT r, pos FROM strings SEMI JOIN (
+    SELECT s FROM strings GROUP BY s HAVING count(*) > 1) USING (s)),
+marked AS (
+  SELECT r, pos, coalesce(pos > lag(pos) OVER w + 200, true) AS is_new
+  FROM again WINDOW w AS (PARTITION BY r ORDER BY pos)),
+numbered AS (
+  SELECT r, pos, count(*) FILTER (is_new) OVER (PARTITION BY r ORDER BY pos)
+    AS run FROM marked),
+runs AS (SELECT r, min(pos) AS a, max(pos) + 200 AS b
+         FROM numbered GROUP BY r, run),
+pieces AS (
+  SELECT r, a, b - a AS n, substr(h, 2 * before + 1, 2 * (a - before)) AS p
+  FROM (SELECT *, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0)
+          AS before FROM runs) JOIN docs USING (r)),
+cut AS (SELECT r, string_agg(p, '' ORDER BY a) AS p, count(*) AS k,
+               sum(n) AS removed FROM pieces GROUP BY r),
+ends AS (SELECT r, max(b) AS b FROM runs GROUP BY r)
+SELECT doc_id, n AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT)
+         AS n_removed, CAST(coalesce(k, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(coalesce(p, '') || substr(h, 2 * coalesce(b, 0) + 1)))
+         AS kept_sha256
+FROM docs LEFT JOIN cut USING (r) LEFT JOIN ends USING (r)
+""",
+    "op10_jaccard_join": r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(translate(
+    coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT r, unnest(CASE WHEN len(w) BETWEEN 1 AND 3
+    THEN [array_to_string(w, ' ')] ELSE list_transform(
+      range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END)
+    AS s
+  FROM words),
+sizes AS (SELECT r, count(*) AS n FROM shingles GROUP BY r),
+shared AS (
+  SELECT a.r AS a, b.r AS b, count(*) AS k
+  FROM shingles AS a JOIN shingles AS b ON a.s = b.s AND a.r < b.r
+  GROUP BY a.r, b.r),
+links AS (
+  SELECT a, b FROM shared JOIN sizes AS x ON x.r = a
+  JOIN sizes AS y ON y.r = b WHERE 100 * k >= 85 * (x.n + y.n - k)),
+both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reached AS (
+  SELECT r, r AS m FROM words
+  UNION SELECT reached.r, b FROM reached JOIN both_ways ON a = m)
+SELECT words.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles,
+       min(other.doc_id) AS component_id
+FROM words JOIN reached USING (r) JOIN words AS other ON other.r = m
+LEFT JOIN sizes ON sizes.r = words.r
+GROUP BY words.r, words.doc_id, n
 """,
     "op12_prefix_trie": """
 WITH crc_table AS (

@@ -38,7 +38,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from runledger.llm.common import doc_texts, keyed, rows_of, stored
+from runledger.llm.common import (
+    CACHED_LENGTH, doc_texts, keyed, rows_of, stored)
 
 WINDOW, STEP = 80, 40
 STRETCH = 20
@@ -74,7 +75,9 @@ def word_hashes(text: str) -> list[int]:
     for w in WORD.findall(text.lower()):
         h = _CACHE.get(w)
         if h is None:
-            h = _CACHE[w] = xxhash.xxh64_intdigest(w)
+            h = xxhash.xxh64_intdigest(w)
+            if len(w) <= CACHED_LENGTH:
+                _CACHE[w] = h
         out.append(h)
     return out
 

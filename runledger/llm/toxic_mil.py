@@ -31,7 +31,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from runledger.llm.common import crc_remainder, doc_texts, stored
+from runledger.llm.common import (
+    CACHED_LENGTH, crc_remainder, doc_texts, stored)
 from runledger.llm.linear import sigmoid
 
 TRAIN_ROWS = 8_000      # bound per class
@@ -88,7 +89,9 @@ def _featurize(rows: DataFrame) -> DataFrame:
                         if f is None:
                             if len(_FEATURES) > CACHE_ENTRIES:
                                 _FEATURES.clear()
-                            f = _FEATURES[w] = word_features(w)
+                            f = word_features(w)
+                            if len(w) <= CACHED_LENGTH:
+                                _FEATURES[w] = f
                         doc += f
                 lens.append(sizes)
                 idx.append(doc)
@@ -239,8 +242,10 @@ def score(docs: DataFrame, w: np.ndarray) -> DataFrame:
                         if x is None:
                             if len(known) > CACHE_ENTRIES:
                                 known.clear()
-                            x = known[word] = float(sum(
+                            x = float(sum(
                                 weights[i] for i in word_features(word)))
+                            if len(word) <= CACHED_LENGTH:
+                                known[word] = x
                         total += x
                     z.append(total)
                 za = np.array(z)

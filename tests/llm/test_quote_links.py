@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import random
+import re
+
 from runledger.llm.quote_links import conversations
 
 SCHEMA = "conv_id long, turn long, role string, text string"
@@ -103,3 +106,74 @@ def test_million_marks(spark):
     got = run(spark, rows)
     assert got[1, 1] == [(1, 1, 0, 1, "x")]
     assert got[1, 2][0][4] == "y" * 500_000
+
+
+def plain(rows):
+    """The same by loops over all messages: (conv, turn) to (thread, parent,
+    depth)."""
+    def passages(text):
+        for line in re.split(r"\r?\n", text or ""):
+            marks = re.match(r"[\s>]*>", line)
+            body = line[marks.end():] if marks else line
+            body = re.sub(r"\s+", " ", body).strip(" ").lower()
+            if re.search(r"[^\W_]", body):
+                yield marks.group().count(">") if marks else 0, body
+    wrote, blocks = {}, {}
+    for conv, turn, _, text in rows:
+        for level, body in passages(text):
+            if level:
+                blocks.setdefault((conv, turn, level), set()).add(body)
+            else:
+                wrote.setdefault((conv, turn), set()).add(body)
+    best = {}
+    for (conv, turn, level), block in blocks.items():
+        found = []
+        for (c, t), lines in wrote.items():
+            n = len(lines & block)
+            if n and c == conv and t < turn:
+                found.append(((n, 1, c, t), (c, t)))
+            elif n and c < conv:
+                found.append(((n, 0, -c, -t), (c, t)))
+        if found:
+            best[conv, turn, level] = max(found)[1]
+    parent = {(c, t): o for (c, t, level), o in best.items() if level == 1}
+    inferred = {}
+    for (c, t, level), o in best.items():
+        above = best.get((c, t, level + 1))
+        if above and above < o and o not in parent:
+            inferred[o] = max(above, inferred.get(o, above))
+    parent |= inferred
+    thread = {c: c for c, *_ in rows}
+    for _ in thread:
+        for (c, _t), (o, _o) in parent.items():
+            thread[c] = thread[o] = min(thread[c], thread[o])
+
+    def depth(m):
+        return 1 + depth(parent[m]) if m in parent else 0
+    return {(c, t): (thread[c], *parent.get((c, t), (None, None)),
+                     depth((c, t))) for c, t, *_ in rows}
+
+
+def test_equals_loops_on_random_conversations(spark):
+    rnd = random.Random(5)
+    lines = [f"Line {k} of   some talk" for k in range(40)] + ["--", "", "é"]
+    rows, said = [], []
+    for conv in range(60):
+        for turn in range(rnd.randrange(1, 6)):
+            text = [rnd.choice(lines) for _ in range(rnd.randrange(4))]
+            for _ in range(rnd.randrange(3)):
+                if said:
+                    # Quote a message with what it quotes, now and then
+                    # losing a line or changing blanks and case.
+                    for line in rnd.choice(said[-30:]).split("\n"):
+                        if rnd.random() < 0.8:
+                            mark = rnd.choice([">", "> ", ">  "])
+                            text.append(mark + rnd.choice(
+                                [line, line.upper(), line + "  "]))
+            said.append("\n".join(text))
+            rows.append((conv, turn, "user", said[-1]))
+    want = plain(rows)
+    got = run(spark, rows)
+    assert {k: v[0][:4] for k, v in got.items()} == want
+    assert sum(v[3] > 1 for v in want.values()) > 20
+    assert sum(v[0] != c for (c, _), v in want.items()) > 20
