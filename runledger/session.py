@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -122,6 +124,20 @@ def ensure_parallelism(df: DataFrame) -> DataFrame:
         df.repartition(target)
 
 
+@contextmanager
+def conf_set(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """One of the session's settings for as long as the block runs."""
+    previous = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if previous is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, previous)
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     """Remove a folder of the library's own tables, in any store that Spark
     writes to."""

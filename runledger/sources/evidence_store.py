@@ -49,12 +49,12 @@ def read_raw(spark: SparkSession, path: str) -> DataFrame:
     return read_envelopes(spark, path)
 
 
-def append_rows(rows: DataFrame, path: str) -> None:
+def append_rows(rows: DataFrame, path: str, gather: bool = True) -> None:
     """Append rows as a part of a table (``snapshots``); those with a batch
     id go to its bucket."""
     if "batch_id" in rows.columns:
         snapshots.append(rows.withColumn("bucket", bucket(
-            F.col("batch_id"))), path, "bucket")
+            F.col("batch_id"))), path, "bucket", gather)
     else:
         snapshots.append(rows, path)
 
@@ -85,14 +85,16 @@ def compact_versions(spark: SparkSession, path: str, schema: str | None,
                              **limits)
 
 
-def append_evidence(evidence: DataFrame, store: str, version: int = 0
-                    ) -> None:
-    """Append evidence rows, under the version of their writer."""
+def append_evidence(evidence: DataFrame, store: str, version: int = 0,
+                    gather: bool = True) -> None:
+    """Append evidence rows, under the version of their writer (without
+    ``gather``: as each task has them, see ``snapshots.append``)."""
     # The record is kept as the delivered text (``raw_message``); the
     # nested struct is an in-flight convenience and is not stored twice.
     rows = evidence.drop("evidence") if "evidence" in evidence.columns \
         else evidence
-    append_rows(rows.withColumn(STORED, F.lit(version).cast("bigint")), store)
+    append_rows(rows.withColumn(STORED, F.lit(version).cast("bigint")), store,
+                gather)
 
 
 def restrict_to_batches(df: DataFrame, batches: DataFrame | None

@@ -26,11 +26,12 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runledger.session import delete_folder
+from runledger.session import conf_set, delete_folder
 from runledger.sources.files import bare_path, below, list_files
 
 LOG = "part string, replaces array<string>, at bigint"
 PART = "_part"            # folder of a part
+OPEN_FILES = 100          # files a task writes at a time, without gathering
 FULL_BYTES = 1 << 30      # parts of this size are not packed again
 RETAIN_SECONDS = 86_400   # replaced parts stay for readers that began before
 
@@ -41,19 +42,32 @@ def _commit(spark: SparkSession, path: str, part: str, replaces: list[str]
         1).write.parquet(f"{path}/log/{part}")
 
 
-def _write(rows: DataFrame, path: str, partition: str | None) -> str:
+def _write(rows: DataFrame, path: str, partition: str | None,
+           gather: bool = True) -> str:
     part = "p-" + uuid.uuid4().hex
-    writer = (rows.hint("rebalance", partition).write.partitionBy(partition)
-              if partition else rows.write)
-    writer.parquet(f"{path}/data/{PART}={part}")
+    if partition and gather:
+        rows = rows.hint("rebalance", partition)
+    writer = rows.write.option("compression", "zstd")
+    if partition:
+        writer = writer.partitionBy(partition)
+    if not gather:      # small buffers, as many files are open
+        writer = writer.options(**{"parquet.page.size": 1 << 18,
+                                   "parquet.dictionary.page.size": 1 << 16})
+    with conf_set(rows.sparkSession, "spark.sql.maxConcurrentOutputFileWriters",
+                  str(0 if gather else OPEN_FILES)):
+        writer.parquet(f"{path}/data/{PART}={part}")
     return part
 
 
-def append(rows: DataFrame, path: str, partition: str | None = None) -> None:
+def append(rows: DataFrame, path: str, partition: str | None = None,
+           gather: bool = True) -> None:
     """Append rows as a new part.  ``rebalance`` lets Spark write few files
     for each value of the partition column, while splitting one that holds a
-    large share of the rows."""
-    _commit(rows.sparkSession, path, _write(rows, path, partition), [])
+    large share of the rows.  Without ``gather`` every task writes a file for
+    each value that it has, and no row is shuffled or sorted: for many rows,
+    of few values, in tasks that have many of each."""
+    _commit(rows.sparkSession, path, _write(rows, path, partition, gather),
+            [])
 
 
 def _log(spark: SparkSession, path: str) -> list[tuple[str, list[str], int]]:
@@ -107,16 +121,23 @@ def part_sizes(spark: SparkSession, path: str) -> dict[str, int]:
         part.alias("part")).agg(F.sum("length").alias("size")).collect()}
 
 
-def compact(spark: SparkSession, path: str, partition: str | None = None,
-            fold: Callable[[DataFrame], DataFrame] | None = None,
-            full_bytes: int = FULL_BYTES, schema=None) -> int:
-    """Pack the parts below ``full_bytes`` into one; ``fold`` may reduce
-    their rows.  Returns how many parts were packed."""
+def small_parts(spark: SparkSession, path: str,
+                full_bytes: int | None = None) -> list[str]:
+    """The live parts that a compaction would pack."""
+    limit = FULL_BYTES if full_bytes is None else full_bytes
     parts = live_parts(spark, path)
     if len(parts) < 2:
-        return 0
+        return parts
     sizes = part_sizes(spark, path)
-    small = [p for p in parts if sizes.get(p, 0) < full_bytes]
+    return [p for p in parts if sizes.get(p, 0) < limit]
+
+
+def compact(spark: SparkSession, path: str, partition: str | None = None,
+            fold: Callable[[DataFrame], DataFrame] | None = None,
+            full_bytes: int | None = None, schema=None) -> int:
+    """Pack the parts below ``full_bytes`` (``FULL_BYTES``) into one;
+    ``fold`` may reduce their rows.  Returns how many parts were packed."""
+    small = small_parts(spark, path, full_bytes)
     if len(small) < 2:
         return 0
     rows = read(spark, path, schema, small)
