@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from runledger import schemas
 from runledger.functions.scalar import (
@@ -31,12 +32,27 @@ STATUS_ERROR = "ERROR"
 STEP_CONVERT = "glue_convert"
 STEP_LOAD = "redshift_load"
 
-RAW_FIELDS = [f.name for f in schemas.EVIDENCE_RAW.fields]
-
-
-def _record(parsed: Column) -> Column:
+# The fields of a record that each parsed column is made of, in the order of
+# the columns.
+PARSED_FROM = {
+    "batch_id": ["batch_id"], "step": ["step"], "event_id": [], "source": [],
+    "event_type": ["event_type"], "execution_arn": ["execution_arn"],
+    "state_name": ["state_name"], "evidence_flow": ["flow"],
+    "test_id": ["test_id"], "ok": ["ok"], "error": ["error"],
+    "note": ["note"], "ts": ["ts"], "ingested_at": [], "event_hash": [],
+    "is_terminal": ["is_terminal"], "is_signal": [],
+    "input_rows": ["input.rows"], "output_rows": ["output.rows"],
+    "inserted_rows": ["load.inserted_rows"], "input_s3": ["input.s3"],
+    "output_s3": ["output.s3"], "load_table": ["load.table"],
+    "evidence": [f.name for f in schemas.EVIDENCE_RAW.fields],
+    "raw_message": [], "object_key": ["step"]}
+# What is stored: the nested record is in the delivered text.
+STORED = [c for c in PARSED_FROM if c != "evidence"]
+
+
+def _record(parsed: Column, record: T.StructType) -> Column:
     """The evidence-shaped fields of a parsed glue line as one struct."""
-    return F.struct(*[parsed[f].alias(f) for f in RAW_FIELDS])
+    return F.struct(*[parsed[f].alias(f) for f in record.names])
 
 
 def _is_object(text: Column) -> Column:
@@ -44,10 +60,6 @@ def _is_object(text: Column) -> Column:
     return F.json_object_keys(text).isNotNull()
 
 
-_GLUE_SCHEMA = schemas.with_corrupt(schemas.EVIDENCE_WRAPPED)
-_STATE_SCHEMA = schemas.with_corrupt(schemas.STATE_LOG)
-
-
 def _checked(parsed: str, text: str) -> Column:
     """The parsed struct unless the text was flagged and is not an object."""
     flagged = F.col(parsed)[schemas.CORRUPT].isNotNull()
@@ -55,17 +67,18 @@ def _checked(parsed: str, text: str) -> Column:
                   & (~flagged | _is_object(F.col(text))), F.col(parsed))
 
 
-def _signal_record(batch_id: Column) -> Column:
+def _signal_record(batch_id: Column, record: T.StructType) -> Column:
     """An evidence-shaped record that only names its batch."""
     return F.struct(*[
         (batch_id if f.name == "batch_id" else F.lit(None).cast(f.dataType))
-        .alias(f.name) for f in schemas.EVIDENCE_RAW.fields])
+        .alias(f.name) for f in record.fields])
 
 
-def glue_evidence(parsed: Column) -> Column:
+def glue_evidence(parsed: Column,
+                  record: T.StructType = schemas.EVIDENCE_RAW) -> Column:
     """The record of a parsed ``EVIDENCE {json}`` body; the JSON may
     wrap it in ``{"evidence": ...}``."""
-    return F.coalesce(parsed["evidence"], _record(parsed))
+    return F.coalesce(parsed["evidence"], _record(parsed, record))
 
 
 def state_evidence(log: Column) -> Column:
@@ -76,7 +89,8 @@ def state_evidence(log: Column) -> Column:
 
 
 def parse_log_events(events: DataFrame, flow_map: DataFrame | None,
-                     ingested_at: str) -> DataFrame:
+                     ingested_at: str, columns: list[str] | None = None
+                     ) -> DataFrame:
     """P12-P15 + U4 over ``(log_group, event_id, message)`` rows, with the
     time of delivery in ``delivered_at`` (timestamp) if there is one.
 
@@ -90,10 +104,18 @@ def parse_log_events(events: DataFrame, flow_map: DataFrame | None,
     The flow of state-log evidence follows from its execution ARN
     (``with_flow``); without a flow map the record's own flow stays.
 
+    With ``columns`` (of ``PARSED_FROM``; no flow) only those are returned,
+    and only the fields of the JSON that they are made of are decoded.
+
     Each JSON text is parsed once, in its own projection: the parsed struct
     is referenced by many field accesses, and Catalyst does not inline a
     non-cheap expression that is used more than once.
     """
+    wanted = columns or list(PARSED_FROM)
+    record = schemas.record_part(["batch_id", "is_terminal"] + [
+        f for c in wanted for f in PARSED_FROM[c]])
+    glue_schema = schemas.with_corrupt(schemas.evidence_wrapped(record))
+    state_schema = schemas.with_corrupt(schemas.state_log(record))
     msg = F.col("message")
     clock = F.lit(ingested_at).cast("timestamp_ntz")
     arrived = (F.coalesce(F.col("delivered_at").cast("timestamp_ntz"), clock)
@@ -102,18 +124,19 @@ def parse_log_events(events: DataFrame, flow_map: DataFrame | None,
         "event_id", "log_group", arrived.alias("_arrived"),
         F.col("log_group").contains(STATES_GROUP_MARK).alias("_states"),
         msg.contains(EVIDENCE_PREFIX).alias("_marker"),
-        F.when(msg.startswith(EVIDENCE_PREFIX),
-               F.substring(msg, len(EVIDENCE_PREFIX) + 1, 1 << 30))
-        .alias("_body"),
+        # Cut by bytes, which needs no count of characters.
+        F.when(msg.startswith(EVIDENCE_PREFIX), F.substring(
+            msg.cast("binary"), len(EVIDENCE_PREFIX) + 1, 1 << 30)
+            .cast("string")).alias("_body"),
         msg.alias("_msg"),
         F.xxhash64("log_group", msg).alias("event_hash"))
     decoded = texts.select(
         "event_id", "log_group", "_arrived", "_states", "_marker", "event_hash",
         "_body", "_msg",
-        F.from_json("_body", _GLUE_SCHEMA, schemas.JSON_OPTIONS)
+        F.from_json("_body", glue_schema, schemas.JSON_OPTIONS)
         .alias("_glue_raw"),
         F.when(F.col("_states"),
-               F.from_json("_msg", _STATE_SCHEMA, schemas.JSON_OPTIONS))
+               F.from_json("_msg", state_schema, schemas.JSON_OPTIONS))
         .alias("_log_raw"))
     # A flagged text is kept only if it is still a JSON object (a value of
     # the wrong type leaves the other fields usable); the second, cheaper
@@ -124,59 +147,66 @@ def parse_log_events(events: DataFrame, flow_map: DataFrame | None,
         _checked("_log_raw", "_msg").alias("_log"))
     log = F.col("_log")
     from_glue = F.when(F.col("_marker") & F.col("_glue").isNotNull(),
-                       glue_evidence(F.col("_glue")))
+                       glue_evidence(F.col("_glue"), record))
     from_states = F.when(F.col("_states"), state_evidence(log))
     terminal_event = F.col("_states") & log["type"].isin(*TERMINAL_TYPES)
     # Q18: a terminal event without evidence still ends its batch when its
     # input names the batch; it becomes a signal row (not a step).
     signal = F.when(terminal_event & log["input"]["batch_id"].isNotNull(),
-                    _signal_record(log["input"]["batch_id"]))
+                    _signal_record(log["input"]["batch_id"], record))
     states_src = from_glue.isNull()
-    # Events without evidence are dropped by exploding a 0/1-element array
-    # rather than by a filter: a filter here would be pushed below these
-    # projections with every JSON expression inlined into it, doing the
+    # Events without evidence are dropped by exploding an array of one element
+    # or null rather than by a filter: a filter here would be pushed below
+    # these projections with every JSON expression inlined into it, doing the
     # parse twice.
-    kept = F.filter(F.array(F.struct(
-        F.coalesce(from_glue, from_states, signal).alias("ev"),
+    found = F.coalesce(from_glue, from_states, signal)
+    kept = F.when(found.isNotNull(), F.array(F.struct(
+        found.alias("ev"),
         (from_glue.isNull() & from_states.isNull()).alias("is_signal"),
         F.when(states_src, "states").otherwise("glue").alias("source"),
         F.when(states_src, log["type"]).alias("event_type"),
         F.when(states_src, log["executionArn"]).alias("execution_arn"),
         F.when(states_src, log["state"]).alias("state_name"),
-        F.coalesce(terminal_event, F.lit(False)).alias("_terminal_event"))),
-        lambda x: x["ev"].isNotNull())
+        F.coalesce(terminal_event, F.lit(False)).alias("_terminal_event"))))
     staged = parsed.select("event_id", "log_group", "event_hash", "_msg",
                            "_arrived", F.explode(kept).alias("_k")).select(
         "event_id", "log_group", "event_hash", "_msg", "_arrived", "_k.*")
     e = F.col("ev")
-    out = staged.select(
-        epoch_batch_id(e["batch_id"], MISSING_BATCH_PREFIX,
-                       F.col("_arrived")).alias("batch_id"),
-        e["step"].alias("step"), "event_id", "source",
-        F.coalesce("event_type", e["event_type"]).alias("event_type"),
-        F.coalesce("execution_arn", e["execution_arn"])
-        .alias("execution_arn"),
-        F.coalesce("state_name", e["state_name"]).alias("state_name"),
-        e["flow"].alias("evidence_flow"),
-        e["test_id"].alias("test_id"), e["ok"].alias("ok"),
-        e["error"].alias("error"), e["note"].alias("note"),
-        e["ts"].try_cast("timestamp_ntz").alias("ts"),
-        F.col("_arrived").alias("ingested_at"), "event_hash",
-        (F.col("_terminal_event") | F.coalesce(e["is_terminal"], F.lit(False)))
-        .alias("is_terminal"),
-        "is_signal",
-        e["input"]["rows"].alias("input_rows"),
-        e["output"]["rows"].alias("output_rows"),
-        e["load"]["inserted_rows"].alias("inserted_rows"),
-        e["input"]["s3"].alias("input_s3"),
-        e["output"]["s3"].alias("output_s3"),
-        e["load"]["table"].alias("load_table"),
-        e.alias("evidence"),        # the whole record, nested (in flight)
-        F.col("_msg").alias("raw_message"))   # as delivered (stored)
-    out = out.withColumn("object_key", F.concat_ws(
-        "/", F.lit("evidence"), "batch_id", F.lit("per-step"),
-        F.concat(safe_name(F.col("step")), F.lit("_"),
-                 F.coalesce("event_id", F.lit("")), F.lit(".json"))))
+    made = {
+        "batch_id": lambda: epoch_batch_id(
+            e["batch_id"], MISSING_BATCH_PREFIX, F.col("_arrived")),
+        "event_id": lambda: F.col("event_id"),
+        "source": lambda: F.col("source"),
+        "event_type": lambda: F.coalesce("event_type", e["event_type"]),
+        "execution_arn": lambda: F.coalesce("execution_arn",
+                                            e["execution_arn"]),
+        "state_name": lambda: F.coalesce("state_name", e["state_name"]),
+        "evidence_flow": lambda: e["flow"],
+        "ts": lambda: e["ts"].try_cast("timestamp_ntz"),
+        "ingested_at": lambda: F.col("_arrived"),
+        "event_hash": lambda: F.col("event_hash"),
+        "is_terminal": lambda: F.col("_terminal_event") | F.coalesce(
+            e["is_terminal"], F.lit(False)),
+        "is_signal": lambda: F.col("is_signal"),
+        "input_rows": lambda: e["input"]["rows"],
+        "output_rows": lambda: e["output"]["rows"],
+        "inserted_rows": lambda: e["load"]["inserted_rows"],
+        "input_s3": lambda: e["input"]["s3"],
+        "output_s3": lambda: e["output"]["s3"],
+        "load_table": lambda: e["load"]["table"],
+        "evidence": lambda: e,      # the whole record, nested (in flight)
+        "raw_message": lambda: F.col("_msg")}     # as delivered (stored)
+    out = staged.select(*[
+        (made[c]() if c in made else e[c]).alias(c)
+        for c in PARSED_FROM if c in {*wanted, "batch_id", "step", "event_id"}
+        and c in {*made, *record.names}])
+    if "object_key" in wanted:
+        out = out.withColumn("object_key", F.concat_ws(
+            "/", F.lit("evidence"), "batch_id", F.lit("per-step"),
+            F.concat(safe_name(F.col("step")), F.lit("_"),
+                     F.coalesce("event_id", F.lit("")), F.lit(".json"))))
+    if columns:
+        return out.select(*columns)
     return with_flow(out, flow_map)
 
 
@@ -206,6 +236,10 @@ def explode_envelopes(envelopes: DataFrame) -> DataFrame:
 EVENT_KEY = ["batch_id", "step", "event_id"]
 
 
+DELIVERY_ORDER = ["ingested_at", "event_hash"]
+# What the roll-up reads of a delivery, beside its key and order.
+COUNTED = ["ok", "ts", "is_terminal", "is_signal", "input_rows",
+           "output_rows", "inserted_rows"]
 ROLLUP_INPUT = ["batch_id", "step", "event_id", "ingested_at", "event_hash",
                 "ok", "error", "ts", "is_terminal", "is_signal",
                 "input_rows", "output_rows", "inserted_rows"]
@@ -224,7 +258,8 @@ def dedup_events(evidence: DataFrame,
              .withColumn("step", F.coalesce("step", F.lit("unknown")))
              .withColumn("event_id", F.coalesce("event_id", F.lit(""))))
     # Equal hashes are equal texts, between which there is nothing to choose.
-    return latest_per_key(keyed, EVENT_KEY, ["ingested_at", "event_hash"],
+    # The event id comes first in the sort, as it tells most rows apart.
+    return latest_per_key(keyed, EVENT_KEY[::-1], DELIVERY_ORDER,
                           tie=F.lit(0)).select(*cols)
 
 

@@ -39,17 +39,35 @@ EVIDENCE_RAW = _struct(
     ("input", EVIDENCE_INPUT), ("output", EVIDENCE_OUTPUT),
     ("load", EVIDENCE_LOAD))
 
-# A glue-style line may wrap the record in {"evidence": {...}}.
-EVIDENCE_WRAPPED = T.StructType(
-    list(EVIDENCE_RAW.fields) + [T.StructField("evidence", EVIDENCE_RAW)])
-
-# A state-machine log message.
-STATE_LOG = _struct(
-    ("type", S), ("executionArn", S), ("state", S),
-    ("input", _struct(("evidence", EVIDENCE_RAW), ("batch_id", S))),
-    ("output", _struct(("evidence", EVIDENCE_RAW),
-                       ("Payload", _struct(("evidence", EVIDENCE_RAW))))),
-    ("evidence", EVIDENCE_RAW))
+
+def evidence_wrapped(record: T.StructType = EVIDENCE_RAW) -> T.StructType:
+    """A glue-style line may wrap the record in {"evidence": {...}}."""
+    return T.StructType(
+        list(record.fields) + [T.StructField("evidence", record)])
+
+
+def state_log(record: T.StructType = EVIDENCE_RAW) -> T.StructType:
+    """A state-machine log message."""
+    return _struct(
+        ("type", S), ("executionArn", S), ("state", S),
+        ("input", _struct(("evidence", record), ("batch_id", S))),
+        ("output", _struct(("evidence", record),
+                           ("Payload", _struct(("evidence", record))))),
+        ("evidence", record))
+
+
+def record_part(paths: list[str]) -> T.StructType:
+    """The fields of a record under the given paths (``a`` or ``a.b``)."""
+    fields = []
+    for f in EVIDENCE_RAW.fields:
+        inner = {p.split(".")[1] for p in paths if p.startswith(f.name + ".")}
+        if f.name in paths:
+            fields.append(f)
+        elif inner:
+            fields.append(T.StructField(f.name, T.StructType(
+                [g for g in f.dataType.fields if g.name in inner])))
+    return T.StructType(fields)
+
 
 LOG_EVENT = _struct(("id", S), ("timestamp", L), ("message", S))
 LOG_ENVELOPE = _struct(("messageType", S), ("logGroup", S),
