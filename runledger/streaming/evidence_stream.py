@@ -95,7 +95,7 @@ def evidence_events(envelopes: DataFrame, ingested_at: str) -> DataFrame:
     """Parsed, flattened evidence events of (streaming) envelopes, without
     flows."""
     return evo.parse_log_events(evo.explode_envelopes(envelopes), None,
-                                ingested_at).drop("flow")
+                                ingested_at, evo.STORED)
 
 
 FIRST = "first_seen_event"

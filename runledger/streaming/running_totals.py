@@ -102,7 +102,9 @@ def changes(spark: SparkSession, deliveries: DataFrame, known: DataFrame,
             version: int, memory: str) -> tuple[DataFrame, DataFrame | None]:
     """Deliveries that count from now on, and those they replace (none: no
     event of the micro-batch had been counted)."""
-    best = _normal_key(evo.dedup_events(deliveries, DELIVERY))
+    # Read by the totals, the step details and the look-up of suspects.
+    best = materialized(_normal_key(evo.dedup_events(deliveries, DELIVERY)),
+                        "latest")
     suspects = materialized(_suspects(best, known, firsts, generation,
                                       memory), "suspects")
     if not suspects.limit(1).count():
