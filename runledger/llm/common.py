@@ -34,10 +34,11 @@ def doc_texts(docs: DataFrame, *more: str) -> DataFrame:
                        *more)
 
 
-def stored(df: DataFrame, kind: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back."""
+def stored(df: DataFrame, kind: str, codec: str | None = None) -> DataFrame:
+    """Write ``df`` once to the shared folder (compressed by ``codec``; none:
+    the session's) and read it back."""
     path = new_run_dir(df.sparkSession, kind)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

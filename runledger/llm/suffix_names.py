@@ -46,6 +46,7 @@ from runledger.llm.sketches import bitmap, in_bitmap
 
 LENGTH, GRAM, STEP = 200, 32, 42
 BLOCK = 1 << 19             # window starts handled at a time
+CODEC = "zstd"              # of the tables between the steps
 _BITS = 20                  # place of a gram within a block, low bits
 _PLACE = np.uint64((1 << _BITS) - 1)
 
@@ -226,7 +227,7 @@ def _classes(rows: DataFrame, grams: np.ndarray) -> DataFrame:
 
     return stored(rows.select("row_no", "text").mapInArrow(
         run, "core long, span long, span2 long, row_no long, at long, n int"),
-        "suffix-classes")
+        "suffix-classes", CODEC)
 
 
 def _texts_of(rows: DataFrame, numbers: DataFrame) -> DataFrame:
@@ -285,19 +286,20 @@ def _covered(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.max("span").alias("high")).filter("times > 1").select(
         "core", (F.col("low") != F.col("high")).alias("mixed")),
         "suffix-cores")
-    left = stored(classes.join(cores, "core").drop("core"), "suffix-left")
-    texts = stored(_texts_of(rows, left.select("row_no")), "suffix-texts")
+    left = stored(classes.join(cores, "core").drop("core"), "suffix-left", CODEC)
+    texts = stored(_texts_of(rows, left.select("row_no")), "suffix-texts",
+                   CODEC)
     whole = left.filter("not mixed").select("row_no", "at", "n")
 
     mixed = left.filter("mixed")
     # One row for each distinct span, with one of its places.
     spans = stored(mixed.groupBy("span", "span2").agg(
         F.count(F.lit(1)).alias("times"),
-        F.min(F.struct("row_no", "at", "n")).alias("one")), "suffix-spans")
+        F.min(F.struct("row_no", "at", "n")).alias("one")), "suffix-spans", CODEC)
     again = mixed.join(spans.filter("times > 1").select("span", "span2"),
                        ["span", "span2"]).select("row_no", "at", "n")
     windows = stored(_windows(texts, spans.select("one.*")),
-                     "suffix-windows")
+                     "suffix-windows", CODEC)
     repeats = stored(windows.groupBy("name", "name2").count().filter(
         "count > 1").select("name", "name2"), "suffix-repeats")
     single = windows.join(repeats, ["name", "name2"]).select(
@@ -334,7 +336,7 @@ def remove_repeats(docs: DataFrame, file_scan: bool = False) -> DataFrame:
     rows = _rows(docs) if file_scan else stored(_rows(docs), "suffix-rows")
     covered, texts = _covered(rows)
     runs = stored(covered.groupBy("row_no").agg(F.collect_list(
-        F.struct("at", "n")).alias("covered")), "suffix-covered")
+        F.struct("at", "n")).alias("covered")), "suffix-covered", CODEC)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -358,7 +360,7 @@ def remove_repeats(docs: DataFrame, file_scan: bool = False) -> DataFrame:
         runs, "row_no").mapInArrow(
         cut, "row_no long, doc_id long, n_bytes long, n_removed long, "
              "n_spans long, kept_sha256 string, kept binary"),
-        "suffix-changed")
+        "suffix-changed", CODEC)
     data = F.encode("text", "UTF-8")
     zero = F.lit(0).cast("long")
     # The texts of changed rows stay where they are: only names are joined.
