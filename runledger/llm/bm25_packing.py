@@ -13,8 +13,10 @@ two, which need no padding either.
 
 Tokenising: a text is cut at blanks and line feeds where exactly one stands
 between two other characters; the tokenizer's pattern never joins across
-these, so the ids of the pieces are those of the text, and a bounded cache
-per worker holds pieces.  Texts with special strings or adjacent blanks are
+these, so the ids of the pieces are those of the text.  The distinct pieces of
+some MB of texts are looked up once, in a bounded table per worker; those it
+lacks go to the library many at a time, joined by their separators, which only
+start an identifier.  Texts with special strings or adjacent blanks are
 tokenised whole.
 
 Defined results: a null or empty text is the single id 0; null ids, repeated
@@ -23,6 +25,7 @@ rows and ties are packed row by row; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import os
 import re
 import struct
 import zlib
@@ -30,6 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -44,21 +48,39 @@ TASK_ROWS = 16_384          # tails per task, about
 K1, B = 1.2, 0.75
 NEIGHBOURS = 32             # ranked per seed; the first unused are always used
 IDS = 1 << 16               # identifiers are below this
+COMMON = 512                # ids of a shard whose postings are a matrix
+AHEAD = 64                  # tails scored at once
 ROUTE_HASHES = 4            # 16 bits each
-CACHE_ENTRIES = 400_000
-LATIN = 0x250               # code points of the Latin letters end here
+CACHE_ENTRIES = 1 << 20
+SLICE_BYTES = 16 << 20      # of texts whose pieces are looked up together
+JOINED = 512                # new pieces in one call of the tokenizer
 
 # A fixed permutation: the hash of every identifier.
 _RANK = np.argsort([zlib.crc32(b"route %d" % i) for i in range(IDS)],
                    kind="stable").astype(np.uint16)
 
-_ADJACENT = re.compile(r"\s\s")
+# White space, in Arrow's expressions; without the line feed in the second,
+# which finds units that are tokenised by themselves.
+_BLANK = ("[\\t-\\r\\x1c-\\x20\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}"
+          "\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]")
+_ODD = "\\A\\n?\\z|" + _BLANK.replace("\\t-\\r", "\\t\\x0b-\\r")
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, "
           "doc_tokens long, sequence_id long, offset long")
 
 
+def _picked(flat: np.ndarray, start: np.ndarray, size: np.ndarray
+            ) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of ``flat`` one after the other, and where each of them ends."""
+    end = np.cumsum(size, dtype=np.int64)
+    kind = np.int32 if max(len(flat), end[-1] if len(end) else 0) < 1 << 31 \
+        else np.int64
+    at = np.repeat((start - (end - size)).astype(kind), size)
+    at += np.arange(len(at), dtype=kind)
+    return flat[at], end
+
+
 class Encoder:
-    """Ids of texts as 16-bit little-endian bytes."""
+    """Ids of texts as 16-bit little-endian numbers."""
 
     def __init__(self, path: str, cache_entries: int = CACHE_ENTRIES):
         from tokenizers import Tokenizer
@@ -67,85 +89,138 @@ class Encoder:
             raise ValueError("identifiers need more than 16 bits")
         special = [t.content for t in
                    self.tokenizer.get_added_tokens_decoder().values()]
-        self.special = re.compile("|".join(map(re.escape, special))) \
-            if special else None
+        self.whole_only = "|".join([_BLANK + "{2}", *map(re.escape, special)])
         self.limit = cache_entries
-        self.first: dict[str, bytes] = {}    # pieces with no blank before
-        self.spaced: dict[str, bytes] = {}   # pieces after a blank
+        # Pieces with white space inside, after a line feed or none and after
+        # a blank; all others are in the table below.
+        self.first: dict[str, bytes] = {}
+        self.spaced: dict[str, bytes] = {}
         self.line_feed = self.whole("\n")
-        # Byte-level spelling of the Latin letters and the blank.
-        spell = self.tokenizer.pre_tokenizer.pre_tokenize_str
-        self.model = self.tokenizer.model
-        self.spelling = {c: spell(c)[0][0] for c in map(chr, range(LATIN))
-                         if c.isalpha() or c == " "}
+        self.units = pa.array([], pa.string())
+        self.flat = np.empty(0, "<u2")
+        self.start = self.size = np.empty(0, np.int64)
+        # Identifiers that a separator starts: no piece has one inside.
+        signs = tuple(self.tokenizer.pre_tokenizer.pre_tokenize_str(c)[0][0]
+                      for c in " \n")
+        self.opens = np.zeros(IDS, bool)
+        self.opens[[i for t, i in self.tokenizer.get_vocab().items()
+                    if t.startswith(signs)]] = True
 
     def whole(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return struct.pack(f"<{len(ids)}H", *ids)
 
-    def letters(self, word: str) -> bytes | None:
-        """Ids of a blank and Latin letters, which are one word of the
-        tokenizer's pattern; None for anything else."""
-        try:
-            spelt = "".join([self.spelling[c] for c in word])
-        except KeyError:
-            return None
-        ids = [t.id for t in self.model.tokenize(spelt)]
-        return struct.pack(f"<{len(ids)}H", *ids)
-
     def _piece(self, piece: str, blank: str, cache: dict[str, bytes]
                ) -> bytes:
-        if len(cache) >= self.limit:
-            cache.clear()
-        if piece[-1:] in (",", ".") and piece[-2:-1].isalpha():
-            # A letter run ends before a mark; the mark is a word of its own.
-            word = piece[:-1]
-            ids = cache.get(word)
-            if ids is None:
-                ids = self._word(blank + word)
-                if len(word) <= CACHED_LENGTH:
-                    cache[word] = ids
-            ids += self._mark(piece[-1])
-        else:
-            ids = self._word(blank + piece)
-        if len(piece) <= CACHED_LENGTH:
-            cache[piece] = ids
-        return ids
-
-    def _word(self, text: str) -> bytes:
-        if text.rfind(" ") <= 0 and len(text) > 1:
-            ids = self.letters(text)
-            if ids is not None:
-                return ids
-        return self.whole(text)
-
-    def _mark(self, mark: str) -> bytes:
-        ids = self.first.get(mark)
+        ids = cache.get(piece)
         if ids is None:
-            ids = self.first[mark] = self.whole(mark)
+            ids = self.whole(blank + piece)
+            if len(cache) >= self.limit:
+                cache.clear()
+            if len(piece) <= CACHED_LENGTH:
+                cache[piece] = ids
         return ids
 
+    def _single(self, unit: str) -> np.ndarray:
+        """Ids of one unit by itself."""
+        if unit[:1] != "\n":
+            ids = self._piece(unit, " ", self.spaced)
+        else:
+            ids = self.line_feed + (
+                self._piece(unit[1:], "", self.first) if unit[1:] else b"")
+        return np.frombuffer(ids, "<u2")
+
+    def _joined(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of units in a row by one call of the library, and how many
+        each has."""
+        units = units.to_pylist()
+        text = (" " + " ".join(units)).replace(" \n", "\n")
+        ids = np.array(self.tokenizer.encode_batch_fast(
+            [text], add_special_tokens=False)[0].ids, "<u2")
+        at = np.flatnonzero(self.opens[ids])
+        if len(at) == len(units) and at[0] == 0:
+            return ids, np.diff(at, append=len(ids))
+        parts = [self._single(u) for u in units]     # can't be told apart
+        return np.concatenate(parts), np.array([len(p) for p in parts])
+
+    def _looked_up(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray,
+                                                   np.ndarray]:
+        """All ids, and where those of each unit start and how many they are.
+        A unit is a piece after a blank, or a line feed and the piece after
+        it; those new to the table are tokenised and added."""
+        known = pc.index_in(units, value_set=self.units).fill_null(
+            -1).to_numpy()
+        new = np.flatnonzero(known < 0)
+        odd = pc.match_substring_regex(units.take(new), _ODD).to_numpy(
+            zero_copy_only=False)
+        plain, odd = new[~odd], new[odd]
+        texts = units.take(plain)
+        ids, sizes = [self.flat], [np.empty(0, np.int64)]
+        for k in range(0, len(plain), JOINED):
+            flat, size = self._joined(texts.slice(k, JOINED))
+            ids.append(flat)
+            sizes.append(size)
+        for u in units.take(odd).to_pylist():
+            ids.append(self._single(u))
+            sizes.append(np.array([len(ids[-1])]))
+        made = np.concatenate(sizes)
+        size, start = np.empty((2, len(units)), np.int64)
+        order = np.concatenate([plain, odd])
+        size[order] = made
+        start[order] = len(self.flat) + np.cumsum(made) - made
+        old = np.flatnonzero(known >= 0)
+        size[old], start[old] = self.size[known[old]], self.start[known[old]]
+        flat = np.concatenate(ids)
+        self._remember(units, plain, flat, start, size)
+        return flat, start, size
+
+    def _remember(self, units: pa.Array, plain: np.ndarray, flat: np.ndarray,
+                  start: np.ndarray, size: np.ndarray) -> None:
+        """Add the new units; a full table starts anew with those in use."""
+        short = pc.less_equal(pc.binary_length(units), CACHED_LENGTH) \
+            .to_numpy(zero_copy_only=False)
+        rows, kept = plain[short[plain]], self.units
+        if len(kept) + len(rows) > self.limit:
+            rows, kept = np.flatnonzero(short)[:self.limit], kept.slice(0, 0)
+            self.flat, self.start, self.size = (
+                self.flat[:0], self.start[:0], self.size[:0])
+        ids, end = _picked(flat, start[rows], size[rows])
+        self.units = pa.concat_arrays([kept, units.take(rows)])
+        self.start = np.concatenate(
+            [self.start, len(self.flat) + end - size[rows]])
+        self.size = np.concatenate([self.size, size[rows]])
+        self.flat = np.concatenate([self.flat, ids])
+
+    def _slice(self, texts: pa.Array) -> list[np.ndarray]:
+        hard = pc.match_substring_regex(texts, self.whole_only)
+        # A line feed before every text makes all pieces units.
+        lists = pc.split_pattern(pc.binary_join_element_wise(
+            "\n", pc.replace_substring(texts.filter(pc.invert(hard)), "\n",
+                                       " \n"), ""), " ")
+        named = lists.flatten().dictionary_encode()
+        flat, start, size = self._looked_up(named.dictionary)
+        unit = named.indices.to_numpy()
+        flat, end = _picked(flat, start[unit], size[unit])
+        bounds = np.append(0, end)[lists.offsets.to_numpy()
+                                   - lists.offsets[0].as_py()].tolist()
+        skip = len(self.line_feed) // 2
+        plain = (flat[a + skip:b] for a, b in zip(bounds, bounds[1:]))
+        return [np.frombuffer(self.whole(t.as_py()), "<u2") if h
+                else next(plain) for t, h in zip(texts, hard.to_pylist())]
+
+    def encode_all(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """Ids of each text, ``SLICE_BYTES`` of them at a time or one text."""
+        size = np.cumsum(pc.binary_length(texts).to_numpy(
+            zero_copy_only=False).astype(np.int64))
+        at, done = 0, 0
+        while at < len(texts):
+            to = max(at + 1, int(np.searchsorted(size, done + SLICE_BYTES,
+                                                 "right")))
+            yield from self._slice(texts.slice(at, to - at))
+            at, done = to, int(size[to - 1])
+
     def encode(self, text: str) -> bytes:
-        if _ADJACENT.search(text) or (
-                self.special and self.special.search(text)):
-            return self.whole(text)
-        out: list[bytes] = []
-        first, spaced = self.first, self.spaced
-        for k, line in enumerate(text.split("\n")):
-            if k:
-                out.append(self.line_feed)
-            pieces = line.split(" ")
-            if pieces[0]:
-                ids = first.get(pieces[0])
-                out.append(self._piece(pieces[0], "", first)
-                           if ids is None else ids)
-            del pieces[0]
-            known = list(map(spaced.get, pieces))
-            if None in known:
-                known = [self._piece(p, " ", spaced) if ids is None else ids
-                         for p, ids in zip(pieces, known)]
-            out += known
-        return b"".join(out)
+        return next(self.encode_all(pa.array([text]))).tobytes()
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -154,6 +229,8 @@ _ENCODERS: dict[str, Encoder] = {}
 def _encoder(vocabulary: str) -> Encoder:
     if vocabulary not in _ENCODERS:
         import public_tokenizers
+        # Spark deals out the work; threads beside it only wait.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         path = vocabulary if "/" in vocabulary else \
             public_tokenizers.path(vocabulary)
         _ENCODERS[vocabulary] = Encoder(path)
@@ -185,10 +262,9 @@ def _tokenized(docs: DataFrame, vocabulary: str, window: int) -> DataFrame:
         part, made, row_no = TaskContext.get().partitionId() << 34, 0, 0
         for batch in batches:
             cols = [[] for _ in range(9)]
-            for doc, text in zip(batch.column(0).to_pylist(),
-                                 batch.column(1)):
-                raw = encoder.encode(text.as_py()) + b"\0\0"
-                ids = np.frombuffer(raw, "<u2")
+            for doc, ids in zip(batch.column(0).to_pylist(),
+                                encoder.encode_all(batch.column(1))):
+                ids = np.append(ids, np.uint16(0))
                 n = len(ids)
                 for at in range(0, n, window):
                     piece = ids[at:at + window]
@@ -236,33 +312,54 @@ def _frequencies(tails: DataFrame) -> np.ndarray:
 
 
 class ShardIndex:
-    """BM25 inverted index over the tails of one shard."""
+    """BM25 inverted index over the tails of one shard.  The postings of its
+    ``COMMON`` most frequent ids, nearly all that seeds meet, are a matrix,
+    by which scores of ``AHEAD`` tails are computed at once."""
 
     def __init__(self, tails: list[np.ndarray], idf: np.ndarray,
                  mean_length: float):
-        self.sets, tf = [], []
+        sets, tf = [], []
         for t in tails:
             ids, n = np.unique(t, return_counts=True)
-            self.sets.append(ids)
+            sets.append(ids)
             tf.append(n)
-        doc = np.repeat(np.arange(len(tails)), [len(s) for s in self.sets])
-        term = np.concatenate(self.sets) if tails else np.empty(0, np.int64)
+        doc = np.repeat(np.arange(len(tails)), [len(s) for s in sets])
+        term = np.concatenate(sets) if tails else np.empty(0, np.int64)
         freq = np.concatenate(tf) if tails else np.empty(0)
         length = np.array([len(t) for t in tails], float)[doc]
         weight = idf[term] * freq * (K1 + 1) / (
             freq + K1 * (1 - B + B * length / mean_length))
+        top = np.argsort(-np.bincount(term, minlength=IDS), kind="stable")
+        row = np.full(IDS, -1)
+        row[top[:COMMON]] = np.arange(min(COMMON, IDS))
+        common = row[term] >= 0
+        self.matrix = np.zeros((COMMON, len(tails)))
+        self.matrix[row[term[common]], doc[common]] = weight[common]
+        self.common = [r[r >= 0] for r in (row[s] for s in sets)]
+        self.rare = [s[row[s] < 0] for s in sets]
+        doc, term, weight = doc[~common], term[~common], weight[~common]
         order = np.argsort(term, kind="stable")
         self.doc, self.weight = doc[order], weight[order]
         self.ends = np.searchsorted(term[order], np.arange(IDS + 1))
         self.size = len(tails)
-
-    def scores(self, i: int) -> np.ndarray:
-        """BM25 of every tail of the shard for the ids of tail ``i``."""
-        lo, hi = self.ends[self.sets[i]], self.ends[self.sets[i] + 1]
+        self.ahead: dict[int, np.ndarray] = {}   # common part of some scores
+
+    def scores(self, i: int, next_ones: np.ndarray | None = None
+               ) -> np.ndarray:
+        """BM25 of every tail of the shard for the ids of tail ``i``, which
+        some of ``next_ones`` are asked for after it."""
+        if i not in self.ahead:
+            rows = [i, *(() if next_ones is None
+                         else next_ones[:AHEAD - 1].tolist())]
+            ids = np.zeros((len(rows), COMMON))
+            for k, j in enumerate(rows):
+                ids[k, self.common[j]] = 1
+            self.ahead = dict(zip(rows, ids @ self.matrix))
+        lo, hi = self.ends[self.rare[i]], self.ends[self.rare[i] + 1]
         n = hi - lo
-        at = np.repeat(lo - np.concatenate(([0], np.cumsum(n)[:-1])), n) \
-            + np.arange(n.sum())
-        return np.bincount(self.doc[at], self.weight[at], self.size)
+        at = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        return self.ahead[i] + np.bincount(self.doc[at], self.weight[at],
+                                           self.size)
 
 
 def pack_shard(tails: list[np.ndarray], idf: np.ndarray, mean_length: float,
@@ -289,7 +386,10 @@ def pack_shard(tails: list[np.ndarray], idf: np.ndarray, mean_length: float,
 
         room = place(i, room)
         if room:
-            score = np.where(unused, index.scores(i) + 1e-9, 0.0)
+            later = np.flatnonzero(unused[i + 1:]) + i + 1
+            # Rounded, as equal tails are to have equal scores.
+            score = np.where(unused, index.scores(i, later) + 1e-9,
+                             0.0).astype(np.float32)
             if len(score) > NEIGHBOURS:
                 best = np.argpartition(-score, NEIGHBOURS)[:NEIGHBOURS]
             else:
