@@ -46,6 +46,8 @@ PARSED_FROM = {
     "output_s3": ["output.s3"], "load_table": ["load.table"],
     "evidence": [f.name for f in schemas.EVIDENCE_RAW.fields],
     "raw_message": [], "object_key": ["step"]}
+# Fields of a state log that only these columns need.
+STATE_FIELDS = {"execution_arn": "executionArn", "state_name": "state"}
 # What is stored: the nested record is in the delivered text.
 STORED = [c for c in PARSED_FROM if c != "evidence"]
 
@@ -60,11 +62,12 @@ def _is_object(text: Column) -> Column:
     return F.json_object_keys(text).isNotNull()
 
 
-def _checked(parsed: str, text: str) -> Column:
-    """The parsed struct unless the text was flagged and is not an object."""
-    flagged = F.col(parsed)[schemas.CORRUPT].isNotNull()
+def _checked(parsed: str) -> Column:
+    """The parsed struct unless the text was flagged and is not an object; the
+    flag is the text, which need not be carried along for this."""
+    flag = F.col(parsed)[schemas.CORRUPT]
     return F.when(F.col(parsed).isNotNull()
-                  & (~flagged | _is_object(F.col(text))), F.col(parsed))
+                  & (flag.isNull() | _is_object(flag)), F.col(parsed))
 
 
 def _signal_record(batch_id: Column, record: T.StructType) -> Column:
@@ -115,7 +118,8 @@ def parse_log_events(events: DataFrame, flow_map: DataFrame | None,
     record = schemas.record_part(["batch_id", "is_terminal"] + [
         f for c in wanted for f in PARSED_FROM[c]])
     glue_schema = schemas.with_corrupt(schemas.evidence_wrapped(record))
-    state_schema = schemas.with_corrupt(schemas.state_log(record))
+    state_schema = schemas.with_corrupt(schemas.state_log(record, [
+        f for c, f in STATE_FIELDS.items() if c in wanted]))
     msg = F.col("message")
     clock = F.lit(ingested_at).cast("timestamp_ntz")
     arrived = (F.coalesce(F.col("delivered_at").cast("timestamp_ntz"), clock)
@@ -123,7 +127,6 @@ def parse_log_events(events: DataFrame, flow_map: DataFrame | None,
     texts = events.select(
         "event_id", "log_group", arrived.alias("_arrived"),
         F.col("log_group").contains(STATES_GROUP_MARK).alias("_states"),
-        msg.contains(EVIDENCE_PREFIX).alias("_marker"),
         # Cut by bytes, which needs no count of characters.
         F.when(msg.startswith(EVIDENCE_PREFIX), F.substring(
             msg.cast("binary"), len(EVIDENCE_PREFIX) + 1, 1 << 30)
@@ -131,8 +134,7 @@ def parse_log_events(events: DataFrame, flow_map: DataFrame | None,
         msg.alias("_msg"),
         F.xxhash64("log_group", msg).alias("event_hash"))
     decoded = texts.select(
-        "event_id", "log_group", "_arrived", "_states", "_marker", "event_hash",
-        "_body", "_msg",
+        "event_id", "log_group", "_arrived", "_states", "event_hash", "_msg",
         F.from_json("_body", glue_schema, schemas.JSON_OPTIONS)
         .alias("_glue_raw"),
         F.when(F.col("_states"),
@@ -142,11 +144,11 @@ def parse_log_events(events: DataFrame, flow_map: DataFrame | None,
     # the wrong type leaves the other fields usable); the second, cheaper
     # check runs for flagged rows only.
     parsed = decoded.select(
-        "event_id", "log_group", "_arrived", "_states", "_marker", "event_hash", "_msg",
-        _checked("_glue_raw", "_body").alias("_glue"),
-        _checked("_log_raw", "_msg").alias("_log"))
+        "event_id", "log_group", "_arrived", "_states", "event_hash", "_msg",
+        _checked("_glue_raw").alias("_glue"),
+        _checked("_log_raw").alias("_log"))
     log = F.col("_log")
-    from_glue = F.when(F.col("_marker") & F.col("_glue").isNotNull(),
+    from_glue = F.when(F.col("_glue").isNotNull(),
                        glue_evidence(F.col("_glue"), record))
     from_states = F.when(F.col("_states"), state_evidence(log))
     terminal_event = F.col("_states") & log["type"].isin(*TERMINAL_TYPES)
@@ -165,8 +167,8 @@ def parse_log_events(events: DataFrame, flow_map: DataFrame | None,
         (from_glue.isNull() & from_states.isNull()).alias("is_signal"),
         F.when(states_src, "states").otherwise("glue").alias("source"),
         F.when(states_src, log["type"]).alias("event_type"),
-        F.when(states_src, log["executionArn"]).alias("execution_arn"),
-        F.when(states_src, log["state"]).alias("state_name"),
+        *[F.when(states_src, log[f]).alias(c)
+          for c, f in STATE_FIELDS.items() if c in wanted],
         F.coalesce(terminal_event, F.lit(False)).alias("_terminal_event"))))
     staged = parsed.select("event_id", "log_group", "event_hash", "_msg",
                            "_arrived", F.explode(kept).alias("_k")).select(

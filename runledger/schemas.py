@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import types as T
 
 S, L, B, D = T.StringType(), T.LongType(), T.BooleanType(), T.DoubleType()
@@ -46,10 +48,12 @@ def evidence_wrapped(record: T.StructType = EVIDENCE_RAW) -> T.StructType:
         list(record.fields) + [T.StructField("evidence", record)])
 
 
-def state_log(record: T.StructType = EVIDENCE_RAW) -> T.StructType:
-    """A state-machine log message."""
+def state_log(record: T.StructType = EVIDENCE_RAW,
+              texts: Sequence[str] = ("executionArn", "state")
+              ) -> T.StructType:
+    """A state-machine log message, with those of its own texts."""
     return _struct(
-        ("type", S), ("executionArn", S), ("state", S),
+        ("type", S), *[(t, S) for t in texts],
         ("input", _struct(("evidence", record), ("batch_id", S))),
         ("output", _struct(("evidence", record),
                            ("Payload", _struct(("evidence", record))))),

@@ -112,3 +112,34 @@ def test_stream_carries_no_nested_record(spark, items_dir, tmp_dir):
     events = evidence_events(store.read_envelopes(
         spark, f"{tmp_dir}/landing"), eq.CLOCK)
     assert "evidence" not in events.columns
+
+
+def test_texts_are_not_carried_beyond_the_parse(spark, items_dir):
+    """Only their parsed fields go on, without those of the state log that
+    no column needs."""
+    text = plan(eq.evidence_rollup(spark, items_dir))
+    decoded = next(n for n in text.split("\n") if "from_json(" in n)
+    carried = decoded.split("from_json(")[0]
+    assert "_body" not in carried and "_msg" not in carried
+    assert "executionArn" not in decoded and "(type," in decoded
+    assert "Contains(message" not in text
+
+
+def test_flagged_texts(spark):
+    """A text that is an object with a wrong value is kept, others not; a
+    column named like the state log's own texts takes part or not."""
+    texts = ['{"type":"T","executionArn":{"a":1},"state":[2],"evidence":'
+             '{"batch_id":"b%d","step":"s","input":{"rows":%s}}%s' % (k, r, e)
+             for k, (r, e) in enumerate([
+                 ("1", "}"), ('"x"', "}"), ("1", ""), ('"x"', ""),
+                 ("1", "}}")])]
+    events = spark.createDataFrame(
+        [("/aws/states/m", str(k), t) for k, t in enumerate(
+            texts + [f"EVIDENCE {t}" for t in texts])],
+        "log_group string, event_id string, message string")
+    whole = evo.parse_log_events(events, None, eq.CLOCK)
+    cols = ["batch_id", "event_id", "source", "input_rows", "raw_message"]
+    assert {"0", "1"} <= {r.event_id for r in whole.collect()}
+    for more in ([], ["execution_arn"], ["state_name"], ["event_type"]):
+        assert rows(evo.parse_log_events(
+            events, None, eq.CLOCK, cols + more)) == rows(whole, *cols, *more)
