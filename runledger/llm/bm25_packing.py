@@ -38,7 +38,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from runledger.llm.common import CACHED_LENGTH, doc_texts, stored
+from runledger.llm.common import (
+    CACHED_LENGTH, at_work, doc_texts, give_back, stored)
 from runledger.llm.sketches import CHUNK, summed_counts
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -52,7 +53,7 @@ COMMON = 512                # ids of a shard whose postings are a matrix
 AHEAD = 64                  # tails scored at once
 ROUTE_HASHES = 4            # 16 bits each
 CACHE_ENTRIES = 1 << 20
-SLICE_BYTES = 16 << 20      # of texts whose pieces are looked up together
+SLICE_BYTES = 8 << 20       # of texts whose pieces are looked up together
 JOINED = 512                # new pieces in one call of the tokenizer
 
 # A fixed permutation: the hash of every identifier.
@@ -217,6 +218,7 @@ class Encoder:
             to = max(at + 1, int(np.searchsorted(size, done + SLICE_BYTES,
                                                  "right")))
             yield from self._slice(texts.slice(at, to - at))
+            give_back()
             at, done = to, int(size[to - 1])
 
     def encode(self, text: str) -> bytes:
@@ -227,7 +229,7 @@ _ENCODERS: dict[str, Encoder] = {}
 
 
 def _encoder(vocabulary: str) -> Encoder:
-    if vocabulary not in _ENCODERS:
+    if vocabulary not in at_work(_ENCODERS):
         import public_tokenizers
         # Spark deals out the work; threads beside it only wait.
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")

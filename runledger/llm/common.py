@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -18,6 +19,27 @@ from runledger.session import new_run_dir
 # Longer words are not kept in a worker's cache, which bounds its bytes.
 CACHED_LENGTH = 64
 
+# The cache of the operator that a worker is busy with, if any.
+_AT_WORK: list[dict] = []
+
+
+def at_work(cache: dict) -> dict:
+    """``cache``, which a worker keeps between its tasks.  A worker lives on
+    from one step of a pipeline to the next, so the caches of other operators
+    are emptied: an executor has to hold the largest, not all of them."""
+    if not _AT_WORK or _AT_WORK[0] is not cache:
+        for other in _AT_WORK:
+            other.clear()
+        _AT_WORK[:] = [cache]
+        give_back()
+    return cache
+
+
+def give_back() -> None:
+    """Memory that Arrow has freed goes back to the system; the worker would
+    keep it otherwise, also while it is idle."""
+    pa.default_memory_pool().release_unused()
+
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")

@@ -44,7 +44,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from runledger.llm.common import (
-    CACHED_LENGTH, doc_texts, keyed, once, row_key, rows_of, stored)
+    CACHED_LENGTH, at_work, doc_texts, keyed, once, row_key, rows_of, stored)
 from runledger.llm.components import components
 from runledger.llm.sketches import (
     CHUNK, bitmap, in_bitmap, summed_counts)
@@ -77,7 +77,7 @@ def shingles(text: str, k: int) -> np.ndarray:
     words = text.encode("utf-8", "surrogatepass").lower().split()
     if not words:
         return np.empty(0, np.uint64)
-    if len(_WORDS) > CACHE_ENTRIES:
+    if len(at_work(_WORDS)) > CACHE_ENTRIES:
         _WORDS.clear()
     names = []
     for w in words:

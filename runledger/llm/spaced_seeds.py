@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from runledger.llm.common import (
-    CACHED_LENGTH, doc_texts, keyed, rows_of, stored)
+    CACHED_LENGTH, at_work, doc_texts, keyed, rows_of, stored)
 
 WINDOW, STEP = 80, 40
 STRETCH = 20
@@ -69,7 +69,7 @@ _CACHE: dict[str, int] = {}
 
 def word_hashes(text: str) -> list[int]:
     """64-bit hashes of the words of a text (cached per worker)."""
-    if len(_CACHE) > CACHE_ENTRIES:
+    if len(at_work(_CACHE)) > CACHE_ENTRIES:
         _CACHE.clear()
     out = []
     for w in WORD.findall(text.lower()):

@@ -18,6 +18,7 @@ empty table gives an empty result.
 from __future__ import annotations
 
 import re
+import sys
 from collections import Counter
 from collections.abc import Iterator
 
@@ -27,7 +28,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from runledger.llm.common import doc_texts, keyed, rows_of, stored
+from runledger.llm.common import (
+    at_work, doc_texts, give_back, keyed, rows_of, stored)
 from runledger.llm.linear import Adam, sigmoid
 
 TRAIN_ROWS = 20_000   # bound of the sample that the scorer is fitted on
@@ -40,6 +42,7 @@ ADAM_ROUNDS = 150
 # that few heuristics see is explained as good documents with odd votes.
 PRIOR_RATE, PRIOR_WEIGHT = 0.005, 5.0
 SEGMENT = 400      # words
+SLICE_ROWS = 500   # whose features are Python lists at the same time
 
 # Frequent function words of the four languages.
 FUNCTION_WORDS = frozenset("""
@@ -134,7 +137,7 @@ def features(text: str, shapes: dict[str, str] | None = None
         if f is None:
             if len(shapes) > 300_000:
                 shapes.clear()
-            f = shape(w)
+            f = sys.intern(shape(w))    # few, of many words
             if len(w) <= 64:    # bounds the cache's bytes
                 shapes[w] = f
         counts[f] += c
@@ -154,18 +157,25 @@ def features(text: str, shapes: dict[str, str] | None = None
 _SHAPES: dict[str, str] = {}
 
 
+def _featurized(batch: pa.RecordBatch) -> pa.RecordBatch:
+    shapes = at_work(_SHAPES)
+    got = [features(t.as_py(), shapes) for t in batch.column(2)]
+    return pa.RecordBatch.from_arrays(
+        [batch.column(0), batch.column(1),
+         pa.array([g[0] for g in got], pa.list_(pa.int8())),
+         pa.array([g[1] for g in got], pa.list_(pa.int32())),
+         pa.array([g[2] for g in got], pa.list_(pa.float32()))],
+        ["row_no", "doc_id", "votes", "idx", "val"])
+
+
 def featurize(docs: DataFrame) -> DataFrame:
     """row_no, doc_id, votes, idx, val for every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            got = [features(t.as_py(), _SHAPES) for t in batch.column(2)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1),
-                 pa.array([g[0] for g in got], pa.list_(pa.int8())),
-                 pa.array([g[1] for g in got], pa.list_(pa.int32())),
-                 pa.array([g[2] for g in got], pa.list_(pa.float32()))],
-                ["row_no", "doc_id", "votes", "idx", "val"])
+            for at in range(0, len(batch), SLICE_ROWS):
+                yield _featurized(batch.slice(at, SLICE_ROWS))
+            give_back()
 
     rows = doc_texts(docs).select(
         F.monotonically_increasing_id().alias("row_no"), "doc_id", "text")

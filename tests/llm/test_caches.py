@@ -3,13 +3,20 @@
 from __future__ import annotations
 
 import hashlib
+import os
+import subprocess
+import sys
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from runledger.llm import bm25_packing, count_tree, spaced_seeds, toxic_mil
+from runledger.llm import (
+    bm25_packing, count_tree, spaced_seeds, toxic_mil, weak_quality)
 from runledger.llm.common import CACHED_LENGTH
 
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(
+    os.path.abspath(__file__))))
 LONG = [hashlib.sha512(str(i).encode()).hexdigest() * 40 for i in range(50)]
 
 
@@ -51,3 +58,72 @@ def test_features_and_scores_of_long_words(spark):
     got = toxic_mil.score(docs, w).collect()
     assert len(got) == len(LONG) and all(
         len(r.offending) == 1 and r.offending[0].start == 0 for r in got)
+
+
+def test_only_the_operator_at_work_keeps_a_cache():
+    pytest.importorskip("public_tokenizers")
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([0]), pa.array([7]), pa.array(["one two"])],
+        ["row_no", "doc_id", "text"])
+    steps = [
+        (weak_quality._SHAPES, lambda: weak_quality._featurized(batch)),
+        (count_tree._WORDS, lambda: count_tree.shingles("one two", 2)),
+        (spaced_seeds._CACHE, lambda: spaced_seeds.word_hashes("one two")),
+        (bm25_packing._ENCODERS,
+         lambda: bm25_packing._encoder(bm25_packing.VOCABULARY))]
+    for cache, step in steps + steps[:1]:
+        step()
+        assert [c for c, _ in steps if c] == [cache]
+
+
+def test_features_are_made_for_a_slice_of_a_batch_at_a_time(spark):
+    n = 2 * weak_quality.SLICE_ROWS + 3
+    docs = spark.createDataFrame(
+        [(i, f"The cat no. {i} sat on the mat.") for i in range(n)],
+        "doc_id long, text string").coalesce(1)
+    rows = weak_quality.featurize(docs).collect()
+    assert sorted(r.doc_id for r in rows) == list(range(n))
+    for r in rows:
+        votes, idx, val = weak_quality.features(
+            f"The cat no. {r.doc_id} sat on the mat.")
+        assert (r.votes, r.idx) == (votes, idx) and np.allclose(r.val, val)
+
+
+def test_a_shape_is_held_once():
+    shapes = {}
+    weak_quality.features("Alpha Bravo 12 345", shapes)
+    assert shapes["Alpha"] is shapes["Bravo"]
+    assert shapes["12"] is shapes["345"]
+
+
+# MB that an encoder holds after some texts, beyond those before them.
+HELD = """
+import random, re, sys
+import pyarrow as pa
+from runledger.llm import bm25_packing as bp
+
+def mb():
+    with open("/proc/self/smaps_rollup") as f:
+        return int(re.search(r"Pss_Anon: +([0-9]+)", f.read())[1]) / 1024
+
+encoder = bp._encoder(bp.VOCABULARY)
+rng = random.Random(3)
+words = ["%x" % rng.getrandbits(28) for _ in range(3000)]
+texts = pa.array([" ".join(rng.choices(words, k=2000)) for _ in range(1500)])
+pa.default_memory_pool().release_unused()
+before, n = mb(), 0
+for ids in encoder.encode_all(texts):
+    n += 1
+assert n == len(texts)
+del ids
+print(mb() - before)
+"""
+
+
+@pytest.mark.skipif(not os.path.exists("/proc/self/smaps_rollup"),
+                    reason="memory can't be read here")
+def test_an_encoder_gives_back_what_a_slice_took():
+    pytest.importorskip("public_tokenizers")
+    got = subprocess.run([sys.executable, "-c", HELD], cwd=ROOT, text=True,
+                         capture_output=True, check=True)
+    assert float(got.stdout) < 25
