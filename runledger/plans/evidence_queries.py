@@ -11,8 +11,7 @@ from runledger.functions import scalar as fx
 from runledger.operators import evidence as evo
 from runledger.operators.flows import classify_flow, read_flow_map
 from runledger.plans.registry import register, table
-from runledger.session import (
-    conf_set, materialized, new_run_dir)
+from runledger.session import conf_set, new_run_dir
 from runledger.sources import evidence_store as store
 from runledger.sources import snapshots
 
@@ -72,11 +71,22 @@ def _deliveries(items: DataFrame) -> DataFrame:
                 F.lit(STATES_GROUP), machine)).otherwise(F.lit(GLUE_GROUP))})
 
 
-def _lineitem_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _lineitem_events(spark: SparkSession, sf_dir: str,
+                     share: tuple[int, int] | None = None) -> DataFrame:
+    """The log events of all line items; with ``share`` (k, of n) of the k-th
+    of n disjoint shares of their deliveries, whose equal ones stay together."""
     items = _line_items(spark, sf_dir)
-    n = _pieces(items)
-    return _events_of(_deliveries(
-        items if items.rdd.getNumPartitions() >= n else items.repartition(n)))
+    if share is None:
+        n = _pieces(items)
+        return _events_of(_deliveries(
+            items if items.rdd.getNumPartitions() >= n
+            else items.repartition(n)))
+    dealt = _deliveries(items).where(F.pmod(
+        F.xxhash64(*LINE_COLUMNS, "copy"), F.lit(share[1])) == share[0])
+    n = max(spark.sparkContext.defaultParallelism,
+            -(-_pieces(items) // share[1]))
+    return _events_of(dealt if dealt.rdd.getNumPartitions() >= n
+                      else dealt.repartition(n))
 
 
 def _events_of(li: DataFrame, *more: str) -> DataFrame:
@@ -660,17 +670,17 @@ APPENDS = 4
 def evidence_compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Evidence arrives in several appends, each with a version of the
     summaries; the parts are packed on the way and at the end.  The summaries
-    read then equal the roll-up of all evidence."""
+    read then equal the roll-up of all evidence.
+
+    Deliveries are dealt out to the appends while they are line items, so
+    nothing but the store holds their messages."""
     root = new_run_dir(spark, "compaction")
     ev_store, summaries = f"{root}/store", f"{root}/summaries"
-    parsed = materialized(evo.with_flow(evo.parse_log_events(
-        _lineitem_events(spark, sf_dir), None, CLOCK, evo.STORED), None),
-        "parsed")
     counted = [*evo.EVENT_KEY, *evo.DELIVERY_ORDER, *evo.COUNTED]
     for k in range(APPENDS):
-        store.append_evidence(parsed.where(F.pmod(
-            F.xxhash64("event_hash", "event_id"), F.lit(APPENDS)) == k),
-            ev_store)
+        arrived = evo.parse_log_events(_lineitem_events(
+            spark, sf_dir, (k, APPENDS)), None, CLOCK, evo.STORED)
+        store.append_evidence(evo.with_flow(arrived, None), ev_store)
         seen = store.read_evidence(spark, ev_store, columns=counted)
         store.write_summaries(evo.rollup(seen, terminal_only=True),
                               summaries, k)

@@ -106,7 +106,8 @@ def materialized(df: DataFrame, kind: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back, where a plan
     would otherwise compute it twice (survives executor loss)."""
     path = new_run_dir(df.sparkSession, kind)
-    df.write.parquet(path)
+    with shuffles_dropped(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -138,6 +139,15 @@ def conf_set(spark: SparkSession, key: str, value: str) -> Iterator[None]:
             spark.conf.set(key, previous)
 
 
+def shuffles_dropped(spark: SparkSession):
+    """Within this block an execution's shuffle files go when it ends, not
+    when the driver happens to collect its garbage.  For writes of rows that
+    are computed for that write alone."""
+    return conf_set(spark,
+                    "spark.sql.classic.shuffleDependency.fileCleanup.enabled",
+                    "true")
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     """Remove a folder of the library's own tables, in any store that Spark
     writes to."""

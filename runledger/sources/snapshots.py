@@ -26,7 +26,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runledger.session import conf_set, delete_folder
+from runledger.session import conf_set, delete_folder, shuffles_dropped
 from runledger.sources.files import bare_path, below, list_files
 
 LOG = "part string, replaces array<string>, at bigint"
@@ -53,8 +53,10 @@ def _write(rows: DataFrame, path: str, partition: str | None,
     if not gather:      # small buffers, as many files are open
         writer = writer.options(**{"parquet.page.size": 1 << 18,
                                    "parquet.dictionary.page.size": 1 << 16})
-    with conf_set(rows.sparkSession, "spark.sql.maxConcurrentOutputFileWriters",
-                  str(0 if gather else OPEN_FILES)):
+    with (conf_set(rows.sparkSession,
+                   "spark.sql.maxConcurrentOutputFileWriters",
+                   str(0 if gather else OPEN_FILES)),
+          shuffles_dropped(rows.sparkSession)):
         writer.parquet(f"{path}/data/{PART}={part}")
     return part
 

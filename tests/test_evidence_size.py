@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
+from runledger import session
 from runledger.operators import evidence as evo
 from runledger.plans import evidence_queries as eq
+from runledger.session import new_run_dir
 from runledger.sources import evidence_store as store
 from runledger.sources import snapshots
 from runledger.streaming.evidence_stream import evidence_events
@@ -43,6 +46,46 @@ def test_compaction_leaves_full_parts(spark, items_dir, monkeypatch):
     assert rows(eq.evidence_compaction(spark, items_dir)) == want
 
 
+def test_shares_of_the_deliveries(spark, items_dir):
+    """Together they are all events, and equal events are in one share."""
+    cols = ["log_group", "event_id", "message", "delivered_at"]
+    want = rows(eq._lineitem_events(spark, items_dir), *cols)
+    shares = [rows(eq._lineitem_events(spark, items_dir, (k, 4)), *cols)
+              for k in range(4)]
+    assert sorted(sum(shares, []), key=str) == sorted(want, key=str)
+    assert all(shares)
+    assert sum(len(set(s)) for s in shares) == len(set(want))
+
+
+def test_compaction_keeps_messages_in_the_store_only(spark, items_dir,
+                                                     monkeypatch):
+    kinds = []
+    monkeypatch.setattr(eq, "new_run_dir", lambda spark, kind: kinds.append(
+        kind) or new_run_dir(spark, kind))
+    monkeypatch.setattr(session, "new_run_dir", eq.new_run_dir)
+    assert eq.evidence_compaction(spark, items_dir).count()
+    assert kinds == ["compaction"]
+
+
+def shuffle_files(spark):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get() \
+        .blockManager().diskBlockManager()
+    return {f for f in disk.getAllFiles().mkString("\n").split("\n")
+            if "shuffle_" in f}
+
+
+def test_shuffle_files_go_with_their_write(spark, tmp_dir):
+    before = shuffle_files(spark)
+    some = spark.range(1000).selectExpr("id", "id % 3 as bucket")
+    snapshots.append(some, f"{tmp_dir}/t", "bucket")
+    session.materialized(some.groupBy("bucket").count(), "test")
+    for _ in range(100):            # they go in the background
+        if shuffle_files(spark) <= before:
+            return
+        time.sleep(0.1)
+    raise AssertionError(shuffle_files(spark) - before)
+
+
 def test_only_wanted_fields_are_decoded(spark, items_dir):
     events = eq._lineitem_events(spark, items_dir)
     whole = evo.parse_log_events(events, None, eq.CLOCK)
