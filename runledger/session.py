@@ -13,6 +13,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,6 +30,9 @@ DEFAULT_CONF = {
     # ones; the initial shuffle partition count only needs to be generous.
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
 }
+# Folders of ``materialized`` that go with the block they were written in.
+_folders: ContextVar[list[str] | None] = ContextVar("folders", default=None)
+
 # Only applied when this process starts the JVM (local runs, tests, bench).
 LOCAL_CONF = {"spark.driver.memory": "16g", "spark.ui.enabled": "false"}
 
@@ -106,11 +110,26 @@ def materialized(df: DataFrame, kind: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back, where a plan
     would otherwise compute it twice (survives executor loss)."""
     path = new_run_dir(df.sparkSession, kind)
+    folders = _folders.get()
+    if folders is not None:
+        folders.append(path)
     with shuffles_dropped(df.sparkSession):
         df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def folders_dropped(spark: SparkSession) -> Iterator[None]:
+    """What ``materialized`` writes within this block goes when it ends."""
+    token = _folders.set([])
+    try:
+        yield
+    finally:
+        for path in _folders.get() or []:
+            delete_folder(spark, path)
+        _folders.reset(token)
+
+
 def ensure_parallelism(df: DataFrame) -> DataFrame:
     """Spread a scan that yields fewer splits than the cluster has cores.
 

@@ -10,7 +10,8 @@
 
 The latest delivery of an event wins, as in the batch path.  The stream drops
 literal repeats (same event, same text) within ``watermark`` of their arrival,
-which bounds its state, and marks events that it sees for the first time.
+which bounds its state (128 bits of an event's key and text, in RocksDB), and
+marks events that it sees for the first time.
 Only events without that mark can have been counted before, and only their
 stored deliveries are read back (``running_totals``).  A repeat that comes
 after the watermark is stored again, and settled by its batch's age.  Summaries
@@ -28,21 +29,29 @@ from __future__ import annotations
 import time
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from runledger import schemas
 from runledger.operators import evidence as evo
-from runledger.session import materialized
+from runledger.session import conf_set, folders_dropped, materialized
 from runledger.sources import evidence_store as store
 from runledger.sources import snapshots
 from runledger.streaming import running_totals as running
 
 
-ROCKSDB_PROVIDER = ("org.apache.spark.sql.execution.streaming.state."
-                    "RocksDBStateStoreProvider")
+_ROCKSDB = "spark.sql.streaming.stateStore.rocksdb."
+# Keys in RocksDB, on disk.  Outside the heap are its filters and indexes (under
+# two bytes a key) and the write buffers of each state partition.
+ROCKSDB = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state."
+        "RocksDBStateStoreProvider",
+    _ROCKSDB + "writeBufferSizeMB": "32",
+    _ROCKSDB + "maxWriteBufferNumber": "3",
+    _ROCKSDB + "trackTotalNumberOfRows": "false",  # a look-up for each put
+}
 
 
 @dataclass
@@ -59,9 +68,9 @@ class EvidenceStreamConfig:
     # State-store partitions of the de-dup (fixed at the first start);
     # default: the cluster's parallelism.
     state_partitions: int | None = None
-    # Keep the de-dup keys in RocksDB (off-heap, spills to disk) instead of
-    # the session's provider -- the choice for very large key state.
-    rocksdb_state: bool = False
+    # Keep the de-dup keys in RocksDB (off-heap, spills to disk); else in the
+    # session's provider, whose default holds all keys in the heap.
+    rocksdb_state: bool = True
 
     # How long literal repeats are recognised in the stream.
     watermark: str = "1 day"
@@ -101,6 +110,10 @@ def evidence_events(envelopes: DataFrame, ingested_at: str) -> DataFrame:
 FIRST = "first_seen_event"
 
 
+# What the de-dup keeps of an event or a mark: 128 bits, whatever its texts.
+STATE_KEY = ["_state_key", "_state_key2"]
+
+
 def with_first_marks(events: DataFrame) -> DataFrame:
     """Every event twice: as it is, and as a mark of its key alone, of which
     the de-dup below lets through the first."""
@@ -114,6 +127,14 @@ def with_first_marks(events: DataFrame) -> DataFrame:
           if c not in evo.EVENT_KEY])
 
 
+def with_state_key(events: DataFrame) -> DataFrame:
+    """Equal for literal repeats of an event, and for marks of one key (a mark
+    has no hash)."""
+    return events.withColumns({
+        name: F.xxhash64(F.lit(seed), FIRST, *evo.EVENT_KEY, "event_hash")
+        for seed, name in enumerate(STATE_KEY)})
+
+
 def compact_tables(spark: SparkSession, cfg: EvidenceStreamConfig,
                    version: int) -> None:
     """Pack the small parts of all tables.  An epoch that runs again reads
@@ -134,6 +155,7 @@ def make_batch_writer(spark: SparkSession, cfg: EvidenceStreamConfig,
     without marks of first events (exposed for direct testing)."""
 
     generations: dict[str, int] = {}
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
 
     def process(events: DataFrame, epoch_id: int) -> None:
         # The query's id stays with its checkpoint.
@@ -144,9 +166,13 @@ def make_batch_writer(spark: SparkSession, cfg: EvidenceStreamConfig,
                                                         stream)
         generation = generations[stream]
         version = generation * running.EPOCHS + epoch_id
-        # Parsed once: everything below reads the micro-batch.
-        both = events.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
+        # The stream's session plans for the state: few partitions, fixed.
+        session = events.sparkSession
+        with (conf_set(session, "spark.sql.shuffle.partitions", partitions),
+              conf_set(session, "spark.sql.adaptive.enabled", "true"),
+              folders_dropped(spark)):
+            # Parsed once: everything below reads the micro-batch.
+            both = materialized(events, "micro-batch")
             new, firsts = both, None
             if FIRST in both.columns:
                 new = both.where(~F.col(FIRST)).drop(FIRST)
@@ -174,8 +200,6 @@ def make_batch_writer(spark: SparkSession, cfg: EvidenceStreamConfig,
                                 cfg.details, version)
             if cfg.compact_every and (epoch_id + 1) % cfg.compact_every == 0:
                 compact_tables(spark, cfg, version)
-        finally:
-            both.unpersist()
 
     return process
 
@@ -188,13 +212,13 @@ def start_evidence_stream(spark: SparkSession, cfg: EvidenceStreamConfig,
     ``available_now`` it processes what has arrived -- in several
     micro-batches when a file cap is set -- and stops."""
     envelopes = envelope_stream(spark, cfg)
-    events = (with_first_marks(evidence_events(envelopes, cfg.ingested_at))
+    events = (with_state_key(with_first_marks(evidence_events(
+                  envelopes, cfg.ingested_at)))
               # The time of arrival here, so that nothing is ever too late.
               .withColumn("_time", F.current_timestamp())
               .withWatermark("_time", cfg.watermark)
-              .dropDuplicatesWithinWatermark(
-                  [*evo.EVENT_KEY, "event_hash", FIRST])
-              .drop("_time"))
+              .dropDuplicatesWithinWatermark(STATE_KEY)
+              .drop("_time", *STATE_KEY))
     writer = (events.writeStream
               .foreachBatch(make_batch_writer(spark, cfg, flow_map))
               .option("checkpointLocation", cfg.checkpoint))
@@ -205,8 +229,7 @@ def start_evidence_stream(spark: SparkSession, cfg: EvidenceStreamConfig,
     overrides = {"spark.sql.shuffle.partitions": str(
         cfg.state_partitions or spark.sparkContext.defaultParallelism)}
     if cfg.rocksdb_state:
-        overrides["spark.sql.streaming.stateStore.providerClass"] = (
-            ROCKSDB_PROVIDER)
+        overrides |= ROCKSDB
     previous = {k: spark.conf.get(k, None) for k in overrides}
     for k, v in overrides.items():
         spark.conf.set(k, v)

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import json
+import os
 import time
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -14,9 +16,12 @@ from runledger.plans import evidence_queries as eq
 from runledger.session import new_run_dir
 from runledger.sources import evidence_store as store
 from runledger.sources import snapshots
-from runledger.streaming.evidence_stream import evidence_events
+from runledger.streaming.evidence_stream import (
+    STATE_KEY, EvidenceStreamConfig, evidence_events, run_until_done,
+    start_evidence_stream, with_state_key)
 
 from .conftest import rows
+from .test_evidence import _write_envelopes
 from .test_scale import plan
 
 
@@ -157,6 +162,49 @@ def test_stream_carries_no_nested_record(spark, items_dir, tmp_dir):
     assert "evidence" not in events.columns
 
 
+def test_stream_keeps_keys_out_of_the_heap(spark, tmp_dir):
+    """Its state is in RocksDB, without texts; a literal repeat in a later
+    micro-batch is dropped, and what an epoch wrote for itself goes with it."""
+    record = json.dumps({"batch_id": "1", "step": "s", "is_terminal": True,
+                         "input": {"rows": 3}})
+    for k in range(2):
+        _write_envelopes(f"{tmp_dir}/land", str(k),
+                         [("7", "EVIDENCE " + record)])
+    cfg = EvidenceStreamConfig(
+        landing=f"{tmp_dir}/land", store=f"{tmp_dir}/st",
+        summaries=f"{tmp_dir}/sum", checkpoint=f"{tmp_dir}/ck",
+        ingested_at=eq.CLOCK, max_files_per_trigger=1)
+
+    root = Path(tmp_dir).parent.parent
+
+    def scratch():
+        return {p for kind in ("micro-batch", "latest", "suspects", "totals",
+                               "known-totals") for p in root.glob(f"{kind}/*")}
+
+    before = scratch()
+    run_until_done(start_evidence_stream(spark, cfg))
+    assert scratch() == before
+    state = f"{tmp_dir}/ck/state/0/0"
+    assert any(n.endswith(".zip") for n in os.listdir(state))
+    assert not any(n.endswith(".delta") for n in os.listdir(state))
+    assert store.read_evidence(spark, cfg.store, dedup=False).count() == 1
+
+
+def test_state_keys(spark):
+    """Those of an event, its repeat, another text, its mark, and others."""
+    some = [("b", "s", "e", 1, False), ("b", "s", "e", 1, False),
+            ("b", "s", "e", 2, False), ("b", "s", "e", None, True),
+            ("b", "s", "f", None, True), ("bs", "", "e", 1, False),
+            ("b", "", "se", 1, False)]
+    got = with_state_key(spark.createDataFrame(
+        some, "batch_id string, step string, event_id string, "
+              "event_hash long, first_seen_event boolean"))
+    assert [d for _, d in got.select(*STATE_KEY).dtypes] == ["bigint"] * 2
+    for key in ([c] for c in STATE_KEY):
+        found = [r[0] for r in got.select(*key).collect()]
+        assert found[0] == found[1] and len(set(found)) == 6
+
+
 def test_texts_are_not_carried_beyond_the_parse(spark, items_dir):
     """Only their parsed fields go on, without those of the state log that
     no column needs."""
