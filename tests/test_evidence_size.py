@@ -5,7 +5,6 @@ from __future__ import annotations
 import json
 import os
 import time
-from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -162,7 +161,7 @@ def test_stream_carries_no_nested_record(spark, items_dir, tmp_dir):
     assert "evidence" not in events.columns
 
 
-def test_stream_keeps_keys_out_of_the_heap(spark, tmp_dir):
+def test_stream_keeps_keys_out_of_the_heap(spark, tmp_dir, monkeypatch):
     """Its state is in RocksDB, without texts; a literal repeat in a later
     micro-batch is dropped, and what an epoch wrote for itself goes with it."""
     record = json.dumps({"batch_id": "1", "step": "s", "is_terminal": True,
@@ -175,15 +174,16 @@ def test_stream_keeps_keys_out_of_the_heap(spark, tmp_dir):
         summaries=f"{tmp_dir}/sum", checkpoint=f"{tmp_dir}/ck",
         ingested_at=eq.CLOCK, max_files_per_trigger=1)
 
-    root = Path(tmp_dir).parent.parent
+    written = []
 
-    def scratch():
-        return {p for kind in ("micro-batch", "latest", "suspects", "totals",
-                               "known-totals") for p in root.glob(f"{kind}/*")}
+    def noted(spark, kind):
+        written.append(new_run_dir(spark, kind))
+        return written[-1]
 
-    before = scratch()
+    monkeypatch.setattr(session, "new_run_dir", noted)
     run_until_done(start_evidence_stream(spark, cfg))
-    assert scratch() == before
+    assert len(written) > 4
+    assert not any(os.path.exists(p.removeprefix("file:")) for p in written)
     state = f"{tmp_dir}/ck/state/0/0"
     assert any(n.endswith(".zip") for n in os.listdir(state))
     assert not any(n.endswith(".delta") for n in os.listdir(state))
